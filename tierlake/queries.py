@@ -334,3 +334,277 @@ def q_distinct_keys(spark, sf_dir):
         F.sum("n").cast("bigint").alias("n_rows"),
         F.count("l_orderkey").cast("bigint").alias("n_orderkeys"),
         (F.sum("nl") + F.sum("has_null")).cast("bigint").alias("n_line_keys"))
+
+
+# ------------------------------------------------------------------------ J3
+# Fixed demo loader map: (map_id, priority, file_like, load_type, is_active).
+LOADER_MAP = [
+    (1, 10, "%promo%", "PROMO_LOAD", "Y"),
+    (2, 20, "small%", "SMALL_ITEMS", "Y"),
+    (3, 20, "%ring%", "RING_ITEMS", "Y"),
+    (4, 30, "%brand#1_", "BRAND_TEENS", "Y"),
+    (5, 5, "%gear%", "GEAR_RETIRED", "N"),
+    (6, 40, "%large%", "LARGE_ITEMS", "Y"),
+]
+
+
+def loader_map_df(spark):
+    return spark.createDataFrame(
+        [(m, p, f, t, a, "Y") for m, p, f, t, a in LOADER_MAP],
+        "map_id int, priority int, file_like string, load_type string, is_active string, loader_available string")
+
+
+_SQL_LOADER_MAP = "(VALUES " + ", ".join(
+    f"({m}, {p}, '{f}', '{t}', '{a}')" for m, p, f, t, a in LOADER_MAP) + \
+    ") AS m(map_id, priority, file_like, load_type, is_active)"
+
+
+def _part_file_name():
+    return F.concat_ws(" ", "p_name", "p_type", "p_brand")
+
+
+@register("pattern_route", f"""
+WITH p AS (SELECT p_partkey, concat_ws(' ', p_name, p_type, p_brand) AS file_name FROM part)
+SELECT p.p_partkey, p.file_name,
+  coalesce((SELECT m.load_type FROM {_SQL_LOADER_MAP}
+            WHERE m.is_active = 'Y' AND lower(p.file_name) LIKE lower(m.file_like)
+            ORDER BY m.priority, m.map_id LIMIT 1), 'UNMAPPED') AS load_type
+FROM p
+""")
+def q_pattern_route(spark, sf_dir):
+    from tierlake.operators.routing import route_by_pattern
+    p = table(spark, sf_dir, "part").select("p_partkey", _part_file_name().alias("file_name"))
+    return route_by_pattern(p, "file_name", loader_map_df(spark), row_key="p_partkey")
+
+
+# --------------------------------------------------------------- I7, J4, W5
+RUN_NOW = "2024-01-20 18:00:00"   # the daily run being simulated (UTC)
+
+
+def event_files(ev: DataFrame) -> DataFrame:
+    """Events as extract files: one ZIP per event, named like the extract system does."""
+    name = F.concat(F.lit("file_"), F.col("event_type"), F.lit("extract-batch"), F.col("event_id").cast("string"),
+                    F.lit("-"), F.date_format("ts", "yyyyMMdd_HHmmss"), F.lit(".zip"))
+    return ev.select(name.alias("file_name"), F.upper("event_type").alias("load_type"),
+                     F.col("ts").alias("arrived_ts"), F.lit("Y").alias("loader_available"),
+                     F.col("value"))
+
+
+def event_file_jobs(files: DataFrame) -> DataFrame:
+    """Earlier daily runs: the latest file per type and day was loaded.
+
+    Its outcome is MERGED, or ERROR when the extract's value was below 5
+    (failed loads do not block a retry).
+    """
+    day_latest = latest_per_key(files.withColumn("day", F.to_date("file_timestamp")),
+                                ["load_type", "day"],
+                                [F.col("file_timestamp").desc_nulls_last(), F.col("file_name").desc()])
+    return day_latest.where(F.col("day") < F.to_date(F.lit(RUN_NOW))).select(
+        "file_name", "load_type",
+        F.when(F.col("value") < 5, "ERROR").otherwise("MERGED").alias("status"))
+
+
+@register("unprocessed_latest", f"""
+WITH files AS (
+  SELECT 'file_' || event_type || 'extract-batch' || CAST(event_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d_%H%M%S') || '.zip' AS file_name,
+         upper(event_type) AS load_type, value,
+         strptime(regexp_extract(('file_' || event_type || 'extract-batch' || CAST(event_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d_%H%M%S') || '.zip'), '-(\\d{{8}}_\\d{{6}})\\.[zZ][iI][pP]', 1), '%Y%m%d_%H%M%S') AS file_timestamp
+  FROM events),
+jobs AS (
+  SELECT file_name, load_type, CASE WHEN value < 5 THEN 'ERROR' ELSE 'MERGED' END AS status FROM (
+    SELECT * FROM files
+    QUALIFY row_number() OVER (PARTITION BY load_type, CAST(file_timestamp AS DATE)
+                               ORDER BY file_timestamp DESC NULLS LAST, file_name DESC) = 1) d
+  WHERE CAST(file_timestamp AS DATE) < DATE '{RUN_NOW[:10]}'),
+win AS (SELECT timezone('UTC', timezone('America/Los_Angeles',
+               CAST(CAST(timezone('America/Los_Angeles', TIMESTAMP '{RUN_NOW}' AT TIME ZONE 'UTC') AS DATE) AS TIMESTAMP))) AS s),
+cand AS (
+  SELECT f.* FROM files f, win
+  WHERE f.file_timestamp >= win.s - INTERVAL 1 DAY AND f.file_timestamp < win.s + INTERVAL 24 HOUR
+    AND lower(f.file_name) NOT LIKE '%poheaderdffpublic%'
+    AND lower(f.file_name) NOT LIKE '%suppliersiteextract%'
+    AND lower(f.file_name) NOT LIKE '%invoiceheaderextract%'
+  QUALIFY row_number() OVER (PARTITION BY load_type ORDER BY file_timestamp DESC NULLS LAST, file_name DESC) = 1)
+SELECT file_name, load_type, file_timestamp FROM cand c
+WHERE NOT EXISTS (SELECT 1 FROM jobs j WHERE j.file_name = c.file_name AND j.load_type = c.load_type
+                  AND j.status IN ('MERGED', 'LOADING', 'STAGED', 'LOADED'))
+""")
+def q_unprocessed_latest(spark, sf_dir):
+    from tierlake.functions.casts import file_timestamp
+    from tierlake.operators.incremental import select_unprocessed_latest
+    files = event_files(table(spark, sf_dir, "events")) \
+        .withColumn("file_timestamp", file_timestamp("file_name"))
+    jobs = event_file_jobs(files)
+    return select_unprocessed_latest(files, jobs, F.lit(RUN_NOW).cast("timestamp_ntz"), load_types=None)
+
+
+# ------------------------------------------------------------ I1, I2, F12
+@register("watermark_overlap", """
+WITH w AS (SELECT max(ts) - INTERVAL 2 DAY AS wm FROM events WHERE ts < TIMESTAMP '2024-01-16 00:00:00')
+SELECT e.event_id, e.ts, e.user_id, e.event_type, strftime(w.wm, '%Y-%m-%dT%H:%M:%S') || '.000Z' AS watermark_text
+FROM events e, w WHERE w.wm IS NULL OR e.ts > w.wm
+""")
+def q_watermark_overlap(spark, sf_dir):
+    """Next incremental pull: everything after the target's high-watermark minus 2 days.
+
+    The target is the final table as of the cutoff; the source is the whole
+    events table.
+    """
+    from tierlake.operators.incremental import high_watermark
+    ev = table(spark, sf_dir, "events")
+    target = ev.where(F.col("ts") < _ts(BATCH_CUTOFF))
+    wm = high_watermark(target, "ts").withColumn("__k", F.lit(1))
+    j = ev.withColumn("__k", F.lit(1)).join(F.broadcast(wm), "__k")
+    return j.where(F.col("watermark").isNull() | (F.col("ts") > F.col("watermark"))) \
+        .select("event_id", "ts", "user_id", "event_type", "watermark_text")
+
+
+# -------------------------------------------------------------------- F11
+@register("daily_window", f"""
+WITH win AS (SELECT timezone('UTC', timezone('America/Los_Angeles',
+               CAST(CAST(timezone('America/Los_Angeles', TIMESTAMP '{RUN_NOW}' AT TIME ZONE 'UTC') AS DATE) AS TIMESTAMP))) AS s)
+SELECT e.event_id, e.ts, e.event_type, win.s - INTERVAL 1 DAY AS window_start, win.s + INTERVAL 24 HOUR AS window_end
+FROM events e, win
+WHERE e.ts >= win.s - INTERVAL 1 DAY AND e.ts < win.s + INTERVAL 24 HOUR
+""")
+def q_daily_window(spark, sf_dir):
+    from tierlake.functions.casts import pacific_day_window
+    start, end = pacific_day_window(F.lit(RUN_NOW).cast("timestamp_ntz"))
+    ev = table(spark, sf_dir, "events")
+    lo = start - F.expr("INTERVAL 1 DAYS")
+    return ev.where((F.col("ts") >= lo) & (F.col("ts") < end)).select(
+        "event_id", "ts", "event_type", lo.alias("window_start"), end.alias("window_end"))
+
+
+# -------------------------------------------------------------------- K11
+RETENTION_NOW = "2024-03-15 00:00:00"
+
+
+@register("retention", f"""
+WITH f AS (SELECT 'file_' || event_type || 'extract-batch' || CAST(event_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d_%H%M%S') || '.zip' AS file_name
+           FROM events
+           UNION ALL
+           SELECT 'manual_' || CAST(event_id AS VARCHAR) || '.zip' AS file_name FROM events WHERE event_type = 'error'),
+p AS (SELECT file_name, strptime(nullif(regexp_extract(file_name, '-(\\d{{8}}_\\d{{6}})\\.[zZ][iI][pP]', 1), ''), '%Y%m%d_%H%M%S') AS file_timestamp FROM f)
+SELECT file_name, file_timestamp FROM p
+WHERE file_timestamp IS NOT NULL AND file_timestamp < TIMESTAMP '{RETENTION_NOW}' - INTERVAL 60 DAY
+""")
+def q_retention(spark, sf_dir):
+    from tierlake.operators.incremental import retention_candidates
+    ev = table(spark, sf_dir, "events")
+    stamped = event_files(ev).select("file_name")
+    unstamped = ev.where(F.col("event_type") == "error").select(
+        F.concat(F.lit("manual_"), F.col("event_id").cast("string"), F.lit(".zip")).alias("file_name"))
+    return retention_candidates(stamped.unionByName(unstamped), "file_name",
+                                F.lit(RETENTION_NOW).cast("timestamp_ntz"), days=60) \
+        .select("file_name", "file_timestamp")
+
+
+# --------------------------------------------------------------------- Q6
+@register("orphan_audit", """
+SELECT 'lineitem->orders' AS relation, count(*) AS child_rows,
+  count(*) FILTER (WHERE l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey)) AS orphan_rows
+FROM lineitem l
+UNION ALL
+SELECT 'lineitem->part', count(*),
+  count(*) FILTER (WHERE l_partkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_partkey = l.l_partkey))
+FROM lineitem l
+UNION ALL
+SELECT 'lineitem->supplier', count(*),
+  count(*) FILTER (WHERE l_suppkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = l.l_suppkey))
+FROM lineitem l
+UNION ALL
+SELECT 'orders->customer', count(*),
+  count(*) FILTER (WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey))
+FROM orders o
+""")
+def q_orphan_audit(spark, sf_dir):
+    from tierlake.operators.audit import orphan_audit
+    t = lambda n: table(spark, sf_dir, n)
+    li = t("lineitem")
+    return orphan_audit([
+        ("lineitem->orders", li, t("orders"), ["l_orderkey"], ["o_orderkey"]),
+        ("lineitem->part", li, t("part"), ["l_partkey"], ["p_partkey"]),
+        ("lineitem->supplier", li, t("supplier"), ["l_suppkey"], ["s_suppkey"]),
+        ("orders->customer", t("orders"), t("customer"), ["o_custkey"], ["c_custkey"]),
+    ])
+
+
+# --------------------------------------------------------------------- Q4
+@register("key_audit", """
+SELECT l_orderkey, l_linenumber, count(*) AS n_rows, count(DISTINCT l_suppkey) AS n_variants
+FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(DISTINCT l_suppkey) > 1
+""")
+def q_key_audit(spark, sf_dir):
+    from tierlake.operators.audit import key_audit
+    return key_audit(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], ["l_suppkey"])
+
+
+# ------------------------------------------------------------ Q1, A8-A10
+def recon_sources():
+    from tierlake.operators.recon import ReconSource
+    return [
+        ReconSource("CUSTOMERS", "customer", entity_key="CUSTOMER"),
+        ReconSource("ORDERS", "orders", entity_key="ORDERS"),
+        ReconSource("PARTS", "part", entity_key="PART"),
+        ReconSource("SUPPLIERS", "supplier", entity_key="SUPPLIER"),
+        ReconSource("NATIONS", "customer", entity_key="NATION", count_expr="count(DISTINCT c_nationkey)"),
+        ReconSource("EVENT_USERS", "events", entity_key="USER", count_expr="count(DISTINCT user_id)"),
+        ReconSource("LABELS", "labels", entity_key="LABEL"),
+        ReconSource("ARCHIVE", "documents", entity_key="ARCHIVE", is_active=False),
+    ]
+
+
+def source_count_report(spark, sf_dir) -> DataFrame:
+    """The source system's count report (ENTITY_NAME, REC_COUNT rows).
+
+    Counts are what the referencing tables imply: orders referenced by line
+    items, customers referenced by orders, and so on.  LABEL has no row.
+    """
+    t = lambda n: table(spark, sf_dir, n)
+    li = t("lineitem")
+    rows = [
+        t("orders").agg(F.count_distinct("o_custkey").alias("c")).select(F.lit("CUSTOMER").alias("entity_key"), "c"),
+        li.agg(F.count_distinct("l_orderkey").alias("c")).select(F.lit("ORDERS").alias("entity_key"), "c"),
+        li.agg(F.count_distinct("l_partkey").alias("c")).select(F.lit("PART").alias("entity_key"), "c"),
+        li.agg(F.count_distinct("l_suppkey").alias("c")).select(F.lit("SUPPLIER").alias("entity_key"), "c"),
+        t("nation").agg(F.count(F.lit(1)).alias("c")).select(F.lit("NATION").alias("entity_key"), "c"),
+        t("events").agg(F.count_distinct("user_id").alias("c")).select(F.lit("USER").alias("entity_key"), "c"),
+    ]
+    out = rows[0]
+    for r in rows[1:]:
+        out = out.unionByName(r)
+    return out.select("entity_key", F.col("c").cast("bigint").alias("source_count"))
+
+
+@register("recon_counts", """
+WITH local AS (
+  SELECT 'CUSTOMERS' AS entity_name, 'customer' AS local_table_name, 'CUSTOMER' AS entity_key, (SELECT count(*) FROM customer) AS local_count
+  UNION ALL SELECT 'ORDERS', 'orders', 'ORDERS', (SELECT count(*) FROM orders)
+  UNION ALL SELECT 'PARTS', 'part', 'PART', (SELECT count(*) FROM part)
+  UNION ALL SELECT 'SUPPLIERS', 'supplier', 'SUPPLIER', (SELECT count(*) FROM supplier)
+  UNION ALL SELECT 'NATIONS', 'customer', 'NATION', (SELECT count(DISTINCT c_nationkey) FROM customer)
+  UNION ALL SELECT 'EVENT_USERS', 'events', 'USER', (SELECT count(DISTINCT user_id) FROM events)
+  UNION ALL SELECT 'LABELS', 'labels', 'LABEL', (SELECT count(*) FROM labels)),
+src AS (
+  SELECT 'CUSTOMER' AS entity_key, (SELECT count(DISTINCT o_custkey) FROM orders) AS source_count
+  UNION ALL SELECT 'ORDERS', (SELECT count(DISTINCT l_orderkey) FROM lineitem)
+  UNION ALL SELECT 'PART', (SELECT count(DISTINCT l_partkey) FROM lineitem)
+  UNION ALL SELECT 'SUPPLIER', (SELECT count(DISTINCT l_suppkey) FROM lineitem)
+  UNION ALL SELECT 'NATION', (SELECT count(*) FROM nation)
+  UNION ALL SELECT 'USER', (SELECT count(DISTINCT user_id) FROM events))
+SELECT l.entity_name, 'BICC' AS source_type, l.local_table_name,
+  CAST(l.local_count AS BIGINT) AS local_count, CAST(s.source_count AS BIGINT) AS source_count,
+  CAST(s.source_count - l.local_count AS BIGINT) AS delta,
+  CASE WHEN s.source_count IS NULL THEN NULL WHEN s.source_count > 0
+       THEN CAST(round(abs(s.source_count - l.local_count) * 100.0 / s.source_count, 2) AS DOUBLE) ELSE 0.0 END AS pct_delta,
+  CASE WHEN s.source_count IS NULL THEN 'ERROR' WHEN s.source_count = l.local_count THEN 'OK' ELSE 'VARIANCE' END AS status,
+  CASE WHEN s.source_count IS NULL THEN 'Entity ' || l.entity_key || ' not found in source counts' END AS error_message
+FROM local l LEFT JOIN src s ON s.entity_key = l.entity_key
+""")
+def q_recon_counts(spark, sf_dir):
+    from tierlake.operators.recon import local_counts, reconcile
+    names = ["customer", "orders", "part", "supplier", "events", "labels", "documents"]
+    tables = {n: table(spark, sf_dir, n) for n in names}
+    srcs = recon_sources()
+    return reconcile(srcs, local_counts(srcs, tables), source_count_report(spark, sf_dir))
