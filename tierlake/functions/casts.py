@@ -97,7 +97,7 @@ def _ts_text(v: Column) -> Column:
 
 def strict_iso_timestamp(c: ColumnOrName, fmt: str = ISO_OFFSET_FORMAT) -> Column:
     """ISO text with an offset -> instant; malformed text raises (ANSI)."""
-    return F.to_timestamp(_c(c), F.lit(fmt))
+    return F.to_timestamp(_c(c), fmt)
 
 
 def strip_offset(c: ColumnOrName, fmt: str = ISO_LOCAL_FORMAT) -> Column:

@@ -608,3 +608,116 @@ def q_recon_counts(spark, sf_dir):
     tables = {n: table(spark, sf_dir, n) for n in names}
     srcs = recon_sources()
     return reconcile(srcs, local_counts(srcs, tables), source_count_report(spark, sf_dir))
+
+
+# --------------------------------------------------------------- F1, F6
+def _num_text():
+    """Numeric text in the shapes extracts carry, chosen by line number."""
+    ln = F.col("l_linenumber")
+    pk, ok, sk = (F.col(c).cast("string") for c in ("l_partkey", "l_orderkey", "l_suppkey"))
+    return (F.when(ln == 1, F.concat(pk, F.lit("."), F.lpad(sk, 2, "0")))
+            .when(ln == 2, F.concat(F.lit("  "), ok, F.lit(" ")))
+            .when(ln == 3, F.concat(pk, F.lit(",000")))
+            .when(ln == 4, F.concat(ln.cast("string"), F.lit("e"), ln.cast("string")))
+            .when(ln == 5, F.concat(sk, F.lit("d")))
+            .when(ln == 6, F.lit("   "))
+            .otherwise(F.concat(F.lit("."), pk)))
+
+
+@register("safe_casts", """
+WITH t AS (SELECT l_orderkey, l_linenumber,
+  CASE l_linenumber WHEN 1 THEN CAST(l_partkey AS VARCHAR) || '.' || lpad(CAST(l_suppkey AS VARCHAR), 2, '0')
+                    WHEN 2 THEN '  ' || CAST(l_orderkey AS VARCHAR) || ' '
+                    WHEN 3 THEN CAST(l_partkey AS VARCHAR) || ',000'
+                    WHEN 4 THEN CAST(l_linenumber AS VARCHAR) || 'e' || CAST(l_linenumber AS VARCHAR)
+                    WHEN 5 THEN CAST(l_suppkey AS VARCHAR) || 'd'
+                    WHEN 6 THEN '   '
+                    ELSE '.' || CAST(l_partkey AS VARCHAR) END AS num_text
+  FROM lineitem)
+SELECT l_orderkey, l_linenumber, num_text,
+  CAST(TRY_CAST(trim(num_text) AS DECIMAL(38,10)) AS DOUBLE) AS num,
+  CAST(CAST(TRY_CAST(trim(num_text) AS DECIMAL(38,10)) AS DECIMAL(18,0)) AS BIGINT) AS num_id,
+  CAST(CASE WHEN regexp_full_match(trim(num_text), '\\d+') THEN CAST(trim(num_text) AS DECIMAL(38,0)) END AS BIGINT) AS digits
+FROM t
+""")
+def q_safe_casts(spark, sf_dir):
+    from tierlake.functions.casts import digits_only, safe_number
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", _num_text().alias("num_text"))
+    return li.select("l_orderkey", "l_linenumber", "num_text",
+                     safe_number("num_text").cast("double").alias("num"),
+                     safe_number("num_text", "decimal(18,0)").cast("bigint").alias("num_id"),
+                     digits_only("num_text").cast("bigint").alias("digits"))
+
+
+# ------------------------------------------------------------ F2-F5
+def _ts_text():
+    et, ts = F.col("event_type"), F.col("ts")
+    return (F.when(et == "click", F.date_format(ts, "M/d/yyyy"))
+            .when(et == "view", F.date_format(ts, "yyyy-MM-dd"))
+            .when(et == "purchase", F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+            .when(et == "signup", F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+            .otherwise(F.concat(F.date_format(ts - F.expr("INTERVAL 5 HOURS"), "yyyy-MM-dd'T'HH:mm:ss.SSS"),
+                                F.lit("-05:00"))))
+
+
+@register("iso_casts", """
+WITH t AS (SELECT event_id, event_type, ts,
+  CASE event_type WHEN 'click' THEN strftime(ts, '%-m/%-d/%Y')
+                  WHEN 'view' THEN strftime(ts, '%Y-%m-%d')
+                  WHEN 'purchase' THEN strftime(ts, '%Y-%m-%d %H:%M:%S.%f')
+                  WHEN 'signup' THEN strftime(ts, '%Y-%m-%dT%H:%M:%SZ')
+                  ELSE strftime(ts - INTERVAL 5 HOUR, '%Y-%m-%dT%H:%M:%S.%g') || '-05:00' END AS ts_text
+  FROM events)
+SELECT event_id, ts_text,
+  CASE WHEN event_type = 'click' THEN CAST(CAST(ts AS DATE) AS TIMESTAMP)
+       WHEN event_type = 'view' THEN CAST(CAST(ts AS DATE) AS TIMESTAMP)
+       WHEN event_type IN ('purchase', 'signup') THEN date_trunc('second', ts) + CASE WHEN event_type = 'purchase'
+            THEN (epoch_us(ts) % 1000000) * INTERVAL 1 MICROSECOND ELSE INTERVAL 0 SECOND END
+       ELSE NULL END AS tolerant_ts,
+  CASE WHEN event_type = 'error' THEN CAST(strptime(substr(ts_text, 1, 23), '%Y-%m-%dT%H:%M:%S.%g') AS TIMESTAMP) END AS wall_ts,
+  CASE WHEN event_type = 'error' THEN epoch_us(CAST(ts_text AS TIMESTAMPTZ)) END AS instant_us
+FROM t
+""")
+def q_iso_casts(spark, sf_dir):
+    from tierlake.functions.casts import safe_timestamp, strict_iso_timestamp, strip_offset
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type", _ts_text().alias("ts_text"))
+    off = F.col("event_type") == "error"
+    return ev.select(
+        "event_id", "ts_text",
+        safe_timestamp("ts_text").alias("tolerant_ts"),
+        F.when(off, strip_offset("ts_text")).alias("wall_ts"),
+        F.when(off, F.unix_micros(strict_iso_timestamp("ts_text"))).alias("instant_us"))
+
+
+# ------------------------------------------------------------ F7, F8
+SEGMENT_WIDTHS = (4, 3, 4, 3, 3, 7, 4, 4, 5)
+
+
+def _segments():
+    return [F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string"),
+            F.col("l_suppkey").cast("string"), F.col("l_linenumber").cast("string"),
+            F.col("l_returnflag"), F.col("l_linestatus"),
+            F.col("l_quantity").cast("bigint").cast("string"),
+            F.when(F.col("l_returnflag") == "R", F.lit("")),
+            F.year("l_shipdate").cast("string")]
+
+
+_SQL_SEGS = ["CAST(l_orderkey AS VARCHAR)", "CAST(l_partkey AS VARCHAR)", "CAST(l_suppkey AS VARCHAR)",
+             "CAST(l_linenumber AS VARCHAR)", "l_returnflag", "l_linestatus",
+             "CAST(CAST(l_quantity AS BIGINT) AS VARCHAR)",
+             "CASE WHEN l_returnflag = 'R' THEN '' END", "CAST(year(l_shipdate) AS VARCHAR)"]
+
+
+@register("segment_string", f"""
+SELECT l_orderkey, l_linenumber,
+  lpad(nullif(CAST(l_partkey AS VARCHAR), ''), 3, '0') AS segment2,
+  concat_ws('-', {", ".join(f"coalesce(lpad(nullif({s}, ''), {w}, '0'), '')" for s, w in zip(_SQL_SEGS, SEGMENT_WIDTHS))}) AS segment_string
+FROM lineitem
+""")
+def q_segment_string(spark, sf_dir):
+    from tierlake.functions.casts import lpad_trunc, segment_string
+    li = table(spark, sf_dir, "lineitem")
+    segs = _segments()
+    return li.select("l_orderkey", "l_linenumber",
+                     lpad_trunc(segs[1], 3).alias("segment2"),
+                     segment_string(segs, SEGMENT_WIDTHS).alias("segment_string"))
