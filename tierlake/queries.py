@@ -721,3 +721,224 @@ def q_segment_string(spark, sf_dir):
     return li.select("l_orderkey", "l_linenumber",
                      lpad_trunc(segs[1], 3).alias("segment2"),
                      segment_string(segs, SEGMENT_WIDTHS).alias("segment_string"))
+
+
+# ------------------------------------------------------------ S4-S7
+@register("json_props", """
+SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+  coalesce(json_extract_string(props, '$.hasMore') = 'true', false) AS has_more
+FROM events
+""")
+def q_json_props(spark, sf_dir):
+    from tierlake.sources.json_pages import has_more
+    ev = table(spark, sf_dir, "events")
+    return ev.select("event_id", F.get_json_object("props", "$.k").try_cast("bigint").alias("k"),
+                     has_more("props").alias("has_more"))
+
+
+def event_page_bodies(ev: DataFrame) -> DataFrame:
+    """Events landed as REST page bodies of PAGE_SIZE items (``page_no, body``).
+
+    Purchases carry two child lines, clicks an empty child array, the rest
+    none; ``hasMore`` is present only on full pages.  A page holds at most
+    PAGE_SIZE items by construction, so the per-page collect is bounded.
+    """
+    child = F.struct((F.col("event_id") * 10 + 1).alias("line_id"), F.col("value").alias("amount"))
+    child2 = F.struct((F.col("event_id") * 10 + 2).alias("line_id"), (F.col("value") * 2).alias("amount"))
+    item = F.struct("event_id", "user_id", "event_type",
+                    F.when(F.col("event_type") == "purchase", F.array(child, child2))
+                     .when(F.col("event_type") == "click", F.array().cast("array<struct<line_id:bigint,amount:double>>"))
+                     .alias("lines"))
+    pages = ev.groupBy((F.col("event_id") / F.lit(PAGE_SIZE)).cast("bigint").alias("page_no")).agg(
+        F.sort_array(F.collect_list(F.struct(F.col("event_id").alias("_o"), item.alias("it")))).alias("its"),
+        F.count(F.lit(1)).alias("n"))
+    body = F.to_json(F.struct(
+        F.transform("its", lambda x: x["it"]).alias("items"),
+        F.when(F.col("n") == PAGE_SIZE, F.lit(True)).alias("hasMore"),
+        F.col("n").alias("count")))
+    return pages.select("page_no", body.alias("body"))
+
+
+@register("nested_explode", f"""
+WITH p AS (SELECT event_id // {PAGE_SIZE} AS page_no, count(*) AS n FROM events GROUP BY 1),
+e AS (SELECT e.*, e.event_id // {PAGE_SIZE} AS page_no FROM events e)
+SELECT e.page_no, p.n = {PAGE_SIZE} AS has_more, e.event_id, e.user_id, e.event_type,
+       e.event_id * 10 + c.k AS line_id, e.value * c.k AS amount
+FROM e JOIN p USING (page_no), (VALUES (1), (2)) c(k)
+WHERE e.event_type = 'purchase'
+UNION ALL
+SELECT e.page_no, p.n = {PAGE_SIZE}, e.event_id, e.user_id, e.event_type, NULL, NULL
+FROM e JOIN p USING (page_no) WHERE e.event_type <> 'purchase'
+""")
+def q_nested_explode(spark, sf_dir):
+    from tierlake.sources.json_pages import child_rows, page_items, parse_bodies
+    bodies = event_page_bodies(table(spark, sf_dir, "events"))
+    items = page_items(parse_bodies(bodies, "body", _item_struct()), drop_null=["event_id"])
+    return child_rows(items, ["page_no", "has_more", "event_id", "user_id", "event_type"], "lines")
+
+
+def _item_struct():
+    from pyspark.sql.types import ArrayType, DoubleType, LongType, StringType, StructField, StructType
+    line = StructType([StructField("line_id", LongType()), StructField("amount", DoubleType())])
+    return StructType([StructField("event_id", LongType()), StructField("user_id", LongType()),
+                       StructField("event_type", StringType()), StructField("lines", ArrayType(line))])
+
+
+# ----------------------------------------------------------- P16-P19
+# Fixed demo mapping of event types onto flexfield information types.
+FLEX_TYPES = {
+    "click": "GCS Job Application References",
+    "purchase": "Additional GCS Person Data",
+    "error": "GCS Retirement",
+    "signup": "Secondary Status",
+}
+
+
+def events_as_flex(ev: DataFrame) -> DataFrame:
+    """Events in the generic flexfield staging shape (all slots text)."""
+    from tierlake.plans.flex import GENERIC_COLUMNS
+    it = None
+    for k, v in FLEX_TYPES.items():
+        it = F.when(F.col("event_type") == k, F.lit(v)) if it is None else it.when(F.col("event_type") == k, F.lit(v))
+    filled = {
+        "pei_info1": F.col("event_type"), "pei_info2": F.col("props"),
+        "pei_date1": F.date_format("ts", "yyyy/MM/dd"), "pei_num1": F.col("user_id").cast("string"),
+    }
+    return ev.select(
+        F.col("event_id").alias("person_extra_info_id"), F.col("user_id").alias("person_id"),
+        F.concat(F.lit("C"), F.col("user_id").cast("string")).alias("candidate_number"),
+        it.alias("information_type"), F.col("ts").alias("effective_start_date"),
+        F.lit(None).cast("timestamp_ntz").alias("effective_end_date"),
+        *[filled.get(c, F.lit(None).cast("string")).alias(c) for c in GENERIC_COLUMNS])
+
+
+def _flex_sql(view: str) -> str:
+    from tierlake.plans.flex import DECODE_VIEWS
+    info_type, slots = DECODE_VIEWS[view]
+    src = {"pei_info1": "event_type", "pei_info2": "props", "pei_date1": "strftime(ts, '%Y/%m/%d')",
+           "pei_num1": "CAST(user_id AS VARCHAR)"}
+    evt = {v: k for k, v in FLEX_TYPES.items()}[info_type]
+    cols = ", ".join(f"{src.get(g, 'CAST(NULL AS VARCHAR)')} AS {a}" for g, a in slots.items())
+    return (f"SELECT event_id AS person_extra_info_id, user_id AS person_id, 'C' || CAST(user_id AS VARCHAR) AS candidate_number, "
+            f"'{info_type}' AS information_type, ts AS effective_start_date, CAST(NULL AS TIMESTAMP) AS effective_end_date, "
+            f"{cols} FROM events WHERE event_type = '{evt}'")
+
+
+def _flex_query(view: str):
+    def q(spark, sf_dir):
+        from tierlake.plans.flex import decode_view
+        return decode_view(events_as_flex(table(spark, sf_dir, "events")), view)
+    return q
+
+
+for _qname, _view in [("decode_view", "ext_flex_secondary_status_v"),
+                      ("decode_view_job_refs", "ext_flex_job_refs_v"),
+                      ("decode_view_retirement", "ext_flex_retirement_v"),
+                      ("decode_view_person_data", "ext_flex_person_data_v")]:
+    register(_qname, _flex_sql(_view))(_flex_query(_view))
+
+
+# ------------------------------------------------- F16-F18, A9, E2
+def doc_templates(docs: DataFrame) -> DataFrame:
+    """Documents as message templates: the whole text plus a token footer."""
+    footer = F.concat(
+        F.lit("\n${Greeting_"), F.col("lang"), F.lit("} ${CandidateFirstName}, about ${RequisitionTitle} "
+                                                       "(${RequisitionNumber}) from ${SourceName}. ${Greeting_"),
+        F.col("lang"), F.lit("} again. ${} ${Missing_"), F.col("source"), F.lit("} ${unclosed"))
+    return docs.select("doc_id", "lang", "source", F.concat(F.col("text"), footer).alias("template"))
+
+
+_SQL_TEMPLATE = ("text || chr(10) || '${Greeting_' || lang || '} ${CandidateFirstName}, about ${RequisitionTitle} "
+                 "(${RequisitionNumber}) from ${SourceName}. ${Greeting_' || lang || '} again. ${} ${Missing_' || source || '} ${unclosed'")
+
+# Fixed demo token registry: (token_name, default_value).
+TOKEN_DEFAULTS = [
+    ("Greeting_en", "Hello"),
+    ("Greeting_fr", "Bonjour"),
+    ("Greeting_es", "Hola ${CandidateFirstName}"),
+    ("CandidateFirstName", "Candidate"),
+    ("SourceName", "our team"),
+    ("RequisitionTitle", None),
+]
+
+
+@register("token_df", f"""
+SELECT token_name, count(*) AS template_count FROM (
+  SELECT unnest(list_distinct(regexp_extract_all({_SQL_TEMPLATE}, '\\$\\{{([^}}]+)\\}}', 1))) AS token_name
+  FROM documents WHERE text IS NOT NULL) t
+GROUP BY token_name
+""")
+def q_token_df(spark, sf_dir):
+    from tierlake.operators.tokens import token_frequency
+    return token_frequency(doc_templates(table(spark, sf_dir, "documents")), "template")
+
+
+@register("template_resolve", f"""
+WITH d AS (SELECT d.doc_id, d.lang, d.source, {_SQL_TEMPLATE.replace('text', 'd.text').replace('lang', 'd.lang').replace('source', 'd.source')} AS t0,
+                  p.p_name AS req_title, 'REQ-' || CAST(p.p_partkey AS VARCHAR) AS req_num
+           FROM documents d LEFT JOIN part p ON p.p_partkey = d.doc_id),
+g AS (SELECT *, CASE lang WHEN 'en' THEN 'Hello' WHEN 'fr' THEN 'Bonjour'
+                          WHEN 'es' THEN 'Hola ${{CandidateFirstName}}' END AS greet FROM d),
+r1 AS (SELECT *, CASE WHEN greet IS NULL THEN t0 ELSE replace(t0, '${{Greeting_' || lang || '}}', greet) END AS t1 FROM g),
+r2 AS (SELECT *, replace(t1, '${{CandidateFirstName}}', 'Reader ' || CAST(doc_id AS VARCHAR)) AS t2 FROM r1),
+r3 AS (SELECT *, CASE WHEN req_title IS NULL THEN t2 ELSE replace(t2, '${{RequisitionTitle}}', req_title) END AS t3 FROM r2),
+r4 AS (SELECT *, CASE WHEN req_title IS NULL THEN t3 ELSE replace(t3, '${{RequisitionNumber}}', req_num) END AS t4 FROM r3)
+SELECT doc_id, replace(t4, '${{SourceName}}', source) AS resolved_text FROM r4
+""")
+def q_template_resolve(spark, sf_dir):
+    from tierlake.operators.tokens import resolve_templates
+    docs = doc_templates(table(spark, sf_dir, "documents"))
+    reqs = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("doc_id"), F.col("p_name").alias("req_title"),
+        F.concat(F.lit("REQ-"), F.col("p_partkey").cast("string")).alias("req_num"))
+    rows = docs.join(reqs, "doc_id", "left")
+    context = {
+        "RequisitionTitle": F.col("req_title"),
+        "RequisitionNumber": F.col("req_num"),
+        "JobOfferTitle": F.col("req_title"),
+        "CandidateFirstName": F.concat(F.lit("Reader "), F.col("doc_id").cast("string")),
+        "SourceName": F.col("source"),
+    }
+    registry = spark.createDataFrame(TOKEN_DEFAULTS, "token_name string, default_value string")
+    out = resolve_templates(rows, "template", context, registry)
+    return out.select("doc_id", "resolved_text")
+
+
+# ------------------------------------------------------------ A7, P12
+EXTRACT_REGION = 1
+
+
+@register("ordered_listagg", """
+SELECT n_regionkey AS r_regionkey,
+  string_agg(n_name, ',' ORDER BY n_nationkey) AS nation_names,
+  string_agg(CAST(n_nationkey AS VARCHAR), ',' ORDER BY n_nationkey) AS nation_ids
+FROM nation GROUP BY n_regionkey
+""")
+def q_ordered_listagg(spark, sf_dir):
+    n = table(spark, sf_dir, "nation")
+    return n.groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(
+        F.expr("listagg(n_name, ',') WITHIN GROUP (ORDER BY n_nationkey)").alias("nation_names"),
+        F.expr("listagg(CAST(n_nationkey AS STRING), ',') WITHIN GROUP (ORDER BY n_nationkey)").alias("nation_ids"))
+
+
+@register("id_list", f"""
+WITH l AS (SELECT string_agg(CAST(n_nationkey AS VARCHAR), ',' ORDER BY n_nationkey) AS ids
+           FROM nation WHERE n_regionkey = {EXTRACT_REGION})
+SELECT c.c_custkey, c.c_nationkey,
+  coalesce(list_contains(string_split(l.ids, ','), CAST(c.c_nationkey AS VARCHAR)), false) AS in_extract
+FROM customer c, l
+""")
+def q_id_list(spark, sf_dir):
+    """Customers whose nation is on the extract's comma-separated id list.
+
+    The list is one row (a listagg over the nation registry), joined on a
+    constant key: a broadcast with a one-row bound.
+    """
+    from tierlake.functions.casts import id_in_list
+    ids = table(spark, sf_dir, "nation").where(F.col("n_regionkey") == EXTRACT_REGION).agg(
+        F.expr("listagg(CAST(n_nationkey AS STRING), ',') WITHIN GROUP (ORDER BY n_nationkey)").alias("ids")) \
+        .withColumn("__k", F.lit(1))
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey").withColumn("__k", F.lit(1))
+    j = c.join(F.broadcast(ids), "__k")
+    return j.select("c_custkey", "c_nationkey",
+                    F.coalesce(id_in_list("c_nationkey", "ids"), F.lit(False)).alias("in_extract"))
