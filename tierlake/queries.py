@@ -942,3 +942,70 @@ def q_id_list(spark, sf_dir):
     j = c.join(F.broadcast(ids), "__k")
     return j.select("c_custkey", "c_nationkey",
                     F.coalesce(id_in_list("c_nationkey", "ids"), F.lit(False)).alias("in_extract"))
+
+
+# ------------------------------------------------------------ S8-S10
+CUSTOMER_XML_COLUMNS = ["C_CUSTKEY", "C_NAME", "C_NATIONKEY", "C_ACCTBAL", "C_MKTSEGMENT"]
+
+
+@register("xml_rowset", """
+SELECT c_custkey, c_name, c_nationkey, CAST(CAST(c_acctbal AS DECIMAL(18,2)) AS DOUBLE) AS c_acctbal, c_mktsegment
+FROM customer
+""")
+def q_xml_rowset(spark, sf_dir):
+    """Customer report landed as XML (``DATA_DS/ROW``) and loaded back as typed rows."""
+    from tierlake.functions.casts import digits_only, safe_number
+    from tierlake.session import work_path
+    from tierlake.sources.xml_rowset import read_rowset, require_rows
+    out = work_path(spark, "landed", "customer_report", unique=True)
+    cust = table(spark, sf_dir, "customer")
+    cust.select(*[F.col(c.lower()).cast("string").alias(c) for c in CUSTOMER_XML_COLUMNS]) \
+        .write.format("xml").option("rowTag", "ROW").option("rootTag", "DATA_DS").mode("overwrite").save(out)
+    rows = require_rows(read_rowset(spark, out, CUSTOMER_XML_COLUMNS), "customer report")
+    return rows.select(
+        digits_only("c_custkey").cast("bigint").alias("c_custkey"), "c_name",
+        digits_only("c_nationkey").cast("int").alias("c_nationkey"),
+        safe_number("c_acctbal", "decimal(18,2)").cast("double").alias("c_acctbal"), "c_mktsegment")
+
+
+# ----------------------------------------------------------------- S2, S3
+@register("zip_csv", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders
+""")
+def q_zip_csv(spark, sf_dir):
+    """Orders extracted as ZIP archives of CSV, then unzipped, staged and cast back."""
+    from tierlake.functions.casts import safe_number, safe_timestamp
+    from tierlake.session import work_path
+    from tierlake.sources.landing import read_landing_csv
+    from tierlake.sources.zipped import list_zips, stage_zip_csv, write_zip_csv
+    root = work_path(spark, "extracts", unique=True)
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"), "o_orderpriority")
+    write_zip_csv(orders, f"{root}/zips").count()
+    stage_zip_csv(list_zips(spark, f"{root}/zips"), f"{root}/staging").count()   # one task per archive
+    land = read_landing_csv(spark, f"{root}/staging", required=["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+                                                    "o_orderdate", "o_orderpriority"])
+    return land.select(
+        safe_number("o_orderkey", "bigint").alias("o_orderkey"), safe_number("o_custkey", "bigint").alias("o_custkey"),
+        "o_orderstatus", F.col("o_totalprice").try_cast("double").alias("o_totalprice"),
+        safe_timestamp("o_orderdate").alias("o_orderdate"), "o_orderpriority")
+
+
+# ------------------------------------------------------------------- X1
+@register("file_stream", """
+SELECT event_id, ts, user_id, event_type, value, props FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id) = 1
+""")
+def q_file_stream(spark, sf_dir):
+    """Events landed as several files, streamed in small batches, upserted per user."""
+    from tierlake.session import work_path
+    from tierlake.sources.store import SnapshotTable
+    from tierlake.streaming.file_ingest import ingest_files
+    root = work_path(spark, "stream", unique=True)
+    ev = table(spark, sf_dir, "events")
+    ev.repartition(8).write.mode("overwrite").parquet(f"{root}/inbox")
+    target = SnapshotTable(spark, f"{root}/final", schema=ev.schema)
+    ingest_files(spark, f"{root}/inbox", ev.schema, target, ["user_id"], _event_order(),
+                 checkpoint=f"{root}/_checkpoint", max_files_per_trigger=3)
+    return target.read()
