@@ -56,11 +56,11 @@ def reconcile(sources: list[ReconSource], local: DataFrame, source_counts: DataF
     ``source_counts``: ``entity_key, source_count``.  delta = source - local;
     pct = round(|delta| / source * 100, 2), 0 when source is not > 0.
     """
-    spark = local.sparkSession
-    cfg = spark.createDataFrame(
-        [(s.entity_name, s.source_type, s.local_table, s.entity_key or s.entity_name)
-         for s in sources if s.is_active],
-        "entity_name string, source_type string, local_table_name string, entity_key string")
+    from tierlake.session import local_rows
+    cfg = local_rows(local.sparkSession,
+                     [(s.entity_name, s.source_type, s.local_table, s.entity_key or s.entity_name)
+                      for s in sources if s.is_active],
+                     "entity_name string, source_type string, local_table_name string, entity_key string")
     j = cfg.join(local, "entity_name", "left").join(source_counts, "entity_key", "left")
     delta = F.col("source_count") - F.col("local_count")
     missing = F.col("source_count").isNull() | F.col("local_count").isNull()

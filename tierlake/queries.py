@@ -349,9 +349,10 @@ LOADER_MAP = [
 
 
 def loader_map_df(spark):
-    return spark.createDataFrame(
-        [(m, p, f, t, a, "Y") for m, p, f, t, a in LOADER_MAP],
-        "map_id int, priority int, file_like string, load_type string, is_active string, loader_available string")
+    from tierlake.session import local_rows
+    return local_rows(spark, [(m, p, f, t, a, "Y") for m, p, f, t, a in LOADER_MAP],
+                      "map_id int, priority int, file_like string, load_type string, is_active string, "
+                      "loader_available string")
 
 
 _SQL_LOADER_MAP = "(VALUES " + ", ".join(
@@ -899,7 +900,8 @@ def q_template_resolve(spark, sf_dir):
         "CandidateFirstName": F.concat(F.lit("Reader "), F.col("doc_id").cast("string")),
         "SourceName": F.col("source"),
     }
-    registry = spark.createDataFrame(TOKEN_DEFAULTS, "token_name string, default_value string")
+    from tierlake.session import local_rows
+    registry = local_rows(spark, TOKEN_DEFAULTS, "token_name string, default_value string")
     out = resolve_templates(rows, "template", context, registry)
     return out.select("doc_id", "resolved_text")
 

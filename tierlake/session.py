@@ -22,6 +22,7 @@ _DEFAULTS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
@@ -71,3 +72,20 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the driver-generated parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def local_rows(spark: SparkSession, rows, schema_ddl: str):
+    """A small literal table (registries, configuration) built inside the JVM.
+
+    Rows become literal structs expanded with ``inline``; no Python worker
+    and no SQL text (so values may contain ``${…}``).
+    """
+    from pyspark.sql import functions as F
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL(schema_ddl)
+    names = schema.fieldNames()
+    if not rows:
+        return spark.createDataFrame([], schema)
+    structs = [F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(r, schema.fields)])
+               for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs))).select(*names)
