@@ -68,8 +68,8 @@ def rows_loaded(staged: DataFrame, spec: EntitySpec) -> DataFrame:
 def merged_final(staged: DataFrame, final: DataFrame, spec: EntitySpec) -> DataFrame:
     """The next version of the final table (M1, M2 or M6)."""
     src = dedup(staged, spec)
-    data_cols = spec.staging_columns()
     if spec.surrogate_id:
+        data_cols = [c for c in final.columns if c != spec.surrogate_id]
         return upsert_surrogate(final, src.select(*data_cols, "_seq"), list(spec.keys), spec.surrogate_id, "_seq")
     if spec.update is not None:
         from tierlake.operators.upsert import merge_columns
