@@ -50,7 +50,7 @@ def route_by_pattern(df: DataFrame, name_col: str, loader_map: DataFrame,
     if row_key is None:
         raise ValueError("row_key is required for loader maps above the compile limit")
     m = df.select(row_key, name_col).join(
-        F.broadcast(act), F.lower(F.col(name_col)).like(F.lower(F.col("file_like"))), "left")
+        F.broadcast(act), F.like(F.lower(F.col(name_col)), F.lower(F.col("file_like"))), "left")
     best = m.groupBy(row_key).agg(
         F.min_by("load_type", F.struct("priority", "map_id")).alias(out_col))
     return df.join(best, row_key, "left").withColumn(out_col, F.coalesce(F.col(out_col), F.lit(UNMAPPED)))

@@ -59,7 +59,7 @@ def upsert(final: DataFrame, source: DataFrame, keys: Sequence[str],
     if update_cols is not None and missing:
         return merge_columns(final, source, keys, update_cols=update_cols,
                              insert_cols=[c for c in cols if c in source.columns])
-    kept = final.join(source.select(*keys), list(keys), "left_anti")
+    kept = final.join(source.select(*keys), list(keys), "left_anti").select(*cols)
     return kept.unionByName(source.select(*cols))
 
 
