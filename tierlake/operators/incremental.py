@@ -49,13 +49,12 @@ def since_watermark(source: DataFrame, target: DataFrame, ts_col: str,
                     overlap_days: int = OVERLAP_DAYS) -> DataFrame:
     """Rows of ``source`` newer than ``max(target.ts) - overlap`` (full load if target is empty).
 
-    The one-row watermark is joined on a constant key, so it is broadcast
-    with a size bound of one row.
+    The watermark is a scalar subquery: computed once, then compared as a
+    constant, and pushed into the source scan as a filter (row groups below
+    the watermark are skipped).
     """
-    wm = high_watermark(target, ts_col, overlap_days).select("watermark").withColumn("__k", F.lit(1))
-    j = source.withColumn("__k", F.lit(1)).join(F.broadcast(wm), "__k")
-    return j.where(F.col("watermark").isNull() | (F.col(ts_col) > F.col("watermark"))) \
-        .drop("__k", "watermark")
+    wm = high_watermark(target, ts_col, overlap_days).select("watermark").scalar()
+    return source.where(wm.isNull() | (F.col(ts_col) > wm))
 
 
 def sync_mode(sync_type: str | None, date_field: str | None) -> tuple[str, str | None]:

@@ -6,9 +6,10 @@ unchanged = deduplicated staged rows equal (NULL-safe) to the final row on the
             compare list
 changed   = matched - unchanged
 
-One job: the deduplicated batch (already hash-partitioned on the keys by the
-window) is left-joined to the final table on the keys, so only the final
-table is exchanged, once, and the three counts come from one aggregate.
+One job: the final table is first narrowed to the batch's keys (semi join,
+broadcast when the batch is small), then the deduplicated batch (already
+hash-partitioned on the keys by the window) is left-joined to it on the keys;
+the three counts come from one aggregate.
 """
 
 from __future__ import annotations
@@ -31,7 +32,11 @@ def change_preview(dedup_staged: DataFrame, final: DataFrame, keys: Sequence[str
     cmp = list(dict.fromkeys([*keys, *compare]))
     others = [c for c in cmp if c not in keys]
     s = dedup_staged.select(*[F.col(c).alias(f"s__{c}") for c in cmp])
-    f = final.select(*[F.col(c).alias(f"f__{c}") for c in cmp]).withColumn("f__hit", F.lit(True))
+    # Only final rows whose key occurs in the batch matter.  The semi join
+    # has the batch keys on its build side, so a small batch is broadcast and
+    # the final table is filtered during its scan instead of being exchanged.
+    touched = final.join(dedup_staged.select(*keys), list(keys), "left_semi")
+    f = touched.select(*[F.col(c).alias(f"f__{c}") for c in cmp]).withColumn("f__hit", F.lit(True))
     cond = reduce(lambda a, b: a & b, [F.col(f"s__{k}") == F.col(f"f__{k}") for k in keys])
     j = s.join(f, cond, "left")
     hit = F.col("f__hit").isNotNull()

@@ -32,7 +32,7 @@ def defaults_map(registry: DataFrame) -> DataFrame:
     """One-row DataFrame holding ``map(token_name -> default_value)``.
 
     Raises if the registry is larger than :data:`DEFAULTS_MAP_LIMIT`, so the
-    broadcast it feeds has a proven size bound.
+    value shipped to every task has a proven size bound.
     """
     d = registry.where(F.col("default_value").isNotNull()).select("token_name", "default_value")
     n = d.count()
@@ -57,9 +57,12 @@ def resolve_templates(rows: DataFrame, text_col: str, context: Mapping[str, Colu
             raise ValueError("a template text is NULL")
     defaults = None
     if registry is not None:
-        dm = defaults_map(registry).withColumn("__k", F.lit(1))
-        rows = rows.withColumn("__k", F.lit(1)).join(F.broadcast(dm), "__k").drop("__k")
-        defaults = F.coalesce(F.col("__defaults"), F.create_map().cast("map<string,string>"))
+        # a scalar subquery: the (size-checked) map is computed once and
+        # shipped with the plan, no join
+        # (projected first: subqueries may not sit inside the higher-order functions)
+        rows = rows.withColumn("__defaults", F.coalesce(defaults_map(registry).scalar(),
+                                                        F.create_map().cast("map<string,string>")))
+        defaults = F.col("__defaults")
     toks = extract_tokens(F.col(text_col))
     out = rows.withColumn(out_col, substitute(F.col(text_col), toks, token_values(toks, context, defaults)))
     return out.drop("__defaults") if registry is not None else out

@@ -123,26 +123,28 @@ def dense_sequence(df: DataFrame, order: Sequence[str], start: Column | int = 0,
     """Consecutive ids ``start + 1, start + 2, …`` in ``order`` without one task.
 
     ``row_number() over (order by …)`` would pull every row into a single
-    partition.  Instead: range-partition on ``order``, number rows inside each
-    partition, add the running total of the (few) per-partition counts.  The
-    counts table has one row per partition, so broadcasting it is bounded by
-    the partition count, not by the data.
+    partition.  Instead: one range shuffle on ``order``, a sort inside each
+    range, the row's position in its range from ``monotonically_increasing_id``
+    (partition id in the high bits, position in the low 33 bits), plus the
+    running total of the per-range counts.  The counts table has one row per
+    range, so broadcasting it is bounded by the partition count, not the data.
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order]) \
-        .withColumn("__pid", F.spark_partition_id())
-    w = Window.partitionBy("__pid").orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    local = ranged.withColumn("__rn", F.row_number().over(w))
+    keys = [F.col(c).asc_nulls_first() for c in order]
+    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys) \
+        .withColumn("__mono", F.monotonically_increasing_id())
+    ranged = ranged.withColumn("__pid", F.shiftright(F.col("__mono"), 33)) \
+        .withColumn("__rn", F.col("__mono") - F.shiftleft(F.col("__pid"), 33) + 1)
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offs = counts.withColumn(
         "__off",
         F.coalesce(F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)))
     start_col = start if isinstance(start, Column) else F.lit(start)
-    return (local.join(F.broadcast(offs.select("__pid", "__off")), "__pid")
+    return (ranged.join(F.broadcast(offs.select("__pid", "__off")), "__pid")
             .withColumn(name, (start_col + F.col("__off") + F.col("__rn")).cast("bigint"))
-            .drop("__pid", "__rn", "__off"))
+            .drop("__pid", "__rn", "__off", "__mono"))
 
 
 def upsert_surrogate(final: DataFrame, source: DataFrame, keys: Sequence[str],
@@ -161,13 +163,11 @@ def upsert_surrogate(final: DataFrame, source: DataFrame, keys: Sequence[str],
         .select(F.col(f"t.{id_col}"), *[F.col(f"s.{c}") for c in data_cols])
     kept = final.join(src.select(*keys), list(keys), "left_anti")
     new = src.join(final.select(*keys), list(keys), "left_anti")
-    # one-row aggregate: broadcasting it is bounded by construction
-    max_id = final.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint").alias("__max")) \
-        .withColumn("__k", F.lit(1))
+    # max(id) is a scalar subquery: evaluated once, no join
+    max_id = final.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint")).scalar()
     order = [*keys, *([seq_col] if seq_col in src.columns else [])]
-    numbered = dense_sequence(new, order, start=0, name="__local_id") \
-        .withColumn("__k", F.lit(1)).join(F.broadcast(max_id), "__k") \
-        .withColumn(id_col, (F.col("__max") + F.col("__local_id")).cast(final.schema[id_col].dataType))
+    numbered = dense_sequence(new, order, start=max_id, name=id_col) \
+        .withColumn(id_col, F.col(id_col).cast(final.schema[id_col].dataType))
     cols = final.columns
     return kept.select(*cols).unionByName(matched.select(*cols)).unionByName(numbered.select(*cols))
 

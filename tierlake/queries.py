@@ -274,8 +274,9 @@ SELECT CAST((SELECT m FROM mx) + row_number() OVER (ORDER BY user_id) AS BIGINT)
 def q_surrogate_upsert(spark, sf_dir):
     ev = table(spark, sf_dir, "events")
     first_load = _user_dim(ev.where(F.col("ts") < _ts(BATCH_CUTOFF)))
+    # the final table as stored after the first load (lineage cut, as a stored table would be)
     final = dense_sequence(first_load, ["user_id"], start=0, name="id") \
-        .select("id", "user_id", "last_event_type", "last_ts")
+        .select("id", "user_id", "last_event_type", "last_ts").checkpoint()
     batch = _user_dim(ev.where(F.col("ts") >= _ts(BATCH_CUTOFF)))
     return upsert_surrogate(final, batch, ["user_id"], id_col="id", seq_col="_seq")
 
@@ -451,13 +452,12 @@ def q_watermark_overlap(spark, sf_dir):
     The target is the final table as of the cutoff; the source is the whole
     events table.
     """
-    from tierlake.operators.incremental import high_watermark
+    from tierlake.operators.incremental import high_watermark, since_watermark
     ev = table(spark, sf_dir, "events")
     target = ev.where(F.col("ts") < _ts(BATCH_CUTOFF))
-    wm = high_watermark(target, "ts").withColumn("__k", F.lit(1))
-    j = ev.withColumn("__k", F.lit(1)).join(F.broadcast(wm), "__k")
-    return j.where(F.col("watermark").isNull() | (F.col("ts") > F.col("watermark"))) \
-        .select("event_id", "ts", "user_id", "event_type", "watermark_text")
+    text = high_watermark(target, "ts").select("watermark_text").scalar()
+    return since_watermark(ev, target, "ts").select("event_id", "ts", "user_id", "event_type",
+                                                    text.alias("watermark_text"))
 
 
 # -------------------------------------------------------------------- F11
@@ -933,17 +933,16 @@ FROM customer c, l
 def q_id_list(spark, sf_dir):
     """Customers whose nation is on the extract's comma-separated id list.
 
-    The list is one row (a listagg over the nation registry), joined on a
-    constant key: a broadcast with a one-row bound.
+    The list is one value (a listagg over the nation registry) evaluated
+    once as a scalar subquery; the customer scan just tests membership.
     """
     from tierlake.functions.casts import id_in_list
     ids = table(spark, sf_dir, "nation").where(F.col("n_regionkey") == EXTRACT_REGION).agg(
         F.expr("listagg(CAST(n_nationkey AS STRING), ',') WITHIN GROUP (ORDER BY n_nationkey)").alias("ids")) \
-        .withColumn("__k", F.lit(1))
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey").withColumn("__k", F.lit(1))
-    j = c.join(F.broadcast(ids), "__k")
-    return j.select("c_custkey", "c_nationkey",
-                    F.coalesce(id_in_list("c_nationkey", "ids"), F.lit(False)).alias("in_extract"))
+        .scalar()
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    return c.select("c_custkey", "c_nationkey",
+                    F.coalesce(id_in_list("c_nationkey", ids), F.lit(False)).alias("in_extract"))
 
 
 # ------------------------------------------------------------ S8-S10
