@@ -34,15 +34,16 @@ def test_reconcile_statuses(spark):
     srcs = [R.ReconSource("A", "ta", entity_key="A"), R.ReconSource("B", "tb", entity_key="B"),
             R.ReconSource("C", "tc", entity_key="C"), R.ReconSource("D", "ta", entity_key="D",
                                                                     count_expr="count(DISTINCT x)"),
-            R.ReconSource("E", "ta", is_active=False)]
+            R.ReconSource("E", "ta", is_active=False), R.ReconSource("F", "missing", entity_key="A")]
     tables = {"ta": spark.createDataFrame([(1,), (1,), (2,)], "x int"),
               "tb": spark.createDataFrame([(1,)], "x int"), "tc": spark.createDataFrame([], "x int")}
     counts = spark.createDataFrame([("A", 3), ("B", 4), ("D", 0)], "entity_key string, source_count bigint")
     res = {r.entity_name: r for r in R.reconcile(srcs, R.local_counts(srcs, tables), counts).collect()}
-    assert set(res) == {"A", "B", "C", "D"}
+    assert set(res) == {"A", "B", "C", "D", "F"}
+    assert res["F"].status == "ERROR" and res["F"].error_message.startswith("Table missing")
     assert (res["A"].status, res["A"].delta) == ("OK", 0)
     assert (res["B"].status, res["B"].delta, res["B"].pct_delta) == ("VARIANCE", 3, 75.0)
     assert res["C"].status == "ERROR" and "not found" in res["C"].error_message
     assert (res["D"].status, res["D"].local_count, res["D"].pct_delta) == ("VARIANCE", 2, 0.0)
     hdr = R.run_header(R.reconcile(srcs, R.local_counts(srcs, tables), counts)).first()
-    assert tuple(hdr) == (4, 1, 2, 1)
+    assert tuple(hdr) == (5, 1, 2, 2)

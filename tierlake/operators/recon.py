@@ -37,13 +37,18 @@ def local_counts(sources: list[ReconSource], tables: Mapping[str, DataFrame]) ->
     ``count_expr`` may only aggregate columns of the configured table; the
     table name itself must be one of ``tables`` (names from configuration
     only, never free text).
+    A source whose table is not available yields a NULL count (reported as
+    ERROR), so one broken source never hides the results of the others.
     """
     parts = []
     for s in sources:
         if not s.is_active:
             continue
         if s.local_table not in tables:
-            raise KeyError(f"table {s.local_table} not found in recon configuration")
+            any_t = next(iter(tables.values()))
+            parts.append(any_t.sparkSession.range(1).select(
+                F.lit(s.entity_name).alias("entity_name"), F.lit(None).cast("bigint").alias("local_count")))
+            continue
         agg = F.expr(s.count_expr) if s.count_expr else F.count(F.lit(1))
         parts.append(tables[s.local_table].agg(agg.cast("bigint").alias("local_count"))
                      .select(F.lit(s.entity_name).alias("entity_name"), "local_count"))
@@ -71,8 +76,10 @@ def reconcile(sources: list[ReconSource], local: DataFrame, source_counts: DataF
         F.when(~missing, delta).cast("bigint").alias("delta"),
         F.when(~missing, pct_delta(delta, F.col("source_count"))).cast("double").alias("pct_delta"),
         F.when(missing, "ERROR").when(delta == 0, "OK").otherwise("VARIANCE").alias("status"),
-        F.when(F.col("source_count").isNull(),
-               F.concat(F.lit("Entity "), F.col("entity_key"), F.lit(" not found in source counts")))
+        F.when(F.col("local_count").isNull(),
+               F.concat(F.lit("Table "), F.col("local_table_name"), F.lit(" not found in recon configuration")))
+        .when(F.col("source_count").isNull(),
+              F.concat(F.lit("Entity "), F.col("entity_key"), F.lit(" not found in source counts")))
         .alias("error_message"),
     )
 

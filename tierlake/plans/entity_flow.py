@@ -163,3 +163,20 @@ def drop_staging(wh: Warehouse, spec: EntitySpec, job_id: int) -> None:
     from pyarrow import fs as pafs
     if fs.get_file_info(p).type != pafs.FileType.NotFound:
         fs.delete_dir(p)
+
+
+def run_daily(wh: Warehouse, specs: dict[str, EntitySpec], selected: DataFrame, file_path) -> list[tuple]:
+    """Stage and merge the selected files in time order (driver loop over a few files).
+
+    ``selected``: output of ``select_unprocessed_latest`` (at most one file
+    per load type).  ``file_path(file_name)`` locates the staged CSV.  The
+    first failure stops the run (later files wait for the next run), as the
+    daily load does.
+    """
+    done = []
+    for r in selected.orderBy("file_timestamp", "file_name").collect():   # ≤ one row per load type
+        spec = specs[r.load_type]
+        job_id, counts = load_and_preview(wh, spec, file_path(r.file_name), r.file_name)
+        merged = merge_job(wh, spec, job_id, r.file_name)
+        done.append((r.file_name, r.load_type, job_id, counts, merged))
+    return done
