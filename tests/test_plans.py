@@ -114,3 +114,39 @@ def test_daily_run(spark, tmp_path):
                         lambda n: str(inbox / n.replace(".zip", ".csv")))
     assert len(done) == 1 and done[0][4] == 1
     assert wh.final(S.PO_LINES).read().count() == 1
+
+
+def test_sync_source_modes_and_single_record(spark):
+    from pyspark.sql.types import StructType
+    items = spark.createDataFrame([
+        (1, 0, "1", "a", "2026-03-01 00:00:00"), (1, 1, "2", "b", "2026-03-09 00:00:00"),
+        (2, 0, "1", "a2", "2026-03-09 00:00:00")],
+        "page_no int, _seq int, resource_key string, name string, LastUpdateDate string")
+    final = spark.createDataFrame([("1", "old", "2026-01-01 00:00:00", dt.datetime(2026, 1, 1)),
+                                   ("9", "keep", "2026-01-01 00:00:00", dt.datetime(2026, 1, 1))],
+                                  "resource_key string, name string, LastUpdateDate string, row_sync_ts timestamp_ntz")
+    inc = RD.sync_source(items, final, last_sync=dt.datetime(2026, 3, 9), sync_ts=dt.datetime(2026, 3, 10))
+    assert {r.resource_key: r.name for r in inc.collect()} == {"1": "a2", "2": "b", "9": "keep"}
+    full = RD.sync_source(items, final, sync_type="FULL_ONLY")
+    assert {r.resource_key: r.name for r in full.collect()} == {"1": "a2", "2": "b"}
+    resp = spark.createDataFrame([('{"resource_key": "9", "name": "fresh", "Extra": 1}',)], "body string")
+    sch = StructType.fromDDL("resource_key string, name string, LastUpdateDate string, row_sync_ts timestamp_ntz")
+    one = RD.refresh_record(final, resp, "body", sch, "resource_key")
+    assert {r.resource_key: r.name for r in one.collect()} == {"1": "old", "9": "fresh"}
+    assert RD.zero_merge_warning(0, "x" * 5000).endswith("x" * 3800) and RD.zero_merge_warning(3, "x") is None
+    reg = spark.createDataFrame([("b", "Y"), ("a", "Y"), ("c", "N")], "module_static_id string, is_active string")
+    assert [r[0] for r in RD.active_sources(reg).collect()] == ["a", "b"]
+
+
+def test_optional_filter_and_reset(spark, tmp_path):
+    from tierlake.functions.casts import optional_eq
+    df = spark.createDataFrame([(1,), (2,), (None,)], "x int")
+    assert df.where(optional_eq("x", 2)).count() == 1 and df.where(optional_eq("x", None)).count() == 2
+    from tests_helpers import write_po_csv
+    write_po_csv(tmp_path / "a.csv", ["10,1,1,a,,OK,x,a,OPEN,1,Q,G,EA,1,EA,x"])
+    wh = EF.Warehouse(spark, str(tmp_path / "wh"))
+    j, _ = EF.load_and_preview(wh, S.PO_LINES, str(tmp_path / "a.csv"))
+    EF.merge_job(wh, S.PO_LINES, j)
+    assert wh.final(S.PO_LINES).read().count() == 1
+    wh.reset([S.PO_LINES])
+    assert wh.final(S.PO_LINES).read().count() == 0 and wh.jobs().events().count() == 0

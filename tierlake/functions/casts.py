@@ -222,3 +222,10 @@ def truncate(c: ColumnOrName, n: int) -> Column:
 def id_in_list(id_col: ColumnOrName, id_list: ColumnOrName, sep: str = ",") -> Column:
     """Whole-token membership of ``id`` in a separated id list."""
     return F.array_contains(F.split(_c(id_list), sep), _c(id_col).cast("string"))
+
+
+def optional_eq(c: ColumnOrName, value) -> Column:
+    """``col = nvl(:p, col)``: with no value every non-NULL row passes (NULL rows drop)."""
+    col = _c(c)
+    v = value if isinstance(value, Column) else F.lit(value)
+    return col == F.coalesce(v, col)

@@ -41,10 +41,10 @@ def route_by_pattern(df: DataFrame, name_col: str, loader_map: DataFrame,
     maps too large to compile.
     """
     act = active_patterns(loader_map).select("priority", "map_id", "file_like", "load_type")
+    head = act.limit(COMPILE_LIMIT + 1).collect()          # bounded: at most COMPILE_LIMIT + 1 rows
+    if len(head) <= COMPILE_LIMIT:
+        return df.withColumn(out_col, route_expr(F.col(name_col), [tuple(r) for r in head]))
     n = act.count()
-    if n <= COMPILE_LIMIT:
-        rows = [tuple(r) for r in act.collect()]
-        return df.withColumn(out_col, route_expr(F.col(name_col), rows))
     if n > BROADCAST_LIMIT:
         raise ValueError(f"loader map has {n} active patterns; more than {BROADCAST_LIMIT}")
     if row_key is None:

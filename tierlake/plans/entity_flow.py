@@ -107,6 +107,18 @@ class Warehouse:
     def load_log(self) -> LoadLog:
         return LoadLog(self.spark, self.root)
 
+    def reset(self, specs: list[EntitySpec]) -> None:
+        """Empty every data table (staging, finals, logs) and keep configuration (K10).
+
+        Each final gets an empty new version of its own schema; staging and
+        log folders are cleared by deleting their directories.
+        """
+        for spec in specs:
+            self.final(spec).truncate()
+            _delete_dir(self.staging_path(spec))
+        _delete_dir(f"{self.root}/jobs")
+        _delete_dir(f"{self.root}/load_log")
+
     def staged(self, spec: EntitySpec, job_id: int) -> DataFrame:
         # partition pruning on job_id reads only this job's files
         return self.spark.read.parquet(self.staging_path(spec)).where(F.col("job_id") == job_id)
@@ -157,14 +169,18 @@ def merge_job(wh: Warehouse, spec: EntitySpec, job_id: int, file_name: str | Non
         raise
 
 
-def drop_staging(wh: Warehouse, spec: EntitySpec, job_id: int) -> None:
-    """Remove one job's staging partition after its merge succeeded (K4)."""
-    fs, p = files.resolve(f"{wh.staging_path(spec)}/job_id={job_id}")
+def _delete_dir(path: str) -> None:
     from pyarrow import fs as pafs
+    fs, p = files.resolve(path)
     if fs.get_file_info(p).type != pafs.FileType.NotFound:
         fs.delete_dir(p)
 
 
+def drop_staging(wh: Warehouse, spec: EntitySpec, job_id: int) -> None:
+    """Remove one job's staging partition after its merge succeeded (K4)."""
+    _delete_dir(f"{wh.staging_path(spec)}/job_id={job_id}")
+
+
 def run_daily(wh: Warehouse, specs: dict[str, EntitySpec], selected: DataFrame, file_path) -> list[tuple]:
     """Stage and merge the selected files in time order (driver loop over a few files).
 

@@ -101,3 +101,46 @@ def sync_requisitions(pages: DataFrame, finals: dict[str, DataFrame] | None = No
         "req_published_jobs_r": upsert(finals["req_published_jobs_r"], src["req_published_jobs_r"],
                                        ["requisition_id", "published_visibility"]),
     }
+
+
+def active_sources(registry: DataFrame, order: tuple[str, ...] = ("module_static_id",)) -> DataFrame:
+    """Active registry rows in a stable order (S12)."""
+    return registry.where(F.col("is_active") == "Y").orderBy(*order)
+
+
+def sync_source(items: DataFrame, final: DataFrame | None, key: str = "resource_key",
+                sync_type: str | None = "INCREMENTAL", date_field: str | None = None,
+                last_sync=None, page_col: str = "page_no", seq_col: str = "_seq",
+                sync_ts: _dt.datetime | None = None) -> DataFrame:
+    """Declarative sync of one REST source from its landed items (S13, M7, I1, I3).
+
+    FULL_ONLY replaces the table with the folded pages; otherwise items newer
+    than ``last_sync - 2 days`` on ``date_field`` (default LastUpdateDate)
+    are folded (later pages win) and upserted on ``key``.
+    """
+    from tierlake.operators.incremental import OVERLAP_DAYS, sync_mode
+    mode, field = sync_mode(sync_type, date_field)
+    src = items
+    if mode == "INCREMENTAL" and last_sync is not None and field in items.columns:
+        lo = F.lit(last_sync).cast("timestamp_ntz") - F.expr(f"INTERVAL {OVERLAP_DAYS} DAYS")
+        src = src.where(F.col(field).cast("timestamp_ntz") > lo)
+    folded = fold_pages(src, [key], page_col, seq_col).drop(page_col, seq_col)
+    ts = F.lit(sync_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz")
+    folded = folded.withColumn("row_sync_ts", ts)
+    if mode == "FULL" or final is None:
+        return folded
+    return upsert(final, folded.select(*final.columns), [key])
+
+
+def refresh_record(final: DataFrame, response: DataFrame, body_col: str, schema, key: str) -> DataFrame:
+    """One-record refresh (S6 + M5): parse a single JSON object and upsert it."""
+    from tierlake.sources.json_pages import single_object
+    row = single_object(response, body_col, schema).where(F.col(key).isNotNull())
+    return upsert(final, row.select(*final.columns), [key])
+
+
+def zero_merge_warning(merged: int, payload: str | None, limit: int = 3800) -> str | None:
+    """Warning text when a sync merged nothing, with the start of the payload for diagnosis."""
+    if merged:
+        return None
+    return "0 rows merged; payload starts: " + (payload or "")[:limit]

@@ -69,9 +69,21 @@ def work_path(spark: SparkSession, *parts: str, unique: bool = False) -> str:
     return p
 
 
+_TABLES: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
-    """One of the driver-generated parquet tables."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One of the driver-generated parquet tables.
+
+    The DataFrame (file listing and footer schema) is reused within a
+    session; the data itself is read by every query that uses it.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    df = _TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = _TABLES[key] = spark.read.parquet(path)
+    return df
 
 
 def local_rows(spark: SparkSession, rows, schema_ddl: str):
