@@ -1010,3 +1010,86 @@ def q_file_stream(spark, sf_dir):
     ingest_files(spark, f"{root}/inbox", ev.schema, target, ["user_id"], _event_order(),
                  checkpoint=f"{root}/_checkpoint", max_files_per_trigger=3)
     return target.read()
+
+
+# --------------------------------------------------------------- S1, I6
+CATALOG_MAP = [
+    (1, 10, "file\\_click%", "CLICKS", "Y"),
+    (2, 20, "%purchase%", "PURCHASES", "Y"),
+    (3, 20, "%extract-batch1%", "BATCH_ONE", "Y"),
+    (4, 30, "%.zip", "OTHER_ZIP", "Y"),
+]
+
+
+@register("catalog_refresh", f"""
+WITH f AS (SELECT 'file_' || event_type || 'extract-batch' || CAST(event_id AS VARCHAR) || '-' || strftime(ts, '%Y%m%d_%H%M%S') || '.zip' AS file_name, ts
+           FROM events),
+v AS (SELECT f.file_name,
+        coalesce((SELECT m.load_type FROM (VALUES {", ".join(f"({m}, {p}, '{l}', '{t}', '{a}')" for m, p, l, t, a in CATALOG_MAP)}) AS m(map_id, priority, file_like, load_type, is_active)
+                  WHERE m.is_active = 'Y' AND lower(f.file_name) LIKE lower(m.file_like) ESCAPE '\\'
+                  ORDER BY m.priority, m.map_id LIMIT 1), 'UNMAPPED') AS load_type,
+        strptime(regexp_extract(f.file_name, '-(\\d{{8}}_\\d{{6}})\\.[zZ][iI][pP]', 1), '%Y%m%d_%H%M%S') AS file_timestamp
+      FROM f),
+old AS (SELECT file_name, 'UNMAPPED' AS load_type, date_trunc('hour', ts) AS file_timestamp,
+               TIMESTAMP '{BATCH_CUTOFF}' AS refreshed_ts
+        FROM f WHERE ts < TIMESTAMP '{BATCH_CUTOFF}')
+SELECT coalesce(o.file_name, v.file_name) AS file_name,
+       CASE WHEN v.file_name IS NOT NULL THEN v.load_type ELSE o.load_type END AS load_type,
+       coalesce(o.file_timestamp, v.file_timestamp) AS file_timestamp,
+       CASE WHEN v.file_name IS NOT NULL THEN TIMESTAMP '{RUN_NOW}' ELSE o.refreshed_ts END AS refreshed_ts
+FROM old o FULL OUTER JOIN v ON o.file_name = v.file_name
+""")
+def q_catalog_refresh(spark, sf_dir):
+    """Catalog refresh over the events-as-files listing against the catalog as of the cutoff."""
+    from tierlake.session import local_rows
+    from tierlake.sources.catalog import catalog_view, refresh
+    ev = table(spark, sf_dir, "events")
+    files = event_files(ev).select(F.concat(F.lit("s3://bucket/extracts/"), F.col("file_name")).alias("path"),
+                                   "arrived_ts")
+    lm = local_rows(spark, [(m, p, l, t, a, "Y") for m, p, l, t, a in CATALOG_MAP],
+                    "map_id int, priority int, file_like string, load_type string, is_active string, "
+                    "loader_available string")
+    view = catalog_view(files, lm)
+    old = files.where(F.col("arrived_ts") < _ts(BATCH_CUTOFF)).select(
+        F.regexp_extract("path", r"[^/]+$", 0).alias("file_name"), F.lit("UNMAPPED").alias("load_type"),
+        F.lit("N").alias("loader_available"), F.date_trunc("hour", "arrived_ts").cast("timestamp_ntz").alias("file_timestamp"),
+        _ts(BATCH_CUTOFF).alias("refreshed_ts"))
+    return refresh(old, view, _ts(RUN_NOW)).select("file_name", "load_type", "file_timestamp", "refreshed_ts")
+
+
+# ------------------------------------------------------- F14, P20, T4
+# Fixed demo mapping of event types onto report keys of the load log.
+REPORT_KEYS = {"click": "GALLUP", "view": "DFF", "purchase": "EXT_FLEX", "error": "USER_ROLES",
+               "signup": "FA_USER_ACCOUNTS"}
+
+
+@register("load_log_report", f"""
+WITH l AS (SELECT event_id AS log_id,
+    CASE event_type {" ".join(f"WHEN '{k}' THEN '{v}'" for k, v in REPORT_KEYS.items())} END AS report_key,
+    ts AS started_ts, make_timestamp(epoch_us(ts) + CAST(round(value * 60 * 1000000) AS BIGINT)) AS completed_ts
+  FROM events)
+SELECT log_id, report_key,
+  CASE report_key WHEN 'GALLUP' THEN 'Gallup Assessments' WHEN 'QUESTIONNAIRES' THEN 'Questionnaires'
+    WHEN 'DFF' THEN 'DFF Configuration' WHEN 'EXT_FLEX' THEN 'Extensible Flex'
+    ELSE concat_ws(' ', list_transform(string_split(replace(report_key, '_', ' '), ' '),
+                                       lambda x: upper(x[1]) || lower(x[2:]))) END AS report_label,
+  started_ts, completed_ts,
+  round((epoch_us(completed_ts) - epoch_us(started_ts)) / 1000000.0, 1) AS elapsed_secs,
+  round(((epoch_us(completed_ts) - epoch_us(started_ts)) / 1000000.0) % 3600, 1) AS elapsed_secs_mod_hour
+FROM l
+""")
+def q_load_log_report(spark, sf_dir):
+    """Events as a report load log: label, exact elapsed time and the minute+second parity form."""
+    from tierlake.functions.casts import elapsed_seconds, elapsed_seconds_mod_hour, report_label
+    ev = table(spark, sf_dir, "events")
+    key = None
+    for k, v in REPORT_KEYS.items():
+        key = F.when(F.col("event_type") == k, F.lit(v)) if key is None else key.when(F.col("event_type") == k, F.lit(v))
+    done = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp"))
+                              + F.round(F.col("value") * 60 * 1_000_000).cast("bigint")).cast("timestamp_ntz")
+    log = ev.select(F.col("event_id").alias("log_id"), key.alias("report_key"), F.col("ts").alias("started_ts"),
+                    done.alias("completed_ts"))
+    return log.select("log_id", "report_key", report_label("report_key").alias("report_label"),
+                      "started_ts", "completed_ts",
+                      elapsed_seconds("started_ts", "completed_ts").alias("elapsed_secs"),
+                      elapsed_seconds_mod_hour("started_ts", "completed_ts").alias("elapsed_secs_mod_hour"))
