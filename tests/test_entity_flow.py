@@ -105,3 +105,32 @@ def test_missing_column_fails_loudly(spark, tmp_path):
         EF.load_and_preview(wh, S.PO_LINES, str(tmp_path / "bad.csv"))
     state = wh.jobs().current().collect()
     assert state[0].status == "ERROR" and "POLINEID" not in (state[0].error_message or "POLINEID")[:0]
+
+
+def test_gl_balance_composite_key_and_quarantine(spark, tmp_path):
+    spec = S.GL_BALANCE
+    cols = spec.landing_columns()
+    def row(ledger, ccid, cur, flag, enc, period, amt, upd):
+        vals = {"BALANCELEDGERID": ledger, "BALANCECODECOMBINATIONID": ccid, "BALANCECURRENCYCODE": cur,
+                "BALANCEACTUALFLAG": flag, "BALANCEENCUMBRANCETYPEID": enc, "BALANCEPERIODNAME": period,
+                "BALANCEBEGINBALANCECR": amt, "BALANCELASTUPDATEDATE": upd}
+        return ",".join(vals.get(c, "") for c in cols)
+    lines = [row("1", "100", "USD", "A", "", "JAN-26", "10.5", "2026-01-31 10:00:00"),
+             row("1", "100", "USD", "A", "7", "JAN-26", "11", "2026-01-31 09:00:00"),   # same key, older
+             row("1", "101", "", "A", "", "JAN-26", "1", "2026-01-31 10:00:00"),        # NULL currency
+             row("1", "", "USD", "A", "", "JAN-26", "1", "2026-01-31 10:00:00")]        # NULL ccid: filtered
+    write(tmp_path / "gl.csv", ",".join(cols) + "\n" + "\n".join(lines) + "\n")
+    wh = EF.Warehouse(spark, str(tmp_path / "wh"))
+    job, counts = EF.load_and_preview(wh, spec, str(tmp_path / "gl.csv"))
+    assert counts["rows_loaded"] == 2 and counts["new_count"] == 2
+    assert EF.merge_job(wh, spec, job) == 1
+    fin = wh.final(spec).read().collect()
+    assert len(fin) == 1 and fin[0].begin_balance_cr == Decimal("10.5") and fin[0].encumbrance_type_id is None
+    held = spark.read.parquet(wh.quarantine_path(spec)).collect()
+    assert len(held) == 1 and held[0].code_combination_id == 101
+    from tierlake.operators.audit import key_audit
+    staged_all = EF.stage(
+        __import__("tierlake.sources.landing", fromlist=["x"]).read_landing_csv(spark, str(tmp_path / "gl.csv"),
+                                                                               required=cols), spec, 0)
+    audit = key_audit(staged_all, list(spec.keys), ["encumbrance_type_id"]).collect()
+    assert len(audit) == 1 and audit[0].n_variants == 2

@@ -65,9 +65,20 @@ def rows_loaded(staged: DataFrame, spec: EntitySpec) -> DataFrame:
     return distinct_key_count(staged, list(spec.keys), list(nn))
 
 
+def null_key(spec: EntitySpec):
+    from functools import reduce
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in spec.keys])
+
+
 def merged_final(staged: DataFrame, final: DataFrame, spec: EntitySpec) -> DataFrame:
-    """The next version of the final table (M1, M2 or M6)."""
+    """The next version of the final table (M1, M2 or M6).
+
+    Rows with a NULL key part never match; unless the spec inserts them
+    (surrogate identity), they are quarantined instead of breaking the key.
+    """
     src = dedup(staged, spec)
+    if spec.null_keys == "quarantine":
+        src = src.where(~null_key(spec))
     if spec.surrogate_id:
         data_cols = [c for c in final.columns if c != spec.surrogate_id]
         return upsert_surrogate(final, src.select(*data_cols, "_seq"), list(spec.keys), spec.surrogate_id, "_seq")
@@ -86,6 +97,9 @@ class Warehouse:
     def staging_path(self, spec: EntitySpec) -> str:
         return f"{self.root}/staging/{spec.name.lower()}"
 
+    def quarantine_path(self, spec: EntitySpec) -> str:
+        return f"{self.root}/quarantine/{spec.name.lower()}"
+
     def final(self, spec: EntitySpec) -> SnapshotTable:
         from pyspark.sql.types import LongType, StructField, StructType
         sample = self.spark.createDataFrame([], self.staging_schema(spec))
@@ -157,7 +171,16 @@ def merge_job(wh: Warehouse, spec: EntitySpec, job_id: int, file_name: str | Non
         staged = wh.staged(spec, job_id)
         target = wh.final(spec)
         new_final = merged_final(staged, target.read(), spec)
-        merged = dedup(staged, spec).count()
+        deduped = dedup(staged, spec)
+        if spec.null_keys == "quarantine":
+            held = deduped.where(null_key(spec))
+            n_held = held.count()
+            if n_held:
+                held.write.mode("overwrite").partitionBy("job_id").parquet(wh.quarantine_path(spec))
+                wh.load_log().append(spec.name, file_name, "QUARANTINE", "WARNING", rows_processed=n_held,
+                                     error_message=f"{n_held} rows with a NULL key part held back")
+            deduped = deduped.where(~null_key(spec))
+        merged = deduped.count()
         target.publish(new_final)
         drop_staging(wh, spec, job_id)
         jobs.append(job_id, "MERGED", rows_merged=merged)

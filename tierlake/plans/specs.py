@@ -85,6 +85,7 @@ class EntitySpec:
     update: tuple[str, ...] | None = None            # merged columns (None: all non-key)
     rows_loaded_not_null: tuple[str, ...] | None = None
     surrogate_id: str | None = None                  # final has its own identity column
+    null_keys: str = "quarantine"                    # rows with a NULL key part: quarantine | insert
     daily: bool = True                               # part of the daily file load
     doc: str = ""
 
@@ -140,7 +141,7 @@ PO_LINES = EntitySpec(
     ),
     compare=("polineid", "poheaderid", "linenum", "itemdescription", "linestatus", "unitprice",
              "listprice", "uomcode"),
-    surrogate_id="id",
+    surrogate_id="id", null_keys="insert",
     doc="Minimum slice: no key NULL filter, arrival order only, surrogate identity in final.",
 )
 
@@ -195,6 +196,106 @@ HCM_EMPLOYEE = EntitySpec(
     doc="Flags filtered before dedup: one row per person by design.",
 )
 
+AP_INVOICE_HDR = EntitySpec(
+    name="AP_INVOICE_HDR", keys=("invoiceid",), order=(), not_null=(),
+    columns=(
+        Col("invoiceid", "INVOICEID", "num:bigint"),
+        Col("invoiceheaderinvoicenum", "INVOICEHEADERINVOICENUM"),
+        Col("invoiceheadervouchernum", "INVOICEHEADERVOUCHERNUM", "blank"),
+        Col("partypartyname", "PARTYPARTYNAME"),
+        Col("partysitepartysitename", "PARTYSITEPARTYSITENAME"),
+        Col("invoiceheaderinvoicedate", "INVOICEHEADERINVOICEDATE", "date"),
+        Col("invoiceheadergldate", "INVOICEHEADERGLDATE", "date"),
+        Col("invoiceheadercreationdate", "INVOICEHEADERCREATIONDATE", "ts"),
+        Col("invoiceheaderinvoiceamount", "INVOICEHEADERINVOICEAMOUNT", "num:decimal(18,2)"),
+        Col("invoiceheaderinvoicecurrencycode", "INVOICEHEADERINVOICECURRENCYCODE"),
+        Col("invoiceheaderpaymentcurrencycode", "INVOICEHEADERPAYMENTCURRENCYCODE"),
+        Col("invoiceheaderamountpaid", "INVOICEHEADERAMOUNTPAID", "num:decimal(18,2)"),
+        Col("invoicehdrvalidationstatuscode", "INVOICEHDRVALIDATIONSTATUSCODE"),
+        Col("invoiceheaderapprovalstatus", "INVOICEHEADERAPPROVALSTATUS"),
+        Col("invoiceheaderpaymentstatusflag", "INVOICEHEADERPAYMENTSTATUSFLAG"),
+        Col("invoicehdraccountingstatuscode", "INVOICEHDRACCOUNTINGSTATUSCODE"),
+        Col("invoiceheaderinvoicetypelookupcode", "INVOICEHEADERINVOICETYPELOOKUPCODE"),
+        Col("invoiceheaderpaygrouplookupcode", "INVOICEHEADERPAYGROUPLOOKUPCODE", "blank"),
+        Col("invoiceheadertermsdate", "INVOICEHEADERTERMSDATE", "date"),
+        Col("invoiceheaderdescription", "INVOICEHEADERDESCRIPTION", "blank"),
+        Col("purchaseordersegment1", "PURCHASEORDERSEGMENT1", "blank"),
+        Col("invoiceheadercreatedby", "INVOICEHEADERCREATEDBY"),
+        Col("invoiceheaderlastupdatedate", "INVOICEHEADERLASTUPDATEDATE", "ts"),
+    ),
+    compare=("invoiceid", "invoiceheaderinvoicenum", "invoiceheadervouchernum", "partypartyname",
+             "partysitepartysitename", "invoiceheaderinvoicedate", "invoiceheadergldate",
+             "invoiceheaderinvoiceamount", "invoiceheaderinvoicecurrencycode", "invoiceheaderpaymentcurrencycode",
+             "invoiceheaderamountpaid", "invoicehdrvalidationstatuscode", "invoiceheaderapprovalstatus",
+             "invoiceheaderpaymentstatusflag", "invoicehdraccountingstatuscode",
+             "invoiceheaderinvoicetypelookupcode", "invoiceheaderpaygrouplookupcode", "invoiceheadertermsdate",
+             "invoiceheaderdescription", "purchaseordersegment1", "invoiceheadercreatedby"),
+    doc="No key NULL filter; blank text -> NULL; dates keep their time part.",
+)
+
+# GL balance amounts follow one rule: {begin balance, period net, quarter to
+# date, project to date} x {CR, DR} x {entered, base equivalent (BEQ)}.
+_GL_AMOUNT_GROUPS = (("begin_balance", "BEGINBALANCE"), ("period_net", "PERIODNET"),
+                     ("quarter_to_date", "QUARTERTODATE"), ("project_to_date", "PROJECTTODATE"))
+_GL_AMOUNTS = tuple(
+    Col(f"{t}_{side.lower()}{'_beq' if beq else ''}", f"BALANCE{s}{side}{'BEQ' if beq else ''}", "num")
+    for t, s in _GL_AMOUNT_GROUPS for beq in (False, True) for side in ("CR", "DR"))
+
+GL_BALANCE = EntitySpec(
+    name="GL_BALANCE",
+    keys=("ledger_id", "code_combination_id", "currency_code", "actual_flag", "period_name"),
+    order=(("last_update_date_ts", "desc"),), not_null=("code_combination_id",),
+    columns=(
+        Col("ledger_id", "BALANCELEDGERID", "num:bigint"),
+        Col("code_combination_id", "BALANCECODECOMBINATIONID", "num:bigint"),
+        Col("currency_code", "BALANCECURRENCYCODE"),
+        Col("actual_flag", "BALANCEACTUALFLAG"),
+        Col("encumbrance_type_id", "BALANCEENCUMBRANCETYPEID", "num:bigint"),
+        Col("period_name", "BALANCEPERIODNAME"),
+        Col("period_num", "BALANCEPERIODNUM", "num:bigint"),
+        Col("period_year", "BALANCEPERIODYEAR", "num:bigint"),
+        *_GL_AMOUNTS,
+        *raw_ts("last_update_date", "BALANCELASTUPDATEDATE"),
+    ),
+    compare=("ledger_id", "code_combination_id", "currency_code", "actual_flag", "encumbrance_type_id",
+             "period_name", "period_num", "period_year", *[c.target for c in _GL_AMOUNTS], "last_update_date_ts"),
+    rows_loaded_not_null=("code_combination_id",),
+    doc="Key narrower than the documented source key (encumbrance type is outside it): see key_audit.",
+)
+
+HCM_ASSIGNMENT = EntitySpec(
+    name="HCM_ASSIGNMENT", keys=("assignment_id",),
+    order=(("effective_start_ts", "desc"), ("effective_sequence", "desc")),
+    not_null=("assignment_id",), flags=("effective_latest_change",),
+    columns=(
+        Col("assignment_id", "ASSIGNMENTID", "num:bigint"),
+        Col("person_id", "ASSIGNMENTPEOPERSONID", "num:bigint"),
+        Col("position_id", "ASSIGNMENTPEOPOSITIONID", "num:bigint"),
+        Col("assignment_name", "ASSIGNMENTPEOASSIGNMENTNAME"),
+        Col("assignment_number", "ASSIGNMENTPEOASSIGNMENTNUMBER"),
+        Col("assignment_status_type", "ASSIGNMENTPEOASSIGNMENTSTATUSTYPE"),
+        Col("assignment_type", "ASSIGNMENTPEOASSIGNMENTTYPE"),
+        Col("system_person_type", "ASSIGNMENTPEOSYSTEMPERSONTYPE"),
+        Col("normal_hours", "ASSIGNMENTPEONORMALHOURS", "num"),
+        Col("primary_assignment_flag", "ASSIGNMENTPEOPRIMARYASSIGNMENTFLAG"),
+        Col("primary_flag", "ASSIGNMENTPEOPRIMARYFLAG"),
+        Col("manager_flag", "ASSIGNMENTPEOMANAGERFLAG"),
+        Col("business_unit_id", "ASSIGNMENTPEOBUSINESSUNITID", "num:bigint"),
+        Col("organization_id", "ASSIGNMENTPEOORGANIZATIONID", "num:bigint"),
+        Col("location_id", "ASSIGNMENTPEOLOCATIONID", "num:bigint"),
+        Col("hourly_salaried_code", "ASSIGNMENTPEOHOURLYSALARIEDCODE"),
+        Col("employee_category", "ASSIGNMENTPEOEMPLOYEECATEGORY"),
+        *raw_ts("effective_start", "EFFECTIVESTARTDATE"),
+        *raw_ts("effective_end", "EFFECTIVEENDDATE"),
+        Col("effective_sequence", "EFFECTIVESEQUENCE", "num:bigint"),
+        Col("effective_latest_change", "EFFECTIVELATESTCHANGE"),
+    ),
+    compare=("assignment_id", "person_id", "position_id", "assignment_number", "assignment_status_type",
+             "assignment_type", "normal_hours", "primary_assignment_flag", "organization_id", "location_id",
+             "employee_category"),
+    doc="Two order columns; latest-change flag filtered before dedup.",
+)
+
 # GL budget segment widths (lpad + truncate) of the 9 segments.
 BUDGET_SEGMENT_WIDTHS = (4, 3, 4, 3, 3, 7, 4, 4, 5)
 
@@ -239,9 +340,8 @@ ENTITY_KEYS: dict[str, EntitySpec] = {
     s.name: s for s in [
         _key_spec("AP_DISBURSEMENT", ["check_id"], _LU),
         _key_spec("AP_INV_APPLICATION", ["invoice_payment_id"], _LU),
-        _key_spec("AP_INVOICE_HDR", ["invoiceid"], (), not_null=()),
-        _key_spec("GL_BALANCE", ["ledger_id", "code_combination_id", "currency_code", "actual_flag", "period_name"],
-                  _LU, not_null=["code_combination_id"]),
+        AP_INVOICE_HDR,
+        GL_BALANCE,
         GL_BUDGET_BALANCE,
         _key_spec("GL_CODE_COMB", ["code_combination_id"], _LU),
         _key_spec("GL_JOURNAL_BATCH", ["journalbatchjebatchid"], (("journalbatchlastupdatedate_ts", "desc"),),
@@ -252,9 +352,7 @@ ENTITY_KEYS: dict[str, EntitySpec] = {
         _key_spec("PO_HDR", ["poheaderid"], (), not_null=()),
         PO_LINES,
         _key_spec("SUPPLIER_HDR", ["vendorid"], (), not_null=()),
-        _key_spec("HCM_ASSIGNMENT", ["assignment_id"],
-                  (("effective_start_ts", "desc"), ("effective_sequence", "desc")),
-                  flags=["effective_latest_change"]),
+        HCM_ASSIGNMENT,
         HCM_EMPLOYEE,
         _key_spec("HCM_POSITION", ["position_id"], (("effective_start_ts", "desc"),)),
         _key_spec("HCM_SALARY", ["salary_id"], (("salary_effective_start_ts", "desc"),)),
@@ -280,4 +378,4 @@ def get(name: str) -> EntitySpec:
 
 
 __all__ = ["Col", "Derived", "EntitySpec", "ENTITY_KEYS", "raw_ts", "with_columns", "get",
-           "PO_LINES", "HCM_EMPLOYEE", "GL_BUDGET_BALANCE"]
+           "PO_LINES", "HCM_EMPLOYEE", "GL_BUDGET_BALANCE", "AP_INVOICE_HDR", "GL_BALANCE", "HCM_ASSIGNMENT"]
