@@ -183,10 +183,10 @@ def fold_pages(pages: DataFrame, keys: Sequence[str], page_col: str = "page_no",
     """
     order = F.struct(F.col(page_col), F.col(seq_col))
     others = [c for c in pages.columns if c not in keys]
-    aggs = []
-    for c in others:
-        if c in preserve_null_cols:
-            aggs.append(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c))
-        else:
-            aggs.append(F.max_by(F.col(c), order).alias(c))
-    return pages.groupBy(*keys).agg(*aggs).select(*pages.columns)
+    whole = [c for c in others if c not in preserve_null_cols]
+    # one buffer for the row-replacing columns, one per preserve-NULL column
+    aggs = [F.max_by(F.struct(*[F.col(c) for c in whole]), order).alias("__row")] if whole else []
+    aggs += [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c)
+             for c in others if c in preserve_null_cols]
+    out = pages.groupBy(*keys).agg(*aggs)
+    return out.select(*[F.col(f"__row.{c}").alias(c) if c in whole else F.col(c) for c in pages.columns])

@@ -172,15 +172,14 @@ def merge_job(wh: Warehouse, spec: EntitySpec, job_id: int, file_name: str | Non
         target = wh.final(spec)
         new_final = merged_final(staged, target.read(), spec)
         deduped = dedup(staged, spec)
-        if spec.null_keys == "quarantine":
-            held = deduped.where(null_key(spec))
-            n_held = held.count()
-            if n_held:
-                held.write.mode("overwrite").partitionBy("job_id").parquet(wh.quarantine_path(spec))
-                wh.load_log().append(spec.name, file_name, "QUARANTINE", "WARNING", rows_processed=n_held,
-                                     error_message=f"{n_held} rows with a NULL key part held back")
-            deduped = deduped.where(~null_key(spec))
-        merged = deduped.count()
+        quarantine = spec.null_keys == "quarantine"
+        nk = null_key(spec) if quarantine else F.lit(False)
+        c = deduped.agg(F.count_if(nk).alias("held"), F.count_if(~nk).alias("merged")).first()
+        merged, n_held = int(c["merged"]), int(c["held"])
+        if n_held:
+            deduped.where(nk).write.mode("overwrite").partitionBy("job_id").parquet(wh.quarantine_path(spec))
+            wh.load_log().append(spec.name, file_name, "QUARANTINE", "WARNING", rows_processed=n_held,
+                                 error_message=f"{n_held} rows with a NULL key part held back")
         target.publish(new_final)
         drop_staging(wh, spec, job_id)
         jobs.append(job_id, "MERGED", rows_merged=merged)
