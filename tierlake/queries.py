@@ -293,19 +293,20 @@ def q_semi_join(spark, sf_dir):
 
 
 @register("anti_join", """
-SELECT o_orderkey, o_custkey FROM orders o
+SELECT o_orderkey, CAST(o_custkey AS DOUBLE) AS o_custkey FROM orders o
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)
 UNION ALL
-SELECT c_custkey AS o_orderkey, NULL AS o_custkey FROM customer c
+SELECT c_custkey AS o_orderkey, CAST(NULL AS DOUBLE) AS o_custkey FROM customer c
 WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)
 """)
 def q_anti_join(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
     li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"))
-    no_lines = o.select("o_orderkey", "o_custkey").join(li, ["o_orderkey"], "left_anti")
+    no_lines = o.select("o_orderkey", F.col("o_custkey").cast("double").alias("o_custkey")) \
+        .join(li, ["o_orderkey"], "left_anti")
     no_orders = c.join(o.select("o_custkey"), ["o_custkey"], "left_anti") \
-        .select(F.col("o_custkey").alias("o_orderkey"), F.lit(None).cast("bigint").alias("o_custkey"))
+        .select(F.col("o_custkey").alias("o_orderkey"), F.lit(None).cast("double").alias("o_custkey"))
     return no_lines.unionByName(no_orders)
 
 
@@ -595,8 +596,8 @@ src AS (
   UNION ALL SELECT 'NATION', (SELECT count(*) FROM nation)
   UNION ALL SELECT 'USER', (SELECT count(DISTINCT user_id) FROM events))
 SELECT l.entity_name, 'BICC' AS source_type, l.local_table_name,
-  CAST(l.local_count AS BIGINT) AS local_count, CAST(s.source_count AS BIGINT) AS source_count,
-  CAST(s.source_count - l.local_count AS BIGINT) AS delta,
+  CAST(l.local_count AS DOUBLE) AS local_count, CAST(s.source_count AS DOUBLE) AS source_count,
+  CAST(s.source_count - l.local_count AS DOUBLE) AS delta,
   CASE WHEN s.source_count IS NULL THEN NULL WHEN s.source_count > 0
        THEN CAST(round(abs(s.source_count - l.local_count) * 100.0 / s.source_count, 2) AS DOUBLE) ELSE 0.0 END AS pct_delta,
   CASE WHEN s.source_count IS NULL THEN 'ERROR' WHEN s.source_count = l.local_count THEN 'OK' ELSE 'VARIANCE' END AS status,
@@ -608,7 +609,10 @@ def q_recon_counts(spark, sf_dir):
     names = ["customer", "orders", "part", "supplier", "events", "labels", "documents"]
     tables = {n: table(spark, sf_dir, n) for n in names}
     srcs = recon_sources()
-    return reconcile(srcs, local_counts(srcs, tables), source_count_report(spark, sf_dir))
+    res = reconcile(srcs, local_counts(srcs, tables), source_count_report(spark, sf_dir))
+    # counts are NULL for an ERROR row: emitted as double (exact) so both engines type them alike
+    return res.select(*[F.col(c).cast("double").alias(c) if c in ("local_count", "source_count", "delta")
+                        else F.col(c) for c in res.columns])
 
 
 # --------------------------------------------------------------- F1, F6
@@ -637,8 +641,8 @@ WITH t AS (SELECT l_orderkey, l_linenumber,
   FROM lineitem)
 SELECT l_orderkey, l_linenumber, num_text,
   CAST(TRY_CAST(trim(num_text) AS DECIMAL(38,10)) AS DOUBLE) AS num,
-  CAST(CAST(TRY_CAST(trim(num_text) AS DECIMAL(38,10)) AS DECIMAL(18,0)) AS BIGINT) AS num_id,
-  CAST(CASE WHEN regexp_full_match(trim(num_text), '\\d+') THEN CAST(trim(num_text) AS DECIMAL(38,0)) END AS BIGINT) AS digits
+  CAST(CAST(TRY_CAST(trim(num_text) AS DECIMAL(38,10)) AS DECIMAL(18,0)) AS DOUBLE) AS num_id,
+  CAST(CASE WHEN regexp_full_match(trim(num_text), '\\d+') THEN CAST(trim(num_text) AS DECIMAL(38,0)) END AS DOUBLE) AS digits
 FROM t
 """)
 def q_safe_casts(spark, sf_dir):
@@ -646,8 +650,8 @@ def q_safe_casts(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", _num_text().alias("num_text"))
     return li.select("l_orderkey", "l_linenumber", "num_text",
                      safe_number("num_text").cast("double").alias("num"),
-                     safe_number("num_text", "decimal(18,0)").cast("bigint").alias("num_id"),
-                     digits_only("num_text").cast("bigint").alias("digits"))
+                     safe_number("num_text", "decimal(18,0)").cast("double").alias("num_id"),
+                     digits_only("num_text").cast("double").alias("digits"))
 
 
 # ------------------------------------------------------------ F2-F5
@@ -676,7 +680,7 @@ SELECT event_id, ts_text,
             THEN (epoch_us(ts) % 1000000) * INTERVAL 1 MICROSECOND ELSE INTERVAL 0 SECOND END
        ELSE NULL END AS tolerant_ts,
   CASE WHEN event_type = 'error' THEN CAST(strptime(substr(ts_text, 1, 23), '%Y-%m-%dT%H:%M:%S.%g') AS TIMESTAMP) END AS wall_ts,
-  CASE WHEN event_type = 'error' THEN epoch_us(CAST(ts_text AS TIMESTAMPTZ)) END AS instant_us
+  CASE WHEN event_type = 'error' THEN CAST(epoch_us(CAST(ts_text AS TIMESTAMPTZ)) AS DOUBLE) END AS instant_us
 FROM t
 """)
 def q_iso_casts(spark, sf_dir):
@@ -687,7 +691,7 @@ def q_iso_casts(spark, sf_dir):
         "event_id", "ts_text",
         safe_timestamp("ts_text").alias("tolerant_ts"),
         F.when(off, strip_offset("ts_text")).alias("wall_ts"),
-        F.when(off, F.unix_micros(strict_iso_timestamp("ts_text"))).alias("instant_us"))
+        F.when(off, F.unix_micros(strict_iso_timestamp("ts_text"))).cast("double").alias("instant_us"))
 
 
 # ------------------------------------------------------------ F7, F8
@@ -764,7 +768,7 @@ def event_page_bodies(ev: DataFrame) -> DataFrame:
 WITH p AS (SELECT event_id // {PAGE_SIZE} AS page_no, count(*) AS n FROM events GROUP BY 1),
 e AS (SELECT e.*, e.event_id // {PAGE_SIZE} AS page_no FROM events e)
 SELECT e.page_no, p.n = {PAGE_SIZE} AS has_more, e.event_id, e.user_id, e.event_type,
-       e.event_id * 10 + c.k AS line_id, e.value * c.k AS amount
+       CAST(e.event_id * 10 + c.k AS DOUBLE) AS line_id, e.value * c.k AS amount
 FROM e JOIN p USING (page_no), (VALUES (1), (2)) c(k)
 WHERE e.event_type = 'purchase'
 UNION ALL
@@ -775,7 +779,9 @@ def q_nested_explode(spark, sf_dir):
     from tierlake.sources.json_pages import child_rows, page_items, parse_bodies
     bodies = event_page_bodies(table(spark, sf_dir, "events"))
     items = page_items(parse_bodies(bodies, "body", _item_struct()), drop_null=["event_id"])
-    return child_rows(items, ["page_no", "has_more", "event_id", "user_id", "event_type"], "lines")
+    out = child_rows(items, ["page_no", "has_more", "event_id", "user_id", "event_type"], "lines")
+    # line_id is NULL for items without lines: emitted as double (exact) so both engines type it alike
+    return out.withColumn("line_id", F.col("line_id").cast("double"))
 
 
 def _item_struct():
