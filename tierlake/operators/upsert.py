@@ -190,3 +190,17 @@ def fold_pages(pages: DataFrame, keys: Sequence[str], page_col: str = "page_no",
              for c in others if c in preserve_null_cols]
     out = pages.groupBy(*keys).agg(*aggs)
     return out.select(*[F.col(f"__row.{c}").alias(c) if c in whole else F.col(c) for c in pages.columns])
+
+
+def current_state(events: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Fold state-change events: per key, the latest non-NULL value of each column.
+
+    A later event that leaves a column NULL keeps the earlier value (status
+    updates that do not repeat the counts).  Grouped with map-side partial
+    aggregation, so a key with very many events is combined before the shuffle.
+    """
+    ordering = F.struct(*[F.col(c) for c in order])
+    cols = [c for c in events.columns if c not in keys and c not in order]
+    return events.groupBy(*keys).agg(
+        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), ordering)).alias(c) for c in cols],
+        *[F.max(F.col(c)).alias(c) for c in order])

@@ -64,11 +64,8 @@ class JobLog:
 
     def current(self) -> DataFrame:
         """One row per job: the latest non-NULL value of every column."""
-        ev = self.events()
-        order = F.struct("event_ts", "event_seq")
-        cols = [c for c in ev.columns if c not in ("job_id", "event_seq")]
-        return ev.groupBy("job_id").agg(
-            *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(c) for c in cols])
+        from tierlake.operators.upsert import current_state
+        return current_state(self.events(), ["job_id"], ["event_ts", "event_seq"]).drop("event_seq")
 
 
 class LoadLog:

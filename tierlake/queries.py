@@ -1099,3 +1099,73 @@ def q_load_log_report(spark, sf_dir):
                       "started_ts", "completed_ts",
                       elapsed_seconds("started_ts", "completed_ts").alias("elapsed_secs"),
                       elapsed_seconds_mod_hour("started_ts", "completed_ts").alias("elapsed_secs_mod_hour"))
+
+
+# ------------------------------------------------------------ K8, K9
+# Fixed demo mapping: event types as job state changes.
+JOB_STATUS = {"signup": "LOADING", "view": "STAGED", "click": "STAGED", "purchase": "MERGED", "error": "ERROR"}
+
+
+def job_events(ev: DataFrame) -> DataFrame:
+    """Events as load-job state changes: one job per user, counts only on some events."""
+    st = None
+    for k, v in JOB_STATUS.items():
+        st = F.when(F.col("event_type") == k, F.lit(v)) if st is None else st.when(F.col("event_type") == k, F.lit(v))
+    return ev.select(
+        F.col("user_id").alias("job_id"), st.alias("status"),
+        F.when(F.col("event_type") == "view", F.col("event_id")).alias("rows_loaded"),
+        F.when(F.col("event_type") == "purchase", F.col("value")).alias("rows_merged"),
+        F.when(F.col("event_type") == "error", F.col("props")).alias("error_message"),
+        F.col("ts").alias("event_ts"), F.col("event_id").alias("event_seq"))
+
+
+@register("job_state", """
+WITH e AS (SELECT user_id AS job_id,
+    CASE event_type WHEN 'signup' THEN 'LOADING' WHEN 'view' THEN 'STAGED' WHEN 'click' THEN 'STAGED'
+                    WHEN 'purchase' THEN 'MERGED' WHEN 'error' THEN 'ERROR' END AS status,
+    CASE WHEN event_type = 'view' THEN event_id END AS rows_loaded,
+    CASE WHEN event_type = 'purchase' THEN value END AS rows_merged,
+    CASE WHEN event_type = 'error' THEN props END AS error_message,
+    ts AS event_ts, event_id AS event_seq FROM events)
+SELECT job_id,
+  arg_max(status, {'t': event_ts, 's': event_seq}) FILTER (WHERE status IS NOT NULL) AS status,
+  CAST(arg_max(rows_loaded, {'t': event_ts, 's': event_seq}) FILTER (WHERE rows_loaded IS NOT NULL) AS DOUBLE) AS rows_loaded,
+  arg_max(rows_merged, {'t': event_ts, 's': event_seq}) FILTER (WHERE rows_merged IS NOT NULL) AS rows_merged,
+  arg_max(error_message, {'t': event_ts, 's': event_seq}) FILTER (WHERE error_message IS NOT NULL) AS error_message,
+  max(event_ts) AS event_ts, max(event_seq) AS event_seq
+FROM e GROUP BY job_id
+""")
+def q_job_state(spark, sf_dir):
+    """Current job state = latest non-NULL value per column of its state-change events."""
+    from tierlake.operators.upsert import current_state
+    st = current_state(job_events(table(spark, sf_dir, "events")), ["job_id"], ["event_ts", "event_seq"])
+    # rows_loaded is NULL for jobs never staged: emitted as double (exact) for both engines
+    return st.withColumn("rows_loaded", F.col("rows_loaded").cast("double"))
+
+
+# ------------------------------------------------------ S13, M7, I1
+@register("rest_sync", f"""
+WITH items AS (SELECT CAST(user_id AS VARCHAR) AS resource_key, event_id // {PAGE_SIZE} AS page_no,
+                      event_id AS _seq, event_type, value, ts AS LastUpdateDate FROM events),
+final AS (SELECT resource_key, event_type, value, LastUpdateDate FROM items
+          WHERE LastUpdateDate < TIMESTAMP '{BATCH_CUTOFF}'
+          QUALIFY row_number() OVER (PARTITION BY resource_key ORDER BY page_no DESC, _seq DESC) = 1),
+src AS (SELECT resource_key, event_type, value, LastUpdateDate FROM items
+        WHERE LastUpdateDate > TIMESTAMP '{BATCH_CUTOFF}' - INTERVAL 2 DAY
+        QUALIFY row_number() OVER (PARTITION BY resource_key ORDER BY page_no DESC, _seq DESC) = 1)
+SELECT resource_key, event_type, value, LastUpdateDate FROM final f
+WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.resource_key = f.resource_key)
+UNION ALL SELECT resource_key, event_type, value, LastUpdateDate FROM src
+""")
+def q_rest_sync(spark, sf_dir):
+    """Incremental REST sync: landed pages newer than last sync - 2 days, folded and upserted."""
+    from tierlake.operators.upsert import fold_pages
+    from tierlake.plans.rest_datasets import sync_source
+    ev = table(spark, sf_dir, "events")
+    items = ev.select(F.col("user_id").cast("string").alias("resource_key"),
+                      (F.col("event_id") / F.lit(PAGE_SIZE)).cast("bigint").alias("page_no"),
+                      F.col("event_id").alias("_seq"), "event_type", "value", F.col("ts").alias("LastUpdateDate"))
+    final = fold_pages(items.where(F.col("LastUpdateDate") < _ts(BATCH_CUTOFF)), ["resource_key"]) \
+        .drop("page_no", "_seq").withColumn("row_sync_ts", _ts(BATCH_CUTOFF))
+    out = sync_source(items, final, last_sync=BATCH_CUTOFF, sync_ts=None)
+    return out.select("resource_key", "event_type", "value", "LastUpdateDate")
