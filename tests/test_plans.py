@@ -150,3 +150,45 @@ def test_optional_filter_and_reset(spark, tmp_path):
     assert wh.final(S.PO_LINES).read().count() == 1
     wh.reset([S.PO_LINES])
     assert wh.final(S.PO_LINES).read().count() == 0 and wh.jobs().events().count() == 0
+
+
+def test_dimensions_candidates_phones_content(spark, tmp_path):
+    (tmp_path / "jobs_p1.json").write_text(json.dumps({"items": [
+        {"JobId": 1, "JobName": "Teacher", "JobCode": "T"}, {"JobId": None, "JobName": "x"}], "hasMore": True}))
+    (tmp_path / "jobs_p2.json").write_text(json.dumps({"items": [{"JobId": 1, "JobName": "Teacher II", "JobCode": "T2"}]}))
+    pages = read_pages(spark, str(tmp_path / "jobs_p*.json"), RD.DIM_JOB.item_schema())
+    assert [tuple(r) for r in RD.sync_dataset(pages, RD.DIM_JOB).collect()] == [(1, "Teacher II", "T2")]
+    cand = {"items": [
+        {"CandidateNumber": "C1", "PersonId": 5, "LastName": "Ng", "CandLastModifiedDate": "2026-03-09T18:31:43-05:00",
+         "candidatePhones": [{"PhoneId": 9, "PhoneNumber": "555", "LastUpdateDate": "2026-03-09T18:31:43.123+05:30"},
+                             {"PhoneId": None, "PhoneNumber": "dropped"}]},
+        {"CandidateNumber": "C2", "LastName": "no person"},
+        {"CandidateNumber": "C3", "PersonId": 7, "candidatePhones": []}]}
+    (tmp_path / "candidates_p1.json").write_text(json.dumps(cand))
+    pages = read_pages(spark, str(tmp_path / "candidates_p1.json"), RD.CANDIDATES.item_schema())
+    c = {r.candidate_number: r for r in RD.page_dataset(pages, RD.CANDIDATES).collect()}
+    assert set(c) == {"C1", "C3"} and c["C1"].cand_last_modified_date == dt.datetime(2026, 3, 9, 23, 31, 43)
+    pages = read_pages(spark, str(tmp_path / "candidates_p1.json"), RD.CANDIDATE_PHONES.item_schema())
+    ph = RD.page_dataset(pages, RD.CANDIDATE_PHONES).collect()
+    assert [(r.phone_id, r.person_id, r.last_update_date) for r in ph] == \
+        [(9, 5, dt.datetime(2026, 3, 9, 18, 31, 43, 123000))]
+    content = {"items": [
+        {"ItemDescriptionId": None, "Name": "Offer", "links": [{"rel": "canonical", "href": "https://h/items/42"}]},
+        {"ItemDescriptionId": 7, "Name": "Reject", "links": []}]}
+    (tmp_path / "content_p1.json").write_text(json.dumps(content))
+    from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
+    item = StructType([StructField("ItemDescriptionId", LongType()), StructField("Name", StringType()),
+                       StructField("DescriptionCode", StringType()), StructField("DescriptionTypeCode", StringType()),
+                       StructField("VisibilityCode", StringType()),
+                       StructField("links", ArrayType(StructType([StructField("rel", StringType()),
+                                                                  StructField("href", StringType())])))])
+    pages = read_pages(spark, str(tmp_path / "content_p1.json"), item)
+    final = spark.createDataFrame([(7, "old", None, None, None, None, "keep me"), (8, "other", None, None, None, None, "t8")],
+                                  "item_description_id bigint, name string, description_code string, "
+                                  "description_type_code string, visibility_code string, canonical_href string, "
+                                  "txt_description string")
+    bodies = spark.createDataFrame([(42, 200, "Dear ${CandidateFirstName}"), (7, 500, "error page"), (99, 200, "orphan")],
+                                   "item_description_id bigint, http_status int, body string")
+    out = {r.item_description_id: (r.name, r.txt_description) for r in
+           RD.content_library_sync(pages, bodies, final).collect()}
+    assert out == {7: ("Reject", "keep me"), 8: ("other", "t8"), 42: ("Offer", "Dear ${CandidateFirstName}")}

@@ -10,6 +10,7 @@ value); published jobs are an inner flatten keyed by (requisition, visibility).
 from __future__ import annotations
 
 import datetime as _dt
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -144,3 +145,137 @@ def zero_merge_warning(merged: int, payload: str | None, limit: int = 3800) -> s
     if merged:
         return None
     return "0 rows merged; payload starts: " + (payload or "")[:limit]
+
+
+# --------------------------------------------------------------------------
+# Generic page datasets: flat items (dimensions, candidates) and child arrays.
+# --------------------------------------------------------------------------
+@dataclass(frozen=True)
+class PageDataset:
+    """A table loaded from landed pages.
+
+    ``fields``: (JSON field, column, kind) with kind ``bigint`` | ``double`` |
+    ``string`` | ``iso`` (offset text -> UTC instant as timestamp_ntz) |
+    ``iso_wall`` (offset text -> its local wall clock).  With ``child`` the
+    rows come from that nested array (inner: rows need ``require``);
+    ``parent`` fields are carried from the item.
+    """
+    name: str
+    fields: tuple
+    key: tuple[str, ...]
+    require: tuple[str, ...] = ()
+    child: str | None = None
+    parent: tuple = ()
+
+    def item_schema(self) -> StructType:
+        from pyspark.sql.types import DoubleType
+        t = {"bigint": LongType(), "double": DoubleType()}
+        own = [StructField(j, t.get(k, StringType())) for j, _, k in self.fields]
+        if self.child is None:
+            return StructType(own)
+        par = [StructField(j, t.get(k, StringType())) for j, _, k in self.parent]
+        return StructType(par + [StructField(self.child, ArrayType(StructType(own)))])
+
+
+def _kind(col: str, kind: str):
+    from tierlake.functions.casts import strip_offset
+    if kind == "iso":
+        return _iso_utc(F.col(col))
+    if kind == "iso_wall":
+        return strip_offset(F.col(col))
+    return F.col(col)
+
+
+def page_dataset(pages: DataFrame, ds: PageDataset) -> DataFrame:
+    """Folded rows of one dataset over all landed pages (later pages win)."""
+    items = page_items(pages).withColumn("_seq", F.col("_pos"))
+    if ds.child is None:
+        rows = items.select("page_no", "_seq", *[_kind(j, k).alias(c) for j, c, k in ds.fields])
+    else:
+        x = items.select("page_no", "_pos", *[F.col(j).alias(c) for j, c, _ in ds.parent],
+                         F.posexplode_outer(ds.child).alias("_cpos", "__c"))
+        rows = x.select("page_no", F.struct("_pos", F.coalesce(F.col("_cpos"), F.lit(0))).alias("_seq"),
+                        *[c for _, c, _ in ds.parent],
+                        *[_kind(f"__c.{j}", k).alias(c) for j, c, k in ds.fields])
+    for c in ds.require:
+        rows = rows.where(F.col(c).isNotNull())
+    return fold_pages(rows, list(ds.key), "page_no", "_seq").drop("page_no", "_seq")
+
+
+# JSON fields of the dimension, candidate and phone payloads.
+DIM_JOB = PageDataset("dim_job_r", (("JobId", "job_id", "bigint"), ("JobName", "job_name", "string"),
+                                    ("JobCode", "job_code", "string")), ("job_id",), ("job_id",))
+DIM_GRADE = PageDataset("dim_grade_r", (("GradeId", "grade_id", "bigint"), ("Name", "grade_name", "string"),
+                                        ("GradeCode", "grade_code", "string")), ("grade_id",), ("grade_id",))
+DIM_LOCATION = PageDataset("dim_location_r", (("LocationId", "location_id", "bigint"),
+                                              ("LocationName", "location_name", "string"),
+                                              ("LocationCode", "location_code", "string")),
+                           ("location_id",), ("location_id",))
+DIM_DEPARTMENT = PageDataset("dim_department_r", (
+    ("OrganizationId", "department_id", "bigint"), ("Name", "department_name", "string"),
+    ("ActiveStatus", "active_status", "string"), ("LocationId", "location_id", "bigint"),
+    ("LocationCode", "location_code", "string"), ("LocationName", "location_name", "string")),
+    ("department_id",), ("department_id",))
+CANDIDATES = PageDataset("recruiting_candidates_r", (
+    ("CandidateNumber", "candidate_number", "string"), ("PreferredLanguage", "preferred_language", "string"),
+    ("LastName", "last_name", "string"), ("MiddleNames", "middle_names", "string"),
+    ("FirstName", "first_name", "string"), ("Title", "title", "string"), ("Suffix", "suffix", "string"),
+    ("PreNameAdjunct", "pre_name_adjunct", "string"), ("KnownAs", "known_as", "string"),
+    ("PreviousLastName", "previous_last_name", "string"), ("Honors", "honors", "string"),
+    ("MilitaryRank", "military_rank", "string"), ("FullName", "full_name", "string"),
+    ("DisplayName", "display_name", "string"), ("ListName", "list_name", "string"),
+    ("Email", "email", "string"), ("CampaignOptIn", "campaign_opt_in", "string"),
+    ("SourceMedium", "source_medium", "string"), ("SourceName", "source_name", "string"),
+    ("CandidateType", "candidate_type", "string"), ("PersonId", "person_id", "bigint"),
+    ("CreatedBy", "created_by", "string"), ("CreationDate", "creation_date", "iso"),
+    ("LastUpdatedBy", "last_updated_by", "string"), ("LastUpdateDate", "last_update_date", "iso"),
+    ("CandLastModifiedDate", "cand_last_modified_date", "iso"),
+    ("PreferredTimezone", "preferred_timezone", "string")),
+    ("candidate_number",), ("person_id", "candidate_number"))
+CANDIDATE_PHONES = PageDataset("candidate_phones_r", (
+    ("PhoneId", "phone_id", "bigint"), ("PhoneType", "phone_type", "string"),
+    ("CountryCodeNumber", "country_code_number", "string"), ("AreaCode", "area_code", "string"),
+    ("PhoneNumber", "phone_number", "string"), ("Extension", "extension", "string"),
+    ("LegislationCode", "legislation_code", "string"), ("PrimaryFlag", "primary_flag", "string"),
+    ("CreatedBy", "created_by", "string"), ("CreationDate", "creation_date", "iso_wall"),
+    ("LastUpdatedBy", "last_updated_by", "string"), ("LastUpdateDate", "last_update_date", "iso_wall")),
+    ("phone_id",), ("phone_id",), child="candidatePhones", parent=(("PersonId", "person_id", "bigint"),))
+
+
+def sync_dataset(pages: DataFrame, ds: PageDataset, final: DataFrame | None = None) -> DataFrame:
+    """Fold the pages of one dataset and upsert them into ``final`` (M1/M7 + M8)."""
+    src = page_dataset(pages, ds)
+    if final is None:
+        return src
+    return upsert(final, src.select(*final.columns), list(ds.key))
+
+
+def content_library_sync(pages: DataFrame, bodies: DataFrame | None, final: DataFrame) -> DataFrame:
+    """Content items: metadata merged, text bodies kept unless a new body arrived (M4 + P21).
+
+    ``pages``: items with ItemDescriptionId, Name, DescriptionCode,
+    DescriptionTypeCode, VisibilityCode and ``links`` (rel, href); the id
+    comes from the canonical link when absent.  ``bodies``: landed
+    ``item_description_id, http_status, body`` of the text requests.
+    """
+    from tierlake.functions.casts import http_body, url_tail_id
+    from tierlake.operators.upsert import merge_columns
+    from tierlake.sources.json_pages import canonical_link
+    items = page_items(pages).withColumn("_seq", F.col("_pos"))
+    rows = items.select(
+        "page_no", "_seq",
+        F.coalesce(F.col("ItemDescriptionId"), url_tail_id(canonical_link("links"))).alias("item_description_id"),
+        F.col("Name").alias("name"), F.col("DescriptionCode").alias("description_code"),
+        F.col("DescriptionTypeCode").alias("description_type_code"), F.col("VisibilityCode").alias("visibility_code"),
+        canonical_link("links").alias("canonical_href")).where(F.col("item_description_id").isNotNull())
+    meta = fold_pages(rows, ["item_description_id"], "page_no", "_seq").drop("page_no", "_seq")
+    upd = ["name", "description_code", "description_type_code", "visibility_code", "canonical_href"]
+    out = merge_columns(final, meta, ["item_description_id"], update_cols=upd)
+    if bodies is not None:
+        texts = bodies.select("item_description_id",
+                              http_body("http_status", "body").alias("txt_description"))
+        # bodies only fill items that exist; a failed request (NULL body) keeps the old text
+        texts = texts.where(F.col("txt_description").isNotNull()) \
+            .join(out.select("item_description_id"), "item_description_id", "left_semi")
+        out = merge_columns(out, texts, ["item_description_id"], update_cols=["txt_description"])
+    return out

@@ -101,4 +101,4 @@ def single_object(df: DataFrame, body_col: str, schema: StructType) -> DataFrame
 def canonical_link(links: Column | str, rel: str = "canonical") -> Column:
     """``href`` of the first link with the given ``rel`` (higher-order filter)."""
     lk = F.col(links) if isinstance(links, str) else links
-    return F.element_at(F.filter(lk, lambda x: x["rel"] == F.lit(rel)), 1)["href"]
+    return F.try_element_at(F.filter(lk, lambda x: x["rel"] == F.lit(rel)), F.lit(1))["href"]
