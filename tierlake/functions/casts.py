@@ -148,8 +148,10 @@ def pacific_day_window(now: ColumnOrName) -> tuple[Column, Column]:
     ``now`` is a UTC wall clock (timestamp_ntz or timestamp).
     """
     n = _c(now).cast("timestamp_ntz")
-    start = F.to_utc_timestamp(F.date_trunc("day", F.from_utc_timestamp(n, PACIFIC)), PACIFIC)
-    start = start.cast("timestamp_ntz")
+    # wall-clock conversions between zones: independent of the session time zone
+    local = F.convert_timezone(F.lit("UTC"), F.lit(PACIFIC), n)
+    midnight = F.date_trunc("day", local).cast("timestamp_ntz")
+    start = F.convert_timezone(F.lit(PACIFIC), F.lit("UTC"), midnight)
     return start, start + F.expr("INTERVAL 24 HOURS")
 
 
@@ -168,15 +170,12 @@ def pct_delta(delta: ColumnOrName, base: ColumnOrName) -> Column:
 
 def elapsed_seconds(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Exact elapsed seconds (1 decimal); NULL while running."""
-    s = F.unix_micros(_c(start).cast("timestamp"))
-    e = F.unix_micros(_c(end).cast("timestamp"))
-    return F.round((e - s) / F.lit(1_000_000), 1)
+    return F.round(F.timestamp_diff("MICROSECOND", _c(start), _c(end)) / F.lit(1_000_000), 1)
 
 
 def elapsed_seconds_mod_hour(start: ColumnOrName, end: ColumnOrName) -> Column:
     """Parity form of the load report: SECOND + MINUTE*60 (drops hours/days)."""
-    secs = (F.unix_micros(_c(end).cast("timestamp")) - F.unix_micros(_c(start).cast("timestamp"))) \
-        / F.lit(1_000_000)
+    secs = F.timestamp_diff("MICROSECOND", _c(start), _c(end)) / F.lit(1_000_000)
     return F.round(F.pmod(secs, F.lit(3600)), 1)
 
 

@@ -1091,8 +1091,7 @@ def q_load_log_report(spark, sf_dir):
     key = None
     for k, v in REPORT_KEYS.items():
         key = F.when(F.col("event_type") == k, F.lit(v)) if key is None else key.when(F.col("event_type") == k, F.lit(v))
-    done = F.timestamp_micros(F.unix_micros(F.col("ts").cast("timestamp"))
-                              + F.round(F.col("value") * 60 * 1_000_000).cast("bigint")).cast("timestamp_ntz")
+    done = F.timestamp_add("MICROSECOND", F.round(F.col("value") * 60 * 1_000_000).cast("bigint"), F.col("ts"))
     log = ev.select(F.col("event_id").alias("log_id"), key.alias("report_key"), F.col("ts").alias("started_ts"),
                     done.alias("completed_ts"))
     return log.select("log_id", "report_key", report_label("report_key").alias("report_label"),
