@@ -128,6 +128,8 @@ def dense_sequence(df: DataFrame, order: Sequence[str], start: Column | int = 0,
     (partition id in the high bits, position in the low 33 bits), plus the
     running total of the per-range counts.  The counts table has one row per
     range, so broadcasting it is bounded by the partition count, not the data.
+    ``order`` should be a total order (unique); among ties the ids are still
+    dense and unique but their assignment is arbitrary.
     """
     spark = df.sparkSession
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
