@@ -44,7 +44,7 @@ def test_file_stream_replay_is_idempotent(spark, tmp_path):
     ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
     ev.repartition(4).write.parquet(str(tmp_path / "inbox"))
     order = [F.col("ts").desc_nulls_last(), F.col("event_id").asc()]
-    target = SnapshotTable(spark, str(tmp_path / "final"), schema=ev.schema)
+    target = SnapshotTable(spark, str(tmp_path / "final"), schema=ev.schema, keys=["user_id"], max_deltas=3)
     ingest_files(spark, str(tmp_path / "inbox"), ev.schema, target, ["user_id"], order,
                  checkpoint=str(tmp_path / "ck"), max_files_per_trigger=1)
     v1 = target.current_version()

@@ -150,7 +150,7 @@ def dense_sequence(df: DataFrame, order: Sequence[str], start: Column | int = 0,
 
 
 def upsert_surrogate(final: DataFrame, source: DataFrame, keys: Sequence[str],
-                     id_col: str = "id", seq_col: str = "_seq") -> DataFrame:
+                     id_col: str = "id", seq_col: str = "_seq", max_id: Column | None = None) -> DataFrame:
     """M6: final has its own identity; the business key is only unique.
 
     Matched rows keep their ``id`` and take the source values; new rows (and
@@ -166,7 +166,8 @@ def upsert_surrogate(final: DataFrame, source: DataFrame, keys: Sequence[str],
     kept = final.join(src.select(*keys), list(keys), "left_anti")
     new = src.join(final.select(*keys), list(keys), "left_anti")
     # max(id) is a scalar subquery: evaluated once, no join
-    max_id = final.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint")).scalar()
+    if max_id is None:
+        max_id = final.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint")).scalar()
     order = [*keys, *([seq_col] if seq_col in src.columns else [])]
     numbered = dense_sequence(new, order, start=max_id, name=id_col) \
         .withColumn(id_col, F.col(id_col).cast(final.schema[id_col].dataType))

@@ -88,11 +88,34 @@ def merged_final(staged: DataFrame, final: DataFrame, spec: EntitySpec) -> DataF
     return upsert(final, src.select(*final.columns), list(spec.keys))
 
 
+def delta_rows(staged: DataFrame, current: DataFrame, spec: EntitySpec) -> DataFrame:
+    """The complete new values of every row a merge changes or inserts.
+
+    Only final rows whose key occurs in the batch take part (semi join on
+    the batch keys), so the work and the write follow the batch size.
+    """
+    from tierlake.operators.upsert import merge_columns
+    src = dedup(staged, spec)
+    if spec.null_keys == "quarantine":
+        src = src.where(~null_key(spec))
+    touched = current.join(src.select(*spec.keys), list(spec.keys), "left_semi")
+    if spec.surrogate_id:
+        data_cols = [c for c in current.columns if c != spec.surrogate_id]
+        max_id = current.agg(F.coalesce(F.max(spec.surrogate_id), F.lit(0)).cast("bigint")).scalar()
+        return upsert_surrogate(touched, src.select(*data_cols, "_seq"), list(spec.keys), spec.surrogate_id,
+                                "_seq", max_id=max_id)
+    if spec.update is not None:
+        return merge_columns(touched, src, list(spec.keys), update_cols=list(spec.update))
+    return src.select(*current.columns)
+
+
 @dataclass
 class Warehouse:
     """Where one deployment keeps its tiers."""
     spark: SparkSession
     root: str
+    merge_on_read: bool = True       # merges write deltas; False rewrites the final each time
+    max_deltas: int = 8
 
     def staging_path(self, spec: EntitySpec) -> str:
         return f"{self.root}/staging/{spec.name.lower()}"
@@ -106,7 +129,8 @@ class Warehouse:
         fields = [f for f in sample.schema.fields if f.name not in ("_seq", "job_id")]
         if spec.surrogate_id:
             fields = [StructField(spec.surrogate_id, LongType())] + fields
-        return SnapshotTable(self.spark, f"{self.root}/final/{spec.name.lower()}", StructType(fields))
+        return SnapshotTable(self.spark, f"{self.root}/final/{spec.name.lower()}", StructType(fields),
+                             keys=spec.keys, max_deltas=self.max_deltas)
 
     def staging_schema(self, spec: EntitySpec):
         empty = self.spark.createDataFrame([], ",".join(f"`{c}` string" for c in spec.landing_columns()))
@@ -170,7 +194,6 @@ def merge_job(wh: Warehouse, spec: EntitySpec, job_id: int, file_name: str | Non
     try:
         staged = wh.staged(spec, job_id)
         target = wh.final(spec)
-        new_final = merged_final(staged, target.read(), spec)
         deduped = dedup(staged, spec)
         quarantine = spec.null_keys == "quarantine"
         nk = null_key(spec) if quarantine else F.lit(False)
@@ -180,7 +203,10 @@ def merge_job(wh: Warehouse, spec: EntitySpec, job_id: int, file_name: str | Non
             deduped.where(nk).write.mode("overwrite").partitionBy("job_id").parquet(wh.quarantine_path(spec))
             wh.load_log().append(spec.name, file_name, "QUARANTINE", "WARNING", rows_processed=n_held,
                                  error_message=f"{n_held} rows with a NULL key part held back")
-        target.publish(new_final)
+        if wh.merge_on_read:
+            target.publish_delta(delta_rows(staged, target.read(), spec))
+        else:
+            target.publish(merged_final(staged, target.read(), spec))
         drop_staging(wh, spec, job_id)
         jobs.append(job_id, "MERGED", rows_merged=merged)
         wh.load_log().append(spec.name, file_name, "MERGE", "SUCCESS", rows_processed=merged, rows_inserted=merged)

@@ -1012,7 +1012,7 @@ def q_file_stream(spark, sf_dir):
     root = work_path(spark, "stream", unique=True)
     ev = table(spark, sf_dir, "events")
     ev.repartition(8).write.mode("overwrite").parquet(f"{root}/inbox")
-    target = SnapshotTable(spark, f"{root}/final", schema=ev.schema)
+    target = SnapshotTable(spark, f"{root}/final", schema=ev.schema, keys=["user_id"])
     ingest_files(spark, f"{root}/inbox", ev.schema, target, ["user_id"], _event_order(),
                  checkpoint=f"{root}/_checkpoint", max_files_per_trigger=3)
     return target.read()

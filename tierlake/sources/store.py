@@ -1,50 +1,94 @@
 """Versioned snapshot tables: atomic publish without a table format.
 
 A table is a folder of immutable versions ``v=000001/…`` plus a pointer file
-``_CURRENT`` naming the live version.  Writers build the next version from
-the current one (never overwriting the path being read), then switch the
-pointer.  Readers always see a complete version.  Data operations are plain
-DataFrame writes; only the pointer is a small driver-side file.
+``_CURRENT``.  The pointer names a *base* version and, for keyed tables, an
+ordered list of *delta* versions (merge-on-read):
+
+* ``publish(df)`` writes a complete new base (copy-on-write; full refresh).
+* ``publish_delta(rows)`` writes only the rows a merge changed or inserted
+  (their complete new values) - the write is proportional to the batch,
+  not to the table.
+* ``read()`` = base rows whose key has no delta row (anti join on the delta
+  keys, which are small and broadcast by the optimizer's size check, so the
+  base is scanned without an exchange) plus the latest delta row per key.
+* ``compact()`` folds the deltas into a new base; it runs automatically once
+  ``max_deltas`` deltas exist.
+
+Writers never overwrite a path being read, readers always see a complete
+state, and only the pointer is a small driver-side file.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tierlake.sources import files
 
 POINTER = "_CURRENT"
+DELTA_SEQ = "__delta_seq"
 
 
 class SnapshotTable:
-    def __init__(self, spark: SparkSession, root: str, schema: StructType | None = None):
+    def __init__(self, spark: SparkSession, root: str, schema: StructType | None = None,
+                 keys: Sequence[str] | None = None, max_deltas: int = 8):
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
+        self.keys = list(keys) if keys else None
+        self.max_deltas = max_deltas
 
     # -- state -----------------------------------------------------------
-    def current_version(self) -> int | None:
+    def state(self) -> dict | None:
         p = f"{self.root}/{POINTER}"
         if not files.exists(p):
             return None
-        return int(json.loads(files.read_text(p))["version"])
+        st = json.loads(files.read_text(p))
+        st.setdefault("base", st["version"])
+        st.setdefault("deltas", [])
+        return st
+
+    def current_version(self) -> int | None:
+        st = self.state()
+        return None if st is None else int(st["version"])
 
     def path(self, version: int) -> str:
         return f"{self.root}/v={version:06d}"
 
+    def _empty(self) -> DataFrame:
+        if self.schema is None:
+            raise FileNotFoundError(f"{self.root} has no published version")
+        return self.spark.createDataFrame([], self.schema)
+
     def read(self) -> DataFrame:
-        v = self.current_version()
-        if v is None:
-            if self.schema is None:
-                raise FileNotFoundError(f"{self.root} has no published version")
-            return self.spark.createDataFrame([], self.schema)
-        df = self.spark.read.parquet(self.path(v))
-        return df
+        st = self.state()
+        if st is None:
+            return self._empty()
+        base = self.spark.read.parquet(self.path(st["base"])) if st["base"] is not None else self._empty()
+        if not st["deltas"]:
+            return base
+        cols = base.columns
+        deltas = reduce(lambda a, b: a.unionByName(b), [
+            self.spark.read.parquet(self.path(v)).select(*cols).withColumn(DELTA_SEQ, F.lit(v))
+            for v in st["deltas"]])
+        from tierlake.operators.dedup import latest_per_key
+        nn = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in self.keys])
+        keyed = deltas.where(nn)
+        latest = latest_per_key(keyed, self.keys, [F.col(DELTA_SEQ).desc()]).drop(DELTA_SEQ)
+        unkeyed = deltas.where(~nn).drop(DELTA_SEQ)          # NULL keys never replace anything
+        kept = base.join(keyed.select(*self.keys), self.keys, "left_anti").select(*cols)
+        return kept.unionByName(latest.select(*cols)).unionByName(unkeyed.select(*cols))
+
+    def _write_pointer(self, st: dict) -> None:
+        files.write_text_atomic(f"{self.root}/{POINTER}", json.dumps(st))
 
     # -- writes ----------------------------------------------------------
-    def publish(self, df: DataFrame, version: int | None = None, partition_by: list[str] | None = None) -> int:
-        """Write ``df`` as a new version and switch the pointer to it.
+    def publish(self, df: DataFrame, version: int | None = None, partition_by: list[str] | None = None,
+                tag=None) -> int:
+        """Write ``df`` as a complete new base and switch the pointer to it.
 
         ``version`` defaults to current + 1; passing a fixed number (e.g. a
         stream's batch id) makes a retried write idempotent.
@@ -57,11 +101,41 @@ class SnapshotTable:
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.parquet(self.path(v))
-        files.write_text_atomic(f"{self.root}/{POINTER}", json.dumps({"version": v}))
+        self._write_pointer({"version": v, "base": v, "deltas": [], "tag": tag})
         if self.schema is None:
             self.schema = df.schema
         return v
 
+    def publish_delta(self, rows: DataFrame, tag=None) -> int:
+        """Record the new values of changed and inserted rows (merge-on-read).
+
+        ``rows`` must carry every column and at most one row per non-NULL key.
+        ``tag`` (e.g. a stream batch id) is kept in the pointer so a replayed
+        batch can be recognised.
+        """
+        if not self.keys:
+            raise ValueError("publish_delta needs a keyed table")
+        st = self.state()
+        if st is None:
+            self.publish(self._empty())
+            st = self.state()
+        v = int(st["version"]) + 1
+        cols = self.schema.fieldNames() if self.schema is not None else self.read().columns
+        rows.select(*cols).write.mode("overwrite").parquet(self.path(v))
+        self._write_pointer({"version": v, "base": st["base"], "deltas": [*st["deltas"], v], "tag": tag})
+        if len(st["deltas"]) + 1 >= self.max_deltas:
+            self.compact(tag=tag)
+        return v
+
+    def compact(self, tag=None) -> int:
+        """Fold base and deltas into a new base (one full rewrite)."""
+        st = self.state()
+        return self.publish(self.read(), tag=tag if tag is not None else (st or {}).get("tag"))
+
+    def last_tag(self):
+        st = self.state()
+        return None if st is None else st.get("tag")
+
     def truncate(self) -> int:
         """Publish an empty version of the same schema (reset, K10)."""
         schema = self.schema or self.read().schema

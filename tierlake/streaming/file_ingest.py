@@ -24,11 +24,16 @@ from tierlake.sources.store import SnapshotTable
 def upsert_batch(target: SnapshotTable, keys: Sequence[str], order: Sequence[Column]):
     """``foreachBatch`` function: dedup the batch, upsert, publish version batch_id+1."""
     def run(batch: DataFrame, batch_id: int) -> None:
-        if target.current_version() == batch_id + 1:
+        if target.last_tag() == batch_id:
             return                                    # replay of a published batch
         dedup = latest_per_key(batch, keys, order)
-        new = upsert_newest(target.read(), dedup, keys, order)
-        target.publish(new, version=batch_id + 1)
+        current = target.read()
+        if target.keys:
+            # merge-on-read: only keys of this batch are compared and written
+            touched = current.join(dedup.select(*keys), list(keys), "left_semi")
+            target.publish_delta(upsert_newest(touched, dedup, keys, order), tag=batch_id)
+        else:
+            target.publish(upsert_newest(current, dedup, keys, order), tag=batch_id)
     return run
 
 
