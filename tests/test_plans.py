@@ -192,3 +192,22 @@ def test_dimensions_candidates_phones_content(spark, tmp_path):
     out = {r.item_description_id: (r.name, r.txt_description) for r in
            RD.content_library_sync(pages, bodies, final).collect()}
     assert out == {7: ("Reject", "keep me"), 8: ("other", "t8"), 42: ("Offer", "Dear ${CandidateFirstName}")}
+
+
+def test_isolated_sources_and_report_log(spark, tmp_path):
+    calls = []
+
+    def boom():
+        raise ValueError("bad page")
+    with pytest.raises(RD.SyncErrors) as ei:
+        RD.run_isolated([("a", lambda: calls.append("a") or 1), ("b", boom), ("c", lambda: calls.append("c") or 3)],
+                        on_error=lambda n, e: calls.append(f"err:{n}"))
+    assert calls == ["a", "err:b", "c"] and "b: bad page" in str(ei.value)
+    from tierlake.plans.joblog import REPORT_STATUSES, JobLog
+    log = JobLog(spark, str(tmp_path / "bip"), statuses=REPORT_STATUSES)
+    log.append(1, "RUNNING", load_type="GALLUP", rows_loaded=10)
+    log.append(1, "SUCCESS", rows_merged=8)
+    cur = log.current().first()
+    assert (cur.status, cur.rows_loaded, cur.rows_merged) == ("SUCCESS", 10, 8)
+    with pytest.raises(ValueError):
+        log.append(2, "MERGED")

@@ -29,11 +29,20 @@ def _now():
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
+REPORT_STATUSES = ("RUNNING", "SUCCESS", "ERROR")
+
+
 class JobLog:
-    """Job events under ``root/events``; current state via :meth:`current`."""
+    """Job events under ``root/events``; current state via :meth:`current`.
 
-    def __init__(self, spark: SparkSession, root: str):
+    Also serves the two-phase report-load log: append RUNNING at the start,
+    SUCCESS/ERROR with counts at the end (``statuses=REPORT_STATUSES``); a
+    count left NULL by the second event keeps the first event's value.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, statuses: tuple[str, ...] = STATUSES):
         self.spark, self.root = spark, root.rstrip("/")
+        self.statuses = statuses
         self._seq = 0
 
     def _path(self) -> str:
@@ -49,7 +58,7 @@ class JobLog:
         return (row[0] or 0) + 1
 
     def append(self, job_id: int, status: str, **cols) -> None:
-        if status not in STATUSES:
+        if status not in self.statuses:
             raise ValueError(status)
         self._seq += 1
         err = cols.get("error_message")

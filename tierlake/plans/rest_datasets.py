@@ -279,3 +279,26 @@ def content_library_sync(pages: DataFrame, bodies: DataFrame | None, final: Data
             .join(out.select("item_description_id"), "item_description_id", "left_semi")
         out = merge_columns(out, texts, ["item_description_id"], update_cols=["txt_description"])
     return out
+
+
+class SyncErrors(RuntimeError):
+    """Summary of the sources that failed in one run."""
+
+
+def run_isolated(tasks, on_error=None) -> dict:
+    """Run each ``(name, callable)``; a failure does not stop the others (I4).
+
+    Returns ``{name: result}`` of the successful ones and raises one
+    :class:`SyncErrors` listing every failure at the end.
+    """
+    done, failed = {}, []
+    for name, fn in tasks:
+        try:
+            done[name] = fn()
+        except Exception as e:  # noqa: BLE001 - isolation is the point
+            failed.append(f"{name}: {e}")
+            if on_error is not None:
+                on_error(name, e)
+    if failed:
+        raise SyncErrors(f"{len(failed)} source(s) failed: " + "; ".join(failed))
+    return done
