@@ -49,12 +49,15 @@ def since_watermark(source: DataFrame, target: DataFrame, ts_col: str,
                     overlap_days: int = OVERLAP_DAYS) -> DataFrame:
     """Rows of ``source`` newer than ``max(target.ts) - overlap`` (full load if target is empty).
 
-    The watermark is a scalar subquery: computed once, then compared as a
-    constant, and pushed into the source scan as a filter (row groups below
-    the watermark are skipped).
+    The watermark is one value: it is computed first (a single small
+    aggregate) and applied as a literal, so the filter reaches the source
+    scan (row-group skipping, partition pruning).  An empty target means no
+    filter at all.
     """
-    wm = high_watermark(target, ts_col, overlap_days).select("watermark").scalar()
-    return source.where(wm.isNull() | (F.col(ts_col) > wm))
+    wm = high_watermark(target, ts_col, overlap_days).first()["watermark"]
+    if wm is None:
+        return source
+    return source.where(F.col(ts_col) > F.lit(wm).cast(source.schema[ts_col].dataType))
 
 
 def sync_mode(sync_type: str | None, date_field: str | None) -> tuple[str, str | None]:
