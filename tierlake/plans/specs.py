@@ -296,6 +296,112 @@ HCM_ASSIGNMENT = EntitySpec(
     doc="Two order columns; latest-change flag filtered before dedup.",
 )
 
+# GL code combination segments (name, landing column, width).
+GL_SEGMENTS = (("fund", "CODECOMBINATIONSEGMENT1", 4), ("location", "CODECOMBINATIONSEGMENT2", 3),
+               ("function1", "CODECOMBINATIONSEGMENT3", 4), ("grant_code", "CODECOMBINATIONSEGMENT4", 3),
+               ("initiative", "CODECOMBINATIONSEGMENT5", 3), ("account", "CODECOMBINATIONSEGMENT6", 7),
+               ("activity", "CODECOMBINATIONSEGMENT7", 4), ("interfund", "CODECOMBINATIONSEGMENT8", 4),
+               ("future1", "CODECOMBINATIONSEGMENT9", 5))
+
+GL_CODE_COMB = EntitySpec(
+    name="GL_CODE_COMB", keys=("code_combination_id",), order=(("last_update_date_ts", "desc"),),
+    not_null=("code_combination_id",),
+    columns=(
+        Col("code_combination_id", "CODECOMBINATIONCODECOMBINATIONID", "num:bigint"),
+        Col("chart_of_accounts_id", "CODECOMBINATIONCHARTOFACCOUNTSID", "num:bigint"),
+        Col("account_type", "CODECOMBINATIONACCOUNTTYPE"),
+        Col("enabled_flag", "CODECOMBINATIONENABLEDFLAG"),
+        Col("detail_budgeting_allowed", "CODECOMBINATIONDETAILBUDGETINGALLOWEDFLAG"),
+        Col("detail_posting_allowed", "CODECOMBINATIONDETAILPOSTINGALLOWEDFLAG"),
+        Col("summary_flag", "CODECOMBINATIONSUMMARYFLAG"),
+        *[Derived(n, (lambda src=src, w=w: lpad_trunc(F.col(src), w)), (src,)) for n, src, w in GL_SEGMENTS],
+        *raw_ts("start_date_active", "CODECOMBINATIONSTARTDATEACTIVE"),
+        *raw_ts("end_date_active", "CODECOMBINATIONENDDATEACTIVE"),
+        *raw_ts("last_update_date", "CODECOMBINATIONLASTUPDATEDATE"),
+    ),
+    compare=("code_combination_id", "chart_of_accounts_id", "account_type", "enabled_flag",
+             "detail_budgeting_allowed", "detail_posting_allowed", "summary_flag",
+             *[n for n, _, _ in GL_SEGMENTS], "start_date_active_ts", "end_date_active_ts", "last_update_date_ts"),
+    doc="Segments are zero-padded (and cut) to their widths; the budget balance joins on them.",
+)
+
+PO_HDR = EntitySpec(
+    name="PO_HDR", keys=("poheaderid",), order=(), not_null=(),
+    columns=(
+        Col("poheaderid", "POHEADERID", "num:bigint"),
+        Col("po_number", "SEGMENT1"),
+        Col("revisionnum", "REVISIONNUM", "num:bigint"),
+        Col("po_type", "TYPELOOKUPCODE"),
+        Col("documentstatus", "DOCUMENTSTATUS"),
+        Col("approvedflag", "APPROVEDFLAG"),
+        Col("prcbuid", "PRCBUID", "num:bigint"),
+        Col("vendorid", "VENDORID", "num:bigint"),
+        Col("vendorsiteid", "VENDORSITEID", "num:bigint"),
+        Col("vendor_order_num", "VENDORORDERNUM"),
+        Col("currencycode", "CURRENCYCODE"),
+        Col("amountlimit", "AMOUNTLIMIT", "num"),
+        Col("amountreleased", "MINRELEASEAMOUNT", "num"),
+        Col("blankettotalamount", "BLANKETTOTALAMOUNT", "num"),
+        Col("startdate_raw", "STARTDATE"), Col("creationdate_raw", "CREATIONDATE"),
+        Col("lastupdatedate_raw", "LASTUPDATEDATE"), Col("closeddate_raw", "CLOSEDDATE"),
+        Col("startdate_ts", "STARTDATE", "ts"), Col("creationdate_ts", "CREATIONDATE", "ts"),
+        Col("lastupdatedate_ts", "LASTUPDATEDATE", "ts"), Col("closeddate_ts", "CLOSEDDATE", "ts"),
+        Col("lastupdatedby", "LASTUPDATEDBY"),
+        Col("objectversionnumber", "OBJECTVERSIONNUMBER", "num:bigint"),
+    ),
+    compare=("poheaderid", "po_number", "revisionnum", "po_type", "documentstatus", "approvedflag", "prcbuid",
+             "vendorid", "vendorsiteid", "vendor_order_num", "currencycode", "amountlimit", "amountreleased",
+             "blankettotalamount"),
+    doc="No key NULL filter; first arrival per key.",
+)
+
+SUPPLIER_HDR = EntitySpec(
+    name="SUPPLIER_HDR", keys=("vendorid",), order=(), not_null=(),
+    columns=(
+        Col("vendorid", "VENDORID", "num:bigint"),
+        Col("partyid", "PARTYID", "num:bigint"),
+        Col("segment1", "SEGMENT1"),
+        Col("alternatenamepartyname", "ALTERNATENAMEPARTYNAME"),
+        Col("alternatenamepartynameid", "ALTERNATENAMEPARTYNAMEID", "num:bigint"),
+        Col("aliaspartyname", "ALIASPARTYNAME"),
+        Col("aliaspartynameid", "ALIASPARTYNAMEID", "num:bigint"),
+        Col("businessrelationship", "BUSINESSRELATIONSHIP"),
+        Col("bcnotapplicableflag", "BCNOTAPPLICABLEFLAG"),
+        Col("federalreportableflag", "FEDERALREPORTABLEFLAG"),
+        Col("incometaxid", "INCOMETAXID"),
+        Col("incometaxidflag", "INCOMETAXIDFLAG"),
+        Col("organizationtypelookupcode", "ORGANIZATIONTYPELOOKUPCODE"),
+        Col("type1099", "TYPE1099"),
+        Col("vendortypelookupcode", "VENDORTYPELOOKUPCODE"),
+        Col("createdby", "CREATEDBY"),
+        *raw_ts("creationdate", "CREATIONDATE"),
+        Col("creationsource", "CREATIONSOURCE"),
+        Col("lastupdatedby", "LASTUPDATEDBY"),
+        *raw_ts("lastupdatedate", "LASTUPDATEDATE"),
+        Col("lastupdatelogin", "LASTUPDATELOGIN"),
+        Col("objectversionnumber", "OBJECTVERSIONNUMBER", "num:bigint"),
+    ),
+    compare=("vendorid", "partyid", "segment1", "alternatenamepartyname", "businessrelationship", "incometaxid",
+             "organizationtypelookupcode", "type1099", "vendortypelookupcode"),
+    doc="No key NULL filter; first arrival per key.",
+)
+
+QSTNR_ANSWER = EntitySpec(
+    name="QSTNR_ANSWER", keys=("qstn_answer_id",), order=(("last_update_date_ts", "desc"),),
+    not_null=("qstn_answer_id",),
+    columns=(
+        Col("qstn_answer_id", "QUESTIONANSWERBPEOQSTNANSWERID", "num:bigint"),
+        Col("seq_num", "QUESTIONANSWERBPEOSEQNUM", "num:bigint"),
+        Col("score", "QUESTIONANSWERBPEOSCORE", "num"),
+        Col("answer_long_text", "QUESTIONANSWERTRANSLATIONPEOLONGTEXT"),
+        Col("answer_short_text", "QUESTIONANSWERTRANSLATIONPEOSHORTTEXT"),
+        Col("response_feedback", "QUESTIONANSWERTRANSLATIONPEORESPONSEFEEDBACK"),
+        *raw_ts("last_update_date", "QUESTIONANSWERBPEOLASTUPDATEDATE"),
+    ),
+    compare=("qstn_answer_id", "seq_num", "score", "answer_long_text", "answer_short_text", "response_feedback",
+             "last_update_date_ts"),
+)
+
 # GL budget segment widths (lpad + truncate) of the 9 segments.
 BUDGET_SEGMENT_WIDTHS = (4, 3, 4, 3, 3, 7, 4, 4, 5)
 
@@ -343,21 +449,21 @@ ENTITY_KEYS: dict[str, EntitySpec] = {
         AP_INVOICE_HDR,
         GL_BALANCE,
         GL_BUDGET_BALANCE,
-        _key_spec("GL_CODE_COMB", ["code_combination_id"], _LU),
+        GL_CODE_COMB,
         _key_spec("GL_JOURNAL_BATCH", ["journalbatchjebatchid"], (("journalbatchlastupdatedate_ts", "desc"),),
                   daily=False),
         _key_spec("GL_JOURNAL_HEADER", ["jeheaderid"], (("gljeheaderslastupdatedate_ts", "desc"),), daily=False),
         _key_spec("GL_JOURNAL_LINES", ["jeheaderid", "jelinenum"], (("gljelineslastupdatedate_ts", "desc"),),
                   daily=False),
-        _key_spec("PO_HDR", ["poheaderid"], (), not_null=()),
+        PO_HDR,
         PO_LINES,
-        _key_spec("SUPPLIER_HDR", ["vendorid"], (), not_null=()),
+        SUPPLIER_HDR,
         HCM_ASSIGNMENT,
         HCM_EMPLOYEE,
         _key_spec("HCM_POSITION", ["position_id"], (("effective_start_ts", "desc"),)),
         _key_spec("HCM_SALARY", ["salary_id"], (("salary_effective_start_ts", "desc"),)),
         _key_spec("POS_CUSTOM_FLEX", ["pos_dff_id"], _LU),
-        _key_spec("QSTNR_ANSWER", ["qstn_answer_id"], _LU),
+        QSTNR_ANSWER,
         _key_spec("QSTNR_QUESTION", ["qstnr_participant_id", "qstnr_question_id"],
                   (("last_extract_run_ts", "desc"),)),
         _key_spec("QSTNR_RESPONSE", ["qstn_response_id"], _LU),
@@ -378,4 +484,5 @@ def get(name: str) -> EntitySpec:
 
 
 __all__ = ["Col", "Derived", "EntitySpec", "ENTITY_KEYS", "raw_ts", "with_columns", "get",
-           "PO_LINES", "HCM_EMPLOYEE", "GL_BUDGET_BALANCE", "AP_INVOICE_HDR", "GL_BALANCE", "HCM_ASSIGNMENT"]
+           "PO_LINES", "HCM_EMPLOYEE", "GL_BUDGET_BALANCE", "AP_INVOICE_HDR", "GL_BALANCE", "HCM_ASSIGNMENT",
+           "GL_CODE_COMB", "PO_HDR", "SUPPLIER_HDR", "QSTNR_ANSWER"]
