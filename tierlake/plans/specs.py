@@ -402,6 +402,95 @@ QSTNR_ANSWER = EntitySpec(
              "last_update_date_ts"),
 )
 
+HCM_POSITION = EntitySpec(
+    name="HCM_POSITION", keys=("position_id",), order=(("effective_start_ts", "desc"),),
+    not_null=("position_id",),
+    columns=(
+        Col("position_id", "POSITIONID", "num:bigint"),
+        Col("position_code", "POSITIONPEOPOSITIONCODE"),
+        Col("position_name", "POSITIONTRANSLATIONPEONAME"),
+        Col("active_status", "POSITIONPEOACTIVESTATUS"),
+        Col("position_type", "POSITIONPEOPOSITIONTYPE"),
+        Col("fte", "POSITIONPEOFTE", "num"),
+        Col("full_part_time", "POSITIONPEOFULLPARTTIME"),
+        Col("standard_working_hours", "POSITIONPEOSTANDARDWORKINGHOURS", "num"),
+        Col("organization_id", "POSITIONPEOORGANIZATIONID", "num:bigint"),
+        Col("location_id", "POSITIONPEOLOCATIONID", "num:bigint"),
+        Col("position_job_id", "POSITIONPEOJOBID", "num:bigint"),
+        Col("business_unit_id", "POSITIONPEOBUSINESSUNITID", "num:bigint"),
+        Col("max_persons", "POSITIONPEOMAXPERSONS", "num:bigint"),
+        Col("budgeted_flag", "POSITIONPEOBUDGETEDPOSITIONFLAG"),
+        Col("hiring_status", "POSITIONPEOHIRINGSTATUS"),
+        Col("assignment_category", "POSITIONPEOASSIGNMENTCATEGORY"),
+        Col("parent_position_code", "PARENTPOSITIONPEOPOSITIONCODE"),
+        Col("parent_position_name", "PARENTPOSITIONTRANSLATIONPEONAME"),
+        Col("parent_org_name", "PARENTPOSITIONORGUNITTLPEONAME"),
+        *raw_ts("effective_start", "EFFECTIVESTARTDATE"),
+        *raw_ts("effective_end", "EFFECTIVEENDDATE"),
+    ),
+    compare=("position_id", "position_code", "position_name", "active_status", "position_type", "fte",
+             "full_part_time", "standard_working_hours", "organization_id", "location_id", "hiring_status",
+             "assignment_category", "parent_position_code"),
+)
+
+QSTNR_QUESTION = EntitySpec(
+    name="QSTNR_QUESTION", keys=("qstnr_participant_id", "qstnr_question_id"),
+    order=(("last_extract_run_ts", "desc"),), not_null=("qstnr_participant_id", "qstnr_question_id"),
+    columns=(
+        Col("questionnaire_id", "QUESTIONNAIREBPEOQUESTIONNAIREID", "num:bigint"),
+        Col("questionnaire_code", "QUESTIONNAIREBPEOQUESTIONNAIRECODE"),
+        Col("qstnr_version_num", "QUESTIONNAIREBPEOQSTNRVERSIONNUM", "num:bigint"),
+        Col("questionnaire_status", "QUESTIONNAIREBPEOSTATUS"),
+        Col("questionnaire_name", "QUESTIONNAIRETLPEONAME"),
+        Col("questionnaire_created_by", "QUESTIONNAIRETRANSLATIONPEOCREATEDBY"),
+        *raw_ts("questionnaire_creation_date", "QUESTIONNAIRETRANSLATIONPEOCREATIONDATE"),
+        Col("qstnr_section_id", "QUESTIONNAIRESECTIONBPEOQSTNRSECTIONID", "num:bigint"),
+        Col("section_seq_num", "QUESTIONNAIRESECTIONBPEOSECTIONSEQNUM", "num:bigint"),
+        Col("section_question_order", "QUESTIONNAIRESECTIONBPEOQUESTIONORDER"),
+        Col("section_name", "QUESTIONSECTIONTRANSLATIONPEONAME"),
+        Col("question_id", "QUESTIONBPEOQUESTIONID", "num:bigint"),
+        Col("question_code", "QUESTIONBPEOQUESTIONCODE"),
+        Col("question_type", "QUESTIONBPEOQUESTIONTYPE"),
+        Col("classification_code", "QUESTIONBPEOCLASSIFICATIONCODE"),
+        Col("qstn_version_num", "QUESTIONBPEOQSTNVERSIONNUM", "num:bigint"),
+        Col("question_status", "QUESTIONBPEOSTATUS"),
+        Col("question_text", "QUESTIONTRANSLATIONPEOQUESTIONTEXT"),
+        Col("qstnr_question_id", "QUESTIONNAIREQUESTIONPEOQSTNRQUESTIONID", "num:bigint"),
+        Col("question_seq_num", "QUESTIONNAIREQUESTIONPEOSEQNUM", "num:bigint"),
+        Col("mandatory_flag", "QUESTIONNAIREQUESTIONPEOMANDATORY"),
+        Col("adhoc_question_flag", "QUESTIONNAIREQUESTIONPEOADHOCQSTN"),
+        Col("qstnr_participant_id", "QUESTIONNAIREPARTICIPANTPEOQSTNRPARTICIPANTID", "num:bigint"),
+        Col("subject_id", "QUESTIONNAIREPARTICIPANTPEOSUBJECTID", "num:bigint"),
+    ),
+    compare=("qstnr_participant_id", "qstnr_question_id", "questionnaire_id", "questionnaire_code",
+             "questionnaire_name", "questionnaire_status", "section_seq_num", "section_name", "question_code",
+             "question_type", "question_text", "question_seq_num", "mandatory_flag", "subject_id"),
+    doc="Ordered by the run time, equal for a whole load, so arrival order decides.",
+)
+
+QSTNR_RESPONSE = EntitySpec(
+    name="QSTNR_RESPONSE", keys=("qstn_response_id",), order=(("last_update_date_ts", "desc"),),
+    not_null=("qstn_response_id",),
+    columns=(
+        Col("qstnr_response_id", "QUESTIONNAIRERESPONSEPEOQSTNRRESPONSEID", "num:bigint"),
+        Col("qstnr_participant_id", "QUESTIONNAIRERESPONSEPEOQSTNRPARTICIPANTID", "num:bigint"),
+        Col("response_status", "QUESTIONNAIRERESPONSEPEOSTATUS"),
+        Col("attempt_num", "QUESTIONNAIRERESPONSEPEOATTEMPTNUM", "num:bigint"),
+        *raw_ts("submitted_date", "QUESTIONNAIRERESPONSEPEOSUBMITTEDDATETIME"),
+        Col("qstnr_question_id", "QUESTIONRESPONSEPEOQSTNRQUESTIONID", "num:bigint"),
+        Col("qstn_response_id", "QUESTIONRESPONSEPEOQSTNRESPONSEID", "num:bigint"),
+        Col("answer_clob", "QUESTIONRESPONSEPEOANSWERCLOB"),
+        Col("answer_id", "QUESTIONRESPONSEPEOANSWERID", "num:bigint"),
+        Col("answer_type", "QUESTIONRESPONSEPEOANSWERTYPE"),
+        Col("subject_id", "QUESTIONNAIREPARTCIPANTPEOSUBJECTID", "num:bigint"),
+        *raw_ts("last_update_date", "QSTNRESPONSEPEOLASTUPDATEDATE"),
+    ),
+    compare=("qstn_response_id", "qstnr_response_id", "qstnr_participant_id", "response_status", "attempt_num",
+             "submitted_date_ts", "qstnr_question_id", "answer_clob", "answer_id", "answer_type", "subject_id",
+             "last_update_date_ts"),
+    doc="One source header is spelled as the extract spells it (PARTCIPANT).",
+)
+
 # GL budget segment widths (lpad + truncate) of the 9 segments.
 BUDGET_SEGMENT_WIDTHS = (4, 3, 4, 3, 3, 7, 4, 4, 5)
 
@@ -460,13 +549,12 @@ ENTITY_KEYS: dict[str, EntitySpec] = {
         SUPPLIER_HDR,
         HCM_ASSIGNMENT,
         HCM_EMPLOYEE,
-        _key_spec("HCM_POSITION", ["position_id"], (("effective_start_ts", "desc"),)),
+        HCM_POSITION,
         _key_spec("HCM_SALARY", ["salary_id"], (("salary_effective_start_ts", "desc"),)),
         _key_spec("POS_CUSTOM_FLEX", ["pos_dff_id"], _LU),
         QSTNR_ANSWER,
-        _key_spec("QSTNR_QUESTION", ["qstnr_participant_id", "qstnr_question_id"],
-                  (("last_extract_run_ts", "desc"),)),
-        _key_spec("QSTNR_RESPONSE", ["qstn_response_id"], _LU),
+        QSTNR_QUESTION,
+        QSTNR_RESPONSE,
         _key_spec("AR_INVOICES", ["racustomertrxcustomertrxid"], _LU, daily=False,
                   doc="Has a final-table definition but no loader upstream; generic spec."),
     ]
@@ -485,4 +573,5 @@ def get(name: str) -> EntitySpec:
 
 __all__ = ["Col", "Derived", "EntitySpec", "ENTITY_KEYS", "raw_ts", "with_columns", "get",
            "PO_LINES", "HCM_EMPLOYEE", "GL_BUDGET_BALANCE", "AP_INVOICE_HDR", "GL_BALANCE", "HCM_ASSIGNMENT",
-           "GL_CODE_COMB", "PO_HDR", "SUPPLIER_HDR", "QSTNR_ANSWER"]
+           "GL_CODE_COMB", "PO_HDR", "SUPPLIER_HDR", "QSTNR_ANSWER", "HCM_POSITION", "QSTNR_QUESTION",
+           "QSTNR_RESPONSE"]
