@@ -142,15 +142,20 @@ def test_every_full_spec_stages_a_smoke_csv(spark, tmp_path):
     assert len(specs) >= 10
     for spec in specs:
         cols = spec.landing_columns()
+        kinds = {}
+        for c in spec.columns:
+            for src in c.sources:
+                kinds.setdefault(src, getattr(c, "cast", "num"))
+        flags = {f for c in spec.columns if c.target in spec.flags for f in c.sources}
+
         def val(c, i):
-            u = c.upper()
-            if "DATE" in u:
-                return f"2026-03-0{i} 10:00:00"
-            if u.endswith("FLAG") or "LATESTCHANGE" in u:
+            k = kinds.get(c, "str")
+            if c in flags:
                 return "Y"
-            if u.endswith("ID") or "NUM" in u or "AMOUNT" in u or "BALANCE" in u or "HOURS" in u or \
-                    "PRICE" in u or "SCORE" in u or "SEGMENT" in u or "YEAR" in u or "SEQ" in u:
+            if k.startswith("num"):
                 return str(i)
+            if k in ("ts", "date"):
+                return f"2026-03-0{i} 10:00:00"
             return f"v{i}"
         lines = [",".join(val(c, i) for c in cols) for i in (1, 2)]
         path = tmp_path / f"{spec.name}.csv"

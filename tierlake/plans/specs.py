@@ -491,6 +491,187 @@ QSTNR_RESPONSE = EntitySpec(
     doc="One source header is spelled as the extract spells it (PARTCIPANT).",
 )
 
+def _rule_columns(prefix: str, fields: str) -> tuple:
+    """Columns named ``prefix + field`` whose landing header is the same name.
+
+    ``fields``: whitespace-separated ``name:kind`` with kind ``id`` (bigint),
+    ``num`` (NUMBER), ``str`` or ``ts`` (raw text + tolerant timestamp pair).
+    """
+    out = []
+    for item in fields.split():
+        name, kind = item.split(":")
+        col = f"{prefix}{name}"
+        if kind == "ts":
+            out.extend(raw_ts(col, col.upper()))
+        else:
+            out.append(Col(col, col.upper(), {"id": "num:bigint", "num": "num", "str": "str"}[kind]))
+    return tuple(out)
+
+
+def _compare_all(columns) -> tuple:
+    return tuple(c.target for c in columns if not c.target.endswith("_raw"))
+
+
+# Journal line fields (header = column name); the text columns
+# "lastupdatelogin" and "lastupdatedby" get a timestamp twin as the extract flow defines.
+_JE_LINES = (Col("jeheaderid", "JEHEADERID", "num:bigint"), Col("jelinenum", "JELINENUM", "num:bigint"),
+             *_rule_columns("gljelines", """
+    codecombinationid:id creationdate:ts currencycode:str currencyconversiondate:ts currencyconversionrate:num
+    currencyconversiontype:str description:str effectivedate:ts enteredcr:num entereddr:num glsllinkid:id
+    ignorerateflag:str lastupdatedate:ts lastupdatelogin:ts lastupdatedby:ts ledgerid:id linetypecode:str
+    objectversionnumber:str periodname:str statamount:num status:str subledgerdocsequenceid:id
+    subledgerdocsequencevalue:num"""))
+
+GL_JOURNAL_LINES = EntitySpec(
+    name="GL_JOURNAL_LINES", keys=("jeheaderid", "jelinenum"), order=(("gljelineslastupdatedate_ts", "desc"),),
+    not_null=("jeheaderid", "jelinenum"), columns=_JE_LINES, compare=_compare_all(_JE_LINES), daily=False,
+    doc="Composite key; loadable on demand only.")
+
+_JE_BATCH = _rule_columns("journalbatch", """
+    jebatchid:id accountedperiodtype:str actualflag:str approvalstatuscode:str approveremployeeid:id
+    averagejournalflag:str chartofaccountsid:id creationdate:ts datecreated:ts defaulteffectivedate:ts
+    defaultperiodname:str description:str fundsstatuscode:str groupid:id lastupdatedate:ts lastupdatelogin:ts
+    lastupdatedby:ts name:str objectversionnumber:str parentjebatchid:id periodsetname:str posteddate:ts
+    postingrunid:id requestid:id status:str""")
+
+GL_JOURNAL_BATCH = EntitySpec(
+    name="GL_JOURNAL_BATCH", keys=("journalbatchjebatchid",), order=(("journalbatchlastupdatedate_ts", "desc"),),
+    not_null=("journalbatchjebatchid",), columns=_JE_BATCH, compare=_compare_all(_JE_BATCH), daily=False,
+    doc="Loadable on demand only.")
+
+POS_CUSTOM_FLEX = EntitySpec(
+    name="POS_CUSTOM_FLEX", keys=("pos_dff_id",), order=(("last_update_date_ts", "desc"),),
+    not_null=("pos_dff_id",),
+    columns=(
+        Col("pos_dff_id", "S_K_5000", "num:bigint"),
+        Col("state_position_code", "STATE_POSITION_CODE_"),
+        Col("desc_state_position_code", "DESC_STATE_POSITION_CODE_"),
+        Col("position_category", "POSITION_CATEGORY_"),
+        Col("desc_position_category", "DESC_POSITION_CATEGORY_"),
+        Col("work_schedule", "WORK_SCHEDULE_"),
+        Col("desc_work_schedule", "DESC_WORK_SCHEDULE_"),
+        Col("payment_schedule", "PAYMENT_SCHEDULE_"),
+        Col("desc_payment_schedule", "DESC_PAYMENT_SCHEDULE_"),
+        Col("stntrt_cptn_ct", "STNTRT_CPTN_CT_"),
+        Col("desc_stntrt_cptn_ct", "DESC_STNTRT_CPTN_CT_"),
+        Col("short_description", "SHORT_DESCRIPTION_"),
+        *raw_ts("effective_start", "S_K_5001"),
+        *raw_ts("effective_end", "S_K_5002"),
+        *raw_ts("last_update_date", "LASTUPDATEDATE"),
+    ),
+    compare=("pos_dff_id", "state_position_code", "desc_state_position_code", "position_category",
+             "desc_position_category", "work_schedule", "desc_work_schedule", "payment_schedule",
+             "desc_payment_schedule", "stntrt_cptn_ct", "desc_stntrt_cptn_ct", "short_description"),
+    doc="Extract columns are not in alphabetical order: read by header name.")
+
+_JE_HEADER = (*_rule_columns("gljeheaders", """
+    accrualrevchangesignflag:str accrualrevchangesignflagtransient:str accrualreveffectivedate:ts
+    accrualrevjeheaderid:id accrualrevperiodname:str accrualrevstatus:str actualflag:str balancedjeflag:str
+    closeacctseqassignid:id closeacctseqversionid:id creationdate:ts currencycode:str currencyconversiondate:ts
+    currencyconversionrate:num currencyconversiontype:str datecreated:ts defaulteffectivedate:ts description:str
+    displayalcjournalflag:str encumbrancetypeid:id jebatchid:id jefromslaflag:str lastupdatedate:ts
+    lastupdatelogin:ts lastupdatedby:ts ledgerid:id legalentityid:id multibalsegflag:str multicurrencyflag:str
+    name:str objectversionnumber:str parentjeheaderid:id periodname:str postcurrencycode:str
+    postmulticurrencyflag:str posteddate:ts posteddatetime:ts postingacctseqassignid:id
+    postingacctseqversionid:id referencedate:ts reversedjeheaderid:id status:str"""),
+    Col("jeheaderid", "JEHEADERID", "num:bigint"))
+
+GL_JOURNAL_HEADER = EntitySpec(
+    name="GL_JOURNAL_HEADER", keys=("jeheaderid",), order=(("gljeheaderslastupdatedate_ts", "desc"),),
+    not_null=("jeheaderid",), columns=_JE_HEADER, compare=_compare_all(_JE_HEADER), daily=False,
+    doc="Loadable on demand only.")
+
+_AP_APPL = "APINVOICEPAYMENTSALL"
+AP_INV_APPLICATION = EntitySpec(
+    name="AP_INV_APPLICATION", keys=("invoice_payment_id",), order=(("last_update_date_ts", "desc"),),
+    not_null=("invoice_payment_id",),
+    columns=(
+        Col("invoice_payment_id", _AP_APPL + "INVOICEPAYMENTID", "num:bigint"),
+        Col("invoice_id", _AP_APPL + "INVOICEID", "num:bigint"),
+        Col("check_id", _AP_APPL + "CHECKID", "num:bigint"),
+        Col("payment_num", _AP_APPL + "PAYMENTNUM", "num:bigint"),
+        Col("amount", _AP_APPL + "AMOUNT", "num"),
+        Col("amount_inv_curr", _AP_APPL + "AMOUNTINVCURR", "num"),
+        Col("invoice_base_amount", _AP_APPL + "INVOICEBASEAMOUNT", "num"),
+        Col("payment_base_amount", _AP_APPL + "PAYMENTBASEAMOUNT", "num"),
+        Col("invoice_currency_code", _AP_APPL + "INVOICECURRENCYCODE"),
+        Col("payment_currency_code", _AP_APPL + "PAYMENTCURRENCYCODE"),
+        Col("invoice_payment_type", _AP_APPL + "INVOICEPAYMENTTYPE"),
+        Col("discount_taken", _AP_APPL + "DISCOUNTTAKEN", "num"),
+        Col("discount_lost", _AP_APPL + "DISCOUNTLOST", "num"),
+        *raw_ts("accounting_date", _AP_APPL + "ACCOUNTINGDATE"),
+        Col("period_name", _AP_APPL + "PERIODNAME"),
+        Col("posted_flag", _AP_APPL + "POSTEDFLAG"),
+        Col("reversal_flag", _AP_APPL + "REVERSALFLAG"),
+        Col("reversal_inv_pmt_id", _AP_APPL + "REVERSALINVPMTID", "num:bigint"),
+        Col("org_id", _AP_APPL + "ORGID", "num:bigint"),
+        Col("exchange_rate", _AP_APPL + "EXCHANGERATE", "num"),
+        *raw_ts("exchange_date", _AP_APPL + "EXCHANGEDATE"),
+        Col("exchange_rate_type", _AP_APPL + "EXCHANGERATETYPE"),
+        Col("accts_pay_ccid", _AP_APPL + "ACCTSPAYCODECOMBINATIONID", "num:bigint"),
+        Col("remit_to_supplier_name", _AP_APPL + "REMITTOSUPPLIERNAME"),
+        *raw_ts("creation_date", _AP_APPL + "CREATIONDATE"),
+        *raw_ts("last_update_date", _AP_APPL + "LASTUPDATEDATE"),
+    ),
+    compare=("invoice_payment_id", "invoice_id", "check_id", "payment_num", "amount", "amount_inv_curr",
+             "invoice_base_amount", "payment_base_amount", "invoice_currency_code", "payment_currency_code",
+             "invoice_payment_type", "discount_taken", "discount_lost", "accounting_date_ts", "period_name",
+             "posted_flag", "reversal_flag", "reversal_inv_pmt_id", "org_id", "exchange_rate", "exchange_date_ts",
+             "exchange_rate_type", "accts_pay_ccid", "remit_to_supplier_name", "last_update_date_ts"),
+)
+
+def _snake_columns(prefix: str, fields: str, headers: dict[str, str] | None = None) -> tuple:
+    """Columns whose landing header is ``prefix`` + the name without underscores, upper-cased.
+
+    ``fields`` as in :func:`_rule_columns`; ``headers`` lists the exceptions.
+    """
+    headers = headers or {}
+    out = []
+    for item in fields.split():
+        name, kind = item.split(":")
+        src = headers.get(name, prefix + name.replace("_", "").upper())
+        if kind == "ts":
+            out.extend(raw_ts(name, src))
+        else:
+            out.append(Col(name, src, {"id": "num:bigint", "num": "num", "str": "str"}[kind]))
+    return tuple(out)
+
+
+_AP_CHECKS = _snake_columns("APCHECKSALL", """
+    check_id:id check_number:id check_date:ts amount:num base_amount:num currency_code:str
+    status_lookup_code:str payment_method_code:str payment_type_flag:str vendor_id:id vendor_name:str
+    vendor_site_id:id vendor_site_code:str remit_to_supplier_id:id remit_to_supplier_name:str org_id:id
+    legal_entity_id:id bank_account_name:str ce_bank_acct_use_id:id external_bank_account_id:id
+    check_run_name:str cleared_amount:num cleared_base_amount:num cleared_date:ts void_date:ts released_date:ts
+    exchange_rate:num exchange_date:ts creation_date:ts last_update_date:ts""")
+
+AP_DISBURSEMENT = EntitySpec(
+    name="AP_DISBURSEMENT", keys=("check_id",), order=(("last_update_date_ts", "desc"),), not_null=("check_id",),
+    columns=_AP_CHECKS, compare=_compare_all(_AP_CHECKS))
+
+_SALARY = _snake_columns("", """
+    salary_id:id person_id:id assignment_id:id assignment_type:str business_unit_id:id legal_entity_id:id
+    hcm_job_id:id grade_id:id element_entry_id:id element_type_id:id input_value_id:id salary_amount:num
+    annual_salary:num annual_ft_salary:num currency_code:str salary_basis_code:str salary_basis_id:id
+    salary_basis_type:str salary_approved:str salary_factor:num payroll_factor:num payroll_frequency_code:str
+    fte_value:num salary_transaction_status:str salary_reason_code:str component_usage:str
+    multiple_components:str action_id:id action_occurrence_id:id action_reason_id:id adjustment_amount:num
+    adjustment_percent:num rate_id:id rate_factor:num rate_max_amount:num rate_mid_amount:num
+    rate_min_amount:num rate_default_amount:num range_position:num comparatio:num quartile:num quintile:num
+    total_base_pay:num total_component_adj_amt:num total_component_adj_percent:num date_from:ts date_to:ts
+    salary_effective_start:ts salary_effective_end:ts review_date:ts next_sal_review:ts work_at_home:str
+    object_version_number:id""", headers={
+    "hcm_job_id": "JOBID", "salary_effective_start": "SALARYEFFECTIVESTARTDATE",
+    "salary_effective_end": "SALARYEFFECTIVEENDDATE", "next_sal_review": "NEXTSALREVIEWDATE"})
+
+HCM_SALARY = EntitySpec(
+    name="HCM_SALARY", keys=("salary_id",), order=(("salary_effective_start_ts", "desc"),), not_null=("salary_id",),
+    columns=_SALARY,
+    compare=("salary_id", "person_id", "assignment_id", "salary_amount", "annual_salary", "currency_code",
+             "salary_basis_code", "salary_approved", "salary_transaction_status", "date_from_ts", "date_to_ts",
+             "salary_effective_start_ts", "salary_effective_end_ts", "comparatio", "quartile", "quintile",
+             "rate_max_amount", "rate_mid_amount", "rate_min_amount"))
+
 # GL budget segment widths (lpad + truncate) of the 9 segments.
 BUDGET_SEGMENT_WIDTHS = (4, 3, 4, 3, 3, 7, 4, 4, 5)
 
@@ -533,25 +714,23 @@ _LU = (("last_update_date_ts", "desc"),)
 # (``with_columns``); the flow is the same.
 ENTITY_KEYS: dict[str, EntitySpec] = {
     s.name: s for s in [
-        _key_spec("AP_DISBURSEMENT", ["check_id"], _LU),
-        _key_spec("AP_INV_APPLICATION", ["invoice_payment_id"], _LU),
+        AP_DISBURSEMENT,
+        AP_INV_APPLICATION,
         AP_INVOICE_HDR,
         GL_BALANCE,
         GL_BUDGET_BALANCE,
         GL_CODE_COMB,
-        _key_spec("GL_JOURNAL_BATCH", ["journalbatchjebatchid"], (("journalbatchlastupdatedate_ts", "desc"),),
-                  daily=False),
-        _key_spec("GL_JOURNAL_HEADER", ["jeheaderid"], (("gljeheaderslastupdatedate_ts", "desc"),), daily=False),
-        _key_spec("GL_JOURNAL_LINES", ["jeheaderid", "jelinenum"], (("gljelineslastupdatedate_ts", "desc"),),
-                  daily=False),
+        GL_JOURNAL_BATCH,
+        GL_JOURNAL_HEADER,
+        GL_JOURNAL_LINES,
         PO_HDR,
         PO_LINES,
         SUPPLIER_HDR,
         HCM_ASSIGNMENT,
         HCM_EMPLOYEE,
         HCM_POSITION,
-        _key_spec("HCM_SALARY", ["salary_id"], (("salary_effective_start_ts", "desc"),)),
-        _key_spec("POS_CUSTOM_FLEX", ["pos_dff_id"], _LU),
+        HCM_SALARY,
+        POS_CUSTOM_FLEX,
         QSTNR_ANSWER,
         QSTNR_QUESTION,
         QSTNR_RESPONSE,
@@ -574,4 +753,5 @@ def get(name: str) -> EntitySpec:
 __all__ = ["Col", "Derived", "EntitySpec", "ENTITY_KEYS", "raw_ts", "with_columns", "get",
            "PO_LINES", "HCM_EMPLOYEE", "GL_BUDGET_BALANCE", "AP_INVOICE_HDR", "GL_BALANCE", "HCM_ASSIGNMENT",
            "GL_CODE_COMB", "PO_HDR", "SUPPLIER_HDR", "QSTNR_ANSWER", "HCM_POSITION", "QSTNR_QUESTION",
-           "QSTNR_RESPONSE"]
+           "QSTNR_RESPONSE", "GL_JOURNAL_LINES", "GL_JOURNAL_BATCH", "POS_CUSTOM_FLEX",
+           "GL_JOURNAL_HEADER", "AP_INV_APPLICATION", "AP_DISBURSEMENT", "HCM_SALARY"]
