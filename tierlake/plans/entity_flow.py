@@ -173,8 +173,10 @@ def load_and_preview(wh: Warehouse, spec: EntitySpec, paths: str | Sequence[str]
         staged = stage(landing, spec, job_id)
         staged.write.mode("overwrite").partitionBy("job_id").parquet(wh.staging_path(spec))
         staged = wh.staged(spec, job_id)
-        counts = preview(staged, wh.final(spec).read(), spec).first().asDict()
-        counts["rows_loaded"] = rows_loaded(staged, spec).first()["rows_loaded"]
+        # the preview counts and rows_loaded in one action (two one-row aggregates)
+        both = preview(staged, wh.final(spec).read(), spec) \
+            .unionByName(rows_loaded(staged, spec), allowMissingColumns=True).collect()
+        counts = {k: v for r in both for k, v in r.asDict().items() if v is not None}
         jobs.append(job_id, "STAGED", rows_loaded=counts["rows_loaded"], new_count=counts["new_count"],
                     changed_count=counts["changed_count"], unchanged_count=counts["unchanged_count"])
         wh.load_log().append(spec.name, file_name, "STAGE", "SUCCESS", rows_processed=counts["rows_loaded"])

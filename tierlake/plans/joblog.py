@@ -1,9 +1,10 @@
 """Load-job state and load logs as append-only event tables.
 
-Each state change appends one event row; the current state of a job is the
-latest value per column (a NULL in a later event keeps the earlier value),
-computed with a grouped ``max_by`` that combines map-side.  Appends survive a
-failed data write because they are separate small writes.
+Each state change appends one event row (one small parquet file, written
+directly: no Spark job per event); the current state of a job is the latest
+value per column (a NULL in a later event keeps the earlier value), computed
+with a grouped ``max_by`` that combines map-side.  Appends survive a failed
+data write because they are separate small writes.
 """
 
 from __future__ import annotations
@@ -29,6 +30,28 @@ def _now():
     return _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
 
 
+_ARROW_TYPES = {"bigint": "int64", "string": "string", "timestamp_ntz": "timestamp[us]"}
+
+
+def _append_event(folder: str, schema_ddl: str, row: dict) -> None:
+    """Append one event as a small parquet file (a metadata write, no Spark job).
+
+    Timestamps are written without a zone, which Spark reads back as
+    ``timestamp_ntz``; readers see the folder as one table.
+    """
+    import uuid
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tierlake.sources.files import open_output
+    fields = [f.split() for f in schema_ddl.split(", ")]
+    schema = pa.schema([pa.field(n, pa.type_for_alias(_ARROW_TYPES[t])) for n, t in fields])
+    tbl = pa.Table.from_pylist([{n: row.get(n) for n, _ in fields}], schema=schema)
+    with open_output(f"{folder}/part-{uuid.uuid4().hex}.parquet") as fh:
+        pq.write_table(tbl, fh)
+
+
 REPORT_STATUSES = ("RUNNING", "SUCCESS", "ERROR")
 
 
@@ -53,9 +76,14 @@ class JobLog:
             return self.spark.createDataFrame([], JOB_EVENT_SCHEMA)
         return self.spark.read.schema(JOB_EVENT_SCHEMA).parquet(self._path())
 
+    _last_id = 0
+
     def next_job_id(self) -> int:
-        row = self.events().agg(F.max("job_id")).first()
-        return (row[0] or 0) + 1
+        """A new job id: time-ordered (microseconds), strictly increasing per driver."""
+        import time
+        jid = max(time.time_ns() // 1000, JobLog._last_id + 1)
+        JobLog._last_id = jid
+        return jid
 
     def append(self, job_id: int, status: str, **cols) -> None:
         if status not in self.statuses:
@@ -66,10 +94,7 @@ class JobLog:
             cols["error_message"] = str(err)[:ERROR_TEXT_LIMIT]
         row = {"job_id": job_id, "status": status, "actor": cols.pop("actor", None) or getpass.getuser(),
                "event_ts": _now(), "event_seq": self._seq, **cols}
-        names = [f.split()[0] for f in JOB_EVENT_SCHEMA.split(", ")]
-        from tierlake.session import local_rows
-        local_rows(self.spark, [tuple(row.get(n) for n in names)], JOB_EVENT_SCHEMA) \
-            .coalesce(1).write.mode("append").parquet(self._path())
+        _append_event(self._path(), JOB_EVENT_SCHEMA, row)
 
     def current(self) -> DataFrame:
         """One row per job: the latest non-NULL value of every column."""
@@ -86,10 +111,10 @@ class LoadLog:
     def append(self, load_type: str, file_name: str | None, step: str, status: str,
                rows_processed: int | None = None, rows_inserted: int | None = None,
                error_message: str | None = None) -> None:
-        from tierlake.session import local_rows
         err = None if error_message is None else str(error_message)[:ERROR_TEXT_LIMIT]
-        local_rows(self.spark, [(load_type, file_name, step, rows_processed, rows_inserted, status, err, _now())],
-                   LOAD_LOG_SCHEMA).coalesce(1).write.mode("append").parquet(self.path)
+        _append_event(self.path, LOAD_LOG_SCHEMA, {
+            "load_type": load_type, "file_name": file_name, "step": step, "rows_processed": rows_processed,
+            "rows_inserted": rows_inserted, "status": status, "error_message": err, "log_ts": _now()})
 
     def read(self) -> DataFrame:
         if not files.exists(self.path):

@@ -1168,3 +1168,45 @@ def q_rest_sync(spark, sf_dir):
         .drop("page_no", "_seq").withColumn("row_sync_ts", _ts(BATCH_CUTOFF))
     out = sync_source(items, final, last_sync=BATCH_CUTOFF, sync_ts=None)
     return out.select("resource_key", "event_type", "value", "LastUpdateDate")
+
+
+# ------------------------------------------- S3, P1-P3, D1-D4, K1-K4, M1
+def orders_spec():
+    """A demo entity spec for the orders extract (landing headers are upper case)."""
+    from tierlake.plans.specs import Col, EntitySpec
+    return EntitySpec(
+        name="DEMO_ORDERS", keys=("o_orderkey",), order=(("o_orderdate", "desc"),), not_null=("o_orderkey",),
+        columns=(Col("o_orderkey", "O_ORDERKEY", "num:bigint"), Col("o_custkey", "O_CUSTKEY", "num:bigint"),
+                 Col("o_orderstatus", "O_ORDERSTATUS"), Col("o_totalprice", "O_TOTALPRICE", "num:decimal(18,2)"),
+                 Col("o_orderdate", "O_ORDERDATE", "ts"), Col("o_orderpriority", "O_ORDERPRIORITY", "blank")),
+        compare=("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"))
+
+
+ORDERS_FIRST_TO = "1998-06-01 00:00:00"     # first extract: orders dated before this
+ORDERS_SECOND_FROM = "1997-06-01 00:00:00"  # second extract overlaps the first by a year
+
+
+@register("three_tier_load", """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS o_totalprice,
+       o_orderdate, o_orderpriority
+FROM orders
+""")
+def q_three_tier_load(spark, sf_dir):
+    """Orders landed as two CSV extracts, staged, previewed and merged; the final read back."""
+    from tierlake.plans import entity_flow as EF
+    from tierlake.session import work_path
+    root = work_path(spark, "three_tier", unique=True)
+    spec = orders_spec()
+    orders = table(spark, sf_dir, "orders")
+    text = orders.select(*[F.col(c).cast("string").alias(c.upper()) for c in orders.columns])
+    text.where(F.col("o_orderdate") < _ts(ORDERS_FIRST_TO)) \
+        .write.option("header", "true").mode("overwrite").csv(f"{root}/landing/extract1")
+    text.where(F.col("o_orderdate") >= _ts(ORDERS_SECOND_FROM)) \
+        .write.option("header", "true").mode("overwrite").csv(f"{root}/landing/extract2")
+    wh = EF.Warehouse(spark, f"{root}/warehouse")
+    for n in (1, 2):
+        job, _ = EF.load_and_preview(wh, spec, f"{root}/landing/extract{n}", f"extract{n}.zip", multi_line=False)
+        EF.merge_job(wh, spec, job, f"extract{n}.zip")
+    final = wh.final(spec).read()
+    return final.select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("double"),
+                        "o_orderdate", "o_orderpriority")
