@@ -4,6 +4,8 @@ Tables (all under one root on shared storage):
 
 * ``staging/<entity>``  parquet partitioned by ``job_id``; a restage of the
   same job replaces only its partition (dynamic partition overwrite)
+* ``staging/<entity>__latest``  the job's batch after filters and
+  latest-per-key, written once and read by both preview and merge
 * ``final/<entity>``    :class:`~tierlake.sources.store.SnapshotTable`
 * ``jobs``, ``load_log`` append-only event tables
 
@@ -88,14 +90,15 @@ def merged_final(staged: DataFrame, final: DataFrame, spec: EntitySpec) -> DataF
     return upsert(final, src.select(*final.columns), list(spec.keys))
 
 
-def delta_rows(staged: DataFrame, current: DataFrame, spec: EntitySpec) -> DataFrame:
+def delta_rows(deduped: DataFrame, current: DataFrame, spec: EntitySpec) -> DataFrame:
     """The complete new values of every row a merge changes or inserts.
 
-    Only final rows whose key occurs in the batch take part (semi join on
-    the batch keys), so the work and the write follow the batch size.
+    ``deduped``: the batch after the entity filters and the latest-per-key
+    step.  Only final rows whose key occurs in the batch take part (semi join
+    on the batch keys), so the work and the write follow the batch size.
     """
     from tierlake.operators.upsert import merge_columns
-    src = dedup(staged, spec)
+    src = deduped
     if spec.null_keys == "quarantine":
         src = src.where(~null_key(spec))
     touched = current.join(src.select(*spec.keys), list(spec.keys), "left_semi")
@@ -157,6 +160,16 @@ class Warehouse:
         _delete_dir(f"{self.root}/jobs")
         _delete_dir(f"{self.root}/load_log")
 
+    def dedup_path(self, spec: EntitySpec) -> str:
+        return f"{self.root}/staging/{spec.name.lower()}__latest"
+
+    def deduped(self, spec: EntitySpec, job_id: int) -> DataFrame:
+        """The job's batch after filters and latest-per-key, as written at load time."""
+        path = f"{self.dedup_path(spec)}/job_id={job_id}"
+        if not files.exists(path):                       # staged by an older run: recompute
+            return dedup(self.staged(spec, job_id), spec)
+        return self.spark.read.parquet(self.dedup_path(spec)).where(F.col("job_id") == job_id)
+
     def staged(self, spec: EntitySpec, job_id: int) -> DataFrame:
         # partition pruning on job_id reads only this job's files
         return self.spark.read.parquet(self.staging_path(spec)).where(F.col("job_id") == job_id)
@@ -173,9 +186,12 @@ def load_and_preview(wh: Warehouse, spec: EntitySpec, paths: str | Sequence[str]
         staged = stage(landing, spec, job_id)
         staged.write.mode("overwrite").partitionBy("job_id").parquet(wh.staging_path(spec))
         staged = wh.staged(spec, job_id)
+        # the deduplicated batch is written once; preview and merge read it back
+        dedup(staged, spec).write.mode("overwrite").partitionBy("job_id").parquet(wh.dedup_path(spec))
+        deduped = wh.deduped(spec, job_id)
         # the preview counts and rows_loaded in one action (two one-row aggregates)
-        both = preview(staged, wh.final(spec).read(), spec) \
-            .unionByName(rows_loaded(staged, spec), allowMissingColumns=True).collect()
+        counts_df = change_preview(deduped, wh.final(spec).read(), list(spec.keys), spec.compare_columns())
+        both = counts_df.unionByName(rows_loaded(staged, spec), allowMissingColumns=True).collect()
         counts = {k: v for r in both for k, v in r.asDict().items() if v is not None}
         jobs.append(job_id, "STAGED", rows_loaded=counts["rows_loaded"], new_count=counts["new_count"],
                     changed_count=counts["changed_count"], unchanged_count=counts["unchanged_count"])
@@ -194,9 +210,8 @@ def merge_job(wh: Warehouse, spec: EntitySpec, job_id: int, file_name: str | Non
     """
     jobs = wh.jobs()
     try:
-        staged = wh.staged(spec, job_id)
         target = wh.final(spec)
-        deduped = dedup(staged, spec)
+        deduped = wh.deduped(spec, job_id)
         quarantine = spec.null_keys == "quarantine"
         nk = null_key(spec) if quarantine else F.lit(False)
         c = deduped.agg(F.count_if(nk).alias("held"), F.count_if(~nk).alias("merged")).first()
@@ -206,9 +221,9 @@ def merge_job(wh: Warehouse, spec: EntitySpec, job_id: int, file_name: str | Non
             wh.load_log().append(spec.name, file_name, "QUARANTINE", "WARNING", rows_processed=n_held,
                                  error_message=f"{n_held} rows with a NULL key part held back")
         if wh.merge_on_read:
-            target.publish_delta(delta_rows(staged, target.read(), spec))
+            target.publish_delta(delta_rows(deduped, target.read(), spec))
         else:
-            target.publish(merged_final(staged, target.read(), spec))
+            target.publish(merged_final(wh.staged(spec, job_id), target.read(), spec))
         drop_staging(wh, spec, job_id)
         jobs.append(job_id, "MERGED", rows_merged=merged)
         wh.load_log().append(spec.name, file_name, "MERGE", "SUCCESS", rows_processed=merged, rows_inserted=merged)
@@ -227,8 +242,9 @@ def _delete_dir(path: str) -> None:
 
 
 def drop_staging(wh: Warehouse, spec: EntitySpec, job_id: int) -> None:
-    """Remove one job's staging partition after its merge succeeded (K4)."""
+    """Remove one job's staging partitions after its merge succeeded (K4)."""
     _delete_dir(f"{wh.staging_path(spec)}/job_id={job_id}")
+    _delete_dir(f"{wh.dedup_path(spec)}/job_id={job_id}")
 
 
 def run_daily(wh: Warehouse, specs: dict[str, EntitySpec], selected: DataFrame, file_path) -> list[tuple]:
