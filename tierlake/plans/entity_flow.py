@@ -137,7 +137,6 @@ class Warehouse:
 
     def staging_schema(self, spec: EntitySpec):
         empty = self.spark.createDataFrame([], ",".join(f"`{c}` string" for c in spec.landing_columns()))
-        from tierlake.operators.dedup import with_arrival_seq  # noqa: F401
         empty = empty.withColumn("_seq", F.struct(F.lit("").alias("file"), F.lit(0).cast("bigint").alias("block"),
                                                   F.lit(0).cast("bigint").alias("row")))
         return stage(empty, spec, 0, "x").schema
@@ -157,6 +156,8 @@ class Warehouse:
         for spec in specs:
             self.final(spec).truncate()
             _delete_dir(self.staging_path(spec))
+            _delete_dir(self.dedup_path(spec))
+            _delete_dir(self.quarantine_path(spec))
         _delete_dir(f"{self.root}/jobs")
         _delete_dir(f"{self.root}/load_log")
 
