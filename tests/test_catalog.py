@@ -92,3 +92,16 @@ def test_watermark_and_modes(spark):
     assert I.since_watermark(src, empty, "ts").count() == 2
     assert I.sync_mode("FULL_ONLY", "X") == ("FULL", None)
     assert I.sync_mode("CODE_BASED", None) == ("INCREMENTAL", "LastUpdateDate")
+
+
+def test_delete_objects_dry_run_and_execute(spark, tmp_path):
+    for n in ("a-20200101_000000.zip", "b-20260301_000000.zip", "keep.zip"):
+        (tmp_path / n).write_text("x")
+    from tierlake.sources.zipped import list_zips
+    listing = list_zips(spark, str(tmp_path)).select("path", "file_name")
+    old = I.retention_candidates(listing, "file_name", F.lit(dt.datetime(2026, 3, 15)))
+    plan = I.delete_objects(old).collect()
+    assert [r.result for r in plan] == ["PLANNED"] and (tmp_path / "a-20200101_000000.zip").exists()
+    done = I.delete_objects(old, execute=True).collect()
+    assert [r.result for r in done] == ["DELETED"]
+    assert not (tmp_path / "a-20200101_000000.zip").exists() and (tmp_path / "keep.zip").exists()

@@ -118,3 +118,32 @@ def select_unprocessed_latest(files: DataFrame, jobs: DataFrame, now: Column,
     handled = jobs.where(F.col("status").isin(list(HANDLED_STATUSES))).select("file_name", "load_type")
     return latest.join(handled, ["file_name", "load_type"], "left_anti") \
         .select("file_name", "load_type", "file_timestamp")
+
+
+def delete_objects(candidates: DataFrame, path_col: str = "path", execute: bool = False) -> DataFrame:
+    """Delete the listed objects, one task per partition of the list (K11, K12).
+
+    With ``execute=False`` (the default) nothing is touched and every row is
+    reported as ``PLANNED``.  Deleting happens inside tasks, so a long list is
+    never pulled to the driver; a missing object is reported, not an error.
+    """
+    import pandas as pd
+
+    def run(batches):
+        from tierlake.sources import files
+        for pdf in batches:
+            out = []
+            for p in pdf[path_col]:
+                if not execute:
+                    out.append((p, "PLANNED"))
+                    continue
+                try:
+                    fs, inner = files.resolve(p)
+                    fs.delete_file(inner)
+                    out.append((p, "DELETED"))
+                except FileNotFoundError:
+                    out.append((p, "MISSING"))
+                except Exception as e:  # noqa: BLE001 - reported per object
+                    out.append((p, f"ERROR: {e}"[:400]))
+            yield pd.DataFrame(out, columns=[path_col, "result"])
+    return candidates.select(path_col).mapInPandas(run, f"{path_col} string, result string")
