@@ -204,7 +204,7 @@ def test_isolated_sources_and_report_log(spark, tmp_path):
                         on_error=lambda n, e: calls.append(f"err:{n}"))
     assert calls == ["a", "err:b", "c"] and "b: bad page" in str(ei.value)
     from tierlake.plans.joblog import REPORT_STATUSES, JobLog
-    log = JobLog(spark, str(tmp_path / "bip"), statuses=REPORT_STATUSES)
+    log = JobLog(spark, str(tmp_path / "reports"), statuses=REPORT_STATUSES)
     log.append(1, "RUNNING", load_type="GALLUP", rows_loaded=10)
     log.append(1, "SUCCESS", rows_merged=8)
     cur = log.current().first()

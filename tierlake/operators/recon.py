@@ -24,7 +24,7 @@ STATUSES = ("OK", "VARIANCE", "ERROR")
 class ReconSource:
     entity_name: str
     local_table: str
-    source_type: str = "BICC"
+    source_type: str = "EXTRACT"
     count_method: str = "BIP_COUNT"        # or REST_TOTAL
     entity_key: str | None = None          # key in the source rowset
     count_expr: str | None = None          # e.g. "count(DISTINCT location_id)"

@@ -21,7 +21,7 @@ from tierlake.operators.dedup import latest_per_key
 
 
 class DuplicateKeyError(ValueError):
-    """A MERGE source that matches one target row twice (ORA-30926 in spirit)."""
+    """A MERGE source that would match one target row twice."""
 
 
 def _key_eq(keys: Sequence[str], left: str, right: str) -> Column:

@@ -595,7 +595,7 @@ src AS (
   UNION ALL SELECT 'SUPPLIER', (SELECT count(DISTINCT l_suppkey) FROM lineitem)
   UNION ALL SELECT 'NATION', (SELECT count(*) FROM nation)
   UNION ALL SELECT 'USER', (SELECT count(DISTINCT user_id) FROM events))
-SELECT l.entity_name, 'BICC' AS source_type, l.local_table_name,
+SELECT l.entity_name, 'EXTRACT' AS source_type, l.local_table_name,
   CAST(l.local_count AS DOUBLE) AS local_count, CAST(s.source_count AS DOUBLE) AS source_count,
   CAST(s.source_count - l.local_count AS DOUBLE) AS delta,
   CASE WHEN s.source_count IS NULL THEN NULL WHEN s.source_count > 0
