@@ -95,3 +95,10 @@ def test_misc_helpers(spark):
     assert [r[0] for r in df.select(C.id_in_list("i", "l")).collect()] == [True, False, None]
     df = spark.createDataFrame([(-5, 100), (3, 0), (1, 3)], "d bigint, n bigint")
     assert [float(r[0]) for r in df.select(C.pct_delta("d", "n")).collect()] == [5.0, 0.0, 33.33]
+
+
+def test_strict_iso_blank_before_zone(spark):
+    got = one(spark, lambda c: F.unix_micros(C.strict_iso_timestamp(c, C.ISO_OFFSET_BLANK_FORMAT)),
+              ["2026-03-09T18:31:43.5 -05:00"])
+    exp = dt.datetime(2026, 3, 9, 23, 31, 43, 500000, tzinfo=dt.timezone.utc)
+    assert got == [int(exp.timestamp() * 1_000_000)]

@@ -31,6 +31,7 @@ NUMBER = "decimal(38,10)"
 # Offset (e.g. +05:30, -00:00) at the end of an ISO text.
 RE_TRAILING_OFFSET = r"[+-]\d{2}:\d{2}$"
 ISO_OFFSET_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]XXX"
+ISO_OFFSET_BLANK_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS] XXX"    # a blank before the zone
 ISO_LOCAL_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS]"
 # Watermark text sent to REST filters.
 WATERMARK_TEXT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'.000Z'"
