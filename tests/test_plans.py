@@ -211,3 +211,28 @@ def test_isolated_sources_and_report_log(spark, tmp_path):
     assert (cur.status, cur.rows_loaded, cur.rows_merged) == ("SUCCESS", 10, 8)
     with pytest.raises(ValueError):
         log.append(2, "MERGED")
+
+
+def test_flex_report_feeds_decode_views(spark, tmp_path):
+    from pyspark.sql.types import StructType
+    from tierlake.plans.reports import BIP_DFF, EXT_FLEX_STG, typed_rows
+    xml = """<DATA_DS><ROW><PERSON_EXTRA_INFO_ID>5</PERSON_EXTRA_INFO_ID><PERSON_ID>9</PERSON_ID>
+    <INFORMATION_TYPE>GCS Retirement</INFORMATION_TYPE><PEI_INFO1>Y</PEI_INFO1><PEI_DATE1>2020/01/01</PEI_DATE1></ROW>
+    <ROW><PERSON_EXTRA_INFO_ID>5</PERSON_EXTRA_INFO_ID><INFORMATION_TYPE>GCS Retirement</INFORMATION_TYPE>
+    <PEI_INFO1>N</PEI_INFO1></ROW><ROW><PERSON_ID>1</PERSON_ID></ROW></DATA_DS>"""
+    (tmp_path / "flex.xml").write_text(xml)
+    schema = typed_rows(spark, str(tmp_path / "flex.xml"), EXT_FLEX_STG).drop("_seq").schema
+    target = SnapshotTable(spark, str(tmp_path / "flex"), schema)
+    assert load_report(spark, str(tmp_path / "flex.xml"), EXT_FLEX_STG, target) == 3
+    got = target.read().collect()
+    assert len(got) == 1 and got[0].pei_info1 == "Y"          # first row per key in document order
+    ret = decode_view(target.read(), "ext_flex_retirement_v").first()
+    assert (ret.working_retiree, ret.sc_retirement_date) == ("Y", "2020/01/01")
+    dff = """<DATA_DS><ROW><DFF_CODE>D</DFF_CODE><CONTEXT_CODE>C</CONTEXT_CODE><SEGMENT_IDENTIFIER>S</SEGMENT_IDENTIFIER>
+    <LAST_UPDATE_DATE>2026-03-09T18:31:43.000+00:00</LAST_UPDATE_DATE></ROW><ROW><DFF_NAME>no code</DFF_NAME></ROW></DATA_DS>"""
+    (tmp_path / "dff.xml").write_text(dff)
+    sch = typed_rows(spark, str(tmp_path / "dff.xml"), BIP_DFF).drop("_seq").schema
+    t2 = SnapshotTable(spark, str(tmp_path / "dff"), sch)
+    load_report(spark, str(tmp_path / "dff.xml"), BIP_DFF, t2)
+    rows = t2.read().collect()
+    assert len(rows) == 1 and rows[0].last_update_date == dt.datetime(2026, 3, 9, 18, 31, 43)

@@ -27,6 +27,7 @@ class ReportSpec:
     columns: tuple[Col, ...]           # source = XML element name
     keys: tuple[str, ...] = ()
     policy: str = "first_per_key"      # first_per_key | strict | replace
+    require: tuple[str, ...] = ()      # rows whose columns are NULL here are skipped
 
     def elements(self) -> list[str]:
         out: list[str] = []
@@ -46,6 +47,8 @@ def load_report(spark: SparkSession, paths: str | Sequence[str], spec: ReportSpe
     """Load one landed report into ``target``; returns the source row count."""
     rows = require_rows(typed_rows(spark, paths, spec), spec.name)
     n = rows.count()
+    for c in spec.require:
+        rows = rows.where(F.col(c).isNotNull())
     if spec.policy == "replace":
         target.publish(rows.drop("_seq"))
         return n
@@ -66,3 +69,24 @@ GALLUP = ReportSpec(
              Col("score", "SCORE", "num:decimal(10,2)"), Col("requisition_id", "REQUISITION_ID", "num:bigint"),
              Col("requisition_title", "REQUISITION_TITLE"), Col("person_id", "PERSON_ID", "num:bigint"),
              Col("candidate_name", "CANDIDATE_NAME"), Col("gallup_result_url", "GALLUP_RESULT_URL")))
+
+# The flexfield staging report (element -> column, all text but the ids).
+EXT_FLEX_STG = ReportSpec(
+    name="EXT_FLEX", keys=("person_extra_info_id",), require=("person_extra_info_id",),
+    columns=(Col("candidate_number", "CANDIDATE_NUMBER"), Col("person_id", "PERSON_ID", "num:bigint"),
+             Col("person_extra_info_id", "PERSON_EXTRA_INFO_ID", "num:bigint"),
+             Col("information_type", "INFORMATION_TYPE"), Col("pei_information_category", "PEI_INFORMATION_CATEGORY"),
+             Col("effective_start_date", "EFFECTIVE_START_DATE"), Col("effective_end_date", "EFFECTIVE_END_DATE"),
+             *[Col(f"pei_info{i}", f"PEI_INFO{i}") for i in range(1, 17)],
+             *[Col(f"pei_date{i}", f"PEI_DATE{i}") for i in range(1, 3)],
+             *[Col(f"pei_num{i}", f"PEI_NUM{i}") for i in range(1, 7)]))
+
+# The descriptive-flexfield configuration report; strict (no dedup).
+BIP_DFF = ReportSpec(
+    name="DFF", keys=("dff_code", "context_code", "segment_identifier"), policy="strict", require=("dff_code",),
+    columns=(Col("dff_code", "DFF_CODE"), Col("dff_name", "DFF_NAME"), Col("context_code", "CONTEXT_CODE"),
+             Col("segment_code", "SEGMENT_CODE"), Col("segment_identifier", "SEGMENT_IDENTIFIER"),
+             Col("required_flag", "REQUIRED_FLAG"), Col("data_type", "DATA_TYPE"), Col("table_name", "TABLE_NAME"),
+             Col("column_name", "COLUMN_NAME"), Col("value_set_code", "VALUE_SET_CODE"),
+             Col("last_update_date", "LAST_UPDATE_DATE", "iso"), Col("deployment_status", "DEPLOYMENT_STATUS"),
+             Col("module_name", "MODULE_NAME")))

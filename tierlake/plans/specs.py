@@ -24,7 +24,8 @@ class Col:
 
     ``source``: a landing header name, or a tuple of names (first non-NULL).
     ``cast``: ``str`` | ``blank`` (trim, '' -> NULL) | ``num`` | ``num:<type>`` |
-    ``ts`` (tolerant timestamp) | ``date`` (timestamp truncated to seconds).
+    ``ts`` (tolerant timestamp) | ``date`` (timestamp truncated to seconds) |
+    ``iso`` / ``iso:<format>`` (strict ISO with offset, as UTC wall clock).
     """
     target: str
     source: str | tuple[str, ...]
@@ -44,6 +45,11 @@ class Col:
             out = safe_timestamp(v)
         elif kind == "date":
             out = F.date_trunc("second", safe_timestamp(v)).cast("timestamp_ntz")
+        elif kind == "iso":
+            # strict ISO text with offset (malformed text raises) -> UTC wall clock
+            from tierlake.functions.casts import ISO_OFFSET_FORMAT, strict_iso_timestamp
+            fmt = arg or ISO_OFFSET_FORMAT
+            out = F.to_utc_timestamp(strict_iso_timestamp(v, fmt), F.current_timezone()).cast("timestamp_ntz")
         else:
             raise ValueError(f"unknown cast {self.cast}")
         return out.alias(self.target)
