@@ -236,3 +236,28 @@ def test_flex_report_feeds_decode_views(spark, tmp_path):
     load_report(spark, str(tmp_path / "dff.xml"), BIP_DFF, t2)
     rows = t2.read().collect()
     assert len(rows) == 1 and rows[0].last_update_date == dt.datetime(2026, 3, 9, 18, 31, 43)
+
+
+def test_questionnaire_and_user_reports(spark, tmp_path):
+    from tierlake.plans.reports import BIP_QUESTIONNAIRES, FA_USER_ACCOUNTS, FA_USER_ROLES, typed_rows
+    q = """<DATA_DS><ROW><QUESTIONNAIRE_CODE>Q</QUESTIONNAIRE_CODE><QUESTION_CODE>A</QUESTION_CODE>
+    <QSTNR_PARTICIPANT_ID> 12 </QSTNR_PARTICIPANT_ID><REQUISITION_ID>7</REQUISITION_ID>
+    <RESPONSE_SUBMITTED_DATE>2026-03-09T18:31:43-05:00</RESPONSE_SUBMITTED_DATE></ROW>
+    <ROW><QUESTIONNAIRE_CODE>Q</QUESTIONNAIRE_CODE><QUESTION_CODE>A</QUESTION_CODE>
+    <QSTNR_PARTICIPANT_ID>x1</QSTNR_PARTICIPANT_ID><REQUISITION_ID>7</REQUISITION_ID></ROW></DATA_DS>"""
+    (tmp_path / "q.xml").write_text(q)
+    rows = typed_rows(spark, str(tmp_path / "q.xml"), BIP_QUESTIONNAIRES).collect()
+    assert len(rows) == 1 and rows[0].qstnr_participant_id == 12
+    assert rows[0].response_submitted_date == dt.datetime(2026, 3, 9, 23, 31, 43)
+    u = """<DATA_DS><ROW><USER_GUID>G</USER_GUID><USERNAME>first</USERNAME></ROW>
+    <ROW><USER_GUID>G</USER_GUID><USERNAME>second</USERNAME></ROW></DATA_DS>"""
+    (tmp_path / "u.xml").write_text(u)
+    sch = typed_rows(spark, str(tmp_path / "u.xml"), FA_USER_ACCOUNTS).drop("_seq").schema
+    t = SnapshotTable(spark, str(tmp_path / "users"), sch)
+    load_report(spark, str(tmp_path / "u.xml"), FA_USER_ACCOUNTS, t)
+    assert [r.username for r in t.read().collect()] == ["first"]
+    r = """<DATA_DS><ROW><USER_GUID>G</USER_GUID><ROLE_NAME>R</ROLE_NAME>
+    <EFFECTIVE_END_DATE>2026-12-31T00:00:00.000 +00:00</EFFECTIVE_END_DATE></ROW></DATA_DS>"""
+    (tmp_path / "r.xml").write_text(r)
+    got = typed_rows(spark, str(tmp_path / "r.xml"), FA_USER_ROLES).first()
+    assert got.effective_end_date == dt.datetime(2026, 12, 31)

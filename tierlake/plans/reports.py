@@ -28,6 +28,7 @@ class ReportSpec:
     keys: tuple[str, ...] = ()
     policy: str = "first_per_key"      # first_per_key | strict | replace
     require: tuple[str, ...] = ()      # rows whose columns are NULL here are skipped
+    where: object = None               # optional callable() -> Column on the raw element text
 
     def elements(self) -> list[str]:
         out: list[str] = []
@@ -39,6 +40,8 @@ class ReportSpec:
 def typed_rows(spark: SparkSession, paths: str | Sequence[str], spec: ReportSpec) -> DataFrame:
     raw = read_rowset(spark, paths, spec.elements())
     raw = raw.select(*[F.col(e.lower()).alias(e) for e in spec.elements()], "_seq")
+    if spec.where is not None:
+        raw = raw.where(spec.where())
     return raw.select(*[c.expr() for c in spec.columns], "_seq")
 
 
@@ -90,3 +93,44 @@ BIP_DFF = ReportSpec(
              Col("column_name", "COLUMN_NAME"), Col("value_set_code", "VALUE_SET_CODE"),
              Col("last_update_date", "LAST_UPDATE_DATE", "iso"), Col("deployment_status", "DEPLOYMENT_STATUS"),
              Col("module_name", "MODULE_NAME")))
+
+
+def _digits(c: str):
+    return F.trim(F.col(c)).rlike(r"^\d+$")
+
+
+# The questionnaire report; ids are accepted only as digit strings.
+_Q_TEXT = ("questionnaire_code question_code qstn_response_id qstnr_version_num questionnaire_name section_seq_num "
+           "question_seq_num question_text question_type participant_type participant_id subject_code subject_id "
+           "qstnr_response_id attempt_num submission_id answer_text candidate_person_id candidate_number "
+           "candidate_name recruiting_type requisition_title answer_mode").split()
+_Q_DATES = ("questionnaire_def_creation_date questionnaire_def_last_update_date questionnaire_issued_date "
+            "response_creation_date response_last_update_date response_submitted_date").split()
+BIP_QUESTIONNAIRES = ReportSpec(
+    name="QUESTIONNAIRES", policy="strict",
+    keys=("questionnaire_code", "question_code", "qstnr_participant_id", "requisition_id"),
+    require=("questionnaire_code", "question_code"),
+    where=lambda: _digits("QSTNR_PARTICIPANT_ID") & _digits("REQUISITION_ID"),
+    columns=(*[Col(c, c.upper()) for c in _Q_TEXT[:2]],
+             Col("qstnr_participant_id", "QSTNR_PARTICIPANT_ID", "num:bigint"),
+             Col("requisition_id", "REQUISITION_ID", "num:bigint"),
+             *[Col(c, c.upper()) for c in _Q_TEXT[2:]],
+             *[Col(c, c.upper(), "iso") for c in _Q_DATES]))
+
+# User accounts (first row per user GUID) and user roles (full refresh).
+FA_USER_ACCOUNTS = ReportSpec(
+    name="USER_ACCOUNTS", keys=("user_guid",), require=("user_guid",),
+    columns=(Col("username", "USERNAME"), Col("user_id", "USER_ID", "num:bigint"), Col("user_guid", "USER_GUID"),
+             Col("person_id", "PERSON_ID", "num:bigint"), Col("active_flag", "ACTIVE_FLAG"),
+             Col("hr_terminated", "HR_TERMINATED"), Col("suspended", "SUSPENDED"),
+             Col("credentials_email_sent", "CREDENTIALS_EMAIL_SENT"), Col("user_first_name", "USER_FIRST_NAME"),
+             Col("user_last_name", "USER_LAST_NAME"), Col("user_email", "USER_EMAIL"),
+             Col("user_category", "USER_CATEGORY"), Col("ase_user_id", "ASE_USER_ID", "num:bigint"),
+             Col("person_number", "PERSON_NUMBER")))
+
+FA_USER_ROLES = ReportSpec(
+    name="USER_ROLES", policy="replace",
+    columns=(Col("user_id", "USER_ID", "num:bigint"), Col("user_guid", "USER_GUID"),
+             Col("ase_role_id", "ASE_ROLE_ID", "num:bigint"), Col("role_common_name", "ROLE_COMMON_NAME"),
+             Col("type_code", "TYPE_CODE"), Col("role_name", "ROLE_NAME"),
+             Col("effective_end_date", "EFFECTIVE_END_DATE", "iso:yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS] XXX")))
