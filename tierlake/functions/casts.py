@@ -24,7 +24,7 @@ RE_ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
 RE_ISO_DATETIME = r"^\d{4}-\d{2}-\d{2}\s+\d{2}:\d{2}:\d{2}(\.\d+)?$"
 # File names carry their extract time as -YYYYMMDD_HHMMSS.zip (any case).
 RE_FILE_TS = r"(?i)-(\d{8}_\d{6})\.zip"
-# Fraction digits the source accepts (FF = up to 9).
+# Fraction digits the source accepts (FF = up to 9); built into RE_ISO_ANY below.
 MAX_FRACTION_DIGITS = 9
 # Default numeric staging type: unconstrained NUMBER.
 NUMBER = "decimal(38,10)"
@@ -69,31 +69,28 @@ def safe_timestamp(c: ColumnOrName) -> Column:
 
     An offset such as ``+00:00`` makes the value NULL; a trailing ``Z`` is
     dropped, not converted.  Invalid calendar dates are NULL.  Fractions
-    longer than microseconds are truncated.
+    longer than microseconds are truncated; more than nine digits is NULL.
+
+    Evaluation is kept cheap (this runs on every staged timestamp value):
+    the ``T`` form is normalised with literal replaces, both ISO forms are
+    validated by one pattern, and ``M/D/YYYY`` is split rather than matched
+    group by group.  A text containing ``T`` can never satisfy the other
+    forms, so checking the normalised text is equivalent to trying the four
+    forms in order.
     """
     v = F.trim(_c(c))
-    us_iso = F.concat(
-        F.regexp_extract(v, r"^(\d{1,2})/(\d{1,2})/(\d{4})$", 3), F.lit("-"),
-        F.lpad(F.regexp_extract(v, r"^(\d{1,2})/", 1), 2, "0"), F.lit("-"),
-        F.lpad(F.regexp_extract(v, r"^\d{1,2}/(\d{1,2})/", 1), 2, "0"))
-    t_form = F.regexp_replace(F.regexp_replace(v, "T", " "), "Z+$", "")
-    return (
-        F.when(v.rlike(RE_US_DATE), _ts_text(us_iso))
-        .when(v.rlike(RE_ISO_DATE), _ts_text(v))
-        .when(v.rlike(RE_ISO_DATETIME), _ts_text(v))
-        .when(F.instr(v, "T") > 0,
-              F.when(t_form.rlike(RE_ISO_DATETIME), _ts_text(t_form)))
-    )
-
-
-def _ts_text(v: Column) -> Column:
-    """ISO date or date-time text (validated by regex) -> timestamp_ntz or NULL."""
-    norm = F.regexp_replace(v, r"\s+", " ")
-    frac = F.regexp_extract(norm, r"\.(\d+)$", 1)
-    too_long = F.length(frac) > MAX_FRACTION_DIGITS
-    # keep at most microseconds: the cast would reject longer fractions
-    trimmed = F.regexp_replace(norm, r"(\.\d{1,6})\d*$", "$1")
-    return F.when(~too_long, trimmed.try_cast("timestamp_ntz"))
+    has_t = F.instr(v, "T") > 0
+    t = F.when(has_t, F.regexp_replace(F.replace(v, F.lit("T"), F.lit(" ")), "Z+$", "")).otherwise(v)
+    iso = t.rlike(RE_ISO_ANY)
+    parts = F.split(v, "/")
+    us_iso = F.concat(parts.getItem(2), F.lit("-"), parts.getItem(0), F.lit("-"), parts.getItem(1))
+    return (F.when(iso, F.regexp_replace(t, r"\s+", " ").try_cast("timestamp_ntz"))
+            .when(~has_t & v.rlike(RE_US_DATE), us_iso.try_cast("timestamp_ntz")))
+
+
+# Both ISO forms at once: date, optionally followed by a time with at most
+# nine fraction digits (the source accepts up to nine).
+RE_ISO_ANY = r"^\d{4}-\d{2}-\d{2}(\s+\d{2}:\d{2}:\d{2}(\.\d{1,9})?)?$"
 
 
 def strict_iso_timestamp(c: ColumnOrName, fmt: str = ISO_OFFSET_FORMAT) -> Column:
