@@ -41,9 +41,14 @@ def stage(landing: DataFrame, spec: EntitySpec, job_id: int, run_id: str | None
     Run id and time are fixed once on the driver, so a re-executed task
     writes the same values.
     """
-    df = landing
+    from tierlake.plans.specs import Col
+    # all plain columns in one projection (they read landing columns only);
+    # derived columns may read earlier staging columns, so they follow in order
+    plain = {c.target: c.expr() for c in spec.columns if isinstance(c, Col)}
+    df = landing.withColumns(plain) if plain else landing
     for c in spec.columns:
-        df = df.withColumn(c.target, c.expr())
+        if not isinstance(c, Col):
+            df = df.withColumn(c.target, c.expr())
     run = run_id or uuid.uuid4().hex
     ts = run_ts or _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
     return df.select(
