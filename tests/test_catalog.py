@@ -105,3 +105,12 @@ def test_delete_objects_dry_run_and_execute(spark, tmp_path):
     done = I.delete_objects(old, execute=True).collect()
     assert [r.result for r in done] == ["DELETED"]
     assert not (tmp_path / "a-20200101_000000.zip").exists() and (tmp_path / "keep.zip").exists()
+
+
+def test_orphan_audit_counts_and_sample(spark):
+    from tierlake.operators.audit import orphan_audit, orphan_sample
+    child = spark.createDataFrame([(1,), (2,), (2,), (9,), (8,), (None,)], "p int")
+    parent = spark.createDataFrame([(1,), (2,)], "id int")
+    res = orphan_audit([("c->p", child, parent, ["p"], ["id"])]).first()
+    assert (res.child_rows, res.orphan_rows) == (6, 2)
+    assert [r.p for r in orphan_sample(child, parent, ["p"], ["id"], n=1).collect()] == [8]

@@ -60,3 +60,14 @@ def orphan_audit(pairs: Sequence[tuple[str, DataFrame, DataFrame, Sequence[str],
             F.coalesce(F.sum(F.when(nn & F.col("__hit").isNull(), F.col("__n"))), F.lit(0))
             .cast("bigint").alias("orphan_rows")))
     return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def orphan_sample(child: DataFrame, parent: DataFrame, child_keys: Sequence[str],
+                  parent_keys: Sequence[str], n: int = 20) -> DataFrame:
+    """Up to ``n`` distinct orphan references (the sample shown next to the counts).
+
+    The sample size is the feature here; the counts come from
+    :func:`orphan_audit`, which always covers every row.
+    """
+    refs = orphans(child.select(*child_keys), parent, child_keys, parent_keys).distinct()
+    return refs.orderBy(*child_keys).limit(n)
