@@ -261,3 +261,13 @@ def test_questionnaire_and_user_reports(spark, tmp_path):
     (tmp_path / "r.xml").write_text(r)
     got = typed_rows(spark, str(tmp_path / "r.xml"), FA_USER_ROLES).first()
     assert got.effective_end_date == dt.datetime(2026, 12, 31)
+
+
+def test_page_dataset_strict_duplicates(spark, tmp_path):
+    (tmp_path / "g_p1.json").write_text(json.dumps({"items": [
+        {"GradeId": 1, "Name": "a"}, {"GradeId": 1, "Name": "b"}]}))
+    pages = read_pages(spark, str(tmp_path / "g_p1.json"), RD.DIM_GRADE.item_schema())
+    assert [r.grade_name for r in RD.page_dataset(pages, RD.DIM_GRADE).collect()] == ["b"]
+    from tierlake.operators.upsert import DuplicateKeyError
+    with pytest.raises(DuplicateKeyError):
+        RD.page_dataset(pages, RD.DIM_GRADE, strict=True)

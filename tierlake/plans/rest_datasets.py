@@ -186,8 +186,12 @@ def _kind(col: str, kind: str):
     return F.col(col)
 
 
-def page_dataset(pages: DataFrame, ds: PageDataset) -> DataFrame:
-    """Folded rows of one dataset over all landed pages (later pages win)."""
+def page_dataset(pages: DataFrame, ds: PageDataset, strict: bool = False) -> DataFrame:
+    """Folded rows of one dataset over all landed pages (later pages win).
+
+    ``strict`` makes a key that repeats inside one page an error (a MERGE
+    source may not match a row twice); otherwise the later row of the page wins.
+    """
     items = page_items(pages).withColumn("_seq", F.col("_pos"))
     if ds.child is None:
         rows = items.select("page_no", "_seq", *[_kind(j, k).alias(c) for j, c, k in ds.fields])
@@ -199,6 +203,9 @@ def page_dataset(pages: DataFrame, ds: PageDataset) -> DataFrame:
                         *[_kind(f"__c.{j}", k).alias(c) for j, c, k in ds.fields])
     for c in ds.require:
         rows = rows.where(F.col(c).isNotNull())
+    if strict:
+        from tierlake.operators.upsert import check_unique
+        check_unique(rows, [*ds.key, "page_no"])
     return fold_pages(rows, list(ds.key), "page_no", "_seq").drop("page_no", "_seq")
 
 
