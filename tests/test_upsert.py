@@ -112,3 +112,13 @@ def test_merge_on_read_matches_copy_on_write(spark, tmp_path):
         assert rows(mor.read()) == rows(cow.read())
     st = mor.state()
     assert len(st["deltas"]) < 3          # compaction folded the deltas into a base
+
+
+def test_newest_wins_is_order_independent(spark):
+    order = [F.col("x").desc_nulls_last(), F.col("v").asc()]
+    b1 = spark.createDataFrame([(1, "a", 5), (2, "b", 1)], SCHEMA)
+    b2 = spark.createDataFrame([(1, "z", 3), (2, "c", 9), (3, "d", 0)], SCHEMA)
+    empty = spark.createDataFrame([], SCHEMA)
+    one_way = U.upsert_newest(U.upsert_newest(empty, b1, ["k"], order), b2, ["k"], order)
+    other_way = U.upsert_newest(U.upsert_newest(empty, b2, ["k"], order), b1, ["k"], order)
+    assert rows(one_way) == rows(other_way) == [(1, "a", 5), (2, "c", 9), (3, "d", 0)]
