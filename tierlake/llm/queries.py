@@ -5,19 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import simhash
+from tierlake.llm import pieces, simhash
+
+#: The vocabulary file of a public tokenizer; not part of the repository.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    found = pieces.encode(docs, PIECE_MODEL, n_best=4)
+    return found.select("doc_id", "n_pieces", "score", "ids", "alternatives", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_read(spark, sf_dir, "documents"), words=4, max_bits=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op10_simhash": op10_simhash,
 }
 
