@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import pieces, simhash
+from tierlake.llm import pieces, simhash, warc
+from tierlake.llm.base import scratch
 
 #: The vocabulary file of a public tokenizer; not part of the repository.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -21,6 +22,13 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_pieces", "score", "ids", "alternatives", F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch(spark, "warc")
+    warc.write(_read(spark, sf_dir, "pages"), folder, shard_bytes=16 << 20, roll_bytes=4 << 20)
+    found = warc.read(spark, folder)
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "sound")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_read(spark, sf_dir, "documents"), words=4, max_bits=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -28,6 +36,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_warc": op2_warc,
     "op10_simhash": op10_simhash,
 }
 
