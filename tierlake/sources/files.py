@@ -16,6 +16,8 @@ def resolve(path: str):
     if u.scheme in ("", "file"):
         p = u.path if u.scheme == "file" else path
         return fs.LocalFileSystem(), p
+    if u.scheme in ("s3a", "s3n"):  # the names Hadoop's connectors use for the same store
+        path = "s3" + path[3:]
     return fs.FileSystem.from_uri(path)
 
 
