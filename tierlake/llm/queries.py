@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import fingerprints, pieces, simhash, warc
+from tierlake.llm import fingerprints, pieces, quality, simhash, warc
 from tierlake.llm.base import scratch
 
 #: The vocabulary file of a public tokenizer; not part of the repository.
@@ -29,6 +29,13 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "sound")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    weight, noise, least = quality.resample(docs, _read(spark, sf_dir, "labels"))
+    return docs.select("doc_id", weight.alias("log_weight"), noise.alias("noise")) \
+        .withColumn("selected", F.col("log_weight") + F.col("noise") >= F.lit(least))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_neighbours(_read(spark, sf_dir, "documents"), words=5, k=128, shard_bytes=16 << 20)
 
@@ -41,6 +48,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
+    "op3_quality": op3_quality,
     "op5_fingerprints": op5_fingerprints,
     "op10_simhash": op10_simhash,
 }

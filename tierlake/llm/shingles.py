@@ -35,35 +35,48 @@ class Powers:
         return self.up[:n], self.down[:n]
 
 
-def word_hashes(raws: list[bytes], powers: Powers) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of some texts in order, and of each text how many words it has.
+def chunks(raws: list[bytes]) -> list[tuple[int, int]]:
+    """Index ranges of about ``AT_ONCE`` bytes together."""
+    out, at = [], 0
+    while at < len(raws):
+        held, end = 0, at
+        while end < len(raws) and (end == at or held + len(raws[end]) <= AT_ONCE):
+            held += len(raws[end])
+            end += 1
+        out.append((at, end))
+        at = end
+    return out
 
-    Words end at space, tab, line feed, vertical tab, form feed and carriage return.
-    """
+
+def tokens(raws: list[bytes], powers: Powers, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal runs of bytes of one kind (``kind[byte]``; 0 is left out): joined bytes, starts, ends, hashes, and runs per text."""
     sizes = np.fromiter(map(len, raws), np.int64, len(raws)) + 1
     data = np.frombuffer(b" ".join(raws) + b" ", np.uint8)
-    blank = _SPACE[data]
-    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
-    if len(data) and not blank[0]:
-        edge = np.concatenate(([0], edge))
-    starts, ends = edge[0::2], edge[1::2]
+    k = kind[data]
+    starts = np.concatenate(([0], np.flatnonzero(k[1:] != k[:-1]) + 1))
+    ends = np.concatenate((starts[1:], [len(data)]))
+    real = k[starts] > 0
+    starts, ends = starts[real], ends[real]
     up, down = powers.of(len(data))
     total = np.concatenate((np.zeros(1, np.uint64), np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up, dtype=np.uint64)))
     h = mix((total[ends] - total[starts]) * down[starts])
-    limits = np.cumsum(sizes)
-    upto = np.searchsorted(starts, limits)
-    return h, np.diff(np.concatenate(([0], upto)))
+    upto = np.searchsorted(starts, np.cumsum(sizes))
+    return data, starts, ends, h, np.diff(np.concatenate(([0], upto)))
+
+
+def word_hashes(raws: list[bytes], powers: Powers) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of some texts in order, and of each text how many words it has.
+
+    Words end at space, tab, line feed, vertical tab, form feed and carriage return.
+    """
+    *_, h, counts = tokens(raws, powers, (~_SPACE).astype(np.uint8))
+    return h, counts
 
 
 def shingle_hashes(raws: list[bytes], words: int, powers: Powers) -> list[np.ndarray]:
     """Of each text the hashes of its shingles, repeats included; a text of fewer words is one shingle, none without words."""
     out: list[np.ndarray] = []
-    at = 0
-    while at < len(raws):
-        held, end = 0, at
-        while end < len(raws) and (end == at or held + len(raws[end]) <= AT_ONCE):
-            held += len(raws[end])
-            end += 1
+    for at, end in chunks(raws):
         h, counts = word_hashes(raws[at:end], powers)
         factor = [np.uint64(pow(_R, 2 * k + 3, 1 << 64)) for k in range(words)]
         n = len(h) - words + 1
@@ -84,5 +97,4 @@ def shingle_hashes(raws: list[bytes], words: int, powers: Powers) -> list[np.nda
             else:
                 out.append(np.zeros(0, np.uint64))
             first += c
-        at = end
     return out
