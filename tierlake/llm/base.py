@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +34,12 @@ def discard(table: DataFrame) -> None:
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def released(spark: SparkSession) -> None:
+    """Let Spark's cleaner delete the shuffle files of finished jobs now; it acts on the driver's garbage collection."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``doc_id`` (long) and ``text`` (NULL becomes empty) of a table, whatever else it holds."""
     ship_package(docs.sparkSession)
@@ -40,6 +47,11 @@ def rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also where ``use`` has it inside a lambda."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def all_of(conditions: list[Column]) -> Column:
     out = conditions[0]
     for c in conditions[1:]:

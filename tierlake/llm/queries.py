@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import fingerprints, pieces, quality, simhash, warc
+from tierlake.llm import fingerprints, linededup, pieces, quality, simhash, warc
 from tierlake.llm.base import scratch
 
 #: The vocabulary file of a public tokenizer; not part of the repository.
@@ -40,6 +40,11 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_neighbours(_read(spark, sf_dir, "documents"), words=5, k=128, shard_bytes=16 << 20)
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = linededup.report(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", F.size("removed_lines").alias("n_removed"), F.array_join(F.col("removed_lines").cast("array<string>"), ",").alias("removed_lines"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_read(spark, sf_dir, "documents"), words=4, max_bits=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -50,7 +55,10 @@ QUERIES = {
     "op2_warc": op2_warc,
     "op3_quality": op3_quality,
     "op5_fingerprints": op5_fingerprints,
+    "op7_line_dedup": op7_line_dedup,
     "op10_simhash": op10_simhash,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op7_line_dedup": f"SELECT doc_id, n_lines, len(removed_lines)::INT AS n_removed, array_to_string(removed_lines, ',') AS removed_lines FROM ({linededup.ORACLE})",
+}
