@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import fingerprints, linededup, pieces, quality, simhash, warc
+from tierlake.llm import fingerprints, linededup, pieces, quality, simhash, toxicity, warc
 from tierlake.llm.base import scratch
 
 #: The vocabulary file of a public tokenizer; not part of the repository.
@@ -36,6 +36,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         .withColumn("selected", F.col("log_weight") + F.col("noise") >= F.lit(least))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"), threshold=0.7)
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_neighbours(_read(spark, sf_dir, "documents"), words=5, k=128, shard_bytes=16 << 20)
 
@@ -54,6 +58,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
     "op3_quality": op3_quality,
+    "op4_toxicity": op4_toxicity,
     "op5_fingerprints": op5_fingerprints,
     "op7_line_dedup": op7_line_dedup,
     "op10_simhash": op10_simhash,
