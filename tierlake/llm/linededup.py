@@ -37,11 +37,13 @@ def _words(line: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.translate(line, "\t\r\f\v", "    ")), " "), "")
 
 
-def _shingles(words: Column, n: int) -> Column:
-    """Distinct 44-bit hashes of the word shingles."""
-    mask = F.lit((1 << 44) - 1)
-    return let(F.transform(words, lambda w: F.xxhash64(w)), lambda h: F.transform(
-        F.sequence(F.lit(0), F.size(h) - n), lambda i: F.xxhash64(*[F.get(h, i + k) for k in range(n)]).bitwiseAND(mask)))
+def _shingle(words: Column, i: Column) -> Column:
+    """A 44-bit hash of the shingle that starts at word i."""
+    return F.xxhash64(*[F.get(words, i + k) for k in range(WORDS)]).bitwiseAND(F.lit((1 << 44) - 1))
+
+
+def _starts(words: Column) -> Column:
+    return F.sequence(F.lit(0), F.size(words) - WORDS)
 
 
 def _text_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -57,7 +59,8 @@ def _bucket(token: Column) -> Column:
 
 def rarity(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Column:
     """An array literal of ``BUCKETS`` counts over the shingles of all lines."""
-    tokens = _text_lines(docs, id_col, text_col).select(F.explode(_shingles(F.col("words"), WORDS)).alias("t"))
+    tokens = _text_lines(docs, id_col, text_col).select("words", F.explode(_starts(F.col("words"))).alias("i")) \
+        .select(_shingle(F.col("words"), F.col("i")).alias("t"))
     got = tokens.groupBy(_bucket(F.col("t")).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()  # at most BUCKETS rows
     counts = [0] * BUCKETS
     for r in got:
@@ -69,7 +72,8 @@ def rarity(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> C
 
 def _tokens(words: Column, counts: Column) -> Column:
     """The line's tokens in ascending order of rarity count: count rank above the hash bits."""
-    return F.sort_array(F.array_distinct(F.transform(_shingles(words, WORDS), lambda t: F.shiftleft(F.get(counts, _bucket(t)), 44).bitwiseOR(t))))
+    hashes = let(words, lambda w: F.transform(_starts(w), lambda i: _shingle(w, i)))
+    return F.sort_array(F.transform(F.array_distinct(hashes), lambda t: F.shiftleft(F.get(counts, _bucket(t)), 44).bitwiseOR(t)))
 
 
 def _line_table(docs: DataFrame, counts: Column, id_col: str, text_col: str) -> DataFrame:
