@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import decontam, fingerprints, linededup, pieces, quality, simhash, toxicity, warc
+from tierlake.llm import decontam, fingerprints, linededup, pieces, pii, quality, simhash, toxicity, warc
 from tierlake.llm.base import scratch
 
 #: The vocabulary file of a public tokenizer; not part of the repository.
@@ -49,6 +49,11 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", F.size("removed_lines").alias("n_removed"), F.array_join(F.col("removed_lines").cast("array<string>"), ",").alias("removed_lines"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents")
+    return pii.replaced(docs.select("doc_id", "text"), secret="surrogates-1", number_col="n_replaced")
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "item_id", "cosine", "overlap")
@@ -66,6 +71,7 @@ QUERIES = {
     "op4_toxicity": op4_toxicity,
     "op5_fingerprints": op5_fingerprints,
     "op7_line_dedup": op7_line_dedup,
+    "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
 }
