@@ -30,7 +30,7 @@ TYPES = [
     ("secret", r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:gh[pousr]_|sk[-_])[0-9A-Za-z]{16,}|(?<=(?:password|PASSWORD|Password)=)[^\s\"']+|(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])"),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
     ("ip", r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)"),
-    ("card", r"(?<!\d)\d{4}([ -]?)\d{4}\1\d{4}\1\d{1,7}(?!\d)"),
+    ("card", r"(?<!\d)(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7})(?!\d)"),
     ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"),
     ("phone", r"\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"),
     ("person", rf"(?<![\p{{L}}])(?:{TITLES_M}|{TITLES_F}|{TITLES_N})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?"),
@@ -39,22 +39,15 @@ SYLLABLES = "ba be bi bo da de di do fa fe fi ga go ka ke ki ko la le li lo ma m
 SYLLABLES_CYRILLIC = "ба бе би бо ва ве ви во га го да де ди до за зе ка ки ко ла ле ли ло ма ме ми мо на не ни но па пе ра ре ри ро са се си со та те ти то фа фе фи".split()
 
 
-def _one_pattern() -> str:
-    """All types as one pattern; the card's back reference is spelt out, since groups are numbered over the whole."""
-    card = r"(?<!\d)(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7})(?!\d)"
-    return "|".join(f"(?:{card if name == 'card' else p})" for name, p in TYPES)
-
-
-PATTERN = _one_pattern()
+PATTERN = "|".join(f"(?:{p})" for _, p in TYPES)
+_AFTER_PASSWORD = r"|(?<=(?:password|PASSWORD|Password)=)[^\s\"']+"
 
 
 def _type(mention: Column) -> Column:
-    out = F.lit("person")
-    for name, p in reversed(TYPES[:-1]):
-        # a look-behind has nothing before the mention here, so what it demands is left out
-        p = p.replace(r"(?<=(?:password|PASSWORD|Password)=)[^\s\"']+", r"[^\s\"'@.()+]{6,}") if name == "secret" else p
-        out = F.when(mention.rlike(f"^(?:{p})$"), F.lit(name)).otherwise(out)
-    return F.when(mention.rlike(rf"^(?:{TYPES[-1][1]})$"), F.lit("person")).otherwise(F.when(out == "person", F.lit("secret")).otherwise(out))
+    out = F.lit("secret")  # what stands after "password=" may look like anything
+    for name, p in reversed(TYPES):
+        out = F.when(mention.rlike(f"^(?:{p.replace(_AFTER_PASSWORD, '')})$"), F.lit(name)).otherwise(out)
+    return out
 
 
 def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
