@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import decontam, fingerprints, linededup, pieces, pii, quality, simhash, toxicity, warc
+from tierlake.llm import decontam, fingerprints, licenses, linededup, pieces, pii, quality, simhash, toxicity, warc
 from tierlake.llm.base import scratch
 
 #: The vocabulary file of a public tokenizer; not part of the repository.
@@ -44,6 +44,12 @@ def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_neighbours(_read(spark, sf_dir, "documents"), words=5, k=128, shard_bytes=16 << 20)
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # the table has no paths; source, language and id make one
+    path = F.concat(F.col("source"), F.lit("/"), F.col("lang"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
+    return licenses.scan(_read(spark, sf_dir, "documents"), path)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = linededup.report(_read(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", F.size("removed_lines").alias("n_removed"), F.array_join(F.col("removed_lines").cast("array<string>"), ",").alias("removed_lines"))
@@ -70,6 +76,7 @@ QUERIES = {
     "op3_quality": op3_quality,
     "op4_toxicity": op4_toxicity,
     "op5_fingerprints": op5_fingerprints,
+    "op6_licenses": op6_licenses,
     "op7_line_dedup": op7_line_dedup,
     "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
@@ -77,5 +84,6 @@ QUERIES = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_licenses": licenses.ORACLE,
     "op7_line_dedup": f"SELECT doc_id, n_lines, len(removed_lines)::INT AS n_removed, array_to_string(removed_lines, ',') AS removed_lines FROM ({linededup.ORACLE})",
 }
