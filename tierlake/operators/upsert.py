@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tierlake.operators.dedup import latest_per_key
+from tierlake.session import work_path
 
 
 class DuplicateKeyError(ValueError):
@@ -126,8 +127,10 @@ def dense_sequence(df: DataFrame, order: Sequence[str], start: Column | int = 0,
     partition.  Instead: one range shuffle on ``order``, a sort inside each
     range, the row's position in its range from ``monotonically_increasing_id``
     (partition id in the high bits, position in the low 33 bits), plus the
-    running total of the per-range counts.  The counts table has one row per
-    range, so broadcasting it is bounded by the partition count, not the data.
+    running total of the per-range counts.  Range bounds come from a sample, so
+    the numbered ranges are written to the shared folder once; counts and rows
+    both come from that copy.  The counts table has one row per range, so
+    broadcasting it is bounded by the partition count, not the data.
     ``order`` should be a total order (unique); among ties the ids are still
     dense and unique but their assignment is arbitrary.
     """
@@ -138,6 +141,10 @@ def dense_sequence(df: DataFrame, order: Sequence[str], start: Column | int = 0,
         .withColumn("__mono", F.monotonically_increasing_id())
     ranged = ranged.withColumn("__pid", F.shiftright(F.col("__mono"), 33)) \
         .withColumn("__rn", F.col("__mono") - F.shiftleft(F.col("__pid"), 33) + 1)
+    path = work_path(spark, "dense-sequence", unique=True)
+    ranged = ranged.drop("__mono")
+    ranged.write.mode("overwrite").parquet(path)
+    ranged = spark.read.schema(ranged.schema).parquet(path)
     counts = ranged.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
     offs = counts.withColumn(
         "__off",
@@ -146,7 +153,7 @@ def dense_sequence(df: DataFrame, order: Sequence[str], start: Column | int = 0,
     start_col = start if isinstance(start, Column) else F.lit(start)
     return (ranged.join(F.broadcast(offs.select("__pid", "__off")), "__pid")
             .withColumn(name, (start_col + F.col("__off") + F.col("__rn")).cast("bigint"))
-            .drop("__pid", "__rn", "__off", "__mono"))
+            .drop("__pid", "__rn", "__off"))
 
 
 def upsert_surrogate(final: DataFrame, source: DataFrame, keys: Sequence[str],
