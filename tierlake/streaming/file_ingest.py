@@ -21,19 +21,24 @@ from tierlake.operators.upsert import upsert_newest
 from tierlake.sources.store import SnapshotTable
 
 
-def upsert_batch(target: SnapshotTable, keys: Sequence[str], order: Sequence[Column]):
-    """``foreachBatch`` function: dedup the batch, upsert, publish version batch_id+1."""
+def upsert_batch(target: SnapshotTable, keys: Sequence[str], order: Sequence[Column], stream: str):
+    """``foreachBatch`` function: dedup the batch, upsert, publish a new version.
+
+    ``stream`` names the stream (its checkpoint): batch ids start at 0 in every
+    one, so a published batch is known by stream and id together.
+    """
     def run(batch: DataFrame, batch_id: int) -> None:
-        if target.last_tag() == batch_id:
+        tag = f"{stream}#{batch_id}"
+        if target.last_tag() == tag:
             return                                    # replay of a published batch
         dedup = latest_per_key(batch, keys, order)
         current = target.read()
         if target.keys:
             # merge-on-read: only keys of this batch are compared and written
             touched = current.join(dedup.select(*keys), list(keys), "left_semi")
-            target.publish_delta(upsert_newest(touched, dedup, keys, order), tag=batch_id)
+            target.publish_delta(upsert_newest(touched, dedup, keys, order), tag=tag)
         else:
-            target.publish(upsert_newest(current, dedup, keys, order), tag=batch_id)
+            target.publish(upsert_newest(current, dedup, keys, order), tag=tag)
     return run
 
 
@@ -51,7 +56,7 @@ def ingest_files(spark: SparkSession, source_dir: str, schema: StructType, targe
     for k, v in (options or {}).items():
         reader = reader.option(k, v)
     q = (reader.load(source_dir).writeStream
-         .foreachBatch(upsert_batch(target, keys, order))
+         .foreachBatch(upsert_batch(target, keys, order, checkpoint))
          .option("checkpointLocation", checkpoint)
          .trigger(availableNow=True)
          .start())
