@@ -8,6 +8,8 @@ CSV files are then read in parallel by the CSV source.
 
 from __future__ import annotations
 
+import hashlib
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -15,6 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierlake.session import ship_package
 from tierlake.sources import files
 
 STAGED_SCHEMA = "zip_path string, entry_name string, staged_path string, bytes bigint"
@@ -47,15 +50,19 @@ def _extract(staging_dir: str):
                         out.append((zp, None, None, 0))
                         continue
                     base = zp.rsplit("/", 1)[-1]
-                    target = f"{staging_dir}/{base}_unzipped.csv"
+                    # archives of one name in two folders: the whole path tells them apart
+                    target = f"{staging_dir}/{base}_{hashlib.sha1(zp.encode()).hexdigest()[:16]}_unzipped.csv"
+                    part = f"{staging_dir}/_attempts/{uuid.uuid4().hex}"
                     n = 0
-                    with z.open(entry) as src, files.open_output(target) as dst:
+                    with z.open(entry) as src, files.open_output(part) as dst:
                         while True:
                             chunk = src.read(1 << 20)
                             if not chunk:
                                 break
                             dst.write(chunk)
                             n += len(chunk)
+                    fs, done = files.resolve(target)
+                    fs.move(files.resolve(part)[1], done)
                     out.append((zp, entry, target, n))
             yield pd.DataFrame(out, columns=["zip_path", "entry_name", "staged_path", "bytes"])
     return run
@@ -64,9 +71,11 @@ def _extract(staging_dir: str):
 def stage_zip_csv(zips: DataFrame, staging_dir: str) -> DataFrame:
     """Extract the chosen entry of each archive to ``staging_dir``.
 
-    Returns one row per archive.  Re-running a task rewrites the same target
-    file, so retries after a lost executor are harmless.
+    Returns one row per archive.  Every attempt writes a file of its own below
+    ``_attempts`` (hidden from the CSV reader) and moves it to the target, so
+    retries and two attempts at once are harmless.
     """
+    ship_package(zips.sparkSession)
     return zips.select("path").mapInPandas(_extract(staging_dir.rstrip("/")), STAGED_SCHEMA)
 
 
@@ -92,5 +101,6 @@ def write_zip_csv(df: DataFrame, out_dir: str, prefix: str = "file_extract") ->
 
     Lazy: returns ``zip_path, rows`` per archive; run an action to write.
     """
+    ship_package(df.sparkSession)
     text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
     return text.mapInPandas(_writer(out_dir.rstrip("/"), text.columns, prefix), "zip_path string, rows bigint")
