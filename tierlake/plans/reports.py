@@ -66,7 +66,7 @@ def load_report(spark: SparkSession, paths: str | Sequence[str], spec: ReportSpe
 
 # The gallup assessment report (element -> column).
 GALLUP = ReportSpec(
-    name="GALLUP", keys=("submission_id",),
+    name="GALLUP", keys=("submission_id",), require=("submission_id",),
     columns=(Col("submission_id", "SUBMISSION_ID", "num:bigint"),
              Col("package_status_code", "PACKAGE_STATUS_CODE"), Col("band", "BAND"),
              Col("score", "SCORE", "num:decimal(10,2)"), Col("requisition_id", "REQUISITION_ID", "num:bigint"),
@@ -86,7 +86,8 @@ EXT_FLEX_STG = ReportSpec(
 
 # The descriptive-flexfield configuration report; strict (no dedup).
 BIP_DFF = ReportSpec(
-    name="DFF", keys=("dff_code", "context_code", "segment_identifier"), policy="strict", require=("dff_code",),
+    name="DFF", keys=("dff_code", "context_code", "segment_identifier"), policy="strict",
+    require=("dff_code", "context_code", "segment_identifier"),
     columns=(Col("dff_code", "DFF_CODE"), Col("dff_name", "DFF_NAME"), Col("context_code", "CONTEXT_CODE"),
              Col("segment_code", "SEGMENT_CODE"), Col("segment_identifier", "SEGMENT_IDENTIFIER"),
              Col("required_flag", "REQUIRED_FLAG"), Col("data_type", "DATA_TYPE"), Col("table_name", "TABLE_NAME"),
@@ -100,21 +101,27 @@ def _digits(c: str):
 
 
 # The questionnaire report; ids are accepted only as digit strings.
-_Q_TEXT = ("questionnaire_code question_code qstn_response_id qstnr_version_num questionnaire_name section_seq_num "
-           "question_seq_num question_text question_type participant_type participant_id subject_code subject_id "
-           "qstnr_response_id attempt_num submission_id answer_text candidate_person_id candidate_number "
-           "candidate_name recruiting_type requisition_title answer_mode").split()
-_Q_DATES = ("questionnaire_def_creation_date questionnaire_def_last_update_date questionnaire_issued_date "
-            "response_creation_date response_last_update_date response_submitted_date").split()
+_Q_DATES = ("questionnaire_def_creation_date", "questionnaire_def_last_update_date", "questionnaire_issued_date",
+            "response_creation_date", "response_last_update_date", "response_submitted_date")
 BIP_QUESTIONNAIRES = ReportSpec(
     name="QUESTIONNAIRES", policy="strict",
     keys=("questionnaire_code", "question_code", "qstnr_participant_id", "requisition_id"),
     require=("questionnaire_code", "question_code"),
     where=lambda: _digits("QSTNR_PARTICIPANT_ID") & _digits("REQUISITION_ID"),
-    columns=(*[Col(c, c.upper()) for c in _Q_TEXT[:2]],
+    columns=(Col("questionnaire_code", "QUESTIONNAIRE_CODE"), Col("question_code", "QUESTION_CODE"),
              Col("qstnr_participant_id", "QSTNR_PARTICIPANT_ID", "num:bigint"),
              Col("requisition_id", "REQUISITION_ID", "num:bigint"),
-             *[Col(c, c.upper()) for c in _Q_TEXT[2:]],
+             Col("qstn_response_id", "QSTN_RESPONSE_ID", "digits:bigint"), Col("qstnr_version_num", "QSTNR_VERSION_NUM"),
+             Col("questionnaire_name", "QUESTIONNAIRE_NAME"), Col("section_seq_num", "SECTION_SEQ_NUM"),
+             Col("question_seq_num", "QUESTION_SEQ_NUM"), Col("question_text", "QUESTION_TEXT"),
+             Col("question_type", "QUESTION_TYPE"), Col("participant_type", "PARTICIPANT_TYPE"),
+             Col("participant_id", "PARTICIPANT_ID"), Col("subject_code", "SUBJECT_CODE"),
+             Col("subject_id", "SUBJECT_ID", "digits:bigint"), Col("qstnr_response_id", "QSTNR_RESPONSE_ID", "digits:bigint"),
+             Col("attempt_num", "ATTEMPT_NUM"), Col("submission_id", "SUBMISSION_ID", "digits:bigint"),
+             Col("answer_text", "ANSWER_TEXT"), Col("candidate_person_id", "CANDIDATE_PERSON_ID", "digits:bigint"),
+             Col("candidate_number", "CANDIDATE_NUMBER"), Col("candidate_name", "CANDIDATE_NAME"),
+             Col("recruiting_type", "RECRUITING_TYPE"), Col("requisition_title", "REQUISITION_TITLE"),
+             Col("answer_mode", "ANSWER_MODE"),
              *[Col(c, c.upper(), "iso") for c in _Q_DATES]))
 
 # User accounts (first row per user GUID) and user roles (full refresh).

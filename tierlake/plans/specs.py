@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tierlake.functions.casts import (
+from tierlake.functions.casts import (digits_only, 
     NUMBER, blank_to_null, lpad_trunc, safe_number, safe_timestamp, segment_string,
 )
 
@@ -23,7 +23,7 @@ class Col:
     """One staging column.
 
     ``source``: a landing header name, or a tuple of names (first non-NULL).
-    ``cast``: ``str`` | ``blank`` (trim, '' -> NULL) | ``num`` | ``num:<type>`` |
+    ``cast``: ``digits`` (digits only, else NULL) | ``str`` | ``blank`` (trim, '' -> NULL) | ``num`` | ``num:<type>`` |
     ``ts`` (tolerant timestamp) | ``date`` (timestamp truncated to seconds) |
     ``iso`` / ``iso:<format>`` (strict ISO with offset, as UTC wall clock).
     """
@@ -41,6 +41,8 @@ class Col:
             out = blank_to_null(v)
         elif kind == "num":
             out = safe_number(v, arg or NUMBER)
+        elif kind == "digits":
+            out = digits_only(v, arg or "decimal(38,0)")
         elif kind == "ts":
             out = safe_timestamp(v)
         elif kind == "date":
@@ -198,6 +200,12 @@ HCM_EMPLOYEE = EntitySpec(
         Col("manager_user_name", "SUPERVISORUSERPEOUSERNAME"),
         Col("manager_type", "ASSIGNMENTSUPERVISORPEOMANAGERTYPE"),
     ),
+    # fixed values: the columns that the preview compares
+    compare=("person_id", "person_number", "display_name", "work_email", "user_name", "user_suspended_flag",
+             "person_type", "hire_date_ts", "termination_date_ts", "assignment_id", "assignment_number",
+             "assignment_name", "assignment_status_type", "employment_category", "full_part_time",
+             "hourly_salaried_code", "normal_hours", "position_code", "position_name", "org_name",
+             "location_name", "manager_display_name", "manager_email", "manager_type"),
     rows_loaded_not_null=("person_id",),
     doc="Flags filtered before dedup: one row per person by design.",
 )
@@ -682,8 +690,11 @@ HCM_SALARY = EntitySpec(
 BUDGET_SEGMENT_WIDTHS = (4, 3, 4, 3, 3, 7, 4, 4, 5)
 
 
+BUDGET_SEGMENTS = ("fund", "location", "function1", "grant_code", "initiative", "account", "activity", "interfund", "future1")
+
+
 def _budget_segment_string() -> Column:
-    return segment_string([F.col(f"segment{i}") for i in range(1, 10)])
+    return segment_string([F.col(c) for c in BUDGET_SEGMENTS])
 
 
 GL_BUDGET_BALANCE = EntitySpec(
@@ -691,17 +702,20 @@ GL_BUDGET_BALANCE = EntitySpec(
     keys=("ledger_id", "budget_name", "currency_code", "period_name", "segment_string"),
     order=(("last_update_date_ts", "desc"),), not_null=("segment_string",),
     columns=(
-        Col("ledger_id", "GLBUDBALLEDGERID", "num:bigint"),
-        Col("budget_name", "GLBUDBALBUDGETNAME"),
-        Col("currency_code", "GLBUDBALCURRENCYCODE"),
-        Col("period_name", "GLBUDBALPERIODNAME"),
-        *[Derived(f"segment{i}", (lambda i=i, w=w: lpad_trunc(F.col(f"GLBUDBALSEGMENT{i}"), w)),
-                  (f"GLBUDBALSEGMENT{i}",))
-          for i, w in zip(range(1, 10), BUDGET_SEGMENT_WIDTHS)],
+        Col("ledger_id", "LEDGERID", "num"),
+        Col("budget_name", "BUDGETNAME"),
+        Col("currency_code", "CURRENCYCODE"),
+        Col("currency_type", "CURRENCYTYPE"),
+        Col("period_name", "PERIODNAME"),
+        *[Derived(name, (lambda i=i, w=w: lpad_trunc(F.col(f"GLBUDBALSEGMENT{i}"), w)), (f"GLBUDBALSEGMENT{i}",))
+          for i, (name, w) in enumerate(zip(BUDGET_SEGMENTS, BUDGET_SEGMENT_WIDTHS), 1)],
         Derived("segment_string", _budget_segment_string),
-        Col("budget_amount", "GLBUDBALBUDGETAMOUNT", "num"),
+        Col("period_net_cr", "GLBUDBALPERIODNETCR", "num"),
+        Col("period_net_dr", "GLBUDBALPERIODNETDR", "num"),
         *raw_ts("last_update_date", "GLBUDBALLASTUPDATEDATE"),
     ),
+    compare=("ledger_id", "budget_name", "currency_code", "currency_type", "period_name", *BUDGET_SEGMENTS, "segment_string",
+             "period_net_cr", "period_net_dr", "last_update_date_ts"),
     daily=False,
     doc="segment_string is never NULL (NULL segments join as ''), so its filter always passes.",
 )
