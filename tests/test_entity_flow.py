@@ -93,7 +93,7 @@ def test_hcm_employee_flags_and_order(spark, tmp_path):
     assert got[1].assignment_id == 12 and got[1].person_number == "E1" and got[1].display_name == "Ann"
     assert got[2].assignment_id == 22 and got[3].assignment_id == 31 and got[4].assignment_id == 42
     assert got[2].normal_hours == Decimal("30.00")
-    assert got[1].hire_date_raw == "2020-01-01" and got[1].hire_date_ts == dt.datetime(2020, 1, 1)
+    assert "hire_date_raw" not in wh.final(spec).read().columns and got[1].hire_date_ts == dt.datetime(2020, 1, 1)
 
 
 def test_missing_column_fails_loudly(spark, tmp_path):

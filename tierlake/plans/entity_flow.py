@@ -134,7 +134,7 @@ class Warehouse:
     def final(self, spec: EntitySpec) -> SnapshotTable:
         from pyspark.sql.types import LongType, StructField, StructType
         sample = self.spark.createDataFrame([], self.staging_schema(spec))
-        fields = [f for f in sample.schema.fields if f.name not in ("_seq", "job_id")]
+        fields = [f for f in sample.schema.fields if f.name not in ("_seq", "job_id") and not f.name.endswith("_raw")]
         if spec.surrogate_id:
             fields = [StructField(spec.surrogate_id, LongType())] + fields
         return SnapshotTable(self.spark, f"{self.root}/final/{spec.name.lower()}", StructType(fields),
@@ -173,9 +173,18 @@ class Warehouse:
         """The job's batch after filters and latest-per-key, as written at load time."""
         path = f"{self.dedup_path(spec)}/job_id={job_id}"
         if not files.exists(path):                       # staged by an older run: recompute
+            self.require_batch(spec, job_id)
             return dedup(self.staged(spec, job_id), spec)
         return self.spark.read.parquet(self.dedup_path(spec)).where(F.col("job_id") == job_id)
 
+    def require_batch(self, spec: EntitySpec, job_id: int) -> None:
+        """Raise when the staged rows of a job are gone; a job that staged no rows has none to miss."""
+        if files.exists(f"{self.staging_path(spec)}/job_id={job_id}"):
+            return
+        staged = self.jobs().events().where((F.col("job_id") == job_id) & (F.col("status") == "STAGED")).select("rows_loaded").collect()
+        if not any(r["rows_loaded"] == 0 for r in staged):
+            raise FileNotFoundError(f"{spec.name}: the staged rows of job {job_id} are missing")
+
     def staged(self, spec: EntitySpec, job_id: int) -> DataFrame:
         # partition pruning on job_id reads only this job's files
         return self.spark.read.parquet(self.staging_path(spec)).where(F.col("job_id") == job_id)
@@ -190,10 +199,10 @@ def load_and_preview(wh: Warehouse, spec: EntitySpec, paths: str | Sequence[str]
     try:
         landing = read_landing_csv(wh.spark, paths, required=spec.landing_columns(), multi_line=multi_line)
         staged = stage(landing, spec, job_id)
-        staged.write.mode("overwrite").partitionBy("job_id").parquet(wh.staging_path(spec))
+        staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("job_id").parquet(wh.staging_path(spec))
         staged = wh.staged(spec, job_id)
         # the deduplicated batch is written once; preview and merge read it back
-        dedup(staged, spec).write.mode("overwrite").partitionBy("job_id").parquet(wh.dedup_path(spec))
+        dedup(staged, spec).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("job_id").parquet(wh.dedup_path(spec))
         deduped = wh.deduped(spec, job_id)
         # the preview counts and rows_loaded in one action (two one-row aggregates)
         counts_df = change_preview(deduped, wh.final(spec).read(), list(spec.keys), spec.compare_columns())
@@ -223,7 +232,7 @@ def merge_job(wh: Warehouse, spec: EntitySpec, job_id: int, file_name: str | Non
         c = deduped.agg(F.count_if(nk).alias("held"), F.count_if(~nk).alias("merged")).first()
         merged, n_held = int(c["merged"]), int(c["held"])
         if n_held:
-            deduped.where(nk).write.mode("overwrite").partitionBy("job_id").parquet(wh.quarantine_path(spec))
+            deduped.where(nk).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("job_id").parquet(wh.quarantine_path(spec))
             wh.load_log().append(spec.name, file_name, "QUARANTINE", "WARNING", rows_processed=n_held,
                                  error_message=f"{n_held} rows with a NULL key part held back")
         if wh.merge_on_read:
@@ -253,18 +262,18 @@ def drop_staging(wh: Warehouse, spec: EntitySpec, job_id: int) -> None:
     _delete_dir(f"{wh.dedup_path(spec)}/job_id={job_id}")
 
 
-def run_daily(wh: Warehouse, specs: dict[str, EntitySpec], selected: DataFrame, file_path) -> list[tuple]:
+def run_daily(wh: Warehouse, specs: dict[str, EntitySpec], selected: DataFrame, file_path, multi_line: bool = False) -> list[tuple]:
     """Stage and merge the selected files in time order (driver loop over a few files).
 
     ``selected``: output of ``select_unprocessed_latest`` (at most one file
     per load type).  ``file_path(file_name)`` locates the staged CSV.  The
     first failure stops the run (later files wait for the next run), as the
-    daily load does.
+    daily load does.  ``multi_line`` reads quoted line breaks, one task per file.
     """
     done = []
     for r in selected.orderBy("file_timestamp", "file_name").collect():   # ≤ one row per load type
         spec = specs[r.load_type]
-        job_id, counts = load_and_preview(wh, spec, file_path(r.file_name), r.file_name)
+        job_id, counts = load_and_preview(wh, spec, file_path(r.file_name), r.file_name, multi_line=multi_line)
         merged = merge_job(wh, spec, job_id, r.file_name)
         done.append((r.file_name, r.load_type, job_id, counts, merged))
     return done
