@@ -163,7 +163,7 @@ def pct_delta(delta: ColumnOrName, base: ColumnOrName) -> Column:
     """``round(abs(delta) / base * 100, 2)``, 0 when base is not > 0."""
     d, b = _c(delta).cast("decimal(38,0)"), _c(base).cast("decimal(38,0)")
     return F.when(b > 0, F.round(F.abs(d) / b * 100, 2)).otherwise(F.lit(0)) \
-        .cast("decimal(10,2)")
+        .cast("decimal(38,2)")
 
 
 def elapsed_seconds(start: ColumnOrName, end: ColumnOrName) -> Column:

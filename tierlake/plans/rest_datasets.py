@@ -122,7 +122,9 @@ def sync_source(items: DataFrame, final: DataFrame | None, key: str = "resource_
     from tierlake.operators.incremental import OVERLAP_DAYS, sync_mode
     mode, field = sync_mode(sync_type, date_field)
     src = items
-    if mode == "INCREMENTAL" and last_sync is not None and field in items.columns:
+    if mode == "INCREMENTAL" and last_sync is not None:
+        if field not in items.columns:
+            raise ValueError(f"an incremental sync needs the date field {field}")
         lo = F.lit(last_sync).cast("timestamp_ntz") - F.expr(f"INTERVAL {OVERLAP_DAYS} DAYS")
         src = src.where(F.col(field).cast("timestamp_ntz") > lo)
     folded = fold_pages(src, [key], page_col, seq_col).drop(page_col, seq_col)

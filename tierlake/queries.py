@@ -288,7 +288,7 @@ WHERE EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)
 """)
 def q_semi_join(spark, sf_dir):
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey")
-    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
     return c.join(o, ["c_custkey"], "left_semi")
 
 
@@ -301,11 +301,11 @@ WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey)
 """)
 def q_anti_join(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
-    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"))
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("o_orderkey")).distinct()
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"))
     no_lines = o.select("o_orderkey", F.col("o_custkey").cast("double").alias("o_custkey")) \
         .join(li, ["o_orderkey"], "left_anti")
-    no_orders = c.join(o.select("o_custkey"), ["o_custkey"], "left_anti") \
+    no_orders = c.join(o.select("o_custkey").distinct(), ["o_custkey"], "left_anti") \
         .select(F.col("o_custkey").alias("o_orderkey"), F.lit(None).cast("double").alias("o_custkey"))
     return no_lines.unionByName(no_orders)
 
@@ -991,7 +991,7 @@ def q_zip_csv(spark, sf_dir):
         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("o_orderdate"), "o_orderpriority")
     write_zip_csv(orders, f"{root}/zips").count()
     stage_zip_csv(list_zips(spark, f"{root}/zips"), f"{root}/staging").count()   # one task per archive
-    land = read_landing_csv(spark, f"{root}/staging", required=["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+    land = read_landing_csv(spark, f"{root}/staging", multi_line=False, required=["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
                                                     "o_orderdate", "o_orderpriority"])
     return land.select(
         safe_number("o_orderkey", "bigint").alias("o_orderkey"), safe_number("o_custkey", "bigint").alias("o_custkey"),

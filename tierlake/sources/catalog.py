@@ -32,9 +32,7 @@ def catalog_view(listing: DataFrame, loader_map: DataFrame) -> DataFrame:
     routed = route_by_pattern(zips, "file_name", loader_map, row_key="file_name")
     avail = loader_map.where(F.col("is_active") == "Y").groupBy("load_type") \
         .agg(F.max(F.coalesce(F.col("loader_available"), F.lit("N"))).alias("loader_available"))
-    # ``avail`` has one row per load type of the loader map, whose size
-    # route_by_pattern has already checked (it raises above its limit)
-    return routed.join(F.broadcast(avail), "load_type", "left").select(
+    return routed.join(avail, "load_type", "left").select(
         "file_name", "load_type", F.coalesce("loader_available", F.lit("N")).alias("loader_available"),
         file_timestamp("file_name").alias("file_timestamp"))
 
