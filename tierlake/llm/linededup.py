@@ -16,7 +16,7 @@ are verified on their whole token sets.
 
 Equal lines have one class and need no pairs.  A token that many different
 lines share never gives all their pairs: each line is first held against the
-earliest line of that token; those that match are settled, and only the others
+lines of the earliest document with that token; those that match are settled, and only the others
 are held against all earlier lines of the token.
 """
 
@@ -30,6 +30,8 @@ from tierlake.llm.base import let, released, written
 WORDS = 5
 NUM, DEN = 4, 5
 BUCKETS = 1 << 14
+#: Stands for a missing doc_id: before all others.
+NO_ID = -(1 << 63)
 PLACE = 10_000_000_000  # line numbers of a document stay below this
 
 
@@ -85,7 +87,7 @@ def _line_table(docs: DataFrame, counts: Column, id_col: str, text_col: str) ->
 
 def _order(doc_id: Column, pos: Column) -> Column:
     """The place of a line as one number; lines without doc_id come first."""
-    return F.coalesce(doc_id, F.lit(-(1 << 63))).cast("decimal(38,0)") * F.lit(PLACE).cast("decimal(11,0)") + pos.cast("decimal(11,0)")
+    return F.coalesce(doc_id, F.lit(NO_ID)).cast("decimal(38,0)") * F.lit(PLACE).cast("decimal(11,0)") + pos.cast("decimal(11,0)")
 
 
 def _may_match(x: str, y: str) -> Column:
@@ -98,16 +100,15 @@ def _may_match(x: str, y: str) -> Column:
 def matched_classes(docs: DataFrame, lines: DataFrame, counts: Column, id_col: str, text_col: str) -> DataFrame:
     """``(class)`` of the lines whose first occurrence has an earlier similar line of another class."""
     spark = docs.sparkSession
-    rows = lines.select(F.posexplode("prefix").alias("i", "token"), "class", "n", _order(F.col("doc_id"), F.col("pos")).cast("decimal(30,0)").alias("ord"))
-    shared = rows.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.min("ord").alias("lead")).where("lo < hi").select("token", "lead")
-    crowd = written(rows.join(shared, "token").groupBy("token", "class", "n", "i", "lead").agg(F.min("ord").alias("ord")), "line-crowd")
+    rows = lines.select(F.posexplode("prefix").alias("i", "token"), "class", "n", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "pos")
+    shared = rows.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.min("doc").alias("lead")).where("lo < hi").select("token", "lead")
+    crowd = rows.join(shared, "token").groupBy("token", "class", "n", "i", "lead").agg(F.min(F.struct("doc", "pos")).alias("first"))
+    crowd = written(crowd.select("token", "class", "n", "i", "lead", "first.doc", "first.pos"), "line-crowd")
     released(spark)
 
     # whole token sets of the lines that share a prefix token with another one, from their texts
-    place = crowd.groupBy("class").agg(F.min("ord").alias("ord"))
-    doc = F.floor(F.col("ord") / F.lit(PLACE)).cast("decimal(20,0)")
-    wanted = place.select("class", doc.alias("d"), (F.col("ord") - doc * F.lit(PLACE)).cast("int").alias("pos")) \
-        .select(F.when(F.col("d") > -(1 << 63), F.col("d").cast("long")).alias("doc_id"), "pos").distinct() \
+    place = crowd.groupBy("class").agg(F.min(F.struct("doc", "pos")).alias("first"))
+    wanted = place.select(F.when(F.col("first.doc") != NO_ID, F.col("first.doc")).alias("doc_id"), "first.pos").distinct() \
         .groupBy("doc_id").agg(F.collect_list("pos").alias("places"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     some = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"])) \
@@ -117,8 +118,10 @@ def matched_classes(docs: DataFrame, lines: DataFrame, counts: Column, id_col: s
     sets = written(sets, "line-sets")
     released(spark)
 
+    earlier = (F.col("ydoc") < F.col("xdoc")) | ((F.col("ydoc") == F.col("xdoc")) & (F.col("ypos") < F.col("xpos")))
+
     def verified(x: DataFrame, y: DataFrame) -> DataFrame:
-        pairs = x.join(y, "token").where((F.col("yord") < F.col("xord")) & (F.col("xclass") != F.col("yclass")) & _may_match("x", "y")) \
+        pairs = x.join(y, "token").where(earlier & (F.col("xclass") != F.col("yclass")) & _may_match("x", "y")) \
             .select("xclass", "yclass").distinct()
         both = pairs.join(sets.select(F.col("class").alias("xclass"), F.col("tokens").alias("xs")), "xclass") \
             .join(sets.select(F.col("class").alias("yclass"), F.col("tokens").alias("ys")), "yclass")
@@ -126,11 +129,11 @@ def matched_classes(docs: DataFrame, lines: DataFrame, counts: Column, id_col: s
         return both.where(common * (NUM + DEN) >= (F.size("xs") + F.size("ys")) * NUM).select(F.col("xclass").alias("class")).distinct()
 
     def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select("token", *[F.col(c).alias(f"{name}{c}") for c in ("class", "n", "i", "ord")])
+        return df.select("token", *[F.col(c).alias(f"{name}{c}") for c in ("class", "n", "i", "doc", "pos")])
 
-    settled = written(verified(side(crowd, "x"), side(crowd.where("ord = lead"), "y")), "line-settled")
+    settled = written(verified(side(crowd, "x"), side(crowd.where("doc = lead"), "y")), "line-settled")
     open_ = crowd.join(settled, "class", "left_anti")
-    rest = written(verified(side(open_, "x"), side(crowd.where("ord > lead"), "y")), "line-rest")
+    rest = written(verified(side(open_, "x"), side(crowd.where("doc > lead"), "y")), "line-rest")
     return settled.union(rest)
 
 
