@@ -24,11 +24,12 @@ def test_common_subsequence_matches_the_table():
 
 def test_windows_cover_every_word():
     counts = np.array([0, 1, 15, 16, 17, 32, 33, 48, 49, 1000])
-    start, end, owner = d.windows(counts)
     firsts = np.cumsum(counts) - counts
-    for k, n in enumerate(counts):
-        mine = [(s - firsts[k], e - firsts[k]) for s, e in zip(start[owner == k], end[owner == k])]
-        assert set().union(*[range(s, e) for s, e in mine]) == set(range(n)) if n else not mine
+    for step in (d.WINDOW // 2, d.WINDOW):
+        start, end, owner = d.windows(counts, step)
+        for k, n in enumerate(counts):
+            mine = [(s - firsts[k], e - firsts[k]) for s, e in zip(start[owner == k], end[owner == k])]
+            assert set().union(*[range(s, e) for s, e in mine]) == set(range(n)) if n else not mine
 
 
 def corpus():

@@ -1,14 +1,14 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-Documents are read as passages of ``WINDOW`` words, half overlapping.  Passages
-and benchmark items become TF-IDF vectors (document
-frequencies over all passages).  A distributed randomised SVD gives the latent
+Documents are read as passages of ``WINDOW`` words, end to end for the model and
+half overlapping for the search.  Passages and benchmark items become TF-IDF
+vectors (document frequencies over all passages).  A distributed randomised SVD gives the latent
 space: each task multiplies its own passages with a seeded random matrix and
 sends one terms x rank matrix, and these are added up.  Only terms of
 the benchmark are kept as columns, since no other term moves a passage towards an
-item.  The items are rows of the matrix as well, so the space spans them: half of
-the start vectors are mixtures of items, the others take a power step over all
-passages.
+item.  The items are rows of the matrix as well, so the space spans them: most
+of the vectors are mixtures of items, the other ``POWER`` take a power step over
+all passages.
 
 A passage and an item whose latent cosine reaches ``COSINE`` are a candidate.  A
 candidate counts if the longest common subsequence of words of the item and of
@@ -33,7 +33,7 @@ from tierlake.llm.base import rows_of, written
 from tierlake.llm.shingles import AT_ONCE, Powers, chunks, word_hashes
 
 WINDOW = 32
-RANK = 128
+RANK, POWER = 96, 32
 COSINE = 0.3
 OVERLAP = 0.7
 ANSWER = 5
@@ -67,11 +67,10 @@ def _columns(h: np.ndarray, column: np.ndarray) -> np.ndarray:
     return np.where(column[at] == h, at, -1)
 
 
-def windows(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First word, end and owner of the half-overlapping passages of texts with so many words."""
-    step = WINDOW // 2
+def windows(counts: np.ndarray, step: int = WINDOW // 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, end and owner of the passages, one every ``step`` words, of texts with so many words."""
     firsts = np.cumsum(counts) - counts
-    n = np.where(counts > 0, np.maximum(1, -(-(counts - step) // step)), 0)
+    n = np.where(counts > 0, np.maximum(1, -(-(counts - WINDOW + step) // step)), 0)
     owner = np.repeat(np.arange(len(counts)), n)
     k = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
     start = firsts[owner] + k * step
@@ -106,13 +105,13 @@ def _times(row: np.ndarray, col: np.ndarray, w: np.ndarray, right: np.ndarray) -
     return row[first], np.add.reduceat(right[col] * w[:, None], first, axis=0)
 
 
-def _passages(texts: list[str], powers: Powers, column: np.ndarray):
+def _passages(texts: list[str], powers: Powers, column: np.ndarray, step: int = WINDOW // 2):
     """Word hashes and sparse passages of some texts, a chunk at a time: (first text, hashes, counts, start, end, owner, row, col, tf)."""
     raws = [plain(t) for t in texts]
     for at, stop in chunks(raws):
         h, counts = word_hashes(raws[at:stop], powers)
         if len(h):
-            start, end, owner = windows(counts)
+            start, end, owner = windows(counts, step)
             # a very long text is taken in blocks of passages
             for lo in range(0, len(start), 1 << 14):
                 part = slice(lo, lo + (1 << 14))
@@ -140,7 +139,7 @@ def fit(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 11,
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers, df, n = Powers(), np.zeros(len(column) + 1, np.int64), 0
         for b in batches:
-            for *_, start, _, _, _, col, _ in _passages(b.column(0).to_pylist(), powers, column):
+            for *_, start, _, _, _, col, _ in _passages(b.column(0).to_pylist(), powers, column, WINDOW):
                 df[:-1] += np.bincount(col, minlength=len(column))
                 n += len(start)
         df[-1] = n
@@ -160,7 +159,7 @@ def fit(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 11,
         def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             powers, out = Powers(), np.zeros(right.shape, np.float32)
             for b in batches:
-                for *_, row, col, tf in _passages(b.column(0).to_pylist(), powers, column):
+                for *_, row, col, tf in _passages(b.column(0).to_pylist(), powers, column, WINDOW):
                     w = _weighted(row, col, tf, idf)
                     some, y = _times(row, col, w, right)
                     back = np.searchsorted(some, row)
@@ -190,17 +189,17 @@ def fit(docs: DataFrame, benchmark: DataFrame, rank: int = RANK, seed: int = 11,
             out[c] += w[:, None] * (w @ right[c])
         return out
 
-    basis = np.random.default_rng(seed).standard_normal((len(column), k)).astype(np.float32)
+    basis = np.zeros((len(column), 0), np.float32)
     if len(column):
-        # half of the start vectors are mixtures of the items, so that a few items in a large corpus are not lost
-        mix = np.random.default_rng(seed + 1).standard_normal((len(found), k - k // 2))
-        basis[:, k // 2:] = 0
-        for (c, w), m in zip(item_rows, mix):
-            basis[c, k // 2:] += w[:, None] * m[None, :]
-        items_part = basis[:, k // 2:].copy()
-        basis[:, :k // 2] = np.linalg.qr(gram(basis[:, :k // 2]))[0].astype(np.float32) if k // 2 else 0
-        basis = np.linalg.qr(np.concatenate((basis[:, :k // 2], items_part), axis=1))[0].astype(np.float32)
-    latent = np.stack([(w @ basis[c]) if len(c) else np.zeros(k, np.float32) for c, w in item_rows]) if found else np.zeros((0, k), np.float32)
+        p = min(POWER, k // 2)
+        # the other vectors are mixtures of the items, so that a few items in a large corpus are not lost
+        mixed = np.zeros((len(column), k - p), np.float32)
+        for (c, w), m in zip(item_rows, np.random.default_rng(seed + 1).standard_normal((len(found), k - p))):
+            mixed[c] += w[:, None] * m[None, :].astype(np.float32)
+        drawn = np.random.default_rng(seed).standard_normal((len(column), p)).astype(np.float32)
+        power = np.linalg.qr(gram(drawn))[0].astype(np.float32) if p else drawn
+        basis = np.linalg.qr(np.concatenate((power, mixed), axis=1))[0].astype(np.float32)
+    latent = np.stack([(w @ basis[c]) if len(c) else np.zeros(basis.shape[1], np.float32) for c, w in item_rows]) if found else np.zeros((0, basis.shape[1]), np.float32)
     latent = (latent / np.maximum(np.linalg.norm(latent, axis=1, keepdims=True), 1e-9)).astype(np.float32)
     return Space(column, idf, basis, [i for i, _ in found], words, latent)
 
