@@ -69,3 +69,14 @@ def test_archives_of_one_name_in_two_folders(spark, tmp_path):
     assert len({r.staged_path for r in staged}) == 2
     got = spark.read.option("header", True).csv(str(tmp_path / "staging")).collect()
     assert sorted(r.h for r in got) == ["a", "b"]
+
+
+def test_one_bad_count_and_a_doubled_source_stay_alone(spark):
+    from tierlake.operators.recon import ReconSource, local_counts, reconcile
+    t = spark.createDataFrame([(1, "a"), (2, "a")], "k int, v string")
+    sources = [ReconSource("all", "t"), ReconSource("kinds", "t", count_expr="count(DISTINCT v)"), ReconSource("bad", "t", count_expr="count(nope)"),
+               ReconSource("gone", "u"), ReconSource("twice", "t")]
+    counts = spark.createDataFrame([("all", 2000003), ("kinds", 1), ("bad", 1), ("gone", 1), ("twice", 2), ("twice", 2)], "entity_key string, source_count long")
+    got = {r.entity_name: r for r in reconcile(sources, local_counts(sources, {"t": t}), counts).collect()}
+    assert {k: r.status for k, r in got.items()} == {"all": "VARIANCE", "kinds": "OK", "bad": "ERROR", "gone": "ERROR", "twice": "ERROR"}
+    assert len(got) == 5 and got["all"].local_count == 2

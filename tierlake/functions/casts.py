@@ -20,12 +20,8 @@ ColumnOrName = Column | str
 #   YYYY-MM-DD HH:MI:SS[.f]       ^\d{4}-\d{2}-\d{2}\s+\d{2}:\d{2}:\d{2}(\.\d+)?$
 #   the same with 'T' for the blank and optional trailing 'Z's
 RE_US_DATE = r"^\d{1,2}/\d{1,2}/\d{4}$"
-RE_ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
-RE_ISO_DATETIME = r"^\d{4}-\d{2}-\d{2}\s+\d{2}:\d{2}:\d{2}(\.\d+)?$"
 # File names carry their extract time as -YYYYMMDD_HHMMSS.zip (any case).
 RE_FILE_TS = r"(?i)-(\d{8}_\d{6})\.zip"
-# Fraction digits the source accepts (FF = up to 9); built into RE_ISO_ANY below.
-MAX_FRACTION_DIGITS = 9
 # Default numeric staging type: unconstrained NUMBER.
 NUMBER = "decimal(38,10)"
 # Offset (e.g. +05:30, -00:00) at the end of an ISO text.

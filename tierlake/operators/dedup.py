@@ -46,8 +46,8 @@ def first_arrival(df: DataFrame, keys: Sequence[str], seq: str = "_seq") -> Data
 def with_arrival_seq(df: DataFrame, name: str = "_seq") -> DataFrame:
     """Attach the physical arrival order of a file-source DataFrame.
 
-    ``_seq`` = (file path, split start, row id) compares like Oracle's
-    ``rowid`` on a freshly loaded table: rows of one split are read in order
+    ``_seq`` = (file path, split start, row id) compares like the source
+    database's row address on a freshly loaded table: rows of one split are read in order
     by one task, and splits of a file are ordered by their offset.  Call it
     directly on the reader's DataFrame (``_metadata`` is only there) and
     persist the column with the staged rows.

@@ -144,6 +144,6 @@ def delete_objects(candidates: DataFrame, path_col: str = "path", execute: bool
                 except FileNotFoundError:
                     out.append((p, "MISSING"))
                 except Exception as e:  # noqa: BLE001 - reported per object
-                    out.append((p, f"ERROR: {e}"[:400]))
+                    out.append((p, f"ERROR: {e}"))
             yield pd.DataFrame(out, columns=[path_col, "result"])
     return candidates.select(path_col).mapInPandas(run, f"{path_col} string, result string")

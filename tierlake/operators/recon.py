@@ -1,7 +1,7 @@
 """Record-count reconciliation of local tables against source-system counts.
 
 Local counts are one-row aggregates per configured source, unioned into one
-plan (each table is scanned once, its count combined map-side).  Source
+plan (each table is scanned once for all its counts).  Source
 counts arrive as a small rowset (report rows or REST totals) and are joined
 by entity key; a missing source count is an ERROR, never a silent variance.
 """
@@ -12,7 +12,8 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.functions.casts import pct_delta
@@ -40,18 +41,28 @@ def local_counts(sources: list[ReconSource], tables: Mapping[str, DataFrame]) ->
     A source whose table is not available yields a NULL count (reported as
     ERROR), so one broken source never hides the results of the others.
     """
-    parts = []
+    per_table: dict[str, list[tuple[str, Column]]] = {}
+    failed: list[str] = []
     for s in sources:
         if not s.is_active:
             continue
-        if s.local_table not in tables:
-            any_t = next(iter(tables.values()))
-            parts.append(any_t.sparkSession.range(1).select(
-                F.lit(s.entity_name).alias("entity_name"), F.lit(None).cast("bigint").alias("local_count")))
-            continue
-        agg = F.expr(s.count_expr) if s.count_expr else F.count(F.lit(1))
-        parts.append(tables[s.local_table].agg(agg.cast("bigint").alias("local_count"))
-                     .select(F.lit(s.entity_name).alias("entity_name"), "local_count"))
+        count = (F.expr(s.count_expr) if s.count_expr else F.count(F.lit(1))).cast("bigint")
+        try:
+            if s.local_table not in tables:
+                raise KeyError(s.local_table)
+            tables[s.local_table].agg(count)             # analysis only: a bad expression fails here, alone
+            per_table.setdefault(s.local_table, []).append((s.entity_name, count))
+        except (AnalysisException, KeyError):
+            failed.append(s.entity_name)
+    parts = []
+    for name, counts in per_table.items():               # one scan per table
+        one = tables[name].agg(*[c.alias(f"c{i}") for i, (_, c) in enumerate(counts)])
+        parts.append(one.select(F.inline(F.array(*[F.struct(F.lit(e).alias("entity_name"), F.col(f"c{i}").alias("local_count"))
+                                                   for i, (e, _) in enumerate(counts)]))))
+    if failed:
+        spark = next(iter(tables.values())).sparkSession
+        parts.append(spark.range(1).select(F.explode(F.array(*map(F.lit, failed))).alias("entity_name"),
+                                           F.lit(None).cast("bigint").alias("local_count")))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
@@ -66,7 +77,10 @@ def reconcile(sources: list[ReconSource], local: DataFrame, source_counts: DataF
                      [(s.entity_name, s.source_type, s.local_table, s.entity_key or s.entity_name)
                       for s in sources if s.is_active],
                      "entity_name string, source_type string, local_table_name string, entity_key string")
-    j = cfg.join(local, "entity_name", "left").join(source_counts, "entity_key", "left")
+    # an entity that the source reports twice has no single count: ERROR, like a missing one
+    once = source_counts.groupBy("entity_key").agg(F.max("source_count").alias("source_count"), F.count(F.lit(1)).alias("__n")) \
+        .withColumn("source_count", F.when(F.col("__n") == 1, F.col("source_count")))
+    j = cfg.join(local, "entity_name", "left").join(once, "entity_key", "left")
     delta = F.col("source_count") - F.col("local_count")
     missing = F.col("source_count").isNull() | F.col("local_count").isNull()
     return j.select(
@@ -78,6 +92,7 @@ def reconcile(sources: list[ReconSource], local: DataFrame, source_counts: DataF
         F.when(missing, "ERROR").when(delta == 0, "OK").otherwise("VARIANCE").alias("status"),
         F.when(F.col("local_count").isNull(),
                F.concat(F.lit("Table "), F.col("local_table_name"), F.lit(" not found in recon configuration")))
+        .when(F.col("__n") > 1, F.concat(F.lit("Entity "), F.col("entity_key"), F.lit(" found more than once in source counts")))
         .when(F.col("source_count").isNull(),
               F.concat(F.lit("Entity "), F.col("entity_key"), F.lit(" not found in source counts")))
         .alias("error_message"),

@@ -1050,7 +1050,7 @@ def q_catalog_refresh(spark, sf_dir):
     from tierlake.session import local_rows
     from tierlake.sources.catalog import catalog_view, refresh
     ev = table(spark, sf_dir, "events")
-    files = event_files(ev).select(F.concat(F.lit("s3://bucket/extracts/"), F.col("file_name")).alias("path"),
+    files = event_files(ev).select(F.concat(F.lit("/extracts/"), F.col("file_name")).alias("path"),
                                    "arrived_ts")
     lm = local_rows(spark, [(m, p, l, t, a, "Y") for m, p, l, t, a in CATALOG_MAP],
                     "map_id int, priority int, file_like string, load_type string, is_active string, "
