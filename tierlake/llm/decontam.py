@@ -34,7 +34,7 @@ from tierlake.llm.shingles import AT_ONCE, Powers, chunks, word_hashes
 
 WINDOW = 32
 RANK, POWER = 96, 32
-COSINE = 0.3
+COSINE = 0.5
 OVERLAP = 0.7
 ANSWER = 5
 STRETCH = 1.5
