@@ -69,6 +69,57 @@ def test_copies_and_paraphrases_are_found_and_nothing_else(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, _ in docs if i is not None and i not in {x for x, _ in got})
 
 
+def test_short_items_are_found_in_long_documents(spark):
+    rnd = random.Random(12)
+    vocab = [a + b + c for a in ("ka", "lo", "mi", "ru", "te", "so") for b in ("ban", "dor", "fil", "gum", "hep") for c in ("a", "o", "in", "us", "el")]
+    often = [1 / (k + 3) for k in range(len(vocab))]
+    docs = [rnd.choices(vocab, often, k=rnd.randint(200, 400)) for _ in range(150)]
+    items, truth = [], set()
+    for k in range(300):
+        w = rnd.choices(vocab, often, k=rnd.randint(6, 14))
+        items.append((k, " ".join(w)))
+        part = list(w)
+        if k % 2:  # a fifth of the words replaced
+            for j in rnd.sample(range(len(w) - 2), len(w) // 5):
+                part[j] = f"other{j}"
+        i = rnd.randrange(len(docs))
+        at = rnd.randrange(len(docs[i]))
+        docs[i][at:at] = part
+        truth.add((i, k))
+    # a later copy may have split an earlier one: what the checks accept in the whole text counts
+    accepted = set()
+    for i, k in truth:
+        h, _ = d.word_hashes([" ".join(docs[i]).encode(), items[k][1].encode()], d.Powers())
+        text, item = h[:len(docs[i])].tolist(), h[len(docs[i]):].tolist()
+        if d.confirmed(text, d.places(item), len(item)):
+            accepted.add((i, k))
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(docs)], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in d.contaminated(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(accepted) > 250 and not accepted - got
+
+
+def test_some_passage_has_the_least_shared_words():
+    rnd = random.Random(2)
+    for _ in range(300):
+        size = rnd.randint(1, 120)
+        need = -(-int(d.OVERLAP * size * 1000) // 1000)
+        long = int(d.STRETCH * size) + 1
+        at, n = rnd.randrange(40), 400
+        hits = {at + x for x in rnd.sample(range(long), min(need, long))}
+        start, end, _ = d.windows(np.array([n]))
+        assert max(len(hits & set(range(s, e))) for s, e in zip(start.tolist(), end.tolist())) >= min(d.WINDOW, d.least_shared(size))
+
+
+def test_shared_words_count_repeats_as_in_both():
+    column = np.arange(1, 9, dtype=np.uint64)
+    items = [[1, 1, 2], [3], [9 - 1, 2, 2, 2]]
+    place, table = d.word_table(items, column)
+    passages = [[0, 0, 0, 1], [4, 5], [1, 1, 7, 2]]  # column numbers
+    row, col, tf = d._sparse(np.array(sum(passages, [])), np.array([0, 4, 6]), np.array([4, 6, 10]))
+    assert d.shared_words(row, col, tf, place, table).tolist() == [[3, 0, 1], [0, 0, 0], [1, 1, 3]]
+    assert d.item_blocks([[1]] * 600) == [(0, 256), (256, 512), (512, 600)] and d.item_blocks([]) == []
+
+
 def test_empty_tables(spark):
     docs, items, _ = corpus()
     df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")

@@ -10,8 +10,10 @@ item.  The items are rows of the matrix as well, so the space spans them: most
 of the vectors are mixtures of items, the other ``POWER`` take a power step over
 all passages.
 
-A passage and an item whose latent cosine reaches ``COSINE`` are a candidate.  A
-candidate counts if the longest common subsequence of words of the item and of
+A passage and an item are a candidate if their latent cosine reaches
+``least_cosine``, which is lower for items that fill a small part of a passage, and
+if the passage has ``least_shared`` words of the item, which the best passage of
+every match has.  A candidate counts if the longest common subsequence of words of the item and of
 a stretch of text in and around the passage, at most ``STRETCH`` times as long as
 the item, covers ``OVERLAP`` of the item (copies, insertions, deletions and
 replaced words alike) and the answer is part of it: at least half of the item's
@@ -20,7 +22,10 @@ last ``ANSWER`` words.
 
 from __future__ import annotations
 
+import math
 import re
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,11 +39,11 @@ from tierlake.llm.shingles import AT_ONCE, Powers, chunks, word_hashes
 
 WINDOW = 32
 RANK, POWER = 96, 32
-COSINE = 0.5
+COSINE, SHORT = 0.3, 12
 OVERLAP = 0.7
 ANSWER = 5
 STRETCH = 1.5
-ITEMS_AT_ONCE = 1024
+ITEMS_AT_ONCE, WORDS_AT_ONCE = 256, 1 << 16
 MOST_ITEM_BYTES = 256 << 20
 _WORD = re.compile(rb"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
 
@@ -232,13 +237,72 @@ def confirmed(text: list[int], where: dict[int, int], size: int) -> float:
     """The largest share of the item that a stretch of the text holds in order together with the answer; 0 below ``OVERLAP``."""
     long = int(STRETCH * size) + 1
     best = 0.0
+    need = OVERLAP * size
+    # words that the item does not have add nothing
+    at = [i for i, x in enumerate(text) if x in where]
+    if len(at) < need:
+        return best
+    own = [text[i] for i in at]
     for lo in range(0, max(1, len(text) - long + max(1, size // 4)), max(1, size // 4)):
-        n, answer = common_subsequence(text[lo:lo + long], where, size)
-        if n >= OVERLAP * size and 2 * answer >= min(ANSWER, size):
+        part = own[bisect_left(at, lo):bisect_left(at, lo + long)]
+        if len(part) < need or sum(min(k, where[x].bit_count()) for x, k in Counter(part).items()) < need:
+            continue  # too few words, in whatever order
+        n, answer = common_subsequence(part, where, size)
+        if n >= need and 2 * answer >= min(ANSWER, size):
             best = max(best, n / size)
     return best
 
 
+def least_cosine(size: int) -> float:
+    """The cut for an item of so many words: ``COSINE``, and below ``SHORT`` words in proportion to the length; without words none reaches it."""
+    return COSINE * min(1.0, size / SHORT) if size else 2.0
+
+
+def least_shared(size: int) -> int:
+    """Words of an item of so many words that some passage on every match of it has, repeats counted as often as in both.
+
+    A stretch lies in that many passages end to end, counted from the better of the two half-overlapping rows.
+    """
+    long = int(STRETCH * size) + 1
+    return -(-math.ceil(OVERLAP * size - 1e-9) // -(-(long + WINDOW // 2 - 1) // WINDOW))
+
+
+def item_blocks(words: list[list[int]]) -> list[tuple[int, int]]:
+    """Runs of items of bounded number and length."""
+    out, lo, n = [], 0, 0
+    for k, w in enumerate(words):
+        if k > lo and (k - lo >= ITEMS_AT_ONCE or n + len(w) > WORDS_AT_ONCE):
+            out.append((lo, k))
+            lo, n = k, 0
+        n += len(w)
+    return out + [(lo, len(words))] if words else out
+
+
+def word_table(words: list[list[int]], column: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(columns + 1 -> row, rows x items): how often each item has each word; row 0 is of the words that none has."""
+    cols = [_columns(np.array(w, np.uint64), column) for w in words]
+    used = np.unique(np.concatenate(cols)) if cols else np.zeros(0, np.int64)
+    row = np.zeros(len(column), np.int64)
+    row[used] = np.arange(1, len(used) + 1)
+    table = np.zeros((len(used) + 1, len(words)), np.uint8)
+    for k, c in enumerate(cols):
+        some, n = np.unique(c, return_counts=True)
+        table[row[some], k] = np.minimum(n, WINDOW)
+    return row, table
+
+
+def shared_words(row: np.ndarray, col: np.ndarray, tf: np.ndarray, place: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """Distinct passages x items: the words that both have."""
+    first = np.flatnonzero(np.concatenate(([True], row[1:] != row[:-1]))) if len(row) else np.zeros(0, np.int64)
+    out = np.zeros((len(first), table.shape[1]), np.uint8)
+    ends = np.append(first[1:], len(row))
+    for lo in range(0, len(first), 1 << 11):
+        part = slice(first[lo], ends[min(lo + (1 << 11), len(first)) - 1])
+        both = np.minimum(table[place[col[part]]], tf[part, None].astype(np.uint8))
+        np.add.reduceat(both, first[lo:lo + (1 << 11)] - first[lo], axis=0, out=out[lo:lo + (1 << 11)])
+    return out
+
+
 def search(docs: DataFrame, space: Space, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, text_key, item_id, cosine, overlap)``: one row per document and item found in it (the best candidate).
 
@@ -249,6 +313,10 @@ def search(docs: DataFrame, space: Space, id_col: str = "doc_id", text_col: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp, powers = held.value, Powers()
         bits = [places(w) for w in sp.words]
+        cut = np.array([least_cosine(len(w)) for w in sp.words], np.float32)
+        least = np.array([min(WINDOW, least_shared(len(w))) for w in sp.words], np.uint8)
+        blocks = item_blocks(sp.words)
+        kept = word_table(sp.words, sp.column) if len(blocks) == 1 else None
         for b in batches:
             ids, keys = b.column(0).to_pylist(), b.column(1).to_pylist()
             best: dict[tuple[int, int], tuple[float, float]] = {}
@@ -256,17 +324,17 @@ def search(docs: DataFrame, space: Space, id_col: str = "doc_id", text_col: str
                 some, y = _times(row, col, _weighted(row, col, tf, sp.idf), sp.basis)
                 y = y / np.maximum(np.linalg.norm(y, axis=1), 1e-9)[:, None]
                 text_end = np.cumsum(counts)
-                for lo in range(0, len(sp.latent), ITEMS_AT_ONCE):
-                    near = y @ sp.latent[lo:lo + ITEMS_AT_ONCE].T
-                    for p, q in zip(*(x.tolist() for x in np.nonzero(near >= COSINE))):
+                for lo, hi in blocks:
+                    place, table = kept or word_table(sp.words[lo:hi], sp.column)
+                    near = y @ sp.latent[lo:hi].T
+                    both = (near >= cut[lo:hi]) & (shared_words(row, col, tf, place, table) >= least[lo:hi])
+                    for p, q in zip(*(x.tolist() for x in np.nonzero(both))):
                         item, w, d = lo + q, some[p], owner[some[p]]
                         size = len(sp.words[item])
                         # the item may begin or end in a neighbouring passage
-                        left, right = max(text_end[d] - counts[d], start[w] - size), min(text_end[d], end[w] + size)
-                        here = bits[item]
-                        if sum(x in here for x in h[start[w]:end[w]].tolist()) < OVERLAP * min(size, WINDOW // 2):
-                            continue  # some passage on the item shares more words with it, in whatever order
-                        share = confirmed(h[left:right].tolist(), here, size)
+                        long = int(STRETCH * size) + 1
+                        left, right = max(text_end[d] - counts[d], start[w] - long), min(text_end[d], end[w] + long)
+                        share = confirmed(h[left:right].tolist(), bits[item], size)
                         if share and share > best.get((at + d, item), (0.0, 0.0))[0]:
                             best[at + d, item] = (share, float(near[p, q]))
             if best:
