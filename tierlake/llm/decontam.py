@@ -2,13 +2,13 @@
 
 Documents are read as passages of ``WINDOW`` words, end to end for the model and
 half overlapping for the search.  Passages and benchmark items become TF-IDF
-vectors (document frequencies over all passages).  A distributed randomised SVD gives the latent
-space: each task multiplies its own passages with a seeded random matrix and
+vectors (document frequencies over all passages).  A randomised range finder gives the latent space
+(no singular values or vectors are formed): each task multiplies its own passages with a seeded random matrix and
 sends one terms x rank matrix, and these are added up.  Only terms of
 the benchmark are kept as columns, since no other term moves a passage towards an
-item.  The items are rows of the matrix as well, so the space spans them: most
-of the vectors are mixtures of items, the other ``POWER`` take a power step over
-all passages.
+item.  The items are rows of the matrix as well: ``POWER`` random vectors take one
+power step over all passages, the other ``RANK - POWER`` are random mixtures of
+items, which span the items only up to that number.
 
 A passage and an item are a candidate if their latent cosine reaches
 ``least_cosine``, which is lower for items that fill a small part of a passage, and
