@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import decontam, fingerprints, licenses, linededup, pieces, pii, quality, simhash, toxicity, warc
+from tierlake.llm import decontam, fim, fingerprints, licenses, linededup, pieces, pii, quality, simhash, toxicity, warc
 from tierlake.llm.base import scratch
 
 #: The vocabulary file of a public tokenizer; not part of the repository.
@@ -70,6 +70,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fim.transform(_read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                        F.sha2(fim.restored("output", "form"), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
@@ -81,9 +87,11 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
+    "op11_fim": op11_fim,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op6_licenses": licenses.ORACLE,
+    "op11_fim": fim.ORACLE,
     "op7_line_dedup": f"SELECT doc_id, n_lines, len(removed_lines)::INT AS n_removed, array_to_string(removed_lines, ',') AS removed_lines FROM ({linededup.ORACLE})",
 }
