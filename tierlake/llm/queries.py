@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import decontam, fim, fingerprints, licenses, linededup, pieces, pii, quality, simhash, toxicity, warc
+from tierlake.llm import decontam, fim, fingerprints, licenses, linededup, mixing, pieces, pii, quality, simhash, toxicity, warc
 from tierlake.llm.base import scratch
 
 #: The vocabulary file of a public tokenizer; not part of the repository.
@@ -76,6 +76,11 @@ def op11_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(fim.restored("output", "form"), 256).alias("restored_sha256"))
 
 
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix(_read(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2)
+    return found.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
@@ -88,6 +93,7 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_simhash": op10_simhash,
     "op11_fim": op11_fim,
+    "op12_mixing": op12_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {
