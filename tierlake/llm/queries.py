@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierlake.llm import decontam, fim, fingerprints, licenses, linededup, mixing, pieces, pii, quality, simhash, toxicity, warc
+from tierlake.llm import crosstok, decontam, fim, fingerprints, licenses, linededup, mixing, pieces, pii, quality, simhash, toxicity, warc
 from tierlake.llm.base import scratch
 
-#: The vocabulary file of a public tokenizer; not part of the repository.
+#: Vocabulary files of public tokenizers; not part of the repository.
+BYTE_MODEL = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -81,6 +82,10 @@ def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "size", "source_size", "target", "taken", "copies")
 
 
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstok.align(_read(spark, sf_dir, "documents"), BYTE_MODEL, PIECE_MODEL)
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_warc": op2_warc,
@@ -94,6 +99,7 @@ QUERIES = {
     "op10_simhash": op10_simhash,
     "op11_fim": op11_fim,
     "op12_mixing": op12_mixing,
+    "op13_alignment": op13_alignment,
 }
 
 ORACLE_SQL: dict[str, str] = {
