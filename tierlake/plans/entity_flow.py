@@ -95,12 +95,14 @@ def merged_final(staged: DataFrame, final: DataFrame, spec: EntitySpec) -> DataF
     return upsert(final, src.select(*final.columns), list(spec.keys))
 
 
-def delta_rows(deduped: DataFrame, current: DataFrame, spec: EntitySpec) -> DataFrame:
+def delta_rows(deduped: DataFrame, current: DataFrame, spec: EntitySpec, max_id: int | None = None) -> DataFrame:
     """The complete new values of every row a merge changes or inserts.
 
     ``deduped``: the batch after the entity filters and the latest-per-key
     step.  Only final rows whose key occurs in the batch take part (semi join
     on the batch keys), so the work and the write follow the batch size.
+    ``current`` may be the part of the final that can match; then ``max_id``
+    must tell the largest surrogate id of the whole.
     """
     from tierlake.operators.upsert import merge_columns
     src = deduped
@@ -109,7 +111,10 @@ def delta_rows(deduped: DataFrame, current: DataFrame, spec: EntitySpec) -> Data
     touched = current.join(src.select(*spec.keys), list(spec.keys), "left_semi")
     if spec.surrogate_id:
         data_cols = [c for c in current.columns if c != spec.surrogate_id]
-        max_id = current.agg(F.coalesce(F.max(spec.surrogate_id), F.lit(0)).cast("bigint")).scalar()
+        if max_id is None:
+            max_id = current.agg(F.coalesce(F.max(spec.surrogate_id), F.lit(0)).cast("bigint")).scalar()
+        else:
+            max_id = F.lit(max_id).cast("bigint")
         return upsert_surrogate(touched, src.select(*data_cols, "_seq"), list(spec.keys), spec.surrogate_id,
                                 "_seq", max_id=max_id)
     if spec.update is not None:
@@ -138,7 +143,8 @@ class Warehouse:
         if spec.surrogate_id:
             fields = [StructField(spec.surrogate_id, LongType())] + fields
         return SnapshotTable(self.spark, f"{self.root}/final/{spec.name.lower()}", StructType(fields),
-                             keys=spec.keys, max_deltas=self.max_deltas)
+                             keys=spec.keys, max_deltas=self.max_deltas,
+                             stat_cols=[spec.surrogate_id] if spec.surrogate_id else [])
 
     def staging_schema(self, spec: EntitySpec):
         empty = self.spark.createDataFrame([], ",".join(f"`{c}` string" for c in spec.landing_columns()))
@@ -205,7 +211,7 @@ def load_and_preview(wh: Warehouse, spec: EntitySpec, paths: str | Sequence[str]
         dedup(staged, spec).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("job_id").parquet(wh.dedup_path(spec))
         deduped = wh.deduped(spec, job_id)
         # the preview counts and rows_loaded in one action (two one-row aggregates)
-        counts_df = change_preview(deduped, wh.final(spec).read(), list(spec.keys), spec.compare_columns())
+        counts_df = change_preview(deduped, wh.final(spec).matching(deduped.select(*spec.keys)), list(spec.keys), spec.compare_columns())
         both = counts_df.unionByName(rows_loaded(staged, spec), allowMissingColumns=True).collect()
         counts = {k: v for r in both for k, v in r.asDict().items() if v is not None}
         jobs.append(job_id, "STAGED", rows_loaded=counts["rows_loaded"], new_count=counts["new_count"],
@@ -236,7 +242,9 @@ def merge_job(wh: Warehouse, spec: EntitySpec, job_id: int, file_name: str | Non
             wh.load_log().append(spec.name, file_name, "QUARANTINE", "WARNING", rows_processed=n_held,
                                  error_message=f"{n_held} rows with a NULL key part held back")
         if wh.merge_on_read:
-            target.publish_delta(delta_rows(deduped, target.read(), spec))
+            # only the files of the final that can hold a key of the batch are opened
+            max_id = (target.max_of(spec.surrogate_id) or 0) if spec.surrogate_id else None
+            target.publish_delta(delta_rows(deduped, target.matching(deduped.select(*spec.keys)), spec, max_id))
         else:
             target.publish(merged_final(wh.staged(spec, job_id), target.read(), spec))
         drop_staging(wh, spec, job_id)

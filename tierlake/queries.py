@@ -1210,3 +1210,96 @@ def q_three_tier_load(spark, sf_dir):
     final = wh.final(spec).read()
     return final.select("o_orderkey", "o_custkey", "o_orderstatus", F.col("o_totalprice").cast("double"),
                         "o_orderdate", "o_orderpriority")
+
+
+# --------------------------------- D1-D4, K2-K6 with values that change
+# What the second extract of the demo changes, repeats and leaves without a key.
+_CHANGED = "o_orderpriority = '1-URGENT'"
+_REPEATED = "o_orderstatus = 'F'"
+_KEYLESS = "o_orderpriority = '5-LOW' AND o_orderstatus = 'P'"
+_SQL_LOADS = f"""
+WITH x1 AS (SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice, o_orderdate, o_orderpriority
+            FROM orders WHERE o_orderdate < TIMESTAMP '{ORDERS_FIRST_TO}'),
+x2 AS (SELECT CASE WHEN NOT ({_KEYLESS}) THEN o_orderkey END AS o_orderkey, o_custkey,
+              CASE WHEN {_CHANGED} THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
+              CAST(o_totalprice AS DECIMAL(18,2)) AS o_totalprice, o_orderdate, o_orderpriority
+       FROM orders WHERE o_orderdate >= TIMESTAMP '{ORDERS_SECOND_FROM}'
+       UNION ALL
+       SELECT o_orderkey, o_custkey, 'OLD', CAST(o_totalprice AS DECIMAL(18,2)), o_orderdate - INTERVAL 1 DAY, o_orderpriority
+       FROM orders WHERE o_orderdate >= TIMESTAMP '{ORDERS_SECOND_FROM}' AND {_REPEATED}),
+s2 AS (SELECT * FROM x2 QUALIFY row_number() OVER (PARTITION BY o_orderkey ORDER BY o_orderdate DESC) = 1)"""
+
+
+def two_extracts(spark, sf_dir, root: str):
+    """Orders landed as two CSV extracts: the second changes rows, repeats keys with older rows, and has rows without key."""
+    orders = table(spark, sf_dir, "orders")
+    names = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    late = orders.where(F.col("o_orderdate") >= _ts(ORDERS_SECOND_FROM))
+    second = late.withColumn("o_orderkey", F.when(~F.expr(_KEYLESS), F.col("o_orderkey"))) \
+        .withColumn("o_orderstatus", F.when(F.expr(_CHANGED), "X").otherwise(F.col("o_orderstatus")))
+    older = late.where(_REPEATED).withColumn("o_orderstatus", F.lit("OLD")) \
+        .withColumn("o_orderdate", F.col("o_orderdate") - F.expr("INTERVAL 1 DAY"))
+    for n, df in ((1, orders.where(F.col("o_orderdate") < _ts(ORDERS_FIRST_TO)).select(*names)),
+                  (2, second.select(*names).unionByName(older.select(*names)))):
+        df.select(*[F.col(c).cast("string").alias(c.upper()) for c in names]) \
+            .write.option("header", "true").csv(f"{root}/landing/extract{n}")
+    return [f"{root}/landing/extract{n}" for n in (1, 2)]
+
+
+def load_twice(spark, sf_dir):
+    """Both extracts through the whole flow; the warehouse, its spec and the counts of each load."""
+    from dataclasses import replace
+    from tierlake.plans import entity_flow as EF
+    from tierlake.session import work_path
+    root = work_path(spark, "two_loads", unique=True)
+    spec = replace(orders_spec(), not_null=())
+    wh = EF.Warehouse(spark, f"{root}/warehouse")
+    done = []
+    for n, path in enumerate(two_extracts(spark, sf_dir, root), 1):
+        job, counts = EF.load_and_preview(wh, spec, path, f"extract{n}.zip", multi_line=False)
+        merged = EF.merge_job(wh, spec, job, f"extract{n}.zip")
+        done.append((n, counts["rows_loaded"], counts["new_count"], counts["changed_count"], counts["unchanged_count"], merged))
+    return wh, spec, done
+
+
+@register("load_counts", _SQL_LOADS + """
+SELECT 1 AS load_no, (SELECT count(*) FROM x1) AS rows_loaded, (SELECT count(*) FROM x1) AS new_count, 0 AS changed_count,
+       0 AS unchanged_count, (SELECT count(*) FROM x1) AS merged_count
+UNION ALL
+SELECT 2, (SELECT count(DISTINCT o_orderkey) FROM x2),
+       (SELECT count(*) FROM s2 WHERE NOT EXISTS (SELECT 1 FROM x1 WHERE x1.o_orderkey = s2.o_orderkey)),
+       (SELECT count(*) FROM s2 JOIN x1 USING (o_orderkey) WHERE (s2.o_custkey, s2.o_orderstatus, s2.o_totalprice, s2.o_orderdate)
+               IS DISTINCT FROM (x1.o_custkey, x1.o_orderstatus, x1.o_totalprice, x1.o_orderdate)),
+       (SELECT count(*) FROM s2 JOIN x1 USING (o_orderkey) WHERE (s2.o_custkey, s2.o_orderstatus, s2.o_totalprice, s2.o_orderdate)
+               IS NOT DISTINCT FROM (x1.o_custkey, x1.o_orderstatus, x1.o_totalprice, x1.o_orderdate)),
+       (SELECT count(*) FROM s2 WHERE o_orderkey IS NOT NULL)
+""")
+def q_load_counts(spark, sf_dir):
+    """Loaded, new, changed, unchanged and merged rows of two loads, the second with changes, repeats and NULL keys."""
+    from tierlake.session import local_rows
+    _, _, done = load_twice(spark, sf_dir)
+    return local_rows(spark, done, "load_no int, rows_loaded bigint, new_count bigint, changed_count bigint, "
+                                   "unchanged_count bigint, merged_count bigint")
+
+
+@register("pruned_merge", _SQL_LOADS + """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(o_totalprice AS DOUBLE) AS o_totalprice, o_orderdate, o_orderpriority, 'final' AS tier
+FROM (SELECT * FROM s2 WHERE o_orderkey IS NOT NULL
+      UNION ALL SELECT * FROM x1 WHERE NOT EXISTS (SELECT 1 FROM s2 WHERE s2.o_orderkey = x1.o_orderkey)) f
+UNION ALL
+SELECT NULL, NULL, NULL, NULL, max(o_orderdate), NULL, 'quarantine' FROM s2 WHERE o_orderkey IS NULL HAVING count(*) > 0
+""")
+def q_pruned_merge(spark, sf_dir):
+    """The final after two loads and a compaction of the touched files, and the date of the row held back for its NULL key."""
+    wh, spec, _ = load_twice(spark, sf_dir)
+    target = wh.final(spec)
+    target.compact()
+    names = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+    final = target.read().select(*names).withColumn("o_totalprice", F.col("o_totalprice").cast("double"))
+    from tierlake.sources import files
+    held = wh.quarantine_path(spec)
+    if not files.names(spark, held):
+        return final.withColumn("tier", F.lit("final"))
+    kept = spark.read.parquet(held).agg(F.max("o_orderdate").alias("o_orderdate"))
+    rest = kept.select(*[F.col(n) if n == "o_orderdate" else F.lit(None).cast(final.schema[n].dataType).alias(n) for n in names])
+    return final.withColumn("tier", F.lit("final")).unionByName(rest.withColumn("tier", F.lit("quarantine")))

@@ -1,7 +1,9 @@
-"""File access from inside tasks (ZIP extraction, pointer files).
+"""File access beside Spark's readers and writers.
 
-Paths are Hadoop-style URIs; ``pyarrow.fs`` resolves the scheme (local,
-HDFS, S3, GCS …), so the same task code runs on a laptop and on a cluster.
+Inside tasks (ZIP extraction) paths are Hadoop-style URIs and ``pyarrow.fs``
+resolves the scheme (local, HDFS, S3, GCS …).  The driver uses Hadoop's own
+file systems: ``qualified`` gives a path without a scheme the one Spark would
+use, and commits need a rename that never replaces a file.
 """
 
 from __future__ import annotations
@@ -56,3 +58,52 @@ def write_text_atomic(path: str, text: str) -> None:
     with f.open_output_stream(tmp) as out:
         out.write(text.encode("utf-8"))
     f.move(tmp, p)
+
+
+# -- on the driver, through Hadoop ---------------------------------------
+def _hadoop(spark, path: str):
+    jvm = spark._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def qualified(spark, path: str) -> str:
+    """The path with the scheme and authority that Spark itself would give it."""
+    p, fs = _hadoop(spark, path)
+    return fs.makeQualified(p).toString()
+
+
+def names(spark, path: str) -> list[str]:
+    """Names in a folder, empty if there is none."""
+    p, fs = _hadoop(spark, path)
+    return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def remove(spark, path: str) -> bool:
+    p, fs = _hadoop(spark, path)
+    return fs.delete(p, True)
+
+
+def create_new(spark, path: str, text: str) -> bool:
+    """Write a small file under a temporary name and rename it; False if ``path`` exists already.
+
+    The rename does not replace, so of several writers one succeeds (on stores whose rename is atomic).
+    """
+    import uuid
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    p, fs = _hadoop(spark, path)
+    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{uuid.uuid4().hex}.tmp")
+    out = fs.create(tmp, False)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+    if not fs.exists(p):
+        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf)
+        options = spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
+        try:
+            context.rename(tmp, p, options)
+            return True
+        except Exception as e:  # noqa: BLE001 - py4j wraps Java's FileAlreadyExistsException
+            if "FileAlreadyExistsException" not in str(e):
+                raise
+    fs.delete(tmp, False)
+    return False

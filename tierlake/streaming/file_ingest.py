@@ -32,9 +32,9 @@ def upsert_batch(target: SnapshotTable, keys: Sequence[str], order: Sequence[Col
         if target.last_tag() == tag:
             return                                    # replay of a published batch
         dedup = latest_per_key(batch, keys, order)
-        current = target.read()
+        current = target.matching(dedup.select(*target.keys)) if target.keys else target.read()
         if target.keys:
-            # merge-on-read: only keys of this batch are compared and written
+            # merge-on-read: only keys of this batch are compared and written, only files that can hold one are opened
             touched = current.join(dedup.select(*keys), list(keys), "left_semi")
             target.publish_delta(upsert_newest(touched, dedup, keys, order), tag=tag)
         else:
