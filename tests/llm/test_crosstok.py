@@ -79,7 +79,7 @@ def test_overlaps_are_all_overlaps(sides):
         n_a, n_b, *_ = brute_doc(sides, t)
         if not n_a:
             continue
-        a, b, *_ = sides.encoded([t])
+        a, b, *_ = sides.encoded([b" " + t.encode()])
         a_size, b_size = sides.a_size[a], sides.b_size[b]
         doc_a, doc_b = np.zeros(len(a), int), np.zeros(len(b), int)
         i, j = crosstok.overlaps(np.cumsum(a_size), a_size, doc_a, np.cumsum(b_size), b_size, doc_b)
@@ -87,14 +87,17 @@ def test_overlaps_are_all_overlaps(sides):
         assert len(i) == len(want) and set(zip(i.tolist(), j.tolist())) == want
 
 
-def test_long_texts_in_parts(sides, monkeypatch):
+def test_units_give_the_same_ids(sides, monkeypatch):
     r = random.Random(4)
-    words = ["the", "größe", "中文", "a", "x1", "token's", "\n\n", " ", "  ", "-"]
-    text = " ".join(r.choice(words) for _ in range(6000)) + "z" * 3000
-    whole = [x.tolist() for x in sides.encoded([text])[:2]]
-    monkeypatch.setattr(crosstok, "PART", 100)
-    assert sides.parts_ok and len(sides.parts(text)) > 50 and "".join(sides.parts(text)) == text
-    assert [x.tolist() for x in sides.encoded([text])[:2]] == whole
+    words = ["the", "größe", "中文", "a", "x1", "token's", "\n\n", " ", "  ", "-", "a\u00a0", "b\u3000", "c\u2009", "\u0085", "\u200b", "d\x7f", "слово", "e\x1c", "'s", "'", "9", "\t"]
+    texts = [" ".join(r.choice(words) for _ in range(r.choice([1, 5, 3000]))) + r.choice(["", "z" * 3000, " ", " "]) for _ in range(40)]
+    want = [(sides.a.encode(" " + t, add_special_tokens=False).ids, sides.b.encode(t)) for t in texts]
+    monkeypatch.setattr(crosstok, "LOT", 50)
+    monkeypatch.setattr(crosstok, "MOST_KNOWN", 10)
+    for _ in range(2):
+        a, b, a_n, b_n = sides.encoded([b" " + t.encode() for t in texts])
+        assert [x.tolist() for x in np.split(a, np.cumsum(a_n)[:-1])] == [x for x, _ in want]
+        assert [x.tolist() for x in np.split(b, np.cumsum(b_n)[:-1])] == [y for _, y in want]
 
 
 def test_linkable_pairs_bound(sides):

@@ -21,6 +21,7 @@ import os
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -31,9 +32,11 @@ from pyspark.sql import functions as F
 
 from tierlake.llm.base import rows_of, written
 
-#: Bytes of text that are aligned together, and characters after which a long text is encoded in parts.
+#: Bytes of text that are aligned together, and bytes that are given to a tokenizer at once.
 AT_ONCE = 1 << 20
-PART = 1 << 17
+LOT = 1 << 18
+#: Units of so many bytes at most are remembered, so many of them at most.
+SHORT, MOST_KNOWN = 48, 1 << 18
 SPACE = "▁"
 
 LINKS = "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, links array<int>"
@@ -73,36 +76,62 @@ class Sides:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         if not all(self.a_bytes) or not all(self.b_bytes):
             raise ValueError("a token without bytes cannot be placed")
-        #: No piece goes on over the start of a word, so a text may be encoded in parts that start there.
+        #: No piece goes on over the start of a word, so a text may be encoded in units that start there; A's
+        #: words never go on from a visible character to a space.
         self.parts_ok = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces)
         self.a_table, self.b_table = pa.array(self.a_bytes, pa.binary()), pa.array(self.b_bytes, pa.binary())
         self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
+        self.known: dict[bytes, tuple[list[int], list[int]]] = {}
         self.most = max(len(self.a_bytes), len(self.b_bytes))
         self.digits = pa.array([f"{i}{s}" for s in ",|;" for i in range(self.most)], pa.string())
 
-    def parts(self, text: str) -> list[str]:
-        """The text in parts that tokenize on their own: cut before a space that follows a letter or digit."""
-        if len(text) <= PART or not self.parts_ok:
-            return [text]
-        out, at = [], 0
-        border = re.compile(r"(?<=\w) ")
-        while m := border.search(text, at + PART):
-            out.append(text[at:m.start()])
-            at = m.start()
-        return [*out, text[at:]]
-
-    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of either side, all texts one after the other, and how many each text has."""
-        a_all, b_all, a_n, b_n = [], [], np.zeros(len(texts), np.int64), np.zeros(len(texts), np.int64)
-        for lot in _lots([(k, p, not j) for k, t in enumerate(texts) for j, p in enumerate(self.parts(t))]):
-            a = [x.ids for x in self.a.encode_batch([" " + p if first else p for _, p, first in lot], add_special_tokens=False)]
-            b = self.b.encode([p if first else p[1:] for _, p, first in lot], num_threads=1)
-            for (k, _, _), x, y in zip(lot, a, b):
-                a_n[k] += len(x)
-                b_n[k] += len(y)
-                a_all.append(np.array(x, np.int64))
-                b_all.append(np.array(y, np.int64))
-        return np.concatenate(a_all), np.concatenate(b_all), a_n, b_n
+    def units(self, data: np.ndarray, borders: np.ndarray) -> np.ndarray:
+        """Offsets that cut ``data`` at the borders and before each space that follows a visible character."""
+        if not self.parts_ok:
+            return borders
+        cut = np.zeros(len(data) + 1, bool)
+        cut[1:-1] = (data[1:] == 32) & (data[:-1] > 32) & (data[:-1] != 127)
+        wide = np.flatnonzero(cut[1:-1] & (data[:-1] >= 0x80)) + 1  # the character may be a space of its own
+        before, lead = data[wide - 2], data[np.maximum(wide - 3, 0)]
+        cut[wide[(before == 0xC2) | ((lead >= 0xE1) & (lead <= 0xE3) & ((before == 0x80) | (before == 0x81) | (before == 0x9A)))]] = False
+        cut[borders[1:] - 1] = False  # B adds no space to an empty rest
+        cut[borders] = True
+        return np.flatnonzero(cut)
+
+    def looked_up(self, units: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of either side of each unit; short units are remembered."""
+        if len(self.known) > MOST_KNOWN:
+            self.known.clear()
+        new = [u for u in units if u not in self.known]
+        found = {}
+        for lot in _lots(new):
+            said = [u.decode("utf-8", "replace") for u in lot]
+            a = [x.ids for x in self.a.encode_batch(said, add_special_tokens=False)]
+            b = self.b.encode([x[1:] for x in said], num_threads=1)
+            for u, x, y in zip(lot, a, b):
+                (self.known if len(u) <= SHORT else found)[u] = (x, y)
+        return [self.known.get(u) or found[u] for u in units]
+
+    def encoded(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of either side of texts that begin with the added space, one after the other, and how many each text has."""
+        joined = b"".join(raws)
+        borders = np.concatenate(([0], np.cumsum(list(map(len, raws)))))
+        ends = self.units(np.frombuffer(joined, np.uint8), borders)
+        units = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(joined)]).dictionary_encode()
+        at = units.indices.to_numpy().astype(np.int64)
+        known = self.looked_up(units.dictionary.to_pylist())
+        upto = np.searchsorted(ends, borders)
+        out = []
+        for side in (0, 1):
+            own = [k[side] for k in known]
+            flat = np.fromiter(chain.from_iterable(own), np.int64)
+            n = np.fromiter(map(len, own), np.int64, len(own))
+            first = np.concatenate(([0], np.cumsum(n)))
+            size = n[at]
+            last = np.cumsum(size)
+            ids = flat[np.arange(last[-1]) + np.repeat(first[at] - (last - size), size)]
+            out += [ids, np.diff(np.concatenate(([0], last))[upto])]
+        return out[0], out[2], out[1], out[3]
 
     def linkable(self) -> np.ndarray:
         """All pairs ``a * len(b) + b`` of which one token's bytes end in the other's, ascending."""
@@ -116,14 +145,15 @@ class Sides:
         return np.unique(found[:, 0] * len(self.b_bytes) + found[:, 1])
 
 
-def _lots(parts: list) -> Iterator[list]:
+def _lots(units: list[bytes]) -> Iterator[list[bytes]]:
+    """Lists of at most ``LOT`` bytes, or of one unit."""
     lot, held = [], 0
-    for p in parts:
-        if lot and held + len(p[1]) > 2 * PART:
+    for u in units:
+        if lot and held + len(u) > LOT:
             yield lot
             lot, held = [], 0
-        lot.append(p)
-        held += len(p[1])
+        lot.append(u)
+        held += len(u)
     if lot:
         yield lot
 
@@ -155,7 +185,7 @@ def _aligned(sides: Sides, pairs: np.ndarray, ids: list, texts: list[str | None]
     digests, links, first = [""] * n, np.zeros(0, np.int32), np.zeros(n + 1, np.int64)
     if whole:
         raws = [b" " + texts[k].encode() for k in whole]
-        a, b, a_own, b_own = sides.encoded([texts[k] for k in whole])
+        a, b, a_own, b_own = sides.encoded(raws)
         size = np.array(list(map(len, raws)), np.int64)
         same = _same(raws, size, _joined(sides.a_table, a), sides.a_size[a], a_own) & _same(raws, size, _joined(sides.b_table, b), sides.b_size[b], b_own)
         kept = np.array(whole, np.int64)[same]
@@ -173,13 +203,14 @@ def _aligned(sides: Sides, pairs: np.ndarray, ids: list, texts: list[str | None]
         links = np.minimum(np.searchsorted(pairs, code), len(pairs) - 1).astype(np.int32)
         if not np.array_equal(pairs[links], code):
             raise ValueError("linked tokens whose bytes do not end alike")
-        first = np.concatenate(([0], np.cumsum(np.bincount(a_doc[i], minlength=n))))
-        shared = np.unique(a_end[i])
-        a_group, b_group = np.searchsorted(shared, a_end), np.searchsorted(shared, b_end)
-        n_groups[:] = np.bincount(a_doc[np.searchsorted(a_end, shared)], minlength=n)
-        code = np.empty(len(a) + len(b), np.int64)
-        code[np.arange(len(a)) + np.searchsorted(b_group, a_group, side="left")] = a + sides.most * (a_end == shared[a_group])
-        code[np.arange(len(b)) + np.searchsorted(a_group, b_group, side="right")] = b + 2 * sides.most * (b_end == shared[b_group])
+        n_groups = np.bincount(a_doc[i], minlength=n)  # every shared end is the end of one link
+        first = np.concatenate(([0], np.cumsum(n_groups)))
+        a_last, b_last = np.zeros(len(a), np.int64), np.zeros(len(b), np.int64)
+        a_last[i], b_last[j] = 1, 1
+        a_group, b_group = np.cumsum(a_last) - a_last, np.cumsum(b_last) - b_last
+        code = np.empty(len(a) + len(b), np.int64)  # the ids in the order in which a group says them, each with what follows it
+        code[np.arange(len(a)) + np.concatenate(([0], j + 1))[a_group]] = a + sides.most * a_last
+        code[np.arange(len(b)) + (i + 1)[b_group]] = b + 2 * sides.most * b_last
         said = pc.take(sides.digits, pa.array(code))
         _, ends, data = said.buffers()
         ends, data = np.frombuffer(ends, np.int32), memoryview(data)
@@ -251,8 +282,9 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_col: str = "doc_id", tex
     ``groups_sha256`` is the digest of ``a1,a2|b1;a3|b2,b3``.
 
     NULL and empty texts, and texts that either side does not give back byte for byte, have no tokens: zeros and an
-    empty digest.  Repeated rows count each time; NULL ids stay.  Texts of over ``PART`` characters are encoded in
-    parts that start before a word, which gives the same ids.  An empty table gives an empty result.  Other columns,
+    empty digest.  Repeated rows count each time; NULL ids stay.  A text is encoded by its units, cut before the spaces
+    that follow a visible character, which gives the same ids; equal units of a batch are encoded once, and long texts
+    never pass a tokenizer whole unless they have no spaces.  An empty table gives an empty result.  Other columns,
     whatever their names, are left out.
     """
     found, sides, pairs = links(docs, a_path, b_path, id_col, text_col)
