@@ -270,13 +270,13 @@ def drop_staging(wh: Warehouse, spec: EntitySpec, job_id: int) -> None:
     _delete_dir(f"{wh.dedup_path(spec)}/job_id={job_id}")
 
 
-def run_daily(wh: Warehouse, specs: dict[str, EntitySpec], selected: DataFrame, file_path, multi_line: bool = False) -> list[tuple]:
+def run_daily(wh: Warehouse, specs: dict[str, EntitySpec], selected: DataFrame, file_path, multi_line: bool = True) -> list[tuple]:
     """Stage and merge the selected files in time order (driver loop over a few files).
 
     ``selected``: output of ``select_unprocessed_latest`` (at most one file
     per load type).  ``file_path(file_name)`` locates the staged CSV.  The
     first failure stops the run (later files wait for the next run), as the
-    daily load does.  ``multi_line`` reads quoted line breaks, one task per file.
+    daily load does.  ``multi_line`` allows quoted line breaks.
     """
     done = []
     for r in selected.orderBy("file_timestamp", "file_name").collect():   # ≤ one row per load type

@@ -15,6 +15,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tierlake.functions.casts import empty_to_null
 from tierlake.operators.dedup import with_arrival_seq
+from tierlake.sources.split_csv import OPTIONS, read_split_csv
 
 
 class MissingColumnsError(ValueError):
@@ -30,21 +31,21 @@ def read_landing_csv(spark: SparkSession, paths: str | Sequence[str],
                      arrival_seq: bool = True) -> DataFrame:
     """All-string rows of extract CSV files (one header line each).
 
-    ``multi_line`` allows quoted values with line breaks; it makes each file
-    one split, so leave it off for large files that never quote newlines.
-    ``required`` lists the header names the entity needs; only those are
-    parsed (CSV column pruning) and a missing one raises.
+    ``multi_line`` allows quoted values with line breaks; the files are still
+    read by many tasks (:mod:`tierlake.sources.split_csv`).  ``required`` lists
+    the header names the entity needs; only those are parsed (CSV column
+    pruning) and a missing one raises.
     """
-    reader = (spark.read.option("header", "true").option("inferSchema", "false")
-              .option("multiLine", str(multi_line).lower()).option("escape", '"')
-              .option("mode", "FAILFAST"))
-    df = reader.csv(paths if isinstance(paths, str) else list(paths))
+    if multi_line:
+        df = read_split_csv(spark, paths, required)
+    else:
+        df = with_arrival_seq(spark.read.options(**OPTIONS).csv(paths if isinstance(paths, str) else list(paths)))
     if required is not None:
         have = {c.upper(): c for c in df.columns}
         missing = [c for c in required if c.upper() not in have]
         if missing:
             raise MissingColumnsError(f"extract lacks columns {missing}")
-        df = df.select(*[F.col(have[c.upper()]).alias(c) for c in required])
-    if arrival_seq:
-        df = with_arrival_seq(df)
+        df = df.select(*[F.col(have[c.upper()]).alias(c) for c in required], "_seq")
+    if not arrival_seq:
+        df = df.drop("_seq")
     return df.select(*[empty_to_null(c).alias(c) if c != "_seq" else F.col(c) for c in df.columns])
