@@ -34,9 +34,11 @@ from tierlake.llm.base import rows_of, written
 
 #: Bytes of text that are aligned together, and bytes that are given to a tokenizer at once.
 AT_ONCE = 1 << 20
-LOT = 1 << 18
-#: Units of so many bytes at most are remembered, so many of them at most.
-SHORT, MOST_KNOWN = 48, 1 << 18
+LOT = 1 << 16
+#: So many units are remembered before all are forgotten (or so many bytes of them: 16 times ``AT_ONCE``).
+MOST_KNOWN = 1 << 19
+#: The end of a unit after which a space starts a new word: a visible character that is no space of several bytes.
+VISIBLE = re.compile(rb"[\x21-\x7e]\Z|(?<!\xc2)(?<![\xe1-\xe3][\x80\x81\x9a])[\x80-\xff]\Z")
 SPACE = "▁"
 
 LINKS = "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, links array<int>"
@@ -81,7 +83,7 @@ class Sides:
         self.parts_ok = not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in pieces)
         self.a_table, self.b_table = pa.array(self.a_bytes, pa.binary()), pa.array(self.b_bytes, pa.binary())
         self.a_size, self.b_size = (np.array(list(map(len, x)), np.int64) for x in (self.a_bytes, self.b_bytes))
-        self.known: dict[bytes, tuple[list[int], list[int]]] = {}
+        self._forget()
         self.most = max(len(self.a_bytes), len(self.b_bytes))
         self.digits = pa.array([f"{i}{s}" for s in ",|;" for i in range(self.most)], pa.string())
 
@@ -98,19 +100,47 @@ class Sides:
         cut[borders] = True
         return np.flatnonzero(cut)
 
-    def looked_up(self, units: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Ids of either side of each unit; short units are remembered."""
-        if len(self.known) > MOST_KNOWN:
-            self.known.clear()
-        new = [u for u in units if u not in self.known]
-        found = {}
-        for lot in _lots(new):
-            said = [u.decode("utf-8", "replace") for u in lot]
-            a = [x.ids for x in self.a.encode_batch(said, add_special_tokens=False)]
-            b = self.b.encode([x[1:] for x in said], num_threads=1)
-            for u, x, y in zip(lot, a, b):
-                (self.known if len(u) <= SHORT else found)[u] = (x, y)
-        return [self.known.get(u) or found[u] for u in units]
+    def _a_said(self, lots: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids of all units of the lots, one after the other, and how many each unit has; a lot is encoded as one text."""
+        texts = [b"".join(x) for x in lots]
+        flat = [np.array(x.ids, np.int64) for x in self.a.encode_batch([t.decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
+        counts = []
+        for text, lot, ids in zip(texts, lots, flat):
+            if len(lot) == 1:
+                counts.append([len(ids)])
+                continue
+            ends = np.cumsum(self.a_size[ids])
+            if not len(ids) or ends[-1] != len(text) or _joined(self.a_table, ids) != text:
+                return self._a_said([[u] for x in lots for u in x])  # tokens that are not the bytes have no places
+            counts.append(np.diff(np.concatenate(([0], np.searchsorted(ends, np.cumsum(list(map(len, lot))), side="right")))))
+        return np.concatenate(flat), np.concatenate(counts)
+
+    def _b_said(self, units: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.b.encode([u[1:].decode("utf-8", "replace") for u in units], num_threads=1)
+        return np.fromiter(chain.from_iterable(found), np.int64), np.fromiter(map(len, found), np.int64, len(found))
+
+    def _learn(self, units: list[bytes]) -> None:
+        """Encode units and remember them.  A gets units that end visibly many at a time, the others alone."""
+        plain = np.array([VISIBLE.search(u) is not None for u in units])
+        order = np.concatenate((np.flatnonzero(plain), np.flatnonzero(~plain))).tolist()
+        self.known.update(zip((units[k] for k in order), range(len(self.known), len(self.known) + len(units))))
+        lots = [*_lots([units[k] for k in np.flatnonzero(plain)]), *([units[k]] for k in np.flatnonzero(~plain))]
+        while lots:
+            end = held = 0
+            while end < len(lots) and held < LOT:
+                held += sum(map(len, lots[end]))
+                end += 1
+            now, lots = lots[:end], lots[end:]
+            for side, (flat, counts) in enumerate((self._a_said(now), self._b_said([u for x in now for u in x]))):
+                self.ids[side].append(flat.astype(np.int32))
+                self.counts[side].append(counts.astype(np.int32))
+        for side in (0, 1):
+            self.ids[side], self.counts[side] = [np.concatenate(self.ids[side])], [np.concatenate(self.counts[side])]
+
+    def _forget(self) -> None:
+        self.known: dict[bytes, int] = {}
+        self.known_bytes = 0
+        self.ids, self.counts = ([[np.zeros(0, np.int32)] for _ in "ab"] for _ in "xy")
 
     def encoded(self, raws: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of either side of texts that begin with the added space, one after the other, and how many each text has."""
@@ -118,18 +148,21 @@ class Sides:
         borders = np.concatenate(([0], np.cumsum(list(map(len, raws)))))
         ends = self.units(np.frombuffer(joined, np.uint8), borders)
         units = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(joined)]).dictionary_encode()
-        at = units.indices.to_numpy().astype(np.int64)
-        known = self.looked_up(units.dictionary.to_pylist())
+        if len(self.known) > MOST_KNOWN or self.known_bytes > 16 * AT_ONCE:
+            self._forget()
+        distinct = units.dictionary.to_pylist()
+        if new := [u for u in distinct if u not in self.known]:
+            self.known_bytes += sum(map(len, new))
+            self._learn(new)
+        place = np.fromiter(map(self.known.__getitem__, distinct), np.int64, len(distinct))
+        at = place[units.indices.to_numpy()]
         upto = np.searchsorted(ends, borders)
         out = []
-        for side in (0, 1):
-            own = [k[side] for k in known]
-            flat = np.fromiter(chain.from_iterable(own), np.int64)
-            n = np.fromiter(map(len, own), np.int64, len(own))
-            first = np.concatenate(([0], np.cumsum(n)))
-            size = n[at]
+        for (flat,), (n,) in zip(self.ids, self.counts):
+            first = np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
+            size = n[at].astype(np.int64)
             last = np.cumsum(size)
-            ids = flat[np.arange(last[-1]) + np.repeat(first[at] - (last - size), size)]
+            ids = flat[np.arange(last[-1]) + np.repeat(first[at] - (last - size), size)].astype(np.int64)
             out += [ids, np.diff(np.concatenate(([0], last))[upto])]
         return out[0], out[2], out[1], out[3]
 
@@ -159,6 +192,7 @@ def _lots(units: list[bytes]) -> Iterator[list[bytes]]:
 
 
 def _joined(table: pa.Array, ids: np.ndarray) -> memoryview:
+    """The bytes of some tokens."""
     buffer = pc.take(table, pa.array(ids)).buffers()[2]
     return memoryview(buffer).cast("B") if buffer is not None else memoryview(b"")
 
