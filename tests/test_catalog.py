@@ -24,13 +24,50 @@ def test_route_ties_wildcards_unmapped(spark):
                    "ab_lines": "PO_LINES", "file_emp.zip": "OTHER"}
 
 
-def test_route_large_map_join_path(spark, monkeypatch):
-    from tierlake.operators import routing
-    monkeypatch.setattr(routing, "COMPILE_LIMIT", 1)
-    lm = local_rows(spark, MAP, MAP_SCHEMA)
-    names = spark.createDataFrame([("file_employee-retired.zip",), ("zzz.zip",), ("file_emp.zip",)], "file_name string")
-    got = {r.file_name: r.load_type for r in route_by_pattern(names, "file_name", lm, row_key="file_name").collect()}
-    assert got == {"file_employee-retired.zip": "HCM_EMPLOYEE", "zzz.zip": "UNMAPPED", "file_emp.zip": "OTHER"}
+def brute_route(name, patterns):
+    import re
+    best = None
+    for m, p, like, load, active, _ in patterns:
+        if name is None or active != "Y" or load is None or like is None:
+            continue
+        at, rx = 0, ""
+        while at < len(like):
+            if like[at] == "\\":
+                at, rx = at + 2, rx + re.escape(like[at + 1].lower())
+            else:
+                at, rx = at + 1, rx + {"%": ".*", "_": "."}.get(like[at], re.escape(like[at].lower()))
+        if re.fullmatch(rx, name.lower(), re.S) and (best is None or (p, m) < best[:2]):
+            best = (p, m, load)
+    return best[2] if best else "UNMAPPED"
+
+
+def test_route_against_every_pattern(spark):
+    import random
+    r = random.Random(3)
+    parts = ["a", "B", "ab", "extract", "po_line", "é", "%", "_", "__", "\\_", "\\%", "-1", ".zip", "2026"]
+    patterns = [(k, r.randint(1, 9), "".join(r.choice(parts) for _ in range(r.randint(1, 4))), f"T{k}" if k % 11 else None, "Y" if k % 7 else "N", "Y") for k in range(300)]
+    patterns += [(900, 9, "%", "ALL", "Y", "Y"), (901, 8, "____", "FOUR", "Y", "N"), (902, 8, "__%", "TWO", "Y", "N"), (903, 7, None, "X", "Y", "Y"), (904, 10, "", "NOTHING", "Y", "Y")]
+    names = ["".join(r.choice(["a", "b", "Extract", "PO_LINE", "é", "-1", ".zip", "2026", "x"]) for _ in range(r.randint(0, 5))) for _ in range(250)] + [None, "", "a%", "a_b"]
+    for lm in (patterns, [p for p in patterns if p[0] < 900], []):
+        df = spark.createDataFrame([(n,) for n in names], "file_name string")
+        got = route_by_pattern(df, "file_name", spark.createDataFrame(lm, MAP_SCHEMA)).collect()
+        assert sorted(((x[0], x[1]) for x in got), key=str) == sorted(((n, brute_route(n, lm)) for n in names), key=str)
+
+
+def test_route_three_hundred_thousand_patterns(spark):
+    n = 300_000
+    lm = spark.range(n).selectExpr("cast(id as int) map_id", "cast(id % 100 as int) priority",
+                                   "concat('%extract-', lpad(id, 6, '0'), '%') file_like", "concat('T', id) load_type",
+                                   "'Y' is_active", "'Y' loader_available")
+    names = spark.range(0, 2 * n, 1000).selectExpr("concat('file_extract-', lpad(id, 6, '0'), '-b1.zip') file_name", "id")
+    got = {x["id"]: x["load_type"] for x in route_by_pattern(names, "file_name", lm).collect()}
+    assert got == {k: f"T{k}" if k < n else "UNMAPPED" for k in range(0, 2 * n, 1000)}
+
+
+def test_availability_is_that_of_the_matched_entry(spark):
+    lm = local_rows(spark, [(1, 1, "%po_a%", "PO", "Y", "N"), (2, 2, "%po%", "PO", "Y", "Y")], MAP_SCHEMA)
+    listing = spark.createDataFrame([("x/po_a.zip",), ("x/po_b.zip",), ("x/q.zip",)], "path string")
+    assert {x.file_name: x.loader_available for x in CAT.catalog_view(listing, lm).collect()} == {"po_a.zip": "N", "po_b.zip": "Y", "q.zip": "N"}
 
 
 def test_catalog_refresh_keeps_timestamp(spark):

@@ -21,6 +21,19 @@ def test_resolve_sequential_and_defaults(spark):
     assert out.first().resolved_text == "Dear Ann, see HQ ${Unknown} HQ"
 
 
+def test_resolve_with_many_defaults_repeats_and_nested(spark):
+    rows = [(1, "${B} ${A} ${B} ${Loop}", "ctx"), (1, "${B} ${A} ${B} ${Loop}", "ctx"), (2, None, "x"), (3, "no tokens", "x"),
+            (4, "${T999999} ${T5} ${Nope}", None), (5, "${A}${A}", None)]
+    df = spark.createDataFrame(rows, "id int, t string, a string")
+    reg = spark.range(300_000).selectExpr("concat('T', id) token_name", "concat('v', id) default_value").unionByName(
+        spark.createDataFrame([("A", "<${B}>"), ("B", "b"), ("B", "c"), ("Loop", "${Loop}"), ("Void", None)], "token_name string, default_value string"))
+    out = resolve_templates(df, "t", {"A": F.col("a")}, reg)
+    assert out.columns == ["id", "t", "a", "resolved_text"]
+    assert sorted(((r.id, r.resolved_text) for r in out.collect()), key=str) == sorted([
+        (1, "b ctx b ${Loop}"), (1, "b ctx b ${Loop}"), (2, None), (3, "no tokens"),
+        (4, "${T999999} v5 ${Nope}"), (5, "<${B}><${B}>")], key=str)
+
+
 def test_token_frequency_and_registry(spark):
     tm = spark.createDataFrame([("${A} ${A} ${B}",), ("${B}",), (None,)], "t string")
     got = {r.token_name: r.template_count for r in token_frequency(tm, "t").collect()}

@@ -33,22 +33,22 @@ def extract_tokens(text) -> Column:
 
 
 def token_values(tokens, context: Mapping[str, Column], defaults: Column | None = None) -> Column:
-    """Value per token: the context mapping first, then a default map.
+    """Value per token: the context mapping first, then its default.
 
     ``context`` maps a token name to a Column of the row (``CASE name WHEN
-    'RequisitionTitle' THEN req_title …``).  ``defaults`` is a
-    ``map<string,string>`` Column of registry defaults.  Unresolved tokens get
-    NULL, which leaves the placeholder in place.
+    'RequisitionTitle' THEN req_title …``).  ``defaults`` is an array in the
+    order of ``tokens`` (NULL: no defaults).  Unresolved tokens get NULL, which
+    leaves the placeholder in place.
     """
     def one(name: Column) -> Column:
         v = None
         for k, col in context.items():
             v = F.when(name == F.lit(k), col) if v is None else v.when(name == F.lit(k), col)
-        v = F.lit(None).cast("string") if v is None else v.otherwise(F.lit(None).cast("string"))
-        if defaults is not None:
-            v = F.coalesce(v, F.element_at(defaults, name))
-        return v
-    return F.transform(_c(tokens), one)
+        return F.lit(None).cast("string") if v is None else v.otherwise(F.lit(None).cast("string"))
+
+    if defaults is None:
+        return F.transform(_c(tokens), one)
+    return F.transform(_c(tokens), lambda name, k: F.coalesce(one(name), F.get(defaults, k)))
 
 
 def substitute(text, names, values) -> Column:

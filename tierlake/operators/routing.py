@@ -1,20 +1,28 @@
 """Pattern routing: the first active LIKE pattern (by priority) names the load type.
 
-A loader map is a registry (tens of rows).  Up to ``COMPILE_LIMIT`` patterns
-are compiled into one ``CASE WHEN lower(name) LIKE … THEN …`` expression, so
-routing is a projection: no join, no exchange, and the scan stays inside
-whole-stage codegen.  Larger maps take a broadcast nested-loop join followed
-by ``min_by`` per row; the broadcast side is size-checked first.
+A loader map may hold any number of patterns, so no name is held against all of
+them.  A pattern can only match a name that contains its literal parts: each
+pattern is filed under one substring (gram) of its longest literal parts, the one
+that the fewest names contain, and a name looks up its own grams.  Lookup is a
+hash join; LIKE decides only about the candidates.  Patterns of wildcards alone
+depend on nothing but the length of a name and are folded to one entry a length.
+Equal names are routed once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNMAPPED = "UNMAPPED"
-COMPILE_LIMIT = 2000
-BROADCAST_LIMIT = 200_000
+#: Gram sizes; a pattern uses the largest that its longest literal part has.
+GRAMS = (6, 3, 2, 1)
+
+#: Escaped wildcards and backslashes while a pattern is cut at its wildcards.
+_ESCAPED = (("\\\\", "\x04", "\\"), ("\\%", "\x02", "%"), ("\\_", "\x03", "_"))
 
 
 def active_patterns(loader_map: DataFrame) -> DataFrame:
@@ -22,35 +30,77 @@ def active_patterns(loader_map: DataFrame) -> DataFrame:
         (F.col("is_active") == "Y") & F.col("load_type").isNotNull() & F.col("file_like").isNotNull())
 
 
-def route_expr(name: Column, patterns: list[tuple[int, int, str, str]]) -> Column:
-    """CASE over ``(priority, map_id, file_like, load_type)`` tuples; first match wins."""
-    out = None
-    low = F.lower(name)
-    for _, _, like, load_type in sorted(patterns, key=lambda p: (p[0], p[1])):
-        cond = low.like(like.lower())
-        out = F.when(cond, F.lit(load_type)) if out is None else out.when(cond, F.lit(load_type))
-    return F.lit(UNMAPPED) if out is None else out.otherwise(F.lit(UNMAPPED))
+def _grams(text: Column, size: Column | int) -> Column:
+    """All substrings of ``size`` characters; none if the text is shorter."""
+    size = F.lit(size) if isinstance(size, int) else size
+    return F.when(F.length(text) >= size, F.transform(F.sequence(F.lit(1), F.length(text) - size + 1), lambda i: F.substring(text, i, size))) \
+        .otherwise(F.array().cast("array<string>"))
+
+
+def _masked(like: Column) -> Column:
+    for pattern, mark, _ in _ESCAPED:
+        like = F.replace(like, F.lit(pattern), F.lit(mark))
+    return like
+
+
+def _unmasked(part: Column) -> Column:
+    return F.translate(part, "".join(mark for _, mark, _ in _ESCAPED), "".join(letter for _, _, letter in _ESCAPED))
+
+
+def _entries(loader_map: DataFrame, carry: Sequence[str]) -> DataFrame:
+    """One row per distinct pattern (lower case) with its best map entry and its gram size (NULL: wildcards alone)."""
+    entry = F.struct("priority", "map_id", "load_type", *carry)
+    best = active_patterns(loader_map).groupBy(F.lower("file_like").alias("like")).agg(F.min_by(entry, F.struct("priority", "map_id")).alias("entry"))
+    parts = F.transform(F.filter(F.split(_masked(F.col("like")), "[%_]"), lambda p: F.length(p) > 0), _unmasked)
+    longest = F.array_max(F.transform(parts, F.length))
+    size = reduce(lambda out, q: F.when(longest >= q, q).otherwise(out), reversed(GRAMS), F.lit(None).cast("int"))
+    return best.withColumn("parts", parts).withColumn("size", size)
+
+
+def _by_length(entries: DataFrame, names: DataFrame) -> DataFrame:
+    """``n, entry``: what patterns of wildcards alone say about names of each length."""
+    wild = entries.where("size is null").select(
+        "entry", F.regexp_count("like", F.lit("_")).alias("least"), F.contains("like", F.lit("%")).alias("more"))
+    longest = names.agg(F.max(F.length("name"))).first()[0] or 0
+    to = F.when(F.col("more"), F.lit(longest)).otherwise(F.col("least"))
+    lengths = wild.where(F.col("least") <= longest).select("entry", F.explode(F.sequence("least", to)).alias("n"))
+    return lengths.groupBy("n").agg(_best().alias("entry"))
+
+
+def _best() -> Column:
+    return F.min_by("entry", F.struct("entry.priority", "entry.map_id"))
+
+
+def route_names(names: DataFrame, loader_map: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """``name, entry`` of the distinct lower-case ``names(name)`` that a pattern matches."""
+    entries = _entries(loader_map, carry)
+    literal = entries.where("size is not null")
+    sizes = [r["size"] for r in literal.select("size").distinct().collect()]      # at most len(GRAMS)
+    found = names.join(_by_length(entries, names), F.length("name") == F.col("n")).select("name", "entry")
+    if sizes:
+        held = names.select("name", F.explode(F.array_distinct(F.concat(*[_grams(F.col("name"), q) for q in sizes]))).alias("gram"))
+        own = F.array_distinct(F.flatten(F.transform("parts", lambda p: _grams(p, F.col("size")))))
+        filed = literal.select("like", "entry", F.explode(own).alias("gram"))
+        counts = held.join(filed.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+        # a pattern with a gram that no name contains matches nothing
+        rare = filed.join(counts, "gram", "left").groupBy("like").agg(
+            F.first("entry").alias("entry"), F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("g"))
+        index = rare.where("g.n > 0").select("like", "entry", F.col("g.gram").alias("gram"))
+        hits = held.join(index, "gram").where(F.like("name", "like")).select("name", "entry")
+        found = found.unionByName(hits)
+    return found.groupBy("name").agg(_best().alias("entry"))
 
 
 def route_by_pattern(df: DataFrame, name_col: str, loader_map: DataFrame,
-                     out_col: str = "load_type", row_key: str | None = None) -> DataFrame:
+                     out_col: str = "load_type", carry: Sequence[str] = ()) -> DataFrame:
     """Add ``out_col``: load type of the best matching active pattern, else 'UNMAPPED'.
 
     Ties on priority are broken by ``map_id``.  ``_`` and ``%`` in patterns
-    are wildcards (SQL LIKE).  ``row_key`` (unique per row) is needed only for
-    maps too large to compile.
+    are wildcards unless a backslash escapes them; case does not matter.  ``carry``
+    names columns of the matched map entry to add (NULL without a match).
+    NULL names are unmapped.
     """
-    act = active_patterns(loader_map).select("priority", "map_id", "file_like", "load_type")
-    head = act.limit(COMPILE_LIMIT + 1).collect()          # bounded: at most COMPILE_LIMIT + 1 rows
-    if len(head) <= COMPILE_LIMIT:
-        return df.withColumn(out_col, route_expr(F.col(name_col), [tuple(r) for r in head]))
-    n = act.count()
-    if n > BROADCAST_LIMIT:
-        raise ValueError(f"loader map has {n} active patterns; more than {BROADCAST_LIMIT}")
-    if row_key is None:
-        raise ValueError("row_key is required for loader maps above the compile limit")
-    m = df.select(row_key, name_col).join(
-        F.broadcast(act), F.like(F.lower(F.col(name_col)), F.lower(F.col("file_like"))), "left")
-    best = m.groupBy(row_key).agg(
-        F.min_by("load_type", F.struct("priority", "map_id")).alias(out_col))
-    return df.join(best, row_key, "left").withColumn(out_col, F.coalesce(F.col(out_col), F.lit(UNMAPPED)))
+    names = df.select(F.lower(name_col).alias("name")).where("name is not null").distinct()
+    routed = route_names(names, loader_map, carry).select(F.col("name").alias("__name"), "entry")
+    out = df.join(routed, F.lower(name_col) == F.col("__name"), "left")
+    return out.select(*df.columns, F.coalesce("entry.load_type", F.lit(UNMAPPED)).alias(out_col), *[F.col(f"entry.{c}").alias(c) for c in carry])

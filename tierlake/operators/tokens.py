@@ -10,11 +10,6 @@ from pyspark.sql import functions as F
 from tierlake.functions.templates import extract_tokens, substitute, token_values
 from tierlake.operators.upsert import merge_columns
 
-# A token registry is one row per distinct token name.  It is turned into a
-# map and broadcast with each template row only below this size.
-DEFAULTS_MAP_LIMIT = 100_000
-
-
 def token_frequency(templates: DataFrame, text_col: str) -> DataFrame:
     """``token_name, template_count``: templates that use each token (distinct per template)."""
     toks = templates.where(F.col(text_col).isNotNull()) \
@@ -28,18 +23,17 @@ def refresh_registry(registry: DataFrame, templates: DataFrame, text_col: str) -
     return merge_columns(registry, freq, ["token_name"], update_cols=["template_count"])
 
 
-def defaults_map(registry: DataFrame) -> DataFrame:
-    """One-row DataFrame holding ``map(token_name -> default_value)``.
+def token_defaults(token_lists: DataFrame, registry: DataFrame) -> DataFrame:
+    """``tokens, defaults``: for each distinct list of token names the registry defaults in the same order.
 
-    Raises if the registry is larger than :data:`DEFAULTS_MAP_LIMIT`, so the
-    value shipped to every task has a proven size bound.
+    ``token_lists`` holds one array column ``tokens``.  Each name is looked up by a join, so the registry may be of
+    any size; names without a default give NULL.  A name that the registry holds twice takes its smallest default.
     """
-    d = registry.where(F.col("default_value").isNotNull()).select("token_name", "default_value")
-    n = d.count()
-    if n > DEFAULTS_MAP_LIMIT:
-        raise ValueError(f"token registry has {n} defaults, above {DEFAULTS_MAP_LIMIT}")
-    return d.agg(F.map_from_entries(F.collect_list(F.struct("token_name", "default_value")))
-                 .alias("__defaults"))
+    lists = token_lists.where(F.size("tokens") > 0).distinct()
+    known = registry.where(F.col("default_value").isNotNull()).groupBy("token_name").agg(F.min("default_value").alias("default_value"))
+    each = lists.select("tokens", F.posexplode("tokens").alias("at", "token_name")).join(known, "token_name", "left")
+    in_order = F.array_sort(F.collect_list(F.struct("at", "default_value")))
+    return each.groupBy("tokens").agg(F.transform(in_order, lambda x: x["default_value"]).alias("defaults"))
 
 
 def resolve_templates(rows: DataFrame, text_col: str, context: Mapping[str, Column],
@@ -49,20 +43,18 @@ def resolve_templates(rows: DataFrame, text_col: str, context: Mapping[str, Colu
 
     ``context`` maps token names to Columns of ``rows``; registry defaults
     fill the rest; unresolved tokens stay as ``${name}``.  ``strict`` makes a
-    NULL template an error (as in single-template preview).
+    NULL template an error (as in single-template preview).  Templates with
+    the same tokens in the same order share one lookup.
     """
     if strict:
         bad = rows.where(F.col(text_col).isNull()).limit(1).count()
         if bad:
             raise ValueError("a template text is NULL")
-    defaults = None
-    if registry is not None:
-        # a scalar subquery: the (size-checked) map is computed once and
-        # shipped with the plan, no join
-        # (projected first: subqueries may not sit inside the higher-order functions)
-        rows = rows.withColumn("__defaults", F.coalesce(defaults_map(registry).scalar(),
-                                                        F.create_map().cast("map<string,string>")))
-        defaults = F.col("__defaults")
     toks = extract_tokens(F.col(text_col))
-    out = rows.withColumn(out_col, substitute(F.col(text_col), toks, token_values(toks, context, defaults)))
-    return out.drop("__defaults") if registry is not None else out
+    if registry is None:
+        return rows.withColumn(out_col, substitute(F.col(text_col), toks, token_values(toks, context)))
+    found = token_defaults(rows.select(toks.alias("tokens")), registry).select(F.col("tokens").alias("__tokens"), F.col("defaults").alias("__defaults"))
+    out = rows.withColumn("__own", toks)
+    out = out.join(found, F.col("__own") == F.col("__tokens"), "left")
+    values = token_values("__own", context, F.col("__defaults"))
+    return out.withColumn(out_col, substitute(F.col(text_col), F.col("__own"), values)).drop("__own", "__tokens", "__defaults")

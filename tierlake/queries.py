@@ -377,7 +377,7 @@ FROM p
 def q_pattern_route(spark, sf_dir):
     from tierlake.operators.routing import route_by_pattern
     p = table(spark, sf_dir, "part").select("p_partkey", _part_file_name().alias("file_name"))
-    return route_by_pattern(p, "file_name", loader_map_df(spark), row_key="p_partkey")
+    return route_by_pattern(p, "file_name", loader_map_df(spark))
 
 
 # --------------------------------------------------------------- I7, J4, W5

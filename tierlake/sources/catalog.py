@@ -1,7 +1,7 @@
 """File catalog: object listing -> (file_name, load_type, file_timestamp).
 
 The listing is a ``binaryFile`` scan with the content column pruned, so
-only paths, sizes and times are read; routing is a projection
+only paths, sizes and times are read; routing looks patterns up
 (:mod:`tierlake.operators.routing`); the refresh is an upsert by file name
 that overwrites the load type but keeps a file timestamp once set.
 """
@@ -24,17 +24,13 @@ CATALOG_SCHEMA = ("file_name string, load_type string, loader_available string,
 def catalog_view(listing: DataFrame, loader_map: DataFrame) -> DataFrame:
     """``file_name, load_type, loader_available, file_timestamp`` of listed ZIPs.
 
-    ``loader_available`` is taken from the matched loader-map entry (the
-    catalog refresh itself never sets it).
+    ``loader_available`` is that of the matched loader-map entry ('N' without one).
     """
     zips = listing.where(F.lower("path").like("%.zip")) \
         .select(F.regexp_extract("path", r"[^/]+$", 0).alias("file_name"))
-    routed = route_by_pattern(zips, "file_name", loader_map, row_key="file_name")
-    avail = loader_map.where(F.col("is_active") == "Y").groupBy("load_type") \
-        .agg(F.max(F.coalesce(F.col("loader_available"), F.lit("N"))).alias("loader_available"))
-    return routed.join(avail, "load_type", "left").select(
-        "file_name", "load_type", F.coalesce("loader_available", F.lit("N")).alias("loader_available"),
-        file_timestamp("file_name").alias("file_timestamp"))
+    routed = route_by_pattern(zips, "file_name", loader_map, carry=["loader_available"])
+    return routed.select("file_name", "load_type", F.coalesce("loader_available", F.lit("N")).alias("loader_available"),
+                         file_timestamp("file_name").alias("file_timestamp"))
 
 
 def list_catalog(spark: SparkSession, root: str, loader_map: DataFrame) -> DataFrame:
