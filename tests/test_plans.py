@@ -172,9 +172,12 @@ def test_dimensions_candidates_phones_content(spark, tmp_path):
     ph = RD.page_dataset(pages, RD.CANDIDATE_PHONES).collect()
     assert [(r.phone_id, r.person_id, r.last_update_date) for r in ph] == \
         [(9, 5, dt.datetime(2026, 3, 9, 18, 31, 43, 123000))]
+    link = lambda i: [{"rel": "self", "href": "https://h/x/1"}, {"rel": "canonical", "href": f"https://h/items/{i}"}]
     content = {"items": [
-        {"ItemDescriptionId": None, "Name": "Offer", "links": [{"rel": "canonical", "href": "https://h/items/42"}]},
-        {"ItemDescriptionId": 7, "Name": "Reject", "links": []}]}
+        {"ItemDescriptionId": None, "Name": "no id", "links": link(41)},
+        {"ItemDescriptionId": 6, "Name": "no canonical link", "links": [{"rel": "self", "href": "https://h/x/9"}]},
+        {"ItemDescriptionId": 7, "Name": "Reject", "links": link(70)},
+        {"ItemDescriptionId": 9, "Name": "Offer", "DescriptionTypeCode": "MAIL", "links": link(42)}]}
     (tmp_path / "content_p1.json").write_text(json.dumps(content))
     from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
     item = StructType([StructField("ItemDescriptionId", LongType()), StructField("Name", StringType()),
@@ -183,15 +186,73 @@ def test_dimensions_candidates_phones_content(spark, tmp_path):
                        StructField("links", ArrayType(StructType([StructField("rel", StringType()),
                                                                   StructField("href", StringType())])))])
     pages = read_pages(spark, str(tmp_path / "content_p1.json"), item)
-    final = spark.createDataFrame([(7, "old", None, None, None, None, "keep me"), (8, "other", None, None, None, None, "t8")],
-                                  "item_description_id bigint, name string, description_code string, "
-                                  "description_type_code string, visibility_code string, canonical_href string, "
-                                  "txt_description string")
-    bodies = spark.createDataFrame([(42, 200, "Dear ${CandidateFirstName}"), (7, 500, "error page"), (99, 200, "orphan")],
-                                   "item_description_id bigint, http_status int, body string")
-    out = {r.item_description_id: (r.name, r.txt_description) for r in
+    final = spark.createDataFrame([(7, 70, "old", None, None, None, "keep me"), (8, 80, "other", None, None, None, "t8")],
+                                  "item_description_id bigint, content_item_id bigint, name string, description_code string, "
+                                  "description_type string, visibility_code string, txt_description string")
+    bodies = spark.createDataFrame([(42, 200, "Dear ${CandidateFirstName}"), (70, 500, "error page"), (99, 200, "orphan")],
+                                   "content_item_id bigint, http_status int, body string")
+    out = {r.item_description_id: (r.content_item_id, r.name, r.description_type, r.txt_description) for r in
            RD.content_library_sync(pages, bodies, final).collect()}
-    assert out == {7: ("Reject", "keep me"), 8: ("other", "t8"), 42: ("Offer", "Dear ${CandidateFirstName}")}
+    assert out == {7: (70, "Reject", None, "keep me"), 8: (80, "other", None, "t8"), 9: (42, "Offer", "MAIL", "Dear ${CandidateFirstName}")}
+
+
+def test_children_of_one_item_keep_their_order(spark):
+    item = RD.requisition_item_schema()
+    dff = [{"flex": 0}]
+    row = {f.name: None for f in item.fields}
+    row |= {"RequisitionId": 1, "publishedJobs": [
+        {"Visibility": "EXT", "PostingStatus": s} for s in ("first", "second", "last")],
+        "requisitionDFF": [{j: v for j, _ in RD.DFF_FIELDS} for v in ("a", None, "z")]}
+    import json as js
+    from tierlake.sources.json_pages import envelope
+    body = js.dumps({"items": [row]})
+    pages = spark.createDataFrame([(1, body)], "page_no bigint, b string").select("page_no", F.from_json("b", envelope(item)).alias("e")) \
+        .select("page_no", F.lit(False).alias("has_more"), "e.items")
+    src = RD.requisition_sources(pages)
+    assert [r.published_posting_status for r in src["req_published_jobs_r"].collect()] == ["last"]
+    assert {tuple(r)[1:] for r in src["req_dff_r"].collect()} == {("z",) * len(RD.DFF_FIELDS)}
+
+
+def test_passes_overlap_and_gaps(spark, tmp_path):
+    from tierlake.plans.registry_sync import declared_items
+    from tierlake.operators.upsert import fold_pages
+    from tierlake.sources.json_pages import pass_faults, read_passes
+    item = "CandidateNumber string, LastName string"
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL(item)
+
+    def land(at, pass_no, page, names, more, total):
+        d = tmp_path / at / f"pass={pass_no}"
+        d.mkdir(parents=True, exist_ok=True)
+        (d / f"page-{page}.json").write_text(json.dumps({"items": [{"CandidateNumber": k, "LastName": v} for k, v in names], "hasMore": more, "totalResults": total}))
+
+    land("ok", 1, 1, [("C1", "p1"), ("C2", "p1")], True, 6)
+    land("ok", 1, 2, [("C3", "p1"), ("C4", "p1")], False, 6)        # the cap of 4 rows was reached
+    land("ok", 2, 1, [("C4", "p2"), ("C2", "p2")], True, 3)         # overlaps the first pass
+    land("ok", 2, 2, [("C5", "p2")], False, 3)
+    pages = read_passes(spark, str(tmp_path / "ok"), schema)
+    assert pass_faults(pages, cap=4).collect() == []
+    folded = fold_pages(declared_items(pages, "CandidateNumber"), ["resource_key"], "_page", "_seq")
+    assert {r.resource_key: r.lastname for r in folded.collect()} == {"C1": "p1", "C2": "p2", "C3": "p1", "C4": "p2", "C5": "p2"}
+    land("gap", 1, 1, [("C1", "x")], True, 5)
+    land("gap", 1, 3, [("C1", "x")], True, 5)
+    land("gap", 2, 1, [(f"D{k}", "x") for k in range(9)], False, 9)
+    got = {tuple(r) for r in pass_faults(read_passes(spark, str(tmp_path / "gap"), schema), cap=9).collect()}
+    assert got == {(1, "page missing"), (1, "last page missing"), (1, "items missing"), (2, "next pass missing")}
+
+
+def test_single_applications_are_refreshed(spark):
+    import datetime as d
+    cols = [j.lower() for j, _ in RD.APPLICATION_FIELDS]
+    assert len(cols) == 34
+    empty = spark.createDataFrame([(None,) * 34], ", ".join(f"{j.lower()} {'timestamp_ntz' if k == 'ts' else k}" for j, k in RD.APPLICATION_FIELDS))
+    final = empty.withColumn("jobapplicationid", F.lit(1).cast("bigint")).withColumn("statename", F.lit("Old")) \
+        .unionByName(empty.withColumn("jobapplicationid", F.lit(2).cast("bigint")).withColumn("statename", F.lit("Stays")))
+    bodies = [(1, '{"JobApplicationId": 1, "StateName": "Mid"}'), (2, '{"JobApplicationId": 1, "StateName": "New", "LastUpdateDate": "2026-03-09T18:31:43-05:00"}'),
+              (3, '{"JobApplicationId": 3, "StateName": "Added"}'), (4, '{"StateName": "no id"}')]
+    out = RD.refresh_application(final, spark.createDataFrame(bodies, "response_no int, body string"))
+    got = {r.jobapplicationid: (r.statename, r.lastupdatedate) for r in out.collect()}
+    assert got == {1: ("New", d.datetime(2026, 3, 9, 23, 31, 43)), 2: ("Stays", None), 3: ("Added", None)}
 
 
 def test_isolated_sources_and_report_log(spark, tmp_path):

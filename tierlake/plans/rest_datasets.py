@@ -74,13 +74,13 @@ def requisition_sources(pages: DataFrame) -> dict[str, DataFrame]:
     parent = items.select("page_no", "_seq", *[_typed(j, k).alias(s) for j, s, k in REQUISITION_FIELDS])
     reqs = fold_pages(parent, ["requisitionid"], "page_no", "_seq") \
         .withColumn("resource_key", F.col("requisitionid").cast("string"))
-    dff_rows = child_rows(items, ["page_no", "_seq", "RequisitionId"], "requisitionDFF") \
+    # children of one item keep their own order inside it
+    dff_rows = child_rows(items, ["page_no", "_pos", "RequisitionId"], "requisitionDFF", seq="_seq") \
         .select("page_no", "_seq", F.col("RequisitionId").alias("requisition_id"),
                 *[F.col(j).alias(s) for j, s in DFF_FIELDS])
     dff = fold_pages(dff_rows, ["requisition_id"], "page_no", "_seq",
                      preserve_null_cols=[s for _, s in DFF_FIELDS])
-    pub_rows = child_rows(items.withColumn("_seq", F.col("_pos") * 1000), ["page_no", "_seq", "RequisitionId"],
-                          "publishedJobs", inner_key="Visibility") \
+    pub_rows = child_rows(items, ["page_no", "_pos", "RequisitionId"], "publishedJobs", inner_key="Visibility", seq="_seq") \
         .select("page_no", "_seq", F.col("RequisitionId").alias("requisition_id"),
                 *[_typed(j, k).alias(s) for j, s, k in PUBLISHED_FIELDS])
     pub = fold_pages(pub_rows, ["requisition_id", "published_visibility"], "page_no", "_seq")
@@ -263,33 +263,72 @@ def content_library_sync(pages: DataFrame, bodies: DataFrame | None, final: Data
     """Content items: metadata merged, text bodies kept unless a new body arrived (M4 + P21).
 
     ``pages``: items with ItemDescriptionId, Name, DescriptionCode,
-    DescriptionTypeCode, VisibilityCode and ``links`` (rel, href); the id
-    comes from the canonical link when absent.  ``bodies``: landed
-    ``item_description_id, http_status, body`` of the text requests.
+    DescriptionTypeCode, VisibilityCode and ``links`` (rel, href).  Items
+    without id or canonical link are dropped; the id at the end of that link is
+    the ``content_item_id``, under which the texts are requested.  ``bodies``:
+    landed ``content_item_id, http_status, body`` of those requests.
     """
     from tierlake.functions.casts import http_body, url_tail_id
     from tierlake.operators.upsert import merge_columns
     from tierlake.sources.json_pages import canonical_link
     items = page_items(pages).withColumn("_seq", F.col("_pos"))
-    rows = items.select(
-        "page_no", "_seq",
-        F.coalesce(F.col("ItemDescriptionId"), url_tail_id(canonical_link("links"))).alias("item_description_id"),
+    link = canonical_link("links")
+    rows = items.where(F.col("ItemDescriptionId").isNotNull() & link.isNotNull()).select(
+        "page_no", "_seq", F.col("ItemDescriptionId").alias("item_description_id"), url_tail_id(link).alias("content_item_id"),
         F.col("Name").alias("name"), F.col("DescriptionCode").alias("description_code"),
-        F.col("DescriptionTypeCode").alias("description_type_code"), F.col("VisibilityCode").alias("visibility_code"),
-        canonical_link("links").alias("canonical_href")).where(F.col("item_description_id").isNotNull())
+        F.col("DescriptionTypeCode").alias("description_type"), F.col("VisibilityCode").alias("visibility_code"))
     meta = fold_pages(rows, ["item_description_id"], "page_no", "_seq").drop("page_no", "_seq")
-    upd = ["name", "description_code", "description_type_code", "visibility_code", "canonical_href"]
+    upd = ["content_item_id", "name", "description_code", "description_type", "visibility_code"]
     out = merge_columns(final, meta, ["item_description_id"], update_cols=upd)
     if bodies is not None:
-        texts = bodies.select("item_description_id",
-                              http_body("http_status", "body").alias("txt_description"))
         # bodies only fill items that exist; a failed request (NULL body) keeps the old text
-        texts = texts.where(F.col("txt_description").isNotNull()) \
-            .join(out.select("item_description_id"), "item_description_id", "left_semi")
+        texts = bodies.select("content_item_id", http_body("http_status", "body").alias("txt_description")) \
+            .where(F.col("txt_description").isNotNull())
+        texts = out.select("item_description_id", "content_item_id").join(texts, "content_item_id").drop("content_item_id")
         out = merge_columns(out, texts, ["item_description_id"], update_cols=["txt_description"])
     return out
 
 
+# Fields of a job application (its table has the same names in lower case).
+APPLICATION_FIELDS = [
+    ("JobApplicationId", "bigint"), ("CandidatePersonId", "bigint"), ("CandidateName", "string"), ("RequisitionId", "bigint"),
+    ("PhaseId", "bigint"), ("PhaseName", "string"), ("StateId", "bigint"), ("StateName", "string"), ("AppliedToOtherJobs", "string"),
+    ("ConfirmedFlag", "string"), ("DisqualifiedFlag", "string"), ("JobApplicationDate", "ts"), ("CreationDate", "ts"),
+    ("CreatedBy", "string"), ("LastUpdateDate", "ts"), ("LastUpdatedBy", "string"), ("ProfileId", "bigint"),
+    ("ApplyFlowVersionId", "bigint"), ("ConfirmedByPersonId", "bigint"), ("EsignDescriptionVersionId", "bigint"),
+    ("InternalFlag", "string"), ("LegalDescriptionVersionId", "bigint"), ("ProcessId", "bigint"), ("LastModifiedDate", "ts"),
+    ("ConfirmedDate", "ts"), ("LanguageCode", "string"), ("PublicStateId", "bigint"), ("PublicStateName", "string"),
+    ("SiteNumber", "string"), ("HiringManagerId", "bigint"), ("RequisitionIdRest", "bigint"), ("RequisitionUsageCode", "string"),
+    ("RecruiterId", "bigint"), ("RequisitionNumber", "string"),
+]
+
+
+def field_schema(fields) -> StructType:
+    """Item schema of ``(JSON field, kind)`` pairs; dates and times are read as text."""
+    from pyspark.sql.types import DoubleType
+    kinds = {"bigint": LongType(), "double": DoubleType()}
+    return StructType([StructField(j, kinds.get(k, StringType())) for j, k in fields])
+
+
+def typed_fields(fields, prefix: str = "") -> list:
+    """The lower-case columns of such an item; offset times become UTC."""
+    return [(_iso_utc(F.col(prefix + j)) if k == "ts" else F.col(prefix + j).cast("date") if k == "date" else F.col(prefix + j)).alias(j.lower())
+            for j, k in fields]
+
+
+def refresh_application(final: DataFrame, responses: DataFrame, body_col: str = "body") -> DataFrame:
+    """The table of job applications after single applications were read again (M5): one response per row.
+
+    Later responses (``response_no``) of one application win; responses without its id are dropped.
+    """
+    from tierlake.sources.json_pages import single_object
+    from tierlake.operators.dedup import latest_per_key
+    one = single_object(responses, body_col, field_schema(APPLICATION_FIELDS)).where(F.col("JobApplicationId").isNotNull())
+    rows = one.select("response_no", *typed_fields(APPLICATION_FIELDS))
+    rows = latest_per_key(rows, ["jobapplicationid"], [F.col("response_no").desc()])
+    return upsert(final, rows.select(*final.columns), ["jobapplicationid"])
+
+
 class SyncErrors(RuntimeError):
     """Summary of the sources that failed in one run."""
 

@@ -1303,3 +1303,106 @@ def q_pruned_merge(spark, sf_dir):
     kept = spark.read.parquet(held).agg(F.max("o_orderdate").alias("o_orderdate"))
     rest = kept.select(*[F.col(n) if n == "o_orderdate" else F.lit(None).cast(final.schema[n].dataType).alias(n) for n in names])
     return final.withColumn("tier", F.lit("final")).unionByName(rest.withColumn("tier", F.lit("quarantine")))
+
+
+# --------------------------------------------- S12, S13, I3, I4, K8, M7
+# A demo registry over the events: one source per event type; REGISTRY_FAILS has lost its date field in the second run.
+DEMO_REGISTRY = [("click", "Clicks", "B", "LastUpdateDate", "INCREMENTAL", "Y", None), ("view", "Views", "A", None, "FULL_ONLY", "Y", None),
+                 ("purchase", "Purchases", "A", "LastUpdateDate", "INCREMENTAL", "Y", None), ("signup", "Signups", "B", None, "CODE_BASED", "Y", "load_signups"),
+                 ("error", "Errors", "A", "LastUpdateDate", "INCREMENTAL", "N", None)]
+REGISTRY_FAILS = "purchase"
+REGISTRY_RUNS = (BATCH_CUTOFF, "2024-02-15 00:00:00")
+
+
+def synced_events(spark, sf_dir):
+    """Two registry runs over landed event items: up to the cutoff, then everything; one source fails in the second."""
+    import datetime as dt
+    from tierlake.plans.registry_sync import REGISTRY_SCHEMA, RegistrySync
+    from tierlake.session import local_rows, work_path
+    ev = table(spark, sf_dir, "events")
+    sync = RegistrySync(spark, work_path(spark, "registry", unique=True))
+    registry = local_rows(spark, DEMO_REGISTRY, REGISTRY_SCHEMA)
+    times = [dt.datetime.fromisoformat(t) for t in REGISTRY_RUNS]
+    for n, now in enumerate(times):
+        def items(name, n=n):
+            rows = ev.where(F.col("event_type") == name)
+            rows = rows.where(F.col("ts") < _ts(BATCH_CUTOFF)) if n == 0 else rows
+            date = "changed" if n and name == REGISTRY_FAILS else "lastupdatedate"
+            return rows.select((F.col("event_id") / F.lit(PAGE_SIZE)).cast("bigint").alias("_page"), F.col("event_id").alias("_seq"),
+                               F.col("user_id").cast("string").alias("resource_key"), "value", F.col("ts").alias(date))
+        sync.sync_all(registry, items, f"run{n + 1}", now, strict=False)
+    return sync
+
+
+_SQL_SYNCED = f"""
+WITH items AS (SELECT event_type AS source, CAST(user_id AS VARCHAR) AS resource_key, event_id // {PAGE_SIZE} AS page, event_id AS seq, value, ts FROM events
+               WHERE event_type <> 'error'),
+r1 AS (SELECT * FROM items WHERE ts < TIMESTAMP '{BATCH_CUTOFF}'
+       QUALIFY row_number() OVER (PARTITION BY source, resource_key ORDER BY page DESC, seq DESC) = 1),
+r2 AS (SELECT * FROM items WHERE source <> '{REGISTRY_FAILS}' AND (source = 'view' OR ts > TIMESTAMP '{REGISTRY_RUNS[0]}' - INTERVAL 2 DAY)
+       QUALIFY row_number() OVER (PARTITION BY source, resource_key ORDER BY page DESC, seq DESC) = 1)"""
+
+
+@register("registry_sync", _SQL_SYNCED + f"""
+SELECT source, resource_key, value, ts AS last_update, TIMESTAMP '{REGISTRY_RUNS[1]}' AS row_sync_ts FROM r2
+UNION ALL
+SELECT source, resource_key, value, ts, TIMESTAMP '{REGISTRY_RUNS[0]}' FROM r1
+WHERE source <> 'view' AND NOT EXISTS (SELECT 1 FROM r2 WHERE r2.source = r1.source AND r2.resource_key = r1.resource_key)
+""")
+def q_registry_sync(spark, sf_dir):
+    """The declared tables after two runs; the source that failed in the second keeps the state of the first."""
+    sync = synced_events(spark, sf_dir)
+    out = None
+    for name, *_ in DEMO_REGISTRY:
+        if sync.table(name).current_version() is None:
+            continue
+        one = sync.table(name).read().select(F.lit(name).alias("source"), "resource_key", "value", F.col("lastupdatedate").alias("last_update"), "row_sync_ts")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("registry_runs", _SQL_SYNCED + f"""
+SELECT 'run1' AS run_id, source AS module_static_id, CASE source WHEN 'view' THEN 'FULL' ELSE 'INCREMENTAL' END AS mode,
+       CAST(NULL AS TIMESTAMP) AS window_start, 'SUCCESS' AS status, count(*) AS rows_merged FROM r1 GROUP BY source
+UNION ALL
+SELECT 'run2', source, CASE source WHEN 'view' THEN 'FULL' ELSE 'INCREMENTAL' END,
+       CASE source WHEN 'view' THEN NULL ELSE TIMESTAMP '{REGISTRY_RUNS[0]}' - INTERVAL 2 DAY END, 'SUCCESS', count(*) FROM r2 GROUP BY source
+UNION ALL SELECT 'run2', '{REGISTRY_FAILS}', 'INCREMENTAL', NULL, 'ERROR', 0
+""")
+def q_registry_runs(spark, sf_dir):
+    """What each source did in each run: mode, window, outcome and merged rows."""
+    return synced_events(spark, sf_dir).runs().select("run_id", "module_static_id", "mode", "window_start", "status", "rows_merged")
+
+
+# ------------------------------------------------------------------ I5
+PASS_ROWS = 4000        # rows after which a demo pass ends
+
+
+def event_passes(spark, sf_dir):
+    """Events landed by cursor passes: each pass has its own pages from 1 on and overlaps the one before by two days."""
+    ev = table(spark, sf_dir, "events")
+    first = F.col("event_id") < F.lit(PASS_ROWS)
+    cut = ev.where(first).agg(F.max("ts")).first()[0]
+    both = ev.where(first).withColumn("pass_no", F.lit(1)).unionByName(
+        ev.where(~first | (F.col("ts") > F.lit(cut).cast("timestamp_ntz") - F.expr("INTERVAL 2 DAYS"))).withColumn("pass_no", F.lit(2)))
+    from pyspark.sql import Window
+    at = F.row_number().over(Window.partitionBy("pass_no", "user_id").orderBy("event_id"))
+    return both.withColumn("page_no", at)
+
+
+@register("cursor_passes", f"""
+WITH cut AS (SELECT max(ts) AS c FROM events WHERE event_id < {PASS_ROWS}),
+both_passes AS (SELECT *, 1 AS pass_no FROM events WHERE event_id < {PASS_ROWS}
+         UNION ALL SELECT e.*, 2 FROM events e, cut WHERE e.event_id >= {PASS_ROWS} OR e.ts > c - INTERVAL 2 DAY),
+paged AS (SELECT *, row_number() OVER (PARTITION BY pass_no, user_id ORDER BY event_id) AS page_no FROM both_passes)
+SELECT CAST(user_id AS VARCHAR) AS resource_key, event_type, value, pass_no, page_no FROM paged
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY pass_no DESC, page_no DESC, event_id DESC) = 1
+""")
+def q_cursor_passes(spark, sf_dir):
+    """Items of overlapping passes merged in the order (pass, page, position): the last pass wins."""
+    from tierlake.plans.registry_sync import declared_items
+    pages = event_passes(spark, sf_dir).groupBy("pass_no", "page_no").agg(
+        F.array_sort(F.collect_list(F.struct("event_id", "user_id", "event_type", "value"))).alias("items"))
+    rows = declared_items(pages, "user_id")
+    folded = fold_pages(rows, ["resource_key"], "_page", "_seq")
+    return folded.select("resource_key", "event_type", "value", F.col("_page.pass_no").alias("pass_no"), F.col("_page.page_no").alias("page_no"))
