@@ -17,6 +17,7 @@ join, both on the entity keys.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
@@ -197,10 +198,14 @@ class Warehouse:
 
 
 def load_and_preview(wh: Warehouse, spec: EntitySpec, paths: str | Sequence[str], file_name: str | None = None,
-                     multi_line: bool = True) -> tuple[int, dict]:
-    """Stage one extract and compute its preview; the job ends STAGED (or ERROR)."""
+                     multi_line: bool = True, job_id: int | None = None) -> tuple[int, dict]:
+    """Stage one extract and compute its preview; the job ends STAGED (or ERROR).
+
+    ``job_id``: repeat a load that did not end, under its own id (its staging is replaced).
+    """
     jobs = wh.jobs()
-    job_id = jobs.next_job_id()
+    if job_id is None:
+        job_id = jobs.next_job_id()
     jobs.append(job_id, "LOADING", load_type=spec.name, file_name=file_name)
     try:
         landing = read_landing_csv(wh.spark, paths, required=spec.landing_columns(), multi_line=multi_line)
@@ -227,11 +232,18 @@ def load_and_preview(wh: Warehouse, spec: EntitySpec, paths: str | Sequence[str]
 def merge_job(wh: Warehouse, spec: EntitySpec, job_id: int, file_name: str | None = None) -> int:
     """Upsert a staged job into the final table; the job ends MERGED (or ERROR).
 
-    Returns the merged row count (inserted + updated = deduplicated rows).
+    Returns the merged row count (inserted + updated = deduplicated rows).  The
+    commit carries the job's id: a merge that was committed, but whose driver
+    died before it could say so, is only logged when it is repeated.
     """
     jobs = wh.jobs()
     try:
         target = wh.final(spec)
+        before = json.loads(target.last_tag() or "{}")
+        if before.get("job") == job_id:
+            drop_staging(wh, spec, job_id)
+            jobs.append(job_id, "MERGED", rows_merged=before["merged"])
+            return before["merged"]
         deduped = wh.deduped(spec, job_id)
         quarantine = spec.null_keys == "quarantine"
         nk = null_key(spec) if quarantine else F.lit(False)
@@ -241,12 +253,13 @@ def merge_job(wh: Warehouse, spec: EntitySpec, job_id: int, file_name: str | Non
             deduped.where(nk).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("job_id").parquet(wh.quarantine_path(spec))
             wh.load_log().append(spec.name, file_name, "QUARANTINE", "WARNING", rows_processed=n_held,
                                  error_message=f"{n_held} rows with a NULL key part held back")
+        tag = json.dumps({"job": job_id, "merged": merged})
         if wh.merge_on_read:
             # only the files of the final that can hold a key of the batch are opened
             max_id = (target.max_of(spec.surrogate_id) or 0) if spec.surrogate_id else None
-            target.publish_delta(delta_rows(deduped, target.matching(deduped.select(*spec.keys)), spec, max_id))
+            target.publish_delta(delta_rows(deduped, target.matching(deduped.select(*spec.keys)), spec, max_id), tag=tag)
         else:
-            target.publish(merged_final(wh.staged(spec, job_id), target.read(), spec))
+            target.publish(merged_final(wh.staged(spec, job_id), target.read(), spec), tag=tag)
         drop_staging(wh, spec, job_id)
         jobs.append(job_id, "MERGED", rows_merged=merged)
         wh.load_log().append(spec.name, file_name, "MERGE", "SUCCESS", rows_processed=merged, rows_inserted=merged)

@@ -79,11 +79,11 @@ def stage_zip_csv(zips: DataFrame, staging_dir: str) -> DataFrame:
     return zips.select("path").mapInPandas(_extract(staging_dir.rstrip("/")), STAGED_SCHEMA)
 
 
-def _writer(out_dir: str, header: list[str], prefix: str):
+def _writer(out_dir: str, header: list[str], prefix: str, suffix: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
-        path = f"{out_dir}/{prefix}-{pid:05d}.zip"
+        path = f"{out_dir}/{prefix}-{pid:05d}{suffix}.zip"
         rows = 0
         with files.open_output(path) as fh, zipfile.ZipFile(fh, "w", zipfile.ZIP_DEFLATED) as z:
             z.writestr("MANIFEST.MF", "extract\n")
@@ -96,11 +96,12 @@ def _writer(out_dir: str, header: list[str], prefix: str):
     return run
 
 
-def write_zip_csv(df: DataFrame, out_dir: str, prefix: str = "file_extract") -> DataFrame:
+def write_zip_csv(df: DataFrame, out_dir: str, prefix: str = "file_extract", suffix: str = "") -> DataFrame:
     """Write each partition as one ZIP holding a CSV (all columns as text).
 
+    ``suffix`` ends the archive's name (the ``-YYYYMMDD_HHMMSS`` stamp of an extract).
     Lazy: returns ``zip_path, rows`` per archive; run an action to write.
     """
     ship_package(df.sparkSession)
     text = df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
-    return text.mapInPandas(_writer(out_dir.rstrip("/"), text.columns, prefix), "zip_path string, rows bigint")
+    return text.mapInPandas(_writer(out_dir.rstrip("/"), text.columns, prefix, suffix), "zip_path string, rows bigint")
