@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -42,24 +42,31 @@ def orphans(child: DataFrame, parent: DataFrame, child_keys: Sequence[str],
 def orphan_audit(pairs: Sequence[tuple[str, DataFrame, DataFrame, Sequence[str], Sequence[str]]]) -> DataFrame:
     """One row per relation: ``relation, child_rows, orphan_rows``.
 
-    ``pairs``: (name, child, parent, child_keys, parent_keys).  The child is
-    first reduced to one row per reference value (combined map-side, so a
-    hot reference never travels whole), then matched against the distinct
-    parent keys; both counts come from one aggregate.
+    ``pairs``: (name, child, parent, child_keys, parent_keys).  Every table is
+    scanned once, whatever its roles: each row says, for each relation it takes
+    part in, its key and whether it refers to it or is it.  One aggregate per
+    (relation, key), combined map-side, tells the references without a parent;
+    there is no join.  Keys are compared as the parent's type; a NULL part
+    refers to nothing.
     """
-    parts = []
-    for name, child, parent, ck, pk in pairs:
-        refs = child.groupBy(*ck).agg(F.count(F.lit(1)).alias("__n"))
-        p = parent.select(*[F.col(k).alias(c) for c, k in zip(ck, pk)]).distinct() \
-            .withColumn("__hit", F.lit(True))
-        nn = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in ck])
-        j = refs.join(p, list(ck), "left")
-        parts.append(j.agg(
-            F.lit(name).alias("relation"),
-            F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("child_rows"),
-            F.coalesce(F.sum(F.when(nn & F.col("__hit").isNull(), F.col("__n"))), F.lit(0))
-            .cast("bigint").alias("orphan_rows")))
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    tables: dict[int, tuple[DataFrame, list[Column]]] = {}
+    for k, (_, child, parent, ck, pk) in enumerate(pairs):
+        kinds = [parent.schema[p].dataType for p in pk]
+        for df, keys, refers in ((child, ck, 1), (parent, pk, 0)):
+            parts = [F.col(c).cast(t).cast("string") for c, t in zip(keys, kinds)]
+            nn = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys])
+            role = F.struct(F.lit(k).alias("relation"), F.when(nn, F.array(*parts)).alias("key"),
+                            F.lit(refers).cast("bigint").alias("refers"), F.lit(1 - refers).alias("parent"))
+            tables.setdefault(df.semanticHash(), (df, []))[1].append(role)
+    rows = reduce(lambda a, b: a.unionByName(b), [df.select(F.inline(F.array(*roles))) for df, roles in tables.values()])
+    per_key = rows.groupBy("relation", "key").agg(F.sum("refers").alias("n"), F.max("parent").alias("parent"))
+    per = per_key.groupBy("relation").agg(
+        F.sum("n").cast("bigint").alias("child_rows"),
+        F.coalesce(F.sum(F.when(F.col("key").isNotNull() & (F.col("parent") == 0), F.col("n"))), F.lit(0)).cast("bigint").alias("orphan_rows"))
+    names = F.array(*[F.struct(F.lit(k).alias("relation"), F.lit(p[0]).alias("name")) for k, p in enumerate(pairs)])
+    listed = rows.sparkSession.range(1).select(F.inline(names))
+    return listed.join(per, "relation", "left").select(
+        F.col("name").alias("relation"), *[F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("child_rows", "orphan_rows")])
 
 
 def orphan_sample(child: DataFrame, parent: DataFrame, child_keys: Sequence[str],

@@ -8,7 +8,8 @@ by entity key; a missing source count is an ERROR, never a silent variance.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as _dt
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.functions.casts import pct_delta
+from tierlake.sources import files
 
 STATUSES = ("OK", "VARIANCE", "ERROR")
 
@@ -30,6 +32,7 @@ class ReconSource:
     entity_key: str | None = None          # key in the source rowset
     count_expr: str | None = None          # e.g. "count(DISTINCT location_id)"
     is_active: bool = True
+    report: str = "COUNTS"                  # the source system's report that holds the count
 
 
 def local_counts(sources: list[ReconSource], tables: Mapping[str, DataFrame]) -> DataFrame:
@@ -106,3 +109,56 @@ def run_header(results: DataFrame) -> DataFrame:
         F.count_if(F.col("status") == "OK").cast("bigint").alias("sources_ok"),
         F.count_if(F.col("status") == "VARIANCE").cast("bigint").alias("sources_variance"),
         F.count_if(F.col("status") == "ERROR").cast("bigint").alias("sources_error"))
+
+
+RUN_SCHEMA = ("run_id string, as_of string, total_sources bigint, sources_ok bigint, sources_variance bigint, sources_error bigint, "
+              "started_ts timestamp_ntz, completed_ts timestamp_ntz")
+
+
+class ReconRuns:
+    """Stored reconciliation runs below ``root``: a header per run, a result per source, the reports' counts.
+
+    A report is read once for an ``as_of`` and kept: the other sources of a run, and later runs of that day, look
+    their counts up in the stored copy.  A report that fails makes errors of its sources alone.  Repeating a run
+    replaces its results.
+    """
+
+    def __init__(self, spark, root: str):
+        self.spark, self.root = spark, root.rstrip("/")
+
+    def source_counts(self, report: str, as_of: str, fetch: Callable[[], DataFrame]) -> DataFrame:
+        path = f"{self.root}/counts/{as_of}/{report}"
+        if "_SUCCESS" not in files.names(self.spark, path):
+            fetch().select("entity_key", F.col("source_count").cast("bigint").alias("source_count")).write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+    def run(self, run_id: str, sources: list[ReconSource], tables: Mapping[str, DataFrame],
+            fetch: Mapping[str, Callable[[], DataFrame]], as_of: str) -> DataFrame:
+        """Reconcile all active sources; returns the stored results of the run."""
+        started = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
+        active = [s for s in sources if s.is_active]
+        local = local_counts(active, tables)
+        parts = []
+        for report in dict.fromkeys(s.report for s in active):
+            own = [s for s in active if s.report == report]
+            try:
+                parts.append(reconcile(own, local, self.source_counts(report, as_of, fetch[report])))
+            except Exception as e:  # noqa: BLE001 - one report must not end the run
+                text = f"report {report}: {type(e).__name__} {e}".split("\n")[0][:1000]
+                none = self.spark.createDataFrame([], "entity_key string, source_count bigint")
+                parts.append(reconcile(own, local, none).withColumn("error_message", F.lit(text)))
+        results = reduce(lambda a, b: a.unionByName(b), parts).withColumn("run_id", F.lit(run_id))
+        results.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(f"{self.root}/results")
+        done = self.results().where(F.col("run_id") == run_id)
+        head = run_header(done).select(F.lit(run_id).alias("run_id"), F.lit(as_of).alias("as_of"), "*", F.lit(started).cast("timestamp_ntz").alias("started_ts"),
+                                       F.lit(_dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)).cast("timestamp_ntz").alias("completed_ts"))
+        head.coalesce(1).write.mode("append").parquet(f"{self.root}/runs")
+        return done
+
+    def results(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.root}/results")
+
+    def runs(self) -> DataFrame:
+        """The header of each run; a repeated run counts once, as it ended last."""
+        from tierlake.operators.dedup import latest_per_key
+        return latest_per_key(self.spark.read.schema(RUN_SCHEMA).parquet(f"{self.root}/runs"), ["run_id"], [F.col("completed_ts").desc()])

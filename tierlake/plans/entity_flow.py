@@ -31,7 +31,7 @@ from tierlake.operators.upsert import upsert, upsert_surrogate
 from tierlake.plans.joblog import JobLog, LoadLog
 from tierlake.plans.specs import EntitySpec
 from tierlake.sources import files
-from tierlake.sources.landing import read_landing_csv
+from tierlake.sources.landing import LandingTable, read_landing_csv
 from tierlake.sources.store import SnapshotTable
 
 
@@ -130,6 +130,7 @@ class Warehouse:
     root: str
     merge_on_read: bool = True       # merges write deltas; False rewrites the final each time
     max_deltas: int = 8
+    keep_landing: bool = False       # keep each extract's rows as a landing table, replaced by the next
 
     def staging_path(self, spec: EntitySpec) -> str:
         return f"{self.root}/staging/{spec.name.lower()}"
@@ -153,6 +154,9 @@ class Warehouse:
                                                   F.lit(0).cast("bigint").alias("row")))
         return stage(empty, spec, 0, "x").schema
 
+    def landing(self, spec: EntitySpec) -> LandingTable:
+        return LandingTable(self.spark, f"{self.root}/landing/{spec.name.lower()}")
+
     def jobs(self) -> JobLog:
         return JobLog(self.spark, f"{self.root}/jobs")
 
@@ -208,7 +212,10 @@ def load_and_preview(wh: Warehouse, spec: EntitySpec, paths: str | Sequence[str]
         job_id = jobs.next_job_id()
     jobs.append(job_id, "LOADING", load_type=spec.name, file_name=file_name)
     try:
-        landing = read_landing_csv(wh.spark, paths, required=spec.landing_columns(), multi_line=multi_line)
+        if wh.keep_landing:
+            landing = wh.landing(spec).land(paths, spec.landing_columns(), file_name)
+        else:
+            landing = read_landing_csv(wh.spark, paths, required=spec.landing_columns(), multi_line=multi_line)
         staged = stage(landing, spec, job_id)
         staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("job_id").parquet(wh.staging_path(spec))
         staged = wh.staged(spec, job_id)

@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tierlake.functions.casts import (digits_only, 
+from tierlake.functions.casts import (
+    digits_only,
     NUMBER, blank_to_null, lpad_trunc, safe_number, safe_timestamp, segment_string,
 )
 

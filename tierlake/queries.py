@@ -1406,3 +1406,210 @@ def q_cursor_passes(spark, sf_dir):
     rows = declared_items(pages, "user_id")
     folded = fold_pages(rows, ["resource_key"], "_page", "_seq")
     return folded.select("resource_key", "event_type", "value", F.col("_page.pass_no").alias("pass_no"), F.col("_page.page_no").alias("page_no"))
+
+
+# --------------------------------------------------- I6, S2, K7-K9, I7, I8
+DAILY_MAP = [(1, 10, "%demo\\_orders%", "DEMO_ORDERS", "Y", "Y"), (2, 20, "%demo\\_customers%", "DEMO_CUSTOMERS", "Y", "Y"),
+             (3, 30, "%demo\\_retired%", "DEMO_CUSTOMERS", "Y", "N")]
+
+
+def customers_spec():
+    from tierlake.plans.specs import Col, EntitySpec
+    return EntitySpec(name="DEMO_CUSTOMERS", keys=("c_custkey",), not_null=("c_custkey",),
+                      columns=(Col("c_custkey", "C_CUSTKEY", "num:bigint"), Col("c_name", "C_NAME"), Col("c_mktsegment", "C_MKTSEGMENT")))
+
+
+@register("daily_run", f"""
+SELECT 'DEMO_ORDERS' AS load_type, o_orderkey AS k, o_orderstatus AS label, 'file_demo_orders-b2' AS file_start, 'MERGED' AS status
+FROM orders WHERE o_orderdate >= TIMESTAMP '{ORDERS_SECOND_FROM}'
+UNION ALL
+SELECT 'DEMO_CUSTOMERS', c_custkey, c_mktsegment, 'file_demo_customers-b1', 'MERGED' FROM customer
+""")
+def q_daily_run(spark, sf_dir):
+    """One daily run over archives: catalog, newest file per type, unzip, stage, preview, merge; the finals and their jobs.
+
+    An older orders file, an excluded name, one that no loader takes and one of last month wait in the same folder.
+    """
+    import datetime as dt
+    from tierlake.plans.daily import DailyRun
+    from tierlake.plans.entity_flow import Warehouse
+    from tierlake.session import local_rows, work_path
+    from tierlake.sources.zipped import write_zip_csv
+    root = work_path(spark, "daily", unique=True)
+    orders, customers = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    upper = lambda df: df.select(*[F.col(c).cast("string").alias(c.upper()) for c in df.columns])
+    for prefix, stamp, rows in (
+            ("file_demo_orders-b1", "20240120_100000", orders.where(F.col("o_orderdate") < _ts(ORDERS_SECOND_FROM))),
+            ("file_demo_orders-b2", "20240120_110000", orders.where(F.col("o_orderdate") >= _ts(ORDERS_SECOND_FROM))),
+            ("file_demo_customers-b1", "20240120_120000", customers),
+            ("file_demo_customers_poheaderdffpublic-b1", "20240120_130000", customers),
+            ("file_demo_retired-b1", "20240120_140000", customers),
+            ("file_demo_customers-b0", "20231220_120000", customers)):
+        write_zip_csv(upper(rows).coalesce(1), f"{root}/inbox", prefix, f"-{stamp}").count()
+    wh = Warehouse(spark, f"{root}/warehouse")
+    lm = local_rows(spark, DAILY_MAP, "map_id int, priority int, file_like string, load_type string, is_active string, loader_available string")
+    specs = {"DEMO_ORDERS": orders_spec(), "DEMO_CUSTOMERS": customers_spec()}
+    run = DailyRun(wh, specs, f"{root}/inbox", lm, load_types=list(specs), multi_line=False)
+    now = dt.datetime.fromisoformat(RUN_NOW)
+    run.run(now)
+    run.run(now)        # nothing is left for a second run of the day
+    jobs = wh.jobs().current().select("load_type", F.substring_index("file_name", "-", 2).alias("file_start"), "status")
+    finals = wh.final(specs["DEMO_ORDERS"]).read().select(F.lit("DEMO_ORDERS").alias("load_type"), F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("label")) \
+        .unionByName(wh.final(specs["DEMO_CUSTOMERS"]).read().select(F.lit("DEMO_CUSTOMERS").alias("load_type"), F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("label")))
+    return finals.join(F.broadcast(jobs), "load_type")      # two jobs
+
+
+# ------------------------------------------------------------- X1, D1, M1
+@register("entity_stream", f"""
+WITH x AS (SELECT *, CASE WHEN event_id < {PASS_ROWS} THEN 1 ELSE 2 END AS file FROM events)
+SELECT user_id, event_type, value, ts FROM x
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, file DESC, event_id) = 1
+""")
+def q_entity_stream(spark, sf_dir):
+    """Events as CSV extracts, the later file first, streamed one file a batch through stage, preview and merge."""
+    wh, spec = streamed_events(spark, sf_dir)
+    return wh.final(spec).read().select("user_id", "event_type", "value", "ts")
+
+
+def events_spec():
+    from tierlake.plans.specs import Col, EntitySpec
+    return EntitySpec(name="DEMO_EVENTS", keys=("user_id",), order=(("ts", "desc"),), not_null=("user_id",),
+                      columns=(Col("user_id", "USER_ID", "num:bigint"), Col("event_type", "EVENT_TYPE"), Col("value", "VALUE", "num:double"),
+                               Col("ts", "TS", "ts")), compare=("user_id", "event_type", "value", "ts"))
+
+
+def streamed_events(spark, sf_dir):
+    from tierlake.plans.entity_flow import Warehouse
+    from tierlake.session import work_path
+    from tierlake.streaming.file_ingest import ingest_entity
+    root = work_path(spark, "entity_stream", unique=True)
+    ev = table(spark, sf_dir, "events")
+    wh, spec = Warehouse(spark, f"{root}/warehouse"), events_spec()
+    late = F.col("event_id") >= PASS_ROWS
+    for rows in (ev.where(late), ev.where(~late), ev.where(~late)):      # a late file, then it again
+        text = rows.orderBy("event_id").select(F.col("user_id").cast("string").alias("USER_ID"), F.col("event_type").alias("EVENT_TYPE"),
+                                               F.col("value").cast("string").alias("VALUE"), F.col("ts").cast("string").alias("TS"))
+        text.coalesce(1).write.mode("append").option("header", "true").csv(f"{root}/inbox")
+        ingest_entity(wh, spec, f"{root}/inbox", f"{root}/checkpoint", max_files_per_trigger=1)
+    return wh, spec
+
+
+@register("entity_stream_counts", f"""
+WITH late AS (SELECT * FROM events WHERE event_id >= {PASS_ROWS}
+              QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id) = 1),
+early AS (SELECT * FROM events WHERE event_id < {PASS_ROWS}
+          QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC NULLS LAST, event_id) = 1),
+merged AS (SELECT coalesce(l.user_id, e.user_id) AS user_id, (l.user_id IS NULL OR e.ts >= l.ts) AS won,
+                  e.user_id IS NOT NULL AS sent, l.user_id IS NOT NULL AS had FROM late l FULL OUTER JOIN early e ON l.user_id = e.user_id)
+SELECT 0 AS batch_id, (SELECT count(*) FROM events WHERE event_id >= {PASS_ROWS}) AS rows_read, count(*) AS rows_loaded, count(*) AS new_count,
+       0 AS stale_count, count(*) AS merged_count FROM late
+UNION ALL
+SELECT b, (SELECT count(*) FROM events WHERE event_id < {PASS_ROWS}), count(*), CASE b WHEN 1 THEN count(*) FILTER (WHERE NOT had) ELSE 0 END,
+       count(*) FILTER (WHERE NOT won), count(*) FILTER (WHERE won)
+FROM merged, (VALUES (1), (2)) AS t(b) WHERE sent GROUP BY b
+""")
+def q_entity_stream_counts(spark, sf_dir):
+    """What each micro-batch read, loaded, found new or stale and merged, from the commits."""
+    from tierlake.streaming.file_ingest import stream_counts
+    wh, spec = streamed_events(spark, sf_dir)
+    return stream_counts(wh.final(spec)).select("batch_id", "rows_read", "rows_loaded", "new_count", "stale_count", "merged_count")
+
+
+# ------------------------------------------------------------- Q2, Q3, A8
+RECON_REPORTS = {"CUSTOMERS": "MASTER", "SUPPLIERS": "MASTER", "NATIONS": "MASTER"}
+
+
+@register("recon_runs", ORACLE_SQL["recon_counts"].split("SELECT l.entity_name")[0] + """,
+one AS (SELECT l.entity_name, l.local_count, s.source_count, l.entity_name IN ('CUSTOMERS', 'SUPPLIERS', 'NATIONS') AS master
+        FROM local l LEFT JOIN src s ON s.entity_key = l.entity_key),
+both_runs AS (SELECT r.run_id, o.entity_name, o.local_count, CASE WHEN r.run_id = 'run1' AND o.master THEN NULL ELSE o.source_count END AS source_count
+              FROM one o, (VALUES ('run1'), ('run2')) AS r(run_id)),
+told AS (SELECT *, CASE WHEN source_count IS NULL THEN 'ERROR' WHEN source_count = local_count THEN 'OK' ELSE 'VARIANCE' END AS status FROM both_runs)
+SELECT run_id, entity_name, CAST(local_count AS DOUBLE) AS local_count, CAST(source_count AS DOUBLE) AS source_count, status,
+       count(*) OVER (PARTITION BY run_id) AS total_sources, count(*) FILTER (WHERE status = 'OK') OVER (PARTITION BY run_id) AS sources_ok,
+       count(*) FILTER (WHERE status = 'VARIANCE') OVER (PARTITION BY run_id) AS sources_variance,
+       count(*) FILTER (WHERE status = 'ERROR') OVER (PARTITION BY run_id) AS sources_error
+FROM told
+""")
+def q_recon_runs(spark, sf_dir):
+    """Two stored runs over one day's reports: one report fails in the first, the other is read from the store in the second."""
+    from dataclasses import replace
+    from tierlake.operators.recon import ReconRuns
+    from tierlake.session import work_path
+    names = ["customer", "orders", "part", "supplier", "events", "labels", "documents"]
+    tables = {n: table(spark, sf_dir, n) for n in names}
+    sources = [replace(s, report=RECON_REPORTS.get(s.entity_name, "COUNTS")) for s in recon_sources()]
+
+    def down():
+        raise RuntimeError("the report cannot be read now")
+
+    def report():
+        return source_count_report(spark, sf_dir)
+    store = ReconRuns(spark, work_path(spark, "recon", unique=True))
+    store.run("run1", sources, tables, {"MASTER": down, "COUNTS": report}, "2024-01-20")
+    store.run("run2", sources, tables, {"MASTER": report, "COUNTS": down}, "2024-01-20")
+    heads = store.runs().select("run_id", "total_sources", "sources_ok", "sources_variance", "sources_error")
+    found = store.results().select("run_id", "entity_name", F.col("local_count").cast("double"), F.col("source_count").cast("double"), "status")
+    return found.join(F.broadcast(heads), "run_id")      # two runs
+
+
+# --------------------------------------------------------------------- Q6
+@register("orphan_found", f"""
+SELECT 'lineitem->early orders' AS relation, count(*) AS child_rows,
+  count(*) FILTER (WHERE l_orderkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_orderkey = l.l_orderkey AND o.o_orderdate < TIMESTAMP '{ORDERS_SECOND_FROM}')) AS orphan_rows
+FROM lineitem l
+UNION ALL
+SELECT 'orders->customers in credit', count(*),
+  count(*) FILTER (WHERE o_custkey IS NOT NULL AND NOT EXISTS (SELECT 1 FROM customer c WHERE c.c_custkey = o.o_custkey AND c.c_acctbal > 0)) FROM orders o
+UNION ALL
+SELECT 'lineitem->(part, supplier) of returns', count(*),
+  count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM lineitem r WHERE r.l_returnflag = 'R' AND r.l_partkey = l.l_partkey AND r.l_suppkey = l.l_suppkey)) FROM lineitem l
+""")
+def q_orphan_found(spark, sf_dir):
+    """The orphan audit over parents that lack rows, one key of two parts among them."""
+    from tierlake.operators.audit import orphan_audit
+    t = lambda n: table(spark, sf_dir, n)
+    li, pair = t("lineitem"), ["l_partkey", "l_suppkey"]
+    return orphan_audit([
+        ("lineitem->early orders", li, t("orders").where(F.col("o_orderdate") < _ts(ORDERS_SECOND_FROM)), ["l_orderkey"], ["o_orderkey"]),
+        ("orders->customers in credit", t("orders"), t("customer").where("c_acctbal > 0"), ["o_custkey"], ["c_custkey"]),
+        ("lineitem->(part, supplier) of returns", li, li.where("l_returnflag = 'R'"), pair, pair)])
+
+
+# --------------------------------------------------------------------- J9
+@register("budget_combination", """
+WITH b AS (SELECT l_orderkey, l_linenumber, lpad(CAST(l_suppkey AS VARCHAR), 4, '0') || '-' || lpad(CAST(l_linenumber AS VARCHAR), 3, '0') || '-'
+    || coalesce(lpad(nullif(CASE WHEN l_returnflag = 'A' THEN '' ELSE l_returnflag END, ''), 4, '0'), '') || '-' || coalesce(lpad(CASE WHEN l_linestatus = 'O' THEN l_linestatus END, 3, '0'), '')
+    || '-' || lpad(CAST(l_partkey AS VARCHAR), 3, '0') || '-' || lpad(CAST(CAST(l_quantity AS BIGINT) % 5 AS VARCHAR), 7, '0') || '-0000-0000-00000' AS k,
+    l_shipdate FROM lineitem),
+c AS (SELECT k, min(l_orderkey) AS code_combination_id, count(*) AS n FROM b WHERE l_shipdate < TIMESTAMP '1995-01-01' GROUP BY k)
+SELECT l_orderkey, l_linenumber, CAST(code_combination_id AS DOUBLE) AS code_combination_id, coalesce(n, 0) AS n_combinations FROM b LEFT JOIN c USING (k)
+""")
+def q_budget_combination(spark, sf_dir):
+    """Lines as budget rows of nine segments (short, too long, empty and NULL ones) and the code combinations of the early lines."""
+    from tierlake.plans.budget import with_code_combination
+    from tierlake.plans.specs import BUDGET_SEGMENTS
+    li = table(spark, sf_dir, "lineitem")
+    parts = [F.col("l_suppkey").cast("string"), F.col("l_linenumber").cast("string"), F.when(F.col("l_returnflag") == "A", "").otherwise(F.col("l_returnflag")),
+             F.when(F.col("l_linestatus") == "O", F.col("l_linestatus")), F.col("l_partkey").cast("string"),
+             (F.col("l_quantity").cast("bigint") % 5).cast("string"), F.lit("0"), F.lit("00"), F.lit("000000")]
+    budget = li.select("l_orderkey", "l_linenumber", "l_shipdate", *[p.alias(c) for p, c in zip(parts, BUDGET_SEGMENTS)])
+    combinations = budget.where(F.col("l_shipdate") < _ts("1995-01-01 00:00:00")).withColumn("code_combination_id", F.col("l_orderkey")).withColumn("account_type", F.lit("E"))
+    found = with_code_combination(budget, combinations)
+    return found.select("l_orderkey", "l_linenumber", F.col("code_combination_id").cast("double"), "n_combinations")
+
+
+# ------------------------------------------------------------------ S3
+@register("quoted_csv", """
+SELECT doc_id, md5(text) AS text_md5, length(text) AS n_chars, lang FROM documents
+""")
+def q_quoted_csv(spark, sf_dir):
+    """Documents, line breaks and quotes included, written as CSV and read back by the splitting reader."""
+    from tierlake.session import work_path
+    from tierlake.sources.landing import read_landing_csv
+    path = work_path(spark, "quoted", unique=True)
+    text = table(spark, sf_dir, "documents").select(F.col("doc_id").cast("string"), "text", "lang")
+    text.write.mode("overwrite").option("header", "true").option("escape", '"').option("quoteAll", "true") \
+        .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
+    got = read_landing_csv(spark, path, required=["doc_id", "text", "lang"])
+    return got.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"), "lang")

@@ -7,6 +7,7 @@ value by one position.  ``''`` becomes NULL, as in the source database.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,51 @@ class MissingColumnsError(ValueError):
     pass
 
 
+class LandingTable:
+    """The landing copy of an extract (all strings, ``_seq``): each landing replaces the one before atomically.
+
+    Readers see the old file's rows until the new ones are complete.  The header is checked by name and its
+    changes against the last landing are kept: columns that are new, gone, or at another place.
+    """
+
+    def __init__(self, spark: SparkSession, root: str):
+        from tierlake.sources.store import SnapshotTable
+        self.spark, self.table = spark, SnapshotTable(spark, root)
+
+    def land(self, paths: str | Sequence[str], required: Sequence[str] | None = None, file_name: str | None = None) -> DataFrame:
+        df = read_landing_csv(self.spark, paths)
+        header = [c for c in df.columns if c != "_seq"]
+        missing = [c for c in required or () if c.upper() not in {h.upper() for h in header}]
+        if missing:
+            raise MissingColumnsError(f"extract lacks columns {missing}")
+        before = json.loads(self.table.last_tag() or "{}").get("header")
+        if before:
+            self.table.read()       # a commit builds on what was read
+        self.table.publish(df, tag=json.dumps({"file": file_name, "header": header, "changes": header_changes(before, header)}))
+        return self.read(required)
+
+    def read(self, required: Sequence[str] | None = None) -> DataFrame:
+        df = self.table.read()
+        if required is None:
+            return df
+        have = {c.upper(): c for c in df.columns}
+        return df.select(*[F.col(have[c.upper()]).alias(c) for c in required], "_seq")
+
+    def last(self) -> dict:
+        """File, header and header changes of the last landing."""
+        return json.loads(self.table.last_tag() or "{}")
+
+
+def header_changes(before: list[str] | None, now: list[str]) -> dict[str, list[str]]:
+    """Columns that are new, gone, or stand elsewhere among those that stayed."""
+    if before is None:
+        return {"new": [], "gone": [], "moved": []}
+    stayed = [c for c in now if c in before]
+    old = [c for c in before if c in now]
+    return {"new": [c for c in now if c not in before], "gone": [c for c in before if c not in now],
+            "moved": [c for c, o in zip(stayed, old) if c != o]}
+
+
 def all_string_schema(columns: Sequence[str]) -> StructType:
     return StructType([StructField(c, StringType()) for c in columns])
 

@@ -91,6 +91,8 @@ class SnapshotTable:
 
     def _commit(self, st: dict) -> int:
         v = (self.current_version() or 0) + 1
+        before = self.state() or {}
+        st = {"streams": before.get("streams", {}), **st}
         if self._seen is not None and v != self._seen + 1:
             raise WriteConflict(f"{self.root}: version {v - 1} was committed after version {self._seen} was read")
         if not files.create_new(self.spark, f"{self.root}/{LOG}/{v:06d}.json", json.dumps({**st, "version": v})):
@@ -225,7 +227,7 @@ class SnapshotTable:
         A keyed table is range-partitioned and sorted by its key, so its files cover separate key ranges.
         """
         name = self._next()
-        if self.schema is None:
+        if self.schema is None or not self.keys:
             self.schema = df.schema
         if not self.keys or partition_by:
             w = df.write
@@ -239,11 +241,12 @@ class SnapshotTable:
     def _sorted(self, df: DataFrame, name: str, by: Sequence[str] = ()) -> None:
         df.write.option("maxRecordsPerFile", self.rows_per_file).partitionBy(*by).parquet(self.path(name))
 
-    def publish_delta(self, rows: DataFrame, tag=None) -> int:
+    def publish_delta(self, rows: DataFrame, tag=None, stream: tuple[str, int] | None = None) -> int:
         """Record the new values of changed and inserted rows (merge-on-read).
 
         ``rows`` must carry every column and at most one row per non-NULL key.  ``tag`` (e.g. a stream batch
-        id) is kept in the log so a replayed batch can be recognised.
+        id) is kept in the log so a replayed batch can be recognised; ``stream`` (name, batch id) is remembered by
+        all later versions.
         """
         if not self.keys:
             raise ValueError("publish_delta needs a keyed table")
@@ -256,7 +259,8 @@ class SnapshotTable:
             self._seen = st["version"]
         name = self._next()
         rows.select(*self.schema.fieldNames()).write.parquet(self.path(name))
-        v = self._commit({**st, "deltas": [*st["deltas"], name], "tag": tag})
+        streams = {**st.get("streams", {}), **({stream[0]: stream[1]} if stream else {})}
+        v = self._commit({**st, "deltas": [*st["deltas"], name], "tag": tag, "streams": streams})
         return self.compact(tag=tag) if len(st["deltas"]) + 1 >= self.max_deltas else v
 
     def compact(self, tag=None) -> int:
@@ -277,6 +281,16 @@ class SnapshotTable:
         manifest, n = self._write_manifest(entries)
         return self._commit({**self._head(tag), "base": st["base"], "deltas": [], "manifest": manifest, "files": n, "carried": True})
 
+    def has_batch(self, stream: str, batch_id: int) -> bool:
+        """Whether a batch of a stream is part of the table (batch ids of a stream only grow)."""
+        return ((self.state() or {}).get("streams", {})).get(stream, -1) >= batch_id
+
+    def tags(self) -> DataFrame:
+        """``version, tag`` of every commit."""
+        if not self.versions():
+            return self.spark.createDataFrame([], "version bigint, tag string")
+        return self.spark.read.schema("version bigint, tag string").json(f"{self.root}/{LOG}/*.json")
+
     def last_tag(self):
         st = self.state()
         return None if st is None else st.get("tag")
