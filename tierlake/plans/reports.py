@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tierlake.operators.dedup import first_arrival
 from tierlake.operators.upsert import check_unique, upsert
 from tierlake.plans.specs import Col
+from tierlake.session import work_path
 from tierlake.sources.store import SnapshotTable
 from tierlake.sources.xml_rowset import read_rowset, require_rows
 
@@ -47,8 +48,13 @@ def typed_rows(spark: SparkSession, paths: str | Sequence[str], spec: ReportSpec
 
 def load_report(spark: SparkSession, paths: str | Sequence[str], spec: ReportSpec,
                 target: SnapshotTable) -> int:
-    """Load one landed report into ``target``; returns the source row count."""
-    rows = require_rows(typed_rows(spark, paths, spec), spec.name)
+    """Load one landed report into ``target``; returns the source row count.
+
+    The XML is parsed once: its typed rows are written and everything else reads those.
+    """
+    path = work_path(spark, "reports", spec.name.lower(), unique=True)
+    typed_rows(spark, paths, spec).write.mode("overwrite").parquet(path)
+    rows = require_rows(spark.read.parquet(path), spec.name)
     n = rows.count()
     for c in spec.require:
         rows = rows.where(F.col(c).isNotNull())
@@ -60,24 +66,28 @@ def load_report(spark: SparkSession, paths: str | Sequence[str], spec: ReportSpe
         src = rows.drop("_seq")
     else:
         src = first_arrival(rows, list(spec.keys)).drop("_seq")
-    target.publish(upsert(target.read(), src.select(*target.read().columns), list(spec.keys)))
+    current = target.read()
+    if target.keys:
+        target.publish_delta(src.select(*current.columns))
+    else:
+        target.publish(upsert(current, src.select(*current.columns), list(spec.keys)))
     return n
 
 
 # The gallup assessment report (element -> column).
 GALLUP = ReportSpec(
     name="GALLUP", keys=("submission_id",), require=("submission_id",),
-    columns=(Col("submission_id", "SUBMISSION_ID", "num:bigint"),
+    columns=(Col("submission_id", "SUBMISSION_ID", "must:bigint"),
              Col("package_status_code", "PACKAGE_STATUS_CODE"), Col("band", "BAND"),
-             Col("score", "SCORE", "num:decimal(10,2)"), Col("requisition_id", "REQUISITION_ID", "num:bigint"),
-             Col("requisition_title", "REQUISITION_TITLE"), Col("person_id", "PERSON_ID", "num:bigint"),
+             Col("score", "SCORE", "must:decimal(10,2)"), Col("requisition_id", "REQUISITION_ID", "must:bigint"),
+             Col("requisition_title", "REQUISITION_TITLE"), Col("person_id", "PERSON_ID", "must:bigint"),
              Col("candidate_name", "CANDIDATE_NAME"), Col("gallup_result_url", "GALLUP_RESULT_URL")))
 
 # The flexfield staging report (element -> column, all text but the ids).
 EXT_FLEX_STG = ReportSpec(
     name="EXT_FLEX", keys=("person_extra_info_id",), require=("person_extra_info_id",),
-    columns=(Col("candidate_number", "CANDIDATE_NUMBER"), Col("person_id", "PERSON_ID", "num:bigint"),
-             Col("person_extra_info_id", "PERSON_EXTRA_INFO_ID", "num:bigint"),
+    columns=(Col("candidate_number", "CANDIDATE_NUMBER"), Col("person_id", "PERSON_ID", "must:bigint"),
+             Col("person_extra_info_id", "PERSON_EXTRA_INFO_ID", "must:bigint"),
              Col("information_type", "INFORMATION_TYPE"), Col("pei_information_category", "PEI_INFORMATION_CATEGORY"),
              Col("effective_start_date", "EFFECTIVE_START_DATE"), Col("effective_end_date", "EFFECTIVE_END_DATE"),
              *[Col(f"pei_info{i}", f"PEI_INFO{i}") for i in range(1, 17)],
@@ -109,8 +119,8 @@ BIP_QUESTIONNAIRES = ReportSpec(
     require=("questionnaire_code", "question_code"),
     where=lambda: _digits("QSTNR_PARTICIPANT_ID") & _digits("REQUISITION_ID"),
     columns=(Col("questionnaire_code", "QUESTIONNAIRE_CODE"), Col("question_code", "QUESTION_CODE"),
-             Col("qstnr_participant_id", "QSTNR_PARTICIPANT_ID", "num:bigint"),
-             Col("requisition_id", "REQUISITION_ID", "num:bigint"),
+             Col("qstnr_participant_id", "QSTNR_PARTICIPANT_ID", "must:bigint"),
+             Col("requisition_id", "REQUISITION_ID", "must:bigint"),
              Col("qstn_response_id", "QSTN_RESPONSE_ID", "digits:bigint"), Col("qstnr_version_num", "QSTNR_VERSION_NUM"),
              Col("questionnaire_name", "QUESTIONNAIRE_NAME"), Col("section_seq_num", "SECTION_SEQ_NUM"),
              Col("question_seq_num", "QUESTION_SEQ_NUM"), Col("question_text", "QUESTION_TEXT"),
@@ -127,17 +137,17 @@ BIP_QUESTIONNAIRES = ReportSpec(
 # User accounts (first row per user GUID) and user roles (full refresh).
 FA_USER_ACCOUNTS = ReportSpec(
     name="USER_ACCOUNTS", keys=("user_guid",), require=("user_guid",),
-    columns=(Col("username", "USERNAME"), Col("user_id", "USER_ID", "num:bigint"), Col("user_guid", "USER_GUID"),
-             Col("person_id", "PERSON_ID", "num:bigint"), Col("active_flag", "ACTIVE_FLAG"),
+    columns=(Col("username", "USERNAME"), Col("user_id", "USER_ID", "must:bigint"), Col("user_guid", "USER_GUID"),
+             Col("person_id", "PERSON_ID", "must:bigint"), Col("active_flag", "ACTIVE_FLAG"),
              Col("hr_terminated", "HR_TERMINATED"), Col("suspended", "SUSPENDED"),
              Col("credentials_email_sent", "CREDENTIALS_EMAIL_SENT"), Col("user_first_name", "USER_FIRST_NAME"),
              Col("user_last_name", "USER_LAST_NAME"), Col("user_email", "USER_EMAIL"),
-             Col("user_category", "USER_CATEGORY"), Col("ase_user_id", "ASE_USER_ID", "num:bigint"),
+             Col("user_category", "USER_CATEGORY"), Col("ase_user_id", "ASE_USER_ID", "must:bigint"),
              Col("person_number", "PERSON_NUMBER")))
 
 FA_USER_ROLES = ReportSpec(
     name="USER_ROLES", policy="replace",
-    columns=(Col("user_id", "USER_ID", "num:bigint"), Col("user_guid", "USER_GUID"),
-             Col("ase_role_id", "ASE_ROLE_ID", "num:bigint"), Col("role_common_name", "ROLE_COMMON_NAME"),
+    columns=(Col("user_id", "USER_ID", "must:bigint"), Col("user_guid", "USER_GUID"),
+             Col("ase_role_id", "ASE_ROLE_ID", "must:bigint"), Col("role_common_name", "ROLE_COMMON_NAME"),
              Col("type_code", "TYPE_CODE"), Col("role_name", "ROLE_NAME"),
              Col("effective_end_date", "EFFECTIVE_END_DATE", "iso:yyyy-MM-dd'T'HH:mm:ss[.SSSSSSSSS] XXX")))

@@ -24,7 +24,7 @@ class Col:
     """One staging column.
 
     ``source``: a landing header name, or a tuple of names (first non-NULL).
-    ``cast``: ``digits`` (digits only, else NULL) | ``str`` | ``blank`` (trim, '' -> NULL) | ``num`` | ``num:<type>`` |
+    ``cast``: ``must:<type>`` (a text that is no such number raises) | ``digits`` (digits only, else NULL) | ``str`` | ``blank`` (trim, '' -> NULL) | ``num`` | ``num:<type>`` |
     ``ts`` (tolerant timestamp) | ``date`` (timestamp truncated to seconds) |
     ``iso`` / ``iso:<format>`` (strict ISO with offset, as UTC wall clock).
     """
@@ -42,6 +42,10 @@ class Col:
             out = blank_to_null(v)
         elif kind == "num":
             out = safe_number(v, arg or NUMBER)
+        elif kind == "must":
+            t = F.trim(v)
+            ok = t.isNull() | t.try_cast(arg).isNotNull()
+            out = F.when(ok, t.try_cast(arg)).otherwise(F.raise_error(F.concat(F.lit(f"{self.target}: not a number: "), t)).cast(arg))
         elif kind == "digits":
             out = digits_only(v, arg or "decimal(38,0)")
         elif kind == "ts":

@@ -1613,3 +1613,6 @@ def q_quoted_csv(spark, sf_dir):
         .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false").csv(path)
     got = read_landing_csv(spark, path, required=["doc_id", "text", "lang"])
     return got.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"), "lang")
+
+
+from tierlake import entity_queries  # noqa: E402,F401 - registers its queries here
