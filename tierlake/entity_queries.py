@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierlake.queries import register
@@ -164,3 +165,118 @@ def q_report_loads(spark, sf_dir):
         kept = target.read().agg(F.count(F.lit(1)), F.sum(F.col(counted).cast("bigint"))).first()
         done.append((name, n, kept[0], kept[1]))
     return local_rows(spark, done, "report string, n_read bigint, n_kept bigint, sum_kept bigint")
+
+
+# --------------------------------- S4-S7, M5, M8 and the page data sets
+def _bodies(ev: DataFrame, page: int, item: Column) -> DataFrame:
+    """Landed response bodies: a page per ``page`` events, item after item in the order of ids."""
+    paged = ev.withColumn("page_no", (F.col("event_id") / F.lit(page)).cast("bigint"))
+    last = ev.agg(F.max("event_id")).first()[0] or 0
+    items = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("event_id", item.alias("j")))), lambda x: x["j"]), ",")
+    return paged.groupBy("page_no").agg(items.alias("i")).select(
+        "page_no", F.concat(F.lit('{"items":['), "i", F.lit('],"hasMore":'), F.when(F.col("page_no") == last // page, "false").otherwise("true"), F.lit("}")).alias("body"))
+
+
+@register("page_datasets", """
+WITH e AS (SELECT *, event_id // 250 AS page_no FROM events),
+latest AS (SELECT * FROM e QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1),
+counted AS (SELECT count(*) AS n, sum(event_id)::BIGINT AS s FROM latest)
+SELECT 'dim_job_r' AS dataset, n, s FROM counted UNION ALL SELECT 'dim_grade_r', n, s FROM counted
+UNION ALL SELECT 'dim_location_r', n, s FROM counted UNION ALL SELECT 'dim_department_r', n, s FROM counted
+UNION ALL SELECT 'recruiting_candidates_r', count(*), sum(event_id)::BIGINT FROM
+  (SELECT * FROM e WHERE event_type <> 'error' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1) c
+UNION ALL SELECT 'candidate_phones_r', count(*), sum(event_id)::BIGINT FROM
+  (SELECT * FROM e WHERE event_type = 'click' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1) p
+UNION ALL SELECT 'has_more', count(*) FILTER (WHERE page_no < (SELECT max(page_no) FROM e)), NULL FROM (SELECT DISTINCT page_no FROM e) x
+""")
+def q_page_datasets(spark, sf_dir):
+    """Events as landed pages of the dimensions, candidates and phones: later pages win, required keys, nested children, hasMore."""
+    from tierlake.plans import rest_datasets as RD
+    from tierlake.sources.json_pages import parse_bodies
+    ev = table(spark, sf_dir, "events")
+    event, user = F.col("event_id").cast("string"), F.col("user_id").cast("string")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    phones = F.when(F.col("event_type") == "click", text('[{"PhoneId":', event, ',"PhoneNumber":"old"},{"PhoneId":', user, ',"PhoneNumber":"', event, '"},{"PhoneNumber":"dropped"}]')).otherwise("[]")
+    made = {
+        RD.DIM_JOB: (text('{"JobId":', user, ',"JobName":"', event, '"}'), "job_name", None),
+        RD.DIM_GRADE: (text('{"GradeId":', user, ',"Name":"', event, '"}'), "grade_name", None),
+        RD.DIM_LOCATION: (text('{"LocationId":', user, ',"LocationName":"', event, '"}'), "location_name", None),
+        RD.DIM_DEPARTMENT: (text('{"OrganizationId":', user, ',"Name":"', event, '"}'), "department_name", None),
+        RD.CANDIDATES: (text('{"CandidateNumber":"C', user, '","LastName":"', event, '"', F.when(F.col("event_type") != "error", text(',"PersonId":', user)).otherwise(""), "}"), "last_name", None),
+        RD.CANDIDATE_PHONES: (text('{"PersonId":', user, ',"candidatePhones":', phones, "}"), "phone_number", "phone_number <> 'old'"),
+    }
+    parts = []
+    for ds, (item, counted, only) in made.items():
+        rows = RD.page_dataset(parse_bodies(_bodies(ev, 250, item), "body", ds.item_schema()), ds)
+        rows = rows.where(only) if only else rows
+        parts.append(rows.agg(F.lit(ds.name).alias("dataset"), F.count(F.lit(1)).alias("n"), F.sum(F.col(counted).cast("bigint")).alias("s")))
+    pages = parse_bodies(_bodies(ev, 250, made[RD.DIM_JOB][0]), "body", RD.DIM_JOB.item_schema())
+    parts.append(pages.agg(F.lit("has_more").alias("dataset"), F.count_if("has_more").alias("n"), F.lit(None).cast("bigint").alias("s")))
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+# ------------------------------------------- K3, K4, K7, K10, D2, D3, M10, T4
+@register("load_log_rows", """
+SELECT 1 AS log_no, 'DEMO_CUSTOMERS' AS load_type, 'STAGE' AS step, 'SUCCESS' AS status, count(*) AS rows_processed, NULL::BIGINT AS rows_inserted FROM customer
+UNION ALL SELECT 2, 'DEMO_CUSTOMERS', 'STAGE', 'SUCCESS', count(*), NULL FROM customer
+UNION ALL SELECT 3, 'DEMO_CUSTOMERS', 'MERGE', 'SUCCESS', count(*), count(*) FROM customer
+UNION ALL SELECT 4, 'DEMO_CUSTOMERS', 'STAGE', 'ERROR', NULL, NULL
+UNION ALL SELECT 5, 'DEMO_CUSTOMERS', 'final rows', 'before reset', count(*), NULL FROM customer
+UNION ALL SELECT 6, 'DEMO_CUSTOMERS', 'final rows', 'after reset', 0, NULL
+""")
+def q_load_log_rows(spark, sf_dir):
+    """The load log of a file staged twice under one job (replaced, not doubled), merged, of a file that lacks a column, and a reset."""
+    from tierlake.plans.entity_flow import Warehouse, load_and_preview, merge_job
+    from tierlake.queries import customers_spec
+    from tierlake.session import local_rows
+    from tierlake.sources.landing import MissingColumnsError
+    root = work_path(spark, "load_log", unique=True)
+    c = table(spark, sf_dir, "customer")
+    text = c.select(*[F.col(x).cast("string").alias(x.upper()) for x in c.columns])
+    text.write.option("header", "true").csv(f"{root}/good")
+    text.drop("C_NAME").write.option("header", "true").csv(f"{root}/bad")
+    wh, spec = Warehouse(spark, f"{root}/warehouse"), customers_spec()
+    job, _ = load_and_preview(wh, spec, f"{root}/good", "good.zip", multi_line=False)
+    load_and_preview(wh, spec, f"{root}/good", "good.zip", multi_line=False, job_id=job)
+    merge_job(wh, spec, job, "good.zip")
+    try:
+        load_and_preview(wh, spec, f"{root}/bad", "bad.zip", multi_line=False)
+    except MissingColumnsError:
+        pass        # the log has it
+    log = wh.load_log().report().collect()      # one row per step of three loads
+    rows = [(n, r["load_type"], r["step"], r["status"], r["rows_processed"], r["rows_inserted"]) for n, r in enumerate(reversed(log), 1)]
+    for state in ("before reset", "after reset"):
+        rows.append((len(rows) + 1, spec.name, "final rows", state, wh.final(spec).read().count(), None))
+        wh.reset([spec])
+    return local_rows(spark, rows, "log_no int, load_type string, step string, status string, rows_processed bigint, rows_inserted bigint")
+
+
+# ----------------------------------------------------------- K11, K12, P9, P11
+@register("purge_and_pick", """
+WITH n AS (SELECT event_id, CASE event_id % 6 WHEN 0 THEN 'file_' || event_type || '-b' || event_id || '.zip' WHEN 1 THEN 'fileX' || event_id || '.zip'
+  WHEN 2 THEN 'staging/' || event_id WHEN 3 THEN 'MANIFEST' || event_id WHEN 4 THEN 'EXTRACT_STATUS_DATA_' || event_id ELSE 'keep_' || event_id || '.csv' END AS name,
+  CASE event_type WHEN 'click' THEN 'PO_HDR' WHEN 'view' THEN 'GL_BALANCE' WHEN 'purchase' THEN 'GL_JOURNAL_LINES' ELSE 'HCM_SALARY' END AS load_type,
+  'file_' || CASE WHEN event_id % 5 = 0 THEN 'SupplierSiteExtract' ELSE 'x' END || event_id || '-20240120_12' || lpad((event_id % 60)::VARCHAR, 2, '0') || '00.zip' AS file_name FROM events)
+SELECT 'purge' AS what, event_id % 6 AS grp, count(*) AS n FROM n WHERE event_id % 6 IN (0, 2, 3, 4) GROUP BY event_id % 6
+UNION ALL
+SELECT 'pick ' || load_type, max(event_id % 60), count(DISTINCT load_type) FROM n
+WHERE load_type <> 'GL_JOURNAL_LINES' AND event_id % 5 <> 0 GROUP BY load_type
+""")
+def q_purge_and_pick(spark, sf_dir):
+    """Names that the selective purge takes; the newest file of the daily load types, excluded names left out."""
+    from tierlake.functions.casts import file_timestamp
+    from tierlake.operators.incremental import purge_candidates, select_unprocessed_latest
+    from tierlake.queries import RUN_NOW
+    ev, n = table(spark, sf_dir, "events"), F.col("event_id")
+    i = n.cast("string")
+    name = F.when(n % 6 == 0, F.concat(F.lit("file_"), "event_type", F.lit("-b"), i, F.lit(".zip"))).when(n % 6 == 1, F.concat(F.lit("fileX"), i, F.lit(".zip"))) \
+        .when(n % 6 == 2, F.concat(F.lit("staging/"), i)).when(n % 6 == 3, F.concat(F.lit("MANIFEST"), i)) \
+        .when(n % 6 == 4, F.concat(F.lit("EXTRACT_STATUS_DATA_"), i)).otherwise(F.concat(F.lit("keep_"), i, F.lit(".csv")))
+    purge = purge_candidates(ev.select("event_id", name.alias("name")), "name").groupBy((n % 6).alias("grp")).agg(F.count(F.lit(1)).alias("n")) \
+        .select(F.lit("purge").alias("what"), "grp", "n")
+    kind = F.when(F.col("event_type") == "click", "PO_HDR").when(F.col("event_type") == "view", "GL_BALANCE").when(F.col("event_type") == "purchase", "GL_JOURNAL_LINES").otherwise("HCM_SALARY")
+    file = F.concat(F.lit("file_"), F.when(n % 5 == 0, "SupplierSiteExtract").otherwise("x"), i, F.lit("-20240120_12"), F.lpad((n % 60).cast("string"), 2, "0"), F.lit("00.zip"))
+    files = ev.select(file.alias("file_name"), kind.alias("load_type"), F.lit("Y").alias("loader_available")).withColumn("file_timestamp", file_timestamp("file_name"))
+    jobs = spark.createDataFrame([], "file_name string, load_type string, status string")
+    picked = select_unprocessed_latest(files, jobs, F.lit(RUN_NOW).cast("timestamp"))      # the daily load types
+    return purge.unionByName(picked.select(F.concat(F.lit("pick "), "load_type").alias("what"), F.minute("file_timestamp").cast("bigint").alias("grp"), F.lit(1).cast("bigint").alias("n")))
