@@ -84,14 +84,17 @@ def scan(docs: DataFrame, path: Column, templates: list[tuple[str, str]] | None
     units = slim.select("doc_id", "key", F.posexplode(F.concat(F.array("t"), F.split("t", "\n"))).alias("unit", "line"))
     parts = units.select("doc_id", "key", "unit", F.explode(_terms(F.col("line"))).alias("term")).groupBy("doc_id", "key", "unit", "term").agg(F.count(F.lit(1)).alias("tf"))
     values = spark.createDataFrame([(t, idf[t]) for t in vocabulary], "term string, idf double")
-    weighed = written(parts.join(F.broadcast(values), "term", "left")
-                      .select("doc_id", "key", "unit", "term", F.col("idf").isNotNull().alias("known"), (F.col("tf") * F.coalesce("idf", F.lit(unknown))).alias("w")), "license-terms")
-    length = weighed.groupBy("doc_id", "key", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"))
+    # one exchange, that of the texts: terms and units of a text stay in its partition; only units with a template's term are kept
+    weighed = parts.join(F.broadcast(values), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(unknown)))
+    shared = F.collect_list(F.when(F.col("idf").isNotNull(), F.struct("term", "w")))
+    per_unit = written(weighed.groupBy("doc_id", "key", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("len"), shared.alias("shared"))
+                       .where(F.size("shared") > 0), "license-units")
     sides = spark.createDataFrame([(name, t, w / norm[name]) for name, v in weight.items() for t, w in v.items()], "license string, term string, tw double")
-    dots = weighed.where("known").join(F.broadcast(sides), "term").groupBy("doc_id", "key", "unit", "license").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"))
+    dots = per_unit.select("doc_id", "key", "unit", "len", F.inline("shared")).join(F.broadcast(sides), "term") \
+        .groupBy("doc_id", "key", "unit", "license").agg(F.sum(F.col("w") * F.col("tw")).alias("dot"), F.max("len").alias("len"))
     whole = F.col("unit") == 0
     cosine = F.round(F.col("dot") / F.col("len"), 6)
-    hits = dots.join(length, ["doc_id", "key", "unit"]).select("doc_id", "key", whole.alias("whole"), "license", cosine.alias("cosine")) \
+    hits = dots.select("doc_id", "key", whole.alias("whole"), "license", cosine.alias("cosine")) \
         .where(F.when(F.col("whole"), F.col("cosine") >= file).otherwise(F.col("cosine") >= header))
     # min() of (-cosine, license): the highest cosine, then the smallest id
     best = hits.groupBy("doc_id", "key").agg(F.min(F.when(~F.col("whole"), F.struct(-F.col("cosine"), F.col("license")))).alias("h"),
