@@ -252,13 +252,24 @@ AP_INVOICE_HDR = EntitySpec(
     doc="No key NULL filter; blank text -> NULL; dates keep their time part.",
 )
 
-# GL balance amounts follow one rule: {begin balance, period net, quarter to
-# date, project to date} x {CR, DR} x {entered, base equivalent (BEQ)}.
-_GL_AMOUNT_GROUPS = (("begin_balance", "BEGINBALANCE"), ("period_net", "PERIODNET"),
-                     ("quarter_to_date", "QUARTERTODATE"), ("project_to_date", "PROJECTTODATE"))
-_GL_AMOUNTS = tuple(
-    Col(f"{t}_{side.lower()}{'_beq' if beq else ''}", f"BALANCE{s}{side}{'BEQ' if beq else ''}", "num")
-    for t, s in _GL_AMOUNT_GROUPS for beq in (False, True) for side in ("CR", "DR"))
+_GL_AMOUNTS = (
+    Col("begin_balance_cr", "BALANCEBEGINBALANCECR", "num"),
+    Col("begin_balance_dr", "BALANCEBEGINBALANCEDR", "num"),
+    Col("begin_balance_cr_beq", "BALANCEBEGINBALANCECRBEQ", "num"),
+    Col("begin_balance_dr_beq", "BALANCEBEGINBALANCEDRBEQ", "num"),
+    Col("period_net_cr", "BALANCEPERIODNETCR", "num"),
+    Col("period_net_dr", "BALANCEPERIODNETDR", "num"),
+    Col("period_net_cr_beq", "BALANCEPERIODNETCRBEQ", "num"),
+    Col("period_net_dr_beq", "BALANCEPERIODNETDRBEQ", "num"),
+    Col("quarter_to_date_cr", "BALANCEQUARTERTODATECR", "num"),
+    Col("quarter_to_date_dr", "BALANCEQUARTERTODATEDR", "num"),
+    Col("quarter_to_date_cr_beq", "BALANCEQUARTERTODATECRBEQ", "num"),
+    Col("quarter_to_date_dr_beq", "BALANCEQUARTERTODATEDRBEQ", "num"),
+    Col("project_to_date_cr", "BALANCEPROJECTTODATECR", "num"),
+    Col("project_to_date_dr", "BALANCEPROJECTTODATEDR", "num"),
+    Col("project_to_date_cr_beq", "BALANCEPROJECTTODATECRBEQ", "num"),
+    Col("project_to_date_dr_beq", "BALANCEPROJECTTODATEDRBEQ", "num"),
+)
 
 GL_BALANCE = EntitySpec(
     name="GL_BALANCE",
@@ -510,48 +521,72 @@ QSTNR_RESPONSE = EntitySpec(
     doc="One source header is spelled as the extract spells it (PARTCIPANT).",
 )
 
-def _rule_columns(prefix: str, fields: str) -> tuple:
-    """Columns named ``prefix + field`` whose landing header is the same name.
-
-    ``fields``: whitespace-separated ``name:kind`` with kind ``id`` (bigint),
-    ``num`` (NUMBER), ``str`` or ``ts`` (raw text + tolerant timestamp pair).
-    """
-    out = []
-    for item in fields.split():
-        name, kind = item.split(":")
-        col = f"{prefix}{name}"
-        if kind == "ts":
-            out.extend(raw_ts(col, col.upper()))
-        else:
-            out.append(Col(col, col.upper(), {"id": "num:bigint", "num": "num", "str": "str"}[kind]))
-    return tuple(out)
-
-
 def _compare_all(columns) -> tuple:
     return tuple(c.target for c in columns if not c.target.endswith("_raw"))
 
 
-# Journal line fields (header = column name); the text columns
-# "lastupdatelogin" and "lastupdatedby" get a timestamp twin as the extract flow defines.
-_JE_LINES = (Col("jeheaderid", "JEHEADERID", "num:bigint"), Col("jelinenum", "JELINENUM", "num:bigint"),
-             *_rule_columns("gljelines", """
-    codecombinationid:id creationdate:ts currencycode:str currencyconversiondate:ts currencyconversionrate:num
-    currencyconversiontype:str description:str effectivedate:ts enteredcr:num entereddr:num glsllinkid:id
-    ignorerateflag:str lastupdatedate:ts lastupdatelogin:ts lastupdatedby:ts ledgerid:id linetypecode:str
-    objectversionnumber:str periodname:str statamount:num status:str subledgerdocsequenceid:id
-    subledgerdocsequencevalue:num"""))
+# Journal line fields; the text columns "lastupdatelogin" and
+# "lastupdatedby" get a timestamp twin as the extract flow defines.
+_JE_LINES = (
+    Col("jeheaderid", "JEHEADERID", "num:bigint"),
+    Col("jelinenum", "JELINENUM", "num:bigint"),
+    Col("gljelinescodecombinationid", "GLJELINESCODECOMBINATIONID", "num:bigint"),
+    *raw_ts("gljelinescreationdate", "GLJELINESCREATIONDATE"),
+    Col("gljelinescurrencycode", "GLJELINESCURRENCYCODE"),
+    *raw_ts("gljelinescurrencyconversiondate", "GLJELINESCURRENCYCONVERSIONDATE"),
+    Col("gljelinescurrencyconversionrate", "GLJELINESCURRENCYCONVERSIONRATE", "num"),
+    Col("gljelinescurrencyconversiontype", "GLJELINESCURRENCYCONVERSIONTYPE"),
+    Col("gljelinesdescription", "GLJELINESDESCRIPTION"),
+    *raw_ts("gljelineseffectivedate", "GLJELINESEFFECTIVEDATE"),
+    Col("gljelinesenteredcr", "GLJELINESENTEREDCR", "num"),
+    Col("gljelinesentereddr", "GLJELINESENTEREDDR", "num"),
+    Col("gljelinesglsllinkid", "GLJELINESGLSLLINKID", "num:bigint"),
+    Col("gljelinesignorerateflag", "GLJELINESIGNORERATEFLAG"),
+    *raw_ts("gljelineslastupdatedate", "GLJELINESLASTUPDATEDATE"),
+    *raw_ts("gljelineslastupdatelogin", "GLJELINESLASTUPDATELOGIN"),
+    *raw_ts("gljelineslastupdatedby", "GLJELINESLASTUPDATEDBY"),
+    Col("gljelinesledgerid", "GLJELINESLEDGERID", "num:bigint"),
+    Col("gljelineslinetypecode", "GLJELINESLINETYPECODE"),
+    Col("gljelinesobjectversionnumber", "GLJELINESOBJECTVERSIONNUMBER"),
+    Col("gljelinesperiodname", "GLJELINESPERIODNAME"),
+    Col("gljelinesstatamount", "GLJELINESSTATAMOUNT", "num"),
+    Col("gljelinesstatus", "GLJELINESSTATUS"),
+    Col("gljelinessubledgerdocsequenceid", "GLJELINESSUBLEDGERDOCSEQUENCEID", "num:bigint"),
+    Col("gljelinessubledgerdocsequencevalue", "GLJELINESSUBLEDGERDOCSEQUENCEVALUE", "num"),
+)
 
 GL_JOURNAL_LINES = EntitySpec(
     name="GL_JOURNAL_LINES", keys=("jeheaderid", "jelinenum"), order=(("gljelineslastupdatedate_ts", "desc"),),
     not_null=("jeheaderid", "jelinenum"), columns=_JE_LINES, compare=_compare_all(_JE_LINES), daily=False,
     doc="Composite key; loadable on demand only.")
 
-_JE_BATCH = _rule_columns("journalbatch", """
-    jebatchid:id accountedperiodtype:str actualflag:str approvalstatuscode:str approveremployeeid:id
-    averagejournalflag:str chartofaccountsid:id creationdate:ts datecreated:ts defaulteffectivedate:ts
-    defaultperiodname:str description:str fundsstatuscode:str groupid:id lastupdatedate:ts lastupdatelogin:ts
-    lastupdatedby:ts name:str objectversionnumber:str parentjebatchid:id periodsetname:str posteddate:ts
-    postingrunid:id requestid:id status:str""")
+_JE_BATCH = (
+    Col("journalbatchjebatchid", "JOURNALBATCHJEBATCHID", "num:bigint"),
+    Col("journalbatchaccountedperiodtype", "JOURNALBATCHACCOUNTEDPERIODTYPE"),
+    Col("journalbatchactualflag", "JOURNALBATCHACTUALFLAG"),
+    Col("journalbatchapprovalstatuscode", "JOURNALBATCHAPPROVALSTATUSCODE"),
+    Col("journalbatchapproveremployeeid", "JOURNALBATCHAPPROVEREMPLOYEEID", "num:bigint"),
+    Col("journalbatchaveragejournalflag", "JOURNALBATCHAVERAGEJOURNALFLAG"),
+    Col("journalbatchchartofaccountsid", "JOURNALBATCHCHARTOFACCOUNTSID", "num:bigint"),
+    *raw_ts("journalbatchcreationdate", "JOURNALBATCHCREATIONDATE"),
+    *raw_ts("journalbatchdatecreated", "JOURNALBATCHDATECREATED"),
+    *raw_ts("journalbatchdefaulteffectivedate", "JOURNALBATCHDEFAULTEFFECTIVEDATE"),
+    Col("journalbatchdefaultperiodname", "JOURNALBATCHDEFAULTPERIODNAME"),
+    Col("journalbatchdescription", "JOURNALBATCHDESCRIPTION"),
+    Col("journalbatchfundsstatuscode", "JOURNALBATCHFUNDSSTATUSCODE"),
+    Col("journalbatchgroupid", "JOURNALBATCHGROUPID", "num:bigint"),
+    *raw_ts("journalbatchlastupdatedate", "JOURNALBATCHLASTUPDATEDATE"),
+    *raw_ts("journalbatchlastupdatelogin", "JOURNALBATCHLASTUPDATELOGIN"),
+    *raw_ts("journalbatchlastupdatedby", "JOURNALBATCHLASTUPDATEDBY"),
+    Col("journalbatchname", "JOURNALBATCHNAME"),
+    Col("journalbatchobjectversionnumber", "JOURNALBATCHOBJECTVERSIONNUMBER"),
+    Col("journalbatchparentjebatchid", "JOURNALBATCHPARENTJEBATCHID", "num:bigint"),
+    Col("journalbatchperiodsetname", "JOURNALBATCHPERIODSETNAME"),
+    *raw_ts("journalbatchposteddate", "JOURNALBATCHPOSTEDDATE"),
+    Col("journalbatchpostingrunid", "JOURNALBATCHPOSTINGRUNID", "num:bigint"),
+    Col("journalbatchrequestid", "JOURNALBATCHREQUESTID", "num:bigint"),
+    Col("journalbatchstatus", "JOURNALBATCHSTATUS"),
+)
 
 GL_JOURNAL_BATCH = EntitySpec(
     name="GL_JOURNAL_BATCH", keys=("journalbatchjebatchid",), order=(("journalbatchlastupdatedate_ts", "desc"),),
@@ -583,54 +618,87 @@ POS_CUSTOM_FLEX = EntitySpec(
              "desc_payment_schedule", "stntrt_cptn_ct", "desc_stntrt_cptn_ct", "short_description"),
     doc="Extract columns are not in alphabetical order: read by header name.")
 
-_JE_HEADER = (*_rule_columns("gljeheaders", """
-    accrualrevchangesignflag:str accrualrevchangesignflagtransient:str accrualreveffectivedate:ts
-    accrualrevjeheaderid:id accrualrevperiodname:str accrualrevstatus:str actualflag:str balancedjeflag:str
-    closeacctseqassignid:id closeacctseqversionid:id creationdate:ts currencycode:str currencyconversiondate:ts
-    currencyconversionrate:num currencyconversiontype:str datecreated:ts defaulteffectivedate:ts description:str
-    displayalcjournalflag:str encumbrancetypeid:id jebatchid:id jefromslaflag:str lastupdatedate:ts
-    lastupdatelogin:ts lastupdatedby:ts ledgerid:id legalentityid:id multibalsegflag:str multicurrencyflag:str
-    name:str objectversionnumber:str parentjeheaderid:id periodname:str postcurrencycode:str
-    postmulticurrencyflag:str posteddate:ts posteddatetime:ts postingacctseqassignid:id
-    postingacctseqversionid:id referencedate:ts reversedjeheaderid:id status:str"""),
-    Col("jeheaderid", "JEHEADERID", "num:bigint"))
+_JE_HEADER = (
+    Col("gljeheadersaccrualrevchangesignflag", "GLJEHEADERSACCRUALREVCHANGESIGNFLAG"),
+    Col("gljeheadersaccrualrevchangesignflagtransient", "GLJEHEADERSACCRUALREVCHANGESIGNFLAGTRANSIENT"),
+    *raw_ts("gljeheadersaccrualreveffectivedate", "GLJEHEADERSACCRUALREVEFFECTIVEDATE"),
+    Col("gljeheadersaccrualrevjeheaderid", "GLJEHEADERSACCRUALREVJEHEADERID", "num:bigint"),
+    Col("gljeheadersaccrualrevperiodname", "GLJEHEADERSACCRUALREVPERIODNAME"),
+    Col("gljeheadersaccrualrevstatus", "GLJEHEADERSACCRUALREVSTATUS"),
+    Col("gljeheadersactualflag", "GLJEHEADERSACTUALFLAG"),
+    Col("gljeheadersbalancedjeflag", "GLJEHEADERSBALANCEDJEFLAG"),
+    Col("gljeheaderscloseacctseqassignid", "GLJEHEADERSCLOSEACCTSEQASSIGNID", "num:bigint"),
+    Col("gljeheaderscloseacctseqversionid", "GLJEHEADERSCLOSEACCTSEQVERSIONID", "num:bigint"),
+    *raw_ts("gljeheaderscreationdate", "GLJEHEADERSCREATIONDATE"),
+    Col("gljeheaderscurrencycode", "GLJEHEADERSCURRENCYCODE"),
+    *raw_ts("gljeheaderscurrencyconversiondate", "GLJEHEADERSCURRENCYCONVERSIONDATE"),
+    Col("gljeheaderscurrencyconversionrate", "GLJEHEADERSCURRENCYCONVERSIONRATE", "num"),
+    Col("gljeheaderscurrencyconversiontype", "GLJEHEADERSCURRENCYCONVERSIONTYPE"),
+    *raw_ts("gljeheadersdatecreated", "GLJEHEADERSDATECREATED"),
+    *raw_ts("gljeheadersdefaulteffectivedate", "GLJEHEADERSDEFAULTEFFECTIVEDATE"),
+    Col("gljeheadersdescription", "GLJEHEADERSDESCRIPTION"),
+    Col("gljeheadersdisplayalcjournalflag", "GLJEHEADERSDISPLAYALCJOURNALFLAG"),
+    Col("gljeheadersencumbrancetypeid", "GLJEHEADERSENCUMBRANCETYPEID", "num:bigint"),
+    Col("gljeheadersjebatchid", "GLJEHEADERSJEBATCHID", "num:bigint"),
+    Col("gljeheadersjefromslaflag", "GLJEHEADERSJEFROMSLAFLAG"),
+    *raw_ts("gljeheaderslastupdatedate", "GLJEHEADERSLASTUPDATEDATE"),
+    *raw_ts("gljeheaderslastupdatelogin", "GLJEHEADERSLASTUPDATELOGIN"),
+    *raw_ts("gljeheaderslastupdatedby", "GLJEHEADERSLASTUPDATEDBY"),
+    Col("gljeheadersledgerid", "GLJEHEADERSLEDGERID", "num:bigint"),
+    Col("gljeheaderslegalentityid", "GLJEHEADERSLEGALENTITYID", "num:bigint"),
+    Col("gljeheadersmultibalsegflag", "GLJEHEADERSMULTIBALSEGFLAG"),
+    Col("gljeheadersmulticurrencyflag", "GLJEHEADERSMULTICURRENCYFLAG"),
+    Col("gljeheadersname", "GLJEHEADERSNAME"),
+    Col("gljeheadersobjectversionnumber", "GLJEHEADERSOBJECTVERSIONNUMBER"),
+    Col("gljeheadersparentjeheaderid", "GLJEHEADERSPARENTJEHEADERID", "num:bigint"),
+    Col("gljeheadersperiodname", "GLJEHEADERSPERIODNAME"),
+    Col("gljeheaderspostcurrencycode", "GLJEHEADERSPOSTCURRENCYCODE"),
+    Col("gljeheaderspostmulticurrencyflag", "GLJEHEADERSPOSTMULTICURRENCYFLAG"),
+    *raw_ts("gljeheadersposteddate", "GLJEHEADERSPOSTEDDATE"),
+    *raw_ts("gljeheadersposteddatetime", "GLJEHEADERSPOSTEDDATETIME"),
+    Col("gljeheaderspostingacctseqassignid", "GLJEHEADERSPOSTINGACCTSEQASSIGNID", "num:bigint"),
+    Col("gljeheaderspostingacctseqversionid", "GLJEHEADERSPOSTINGACCTSEQVERSIONID", "num:bigint"),
+    *raw_ts("gljeheadersreferencedate", "GLJEHEADERSREFERENCEDATE"),
+    Col("gljeheadersreversedjeheaderid", "GLJEHEADERSREVERSEDJEHEADERID", "num:bigint"),
+    Col("gljeheadersstatus", "GLJEHEADERSSTATUS"),
+    Col("jeheaderid", "JEHEADERID", "num:bigint"),
+)
 
 GL_JOURNAL_HEADER = EntitySpec(
     name="GL_JOURNAL_HEADER", keys=("jeheaderid",), order=(("gljeheaderslastupdatedate_ts", "desc"),),
     not_null=("jeheaderid",), columns=_JE_HEADER, compare=_compare_all(_JE_HEADER), daily=False,
     doc="Loadable on demand only.")
 
-_AP_APPL = "APINVOICEPAYMENTSALL"
 AP_INV_APPLICATION = EntitySpec(
     name="AP_INV_APPLICATION", keys=("invoice_payment_id",), order=(("last_update_date_ts", "desc"),),
     not_null=("invoice_payment_id",),
     columns=(
-        Col("invoice_payment_id", _AP_APPL + "INVOICEPAYMENTID", "num:bigint"),
-        Col("invoice_id", _AP_APPL + "INVOICEID", "num:bigint"),
-        Col("check_id", _AP_APPL + "CHECKID", "num:bigint"),
-        Col("payment_num", _AP_APPL + "PAYMENTNUM", "num:bigint"),
-        Col("amount", _AP_APPL + "AMOUNT", "num"),
-        Col("amount_inv_curr", _AP_APPL + "AMOUNTINVCURR", "num"),
-        Col("invoice_base_amount", _AP_APPL + "INVOICEBASEAMOUNT", "num"),
-        Col("payment_base_amount", _AP_APPL + "PAYMENTBASEAMOUNT", "num"),
-        Col("invoice_currency_code", _AP_APPL + "INVOICECURRENCYCODE"),
-        Col("payment_currency_code", _AP_APPL + "PAYMENTCURRENCYCODE"),
-        Col("invoice_payment_type", _AP_APPL + "INVOICEPAYMENTTYPE"),
-        Col("discount_taken", _AP_APPL + "DISCOUNTTAKEN", "num"),
-        Col("discount_lost", _AP_APPL + "DISCOUNTLOST", "num"),
-        *raw_ts("accounting_date", _AP_APPL + "ACCOUNTINGDATE"),
-        Col("period_name", _AP_APPL + "PERIODNAME"),
-        Col("posted_flag", _AP_APPL + "POSTEDFLAG"),
-        Col("reversal_flag", _AP_APPL + "REVERSALFLAG"),
-        Col("reversal_inv_pmt_id", _AP_APPL + "REVERSALINVPMTID", "num:bigint"),
-        Col("org_id", _AP_APPL + "ORGID", "num:bigint"),
-        Col("exchange_rate", _AP_APPL + "EXCHANGERATE", "num"),
-        *raw_ts("exchange_date", _AP_APPL + "EXCHANGEDATE"),
-        Col("exchange_rate_type", _AP_APPL + "EXCHANGERATETYPE"),
-        Col("accts_pay_ccid", _AP_APPL + "ACCTSPAYCODECOMBINATIONID", "num:bigint"),
-        Col("remit_to_supplier_name", _AP_APPL + "REMITTOSUPPLIERNAME"),
-        *raw_ts("creation_date", _AP_APPL + "CREATIONDATE"),
-        *raw_ts("last_update_date", _AP_APPL + "LASTUPDATEDATE"),
+        Col("invoice_payment_id", "APINVOICEPAYMENTSALLINVOICEPAYMENTID", "num:bigint"),
+        Col("invoice_id", "APINVOICEPAYMENTSALLINVOICEID", "num:bigint"),
+        Col("check_id", "APINVOICEPAYMENTSALLCHECKID", "num:bigint"),
+        Col("payment_num", "APINVOICEPAYMENTSALLPAYMENTNUM", "num:bigint"),
+        Col("amount", "APINVOICEPAYMENTSALLAMOUNT", "num"),
+        Col("amount_inv_curr", "APINVOICEPAYMENTSALLAMOUNTINVCURR", "num"),
+        Col("invoice_base_amount", "APINVOICEPAYMENTSALLINVOICEBASEAMOUNT", "num"),
+        Col("payment_base_amount", "APINVOICEPAYMENTSALLPAYMENTBASEAMOUNT", "num"),
+        Col("invoice_currency_code", "APINVOICEPAYMENTSALLINVOICECURRENCYCODE"),
+        Col("payment_currency_code", "APINVOICEPAYMENTSALLPAYMENTCURRENCYCODE"),
+        Col("invoice_payment_type", "APINVOICEPAYMENTSALLINVOICEPAYMENTTYPE"),
+        Col("discount_taken", "APINVOICEPAYMENTSALLDISCOUNTTAKEN", "num"),
+        Col("discount_lost", "APINVOICEPAYMENTSALLDISCOUNTLOST", "num"),
+        *raw_ts("accounting_date", "APINVOICEPAYMENTSALLACCOUNTINGDATE"),
+        Col("period_name", "APINVOICEPAYMENTSALLPERIODNAME"),
+        Col("posted_flag", "APINVOICEPAYMENTSALLPOSTEDFLAG"),
+        Col("reversal_flag", "APINVOICEPAYMENTSALLREVERSALFLAG"),
+        Col("reversal_inv_pmt_id", "APINVOICEPAYMENTSALLREVERSALINVPMTID", "num:bigint"),
+        Col("org_id", "APINVOICEPAYMENTSALLORGID", "num:bigint"),
+        Col("exchange_rate", "APINVOICEPAYMENTSALLEXCHANGERATE", "num"),
+        *raw_ts("exchange_date", "APINVOICEPAYMENTSALLEXCHANGEDATE"),
+        Col("exchange_rate_type", "APINVOICEPAYMENTSALLEXCHANGERATETYPE"),
+        Col("accts_pay_ccid", "APINVOICEPAYMENTSALLACCTSPAYCODECOMBINATIONID", "num:bigint"),
+        Col("remit_to_supplier_name", "APINVOICEPAYMENTSALLREMITTOSUPPLIERNAME"),
+        *raw_ts("creation_date", "APINVOICEPAYMENTSALLCREATIONDATE"),
+        *raw_ts("last_update_date", "APINVOICEPAYMENTSALLLASTUPDATEDATE"),
     ),
     compare=("invoice_payment_id", "invoice_id", "check_id", "payment_num", "amount", "amount_inv_curr",
              "invoice_base_amount", "payment_base_amount", "invoice_currency_code", "payment_currency_code",
@@ -639,49 +707,98 @@ AP_INV_APPLICATION = EntitySpec(
              "exchange_rate_type", "accts_pay_ccid", "remit_to_supplier_name", "last_update_date_ts"),
 )
 
-def _snake_columns(prefix: str, fields: str, headers: dict[str, str] | None = None) -> tuple:
-    """Columns whose landing header is ``prefix`` + the name without underscores, upper-cased.
-
-    ``fields`` as in :func:`_rule_columns`; ``headers`` lists the exceptions.
-    """
-    headers = headers or {}
-    out = []
-    for item in fields.split():
-        name, kind = item.split(":")
-        src = headers.get(name, prefix + name.replace("_", "").upper())
-        if kind == "ts":
-            out.extend(raw_ts(name, src))
-        else:
-            out.append(Col(name, src, {"id": "num:bigint", "num": "num", "str": "str"}[kind]))
-    return tuple(out)
-
-
-_AP_CHECKS = _snake_columns("APCHECKSALL", """
-    check_id:id check_number:id check_date:ts amount:num base_amount:num currency_code:str
-    status_lookup_code:str payment_method_code:str payment_type_flag:str vendor_id:id vendor_name:str
-    vendor_site_id:id vendor_site_code:str remit_to_supplier_id:id remit_to_supplier_name:str org_id:id
-    legal_entity_id:id bank_account_name:str ce_bank_acct_use_id:id external_bank_account_id:id
-    check_run_name:str cleared_amount:num cleared_base_amount:num cleared_date:ts void_date:ts released_date:ts
-    exchange_rate:num exchange_date:ts creation_date:ts last_update_date:ts""")
+_AP_CHECKS = (
+    Col("check_id", "APCHECKSALLCHECKID", "num:bigint"),
+    Col("check_number", "APCHECKSALLCHECKNUMBER", "num:bigint"),
+    *raw_ts("check_date", "APCHECKSALLCHECKDATE"),
+    Col("amount", "APCHECKSALLAMOUNT", "num"),
+    Col("base_amount", "APCHECKSALLBASEAMOUNT", "num"),
+    Col("currency_code", "APCHECKSALLCURRENCYCODE"),
+    Col("status_lookup_code", "APCHECKSALLSTATUSLOOKUPCODE"),
+    Col("payment_method_code", "APCHECKSALLPAYMENTMETHODCODE"),
+    Col("payment_type_flag", "APCHECKSALLPAYMENTTYPEFLAG"),
+    Col("vendor_id", "APCHECKSALLVENDORID", "num:bigint"),
+    Col("vendor_name", "APCHECKSALLVENDORNAME"),
+    Col("vendor_site_id", "APCHECKSALLVENDORSITEID", "num:bigint"),
+    Col("vendor_site_code", "APCHECKSALLVENDORSITECODE"),
+    Col("remit_to_supplier_id", "APCHECKSALLREMITTOSUPPLIERID", "num:bigint"),
+    Col("remit_to_supplier_name", "APCHECKSALLREMITTOSUPPLIERNAME"),
+    Col("org_id", "APCHECKSALLORGID", "num:bigint"),
+    Col("legal_entity_id", "APCHECKSALLLEGALENTITYID", "num:bigint"),
+    Col("bank_account_name", "APCHECKSALLBANKACCOUNTNAME"),
+    Col("ce_bank_acct_use_id", "APCHECKSALLCEBANKACCTUSEID", "num:bigint"),
+    Col("external_bank_account_id", "APCHECKSALLEXTERNALBANKACCOUNTID", "num:bigint"),
+    Col("check_run_name", "APCHECKSALLCHECKRUNNAME"),
+    Col("cleared_amount", "APCHECKSALLCLEAREDAMOUNT", "num"),
+    Col("cleared_base_amount", "APCHECKSALLCLEAREDBASEAMOUNT", "num"),
+    *raw_ts("cleared_date", "APCHECKSALLCLEAREDDATE"),
+    *raw_ts("void_date", "APCHECKSALLVOIDDATE"),
+    *raw_ts("released_date", "APCHECKSALLRELEASEDDATE"),
+    Col("exchange_rate", "APCHECKSALLEXCHANGERATE", "num"),
+    *raw_ts("exchange_date", "APCHECKSALLEXCHANGEDATE"),
+    *raw_ts("creation_date", "APCHECKSALLCREATIONDATE"),
+    *raw_ts("last_update_date", "APCHECKSALLLASTUPDATEDATE"),
+)
 
 AP_DISBURSEMENT = EntitySpec(
     name="AP_DISBURSEMENT", keys=("check_id",), order=(("last_update_date_ts", "desc"),), not_null=("check_id",),
     columns=_AP_CHECKS, compare=_compare_all(_AP_CHECKS))
 
-_SALARY = _snake_columns("", """
-    salary_id:id person_id:id assignment_id:id assignment_type:str business_unit_id:id legal_entity_id:id
-    hcm_job_id:id grade_id:id element_entry_id:id element_type_id:id input_value_id:id salary_amount:num
-    annual_salary:num annual_ft_salary:num currency_code:str salary_basis_code:str salary_basis_id:id
-    salary_basis_type:str salary_approved:str salary_factor:num payroll_factor:num payroll_frequency_code:str
-    fte_value:num salary_transaction_status:str salary_reason_code:str component_usage:str
-    multiple_components:str action_id:id action_occurrence_id:id action_reason_id:id adjustment_amount:num
-    adjustment_percent:num rate_id:id rate_factor:num rate_max_amount:num rate_mid_amount:num
-    rate_min_amount:num rate_default_amount:num range_position:num comparatio:num quartile:num quintile:num
-    total_base_pay:num total_component_adj_amt:num total_component_adj_percent:num date_from:ts date_to:ts
-    salary_effective_start:ts salary_effective_end:ts review_date:ts next_sal_review:ts work_at_home:str
-    object_version_number:id""", headers={
-    "hcm_job_id": "JOBID", "salary_effective_start": "SALARYEFFECTIVESTARTDATE",
-    "salary_effective_end": "SALARYEFFECTIVEENDDATE", "next_sal_review": "NEXTSALREVIEWDATE"})
+_SALARY = (
+    Col("salary_id", "SALARYID", "num:bigint"),
+    Col("person_id", "PERSONID", "num:bigint"),
+    Col("assignment_id", "ASSIGNMENTID", "num:bigint"),
+    Col("assignment_type", "ASSIGNMENTTYPE"),
+    Col("business_unit_id", "BUSINESSUNITID", "num:bigint"),
+    Col("legal_entity_id", "LEGALENTITYID", "num:bigint"),
+    Col("hcm_job_id", "JOBID", "num:bigint"),
+    Col("grade_id", "GRADEID", "num:bigint"),
+    Col("element_entry_id", "ELEMENTENTRYID", "num:bigint"),
+    Col("element_type_id", "ELEMENTTYPEID", "num:bigint"),
+    Col("input_value_id", "INPUTVALUEID", "num:bigint"),
+    Col("salary_amount", "SALARYAMOUNT", "num"),
+    Col("annual_salary", "ANNUALSALARY", "num"),
+    Col("annual_ft_salary", "ANNUALFTSALARY", "num"),
+    Col("currency_code", "CURRENCYCODE"),
+    Col("salary_basis_code", "SALARYBASISCODE"),
+    Col("salary_basis_id", "SALARYBASISID", "num:bigint"),
+    Col("salary_basis_type", "SALARYBASISTYPE"),
+    Col("salary_approved", "SALARYAPPROVED"),
+    Col("salary_factor", "SALARYFACTOR", "num"),
+    Col("payroll_factor", "PAYROLLFACTOR", "num"),
+    Col("payroll_frequency_code", "PAYROLLFREQUENCYCODE"),
+    Col("fte_value", "FTEVALUE", "num"),
+    Col("salary_transaction_status", "SALARYTRANSACTIONSTATUS"),
+    Col("salary_reason_code", "SALARYREASONCODE"),
+    Col("component_usage", "COMPONENTUSAGE"),
+    Col("multiple_components", "MULTIPLECOMPONENTS"),
+    Col("action_id", "ACTIONID", "num:bigint"),
+    Col("action_occurrence_id", "ACTIONOCCURRENCEID", "num:bigint"),
+    Col("action_reason_id", "ACTIONREASONID", "num:bigint"),
+    Col("adjustment_amount", "ADJUSTMENTAMOUNT", "num"),
+    Col("adjustment_percent", "ADJUSTMENTPERCENT", "num"),
+    Col("rate_id", "RATEID", "num:bigint"),
+    Col("rate_factor", "RATEFACTOR", "num"),
+    Col("rate_max_amount", "RATEMAXAMOUNT", "num"),
+    Col("rate_mid_amount", "RATEMIDAMOUNT", "num"),
+    Col("rate_min_amount", "RATEMINAMOUNT", "num"),
+    Col("rate_default_amount", "RATEDEFAULTAMOUNT", "num"),
+    Col("range_position", "RANGEPOSITION", "num"),
+    Col("comparatio", "COMPARATIO", "num"),
+    Col("quartile", "QUARTILE", "num"),
+    Col("quintile", "QUINTILE", "num"),
+    Col("total_base_pay", "TOTALBASEPAY", "num"),
+    Col("total_component_adj_amt", "TOTALCOMPONENTADJAMT", "num"),
+    Col("total_component_adj_percent", "TOTALCOMPONENTADJPERCENT", "num"),
+    *raw_ts("date_from", "DATEFROM"),
+    *raw_ts("date_to", "DATETO"),
+    *raw_ts("salary_effective_start", "SALARYEFFECTIVESTARTDATE"),
+    *raw_ts("salary_effective_end", "SALARYEFFECTIVEENDDATE"),
+    *raw_ts("review_date", "REVIEWDATE"),
+    *raw_ts("next_sal_review", "NEXTSALREVIEWDATE"),
+    Col("work_at_home", "WORKATHOME"),
+    Col("object_version_number", "OBJECTVERSIONNUMBER", "num:bigint"),
+)
 
 HCM_SALARY = EntitySpec(
     name="HCM_SALARY", keys=("salary_id",), order=(("salary_effective_start_ts", "desc"),), not_null=("salary_id",),

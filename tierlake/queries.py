@@ -419,18 +419,13 @@ jobs AS (
     QUALIFY row_number() OVER (PARTITION BY load_type, CAST(file_timestamp AS DATE)
                                ORDER BY file_timestamp DESC NULLS LAST, file_name DESC) = 1) d
   WHERE CAST(file_timestamp AS DATE) < DATE '{RUN_NOW[:10]}'),
-win AS (SELECT timezone('UTC', timezone('America/Los_Angeles',
-               CAST(CAST(timezone('America/Los_Angeles', TIMESTAMP '{RUN_NOW}' AT TIME ZONE 'UTC') AS DATE) AS TIMESTAMP))) AS s),
-cand AS (
-  SELECT f.* FROM files f, win
-  WHERE f.file_timestamp >= win.s - INTERVAL 1 DAY AND f.file_timestamp < win.s + INTERVAL 24 HOUR
-    AND lower(f.file_name) NOT LIKE '%poheaderdffpublic%'
-    AND lower(f.file_name) NOT LIKE '%suppliersiteextract%'
-    AND lower(f.file_name) NOT LIKE '%invoiceheaderextract%'
-  QUALIFY row_number() OVER (PARTITION BY load_type ORDER BY file_timestamp DESC NULLS LAST, file_name DESC) = 1)
-SELECT file_name, load_type, file_timestamp FROM cand c
-WHERE NOT EXISTS (SELECT 1 FROM jobs j WHERE j.file_name = c.file_name AND j.load_type = c.load_type
-                  AND j.status IN ('MERGED', 'LOADING', 'STAGED', 'LOADED'))
+day AS (SELECT CAST(TIMESTAMP '{RUN_NOW}' - INTERVAL 8 HOUR AS DATE) + INTERVAL 8 HOUR AS began),  -- Pacific standard time in January
+newest AS (SELECT load_type, max({{'t': file_timestamp, 'n': file_name}}) AS f FROM files, day
+           WHERE file_timestamp BETWEEN began - INTERVAL 1 DAY AND began + INTERVAL 1 DAY - INTERVAL 1 MICROSECOND
+             AND NOT regexp_matches(lower(file_name), 'poheaderdffpublic|suppliersiteextract|invoiceheaderextract')
+           GROUP BY load_type),
+taken AS (SELECT file_name, load_type FROM jobs WHERE status <> 'ERROR')
+SELECT f.n AS file_name, n.load_type, f.t AS file_timestamp FROM newest n ANTI JOIN taken k ON k.file_name = n.f.n AND k.load_type = n.load_type
 """)
 def q_unprocessed_latest(spark, sf_dir):
     from tierlake.functions.casts import file_timestamp
