@@ -33,18 +33,22 @@ from tierlake.llm.base import let, written
 TITLES_M = r"Mr|Sir|Herrn?|Señor|Sr|Monsieur|г-н"
 TITLES_F = r"Mrs|Ms|Miss|Frau|Señora|Sra|Madame|Mme|г-жа"
 TITLES_N = r"Dr|Prof|Mx"
+FIRST_OF_TITLES = "".join(sorted({t[0] for t in f"{TITLES_M}|{TITLES_F}|{TITLES_N}".split("|")}))
+_AFTER_PASSWORD = r"|(?<==)(?<=(?:password|PASSWORD|Password)=)[^\s\"']+"
 # a name word: capitalised, parts joined by - or ' start with a capital letter too (so a genitive 's stays outside)
 NAME = r"\p{Lu}(?:\p{L}{1,40}|['-]\p{Lu}\p{L}{1,40})(?:['-]\p{Lu}\p{L}{1,40}){0,3}"
+# each alternative begins with the characters it can start with, so that most places in a text cost one comparison
 TYPES = [
-    ("email", r"(?<![\w+-])[A-Za-z0-9][\w.+-]{0,63}@(?:[\w-]{1,63}\.){1,126}[A-Za-z]{2,24}"),
-    ("secret", r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?<![0-9A-Za-z])(?:gh[pousr]_|sk[-_])[0-9A-Za-z]{16,}|(?<=(?:password|PASSWORD|Password)=)[^\s\"']+|(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z])"),
-    ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
-    ("ip", r"(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)"),
-    ("ip6", r"(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])"),
-    ("card", r"(?<!\d)(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7})(?!\d)"),
-    ("iban", r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"),
-    ("phone", r"\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.+-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]|\.\d)"),
-    ("person", rf"(?<![\p{{L}}])(?:{TITLES_M}|{TITLES_F}|{TITLES_N})\.? {NAME}(?: {NAME})?"),
+    ("email", r"(?=[A-Za-z0-9])(?<![\w+-])[A-Za-z0-9][\w.+-]{0,63}+@(?:[\w-]{1,63}\.){1,126}[A-Za-z]{2,24}"),
+    ("secret", r"AKIA[0-9A-Z]{16}(?![0-9A-Za-z])|(?=[gs])(?<![0-9A-Za-z])(?:gh[pousr]_|sk[-_])[0-9A-Za-z]{16,}" + _AFTER_PASSWORD
+     + r"|(?=[0-9A-Fa-f])(?<![0-9A-Za-z])(?:[0-9a-f]{32,}+|[0-9A-F]{32,}+)(?![0-9A-Za-z])"),
+    ("ssn", r"(?=[0-9])(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"),
+    ("ip", r"(?=[0-9])(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d]|\.\d)"),
+    ("ip6", r"(?=[0-9A-Fa-f])(?<![0-9A-Za-z:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![0-9A-Za-z:])"),
+    ("card", r"(?=[0-9])(?<!\d)(?:\d{13,19}|\d{4} \d{4} \d{4} \d{1,7}|\d{4}-\d{4}-\d{4}-\d{1,7})(?!\d)"),
+    ("iban", r"(?=[A-Z])(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){3,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])"),
+    ("phone", r"(?=[0-9+(])(?:\+\d{1,3}[ .-]?\(?\d{1,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.+-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]|\.\d))"),
+    ("person", rf"(?=[{FIRST_OF_TITLES}])(?<![\p{{L}}])(?:{TITLES_M}|{TITLES_F}|{TITLES_N})\.? {NAME}(?: {NAME})?"),
 ]
 SYLLABLES = "ba be bi bo da de di do fa fe fi ga go ka ke ki ko la le li lo ma me mi mo na ne ni no pa pe ra re ri ro sa se si so ta te ti to va ve vi vo za".split()
 SYLLABLES_CYRILLIC = "ба бе би бо ва ве ви во га го да де ди до за зе ка ки ко ла ле ли ло ма ме ми мо на не ни но па пе ра ре ри ро са се си со та те ти то фа фе фи".split()
@@ -61,7 +65,6 @@ NARROW = 24
 
 PATTERN = "|".join(f"(?:{p})" for _, p in TYPES)
 TITLE = rf"^(?:{TITLES_M}|{TITLES_F}|{TITLES_N})\.? "
-_AFTER_PASSWORD = r"|(?<=(?:password|PASSWORD|Password)=)[^\s\"']+"
 
 
 def _type(mention: Column) -> Column:
@@ -71,13 +74,15 @@ def _type(mention: Column) -> Column:
     return out
 
 
-def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def mentions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", known: bool = False) -> DataFrame:
     """``(doc_id, key, pos, mention, type, parts)`` in the order of the text; key is the xxhash64 of the text.
 
     ``parts`` are the entities of a mention with their gender: the words of a name, else the mention itself.
+    ``known``: all texts hold a mention.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("t")).where(F.col("t").rlike(PATTERN))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("t"))
+    rows = rows if known else rows.where(F.col("t").rlike(PATTERN))
     found = rows.select("doc_id", "key", F.posexplode(F.regexp_extract_all("t", F.lit(PATTERN), F.lit(0))).alias("pos", "mention")) \
         .dropDuplicates(["doc_id", "key", "pos"]).withColumn("type", _type(F.col("mention")))
     entity = F.when(F.col("type").isin("phone", "card", "ssn"), F.regexp_replace("mention", r"\D", "")) \
@@ -235,7 +240,10 @@ def replaced(docs: DataFrame, secret: str, id_col: str = "doc_id", text_col: str
     new = [c for c in (number_col, widened_col) if c]
     if clash := sorted({*new} & {*docs.columns}):
         raise ValueError(f"docs has columns {clash} already")
-    found = written(mentions(docs, id_col, text_col), "mentions")
+    # the texts with mentions are written once: the patterns run over all texts twice, and over those few again
+    hit = F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(PATTERN)
+    hits = written(docs.where(hit), "mentions-texts")
+    found = written(mentions(hits, id_col, text_col, known=True), "mentions")
     kind = F.when(F.col("type") == "person", "name").otherwise(F.col("type"))
     each = found.select("doc_id", "key", "pos", kind.alias("type"), F.posexplode("parts").alias("at", "part")).select("doc_id", "key", "pos", "type", "at", "part.*")
     told = F.array_sort(F.filter(F.collect_set("gender"), lambda g: g != ""))
@@ -256,15 +264,14 @@ def replaced(docs: DataFrame, secret: str, id_col: str = "doc_id", text_col: str
         F.sort_array(F.collect_list(F.struct("pos", "new"))).alias("found"), F.max("widened").alias("widened"),
         F.array_distinct(F.flatten(F.collect_list("names"))).alias("names"))
     per_doc = written(per_doc.select("doc_id", "key", F.col("found.new").alias("news"), "widened", F.map_from_entries("names").alias("names")), "mentions-by-document")
-    text = F.coalesce(docs[text_col].cast("string"), F.lit(""))
-    hit = text.rlike(PATTERN)
-    both = docs.where(hit).join(per_doc, docs[id_col].cast("long").eqNullSafe(per_doc["doc_id"]) & (F.xxhash64(text) == per_doc["key"]))
+    key = F.xxhash64(F.coalesce(hits[text_col].cast("string"), F.lit("")))
+    both = hits.join(per_doc, hits[id_col].cast("long").eqNullSafe(per_doc["doc_id"]) & (key == per_doc["key"]))
     # longer names first, so that no name hides behind its beginning
     alone = F.concat(F.lit(r"(?<![\p{L}])(?:"), F.array_join(F.sort_array(F.map_keys(per_doc["names"]), False), "|"), F.lit(r")(?![\p{L}])"))
-    between = F.split(docs[text_col], PATTERN, -1)
+    between = F.split(hits[text_col], PATTERN, -1)
     cleared = F.when(F.size(per_doc["names"]) > 0, F.transform(between, lambda p: _bare(p, per_doc["names"], alone))).otherwise(between)
     joined = F.array_join(F.zip_with(cleared, F.concat(per_doc["news"], F.array(F.lit(""))), lambda a, b: F.concat(a, b)), "")
-    cols = [joined.alias(c) if c == text_col else F.length(joined).cast(docs.schema[c].dataType).alias(c) if c == count_col else docs[c] for c in docs.columns]
+    cols = [joined.alias(c) if c == text_col else F.length(joined).cast(docs.schema[c].dataType).alias(c) if c == count_col else hits[c] for c in docs.columns]
     added = [(number_col, F.size(per_doc["news"]), F.lit(0)), (widened_col, per_doc["widened"], F.lit(False))]
     changed = both.select(*cols, *[v.alias(c) for c, v, _ in added if c])
     rest = docs.where(~hit).select(*docs.columns, *[v.alias(c) for c, _, v in added if c])
