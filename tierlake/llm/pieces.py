@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tierlake.llm.base import rows_of
 
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 300_000
+CACHE_WORDS = 600_000
 ROWS_AT_ONCE = 1024
 #: Words up to this many characters are searched many at a time; longer ones each on its own.
 WIDEST = 48
