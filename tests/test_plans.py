@@ -55,7 +55,7 @@ def test_requisition_pages(spark, tmp_path):
 
 GALLUP_XML = """<DATA_DS><ROW><SUBMISSION_ID>7</SUBMISSION_ID><BAND>A</BAND><SCORE>9.5</SCORE></ROW>
 <G><ROW><SUBMISSION_ID>7</SUBMISSION_ID><BAND>B</BAND></ROW></G>
-<ROW><SUBMISSION_ID>8</SUBMISSION_ID><BAND></BAND><SCORE>x</SCORE></ROW></DATA_DS>"""
+<ROW><SUBMISSION_ID>8</SUBMISSION_ID><BAND></BAND><SCORE> </SCORE></ROW></DATA_DS>"""
 
 
 def test_report_first_per_key_and_policies(spark, tmp_path):
@@ -68,6 +68,10 @@ def test_report_first_per_key_and_policies(spark, tmp_path):
     assert load_report(spark, str(tmp_path / "g.xml"), GALLUP, target) == 3
     got = {r.submission_id: (r.band, r.score) for r in target.read().collect()}
     assert got[7][0] == "A" and got[8] == (None, None)
+    (tmp_path / "x.xml").write_text(GALLUP_XML.replace("<SCORE> </SCORE>", "<SCORE>x</SCORE>"))
+    with pytest.raises(Exception, match="score: not a number: x"):      # a number element that is none fails the load
+        load_report(spark, str(tmp_path / "x.xml"), GALLUP, target)
+    assert target.read().count() == 2
     strict = ReportSpec("DFF", (Col("k", "SUBMISSION_ID"), Col("band", "BAND")), ("k",), "strict")
     t2 = SnapshotTable(spark, str(tmp_path / "strict"), StructType.fromDDL("k string, band string"))
     from tierlake.operators.upsert import DuplicateKeyError
