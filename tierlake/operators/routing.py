@@ -2,9 +2,8 @@
 
 A loader map may hold any number of patterns, so no name is held against all of
 them.  A pattern can only match a name that contains its literal parts: each
-pattern is filed under one substring (gram) of its longest literal parts, the one
-that the fewest names contain, and a name looks up its own grams.  Lookup is a
-hash join; LIKE decides only about the candidates.  Patterns of wildcards alone
+pattern is filed under one substring (gram) of its literal parts, the one that the
+fewest patterns have, and a name looks up its own grams.  Lookup is a hash join; LIKE decides only about the candidates.  Patterns of wildcards alone
 depend on nothing but the length of a name and are folded to one entry a length.
 Equal names are routed once.
 """
@@ -75,19 +74,20 @@ def route_names(names: DataFrame, loader_map: DataFrame, carry: Sequence[str] =
     """``name, entry`` of the distinct lower-case ``names(name)`` that a pattern matches."""
     entries = _entries(loader_map, carry)
     literal = entries.where("size is not null")
-    sizes = [r["size"] for r in literal.select("size").distinct().collect()]      # at most len(GRAMS)
-    found = names.join(_by_length(entries, names), F.length("name") == F.col("n")).select("name", "entry")
-    if sizes:
-        held = names.select("name", F.explode(F.array_distinct(F.concat(*[_grams(F.col("name"), q) for q in sizes]))).alias("gram"))
+    sizes = [r["size"] for r in entries.select("size").distinct().collect()]      # at most len(GRAMS) and NULL
+    if not sizes:
+        return names.where(F.lit(False)).select("name", F.lit(None).cast(entries.schema["entry"].dataType).alias("entry"))
+    if None in sizes:
+        found = names.join(_by_length(entries, names), F.length("name") == F.col("n")).select("name", "entry")
+    if used := [q for q in sizes if q is not None]:
+        held = names.select("name", F.explode(F.concat(*[_grams(F.col("name"), q) for q in used])).alias("gram"))
         own = F.array_distinct(F.flatten(F.transform("parts", lambda p: _grams(p, F.col("size")))))
         filed = literal.select("like", "entry", F.explode(own).alias("gram"))
-        counts = held.join(filed.select("gram").distinct(), "gram", "left_semi").groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
-        # a pattern with a gram that no name contains matches nothing
-        rare = filed.join(counts, "gram", "left").groupBy("like").agg(
-            F.first("entry").alias("entry"), F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("g"))
-        index = rare.where("g.n > 0").select("like", "entry", F.col("g.gram").alias("gram"))
-        hits = held.join(index, "gram").where(F.like("name", "like")).select("name", "entry")
-        found = found.unionByName(hits)
+        counts = filed.groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+        index = filed.join(counts, "gram").groupBy("like").agg(F.first("entry").alias("entry"), F.min(F.struct("n", "gram")).alias("g"))
+        hits = held.join(index.select("like", "entry", F.col("g.gram").alias("gram")), "gram") \
+            .where(F.like("name", "like")).select("name", "entry")
+        found = hits if None not in sizes else found.unionByName(hits)
     return found.groupBy("name").agg(_best().alias("entry"))
 
 
