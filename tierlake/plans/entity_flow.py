@@ -132,6 +132,10 @@ class Warehouse:
     max_deltas: int = 8
     keep_landing: bool = False       # keep each extract's rows as a landing table, replaced by the next
 
+    def __post_init__(self):
+        # one meaning of a path for Spark, for the driver and inside tasks
+        self.root = files.qualified(self.spark, self.root.rstrip("/"))
+
     def staging_path(self, spec: EntitySpec) -> str:
         return f"{self.root}/staging/{spec.name.lower()}"
 
