@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -35,9 +36,15 @@ def discard(table: DataFrame) -> None:
 
 
 def released(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of finished jobs now; it acts on the driver's garbage collection."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Let Spark's cleaner delete the shuffle files of finished jobs before the next ones are written.
+
+    It acts on the driver's garbage collection and deletes in the background: the first round lets go of the plans that
+    Python still held, the second of what hung on them, and each gives the deletion a moment.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(1.0)
 
 
 def rows_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

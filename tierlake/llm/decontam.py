@@ -347,12 +347,21 @@ def search(docs: DataFrame, space: Space, id_col: str = "doc_id", text_col: str
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """``(doc_id, text_key, item_id, cosine, overlap)``: the benchmark items that the rows of ``docs`` hold.
+
+    NULL and empty texts and items match nothing.  Repeated rows are answered each on its own; of several places of an
+    item in a text the one with the largest overlap counts, then the first.  An empty table on either side gives an
+    empty result; very long texts are searched whole, passage by passage.  Other columns are left out.
+    """
     space = fit(docs, benchmark, id_col=id_col, text_col=text_col, item_id_col=item_id_col, item_text_col=item_text_col)
     return search(docs, space, id_col, text_col)
 
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that hold no benchmark item, all columns unchanged."""
+    """The rows of ``docs`` that hold no benchmark item, all columns unchanged, whatever their names.
+
+    NULL and empty texts stay, and so does every row if there are no items.  Repeated rows share their fate.
+    """
     bad = written(contaminated(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")).distinct(), "contaminated")
     key = F.xxhash64(F.coalesce(docs[text_col].cast("string"), F.lit("")))
     return docs.join(bad, docs[id_col].cast("long").eqNullSafe(bad["__id"]) & (key == bad["__key"]), "left_anti")

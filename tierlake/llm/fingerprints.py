@@ -127,7 +127,9 @@ def edited_neighbours(docs: DataFrame, words: int = WORDS, k: int = K, shard_byt
     as many (or all) of the next row's text; the next row is the one with the
     next larger id, after the last comes the first.  Rows of one id follow each
     other in the order of their texts' hashes; rows without id come first.  A
-    table of one row is its own successor.  NULL texts count as empty.
+    table of one row is its own successor.  NULL texts count as empty.  An empty
+    table gives an empty result; very long texts are sketched whole.  Other
+    columns, whatever their names, are left out.
     """
     rows = rows_of(docs, id_col, text_col).withColumn("h", F.xxhash64("text"))
     slim = written(rows.select("doc_id", "h", F.length(F.col("text").cast("binary")).cast("long").alias("size")), "fingerprint-slim")

@@ -51,7 +51,8 @@ def scan(docs: DataFrame, path: Column, templates: list[tuple[str, str]] | None
 
     ``found`` is ``header``, ``file`` or ``inherited``, NULL without a license.  Ties between licenses go to the
     smallest id.  NULL and empty texts have no license of their own; a NULL path has no directory and inherits nothing.
-    Repeated rows are answered alike.
+    Repeated rows are answered alike.  An empty table gives an empty result; very long texts are compared whole.  Other
+    columns, whatever their names, are left out.
     """
     spark = docs.sparkSession
     chosen = templates or TEMPLATES

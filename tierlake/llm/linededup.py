@@ -157,7 +157,11 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, n_lines, removed_lines array<int>)`` for every row of ``docs``, line numbers ascending from 0."""
+    """``(doc_id, n_lines, removed_lines array<int>)`` for every row of ``docs``, line numbers ascending from 0.
+
+    NULL and empty texts have one line, which stays.  Repeated rows are answered alike.  An empty table gives an empty
+    result; long lines and texts of many lines are compared whole.  Other columns, whatever their names, are left out.
+    """
     gone = removed_lines(docs, id_col, text_col).distinct().groupBy("doc_id", "key").agg(F.sort_array(F.collect_list("pos")).alias("removed_lines"))
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), F.size(F.split(text, "\n")).alias("n_lines"))

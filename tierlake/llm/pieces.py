@@ -404,8 +404,10 @@ def encode(docs: DataFrame, model_path: str, n_best: int = 4, id_col: str = "doc
     ``at``, ``drop`` pieces give way to ``ids`` (``apply_edits``).  ``decoded``
     is the text made from the best ids; it equals the text for a model that
     normalises nothing.  NULL and empty texts give no pieces, score 0 and no
-    alternatives.  Texts are read whole; a row without doc_id or with a
-    repeated one is encoded like any other.
+    alternatives.  Texts are read whole, very long ones too; a row without
+    doc_id or with a repeated one is encoded like any other, and of equal paths
+    the one with the longest last piece counts as the best.  An empty table gives
+    an empty result.  Other columns, whatever their names, are left out.
     """
     model = _model(docs.sparkSession, model_path)
 

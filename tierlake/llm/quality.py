@@ -225,6 +225,10 @@ def resample(docs: DataFrame, labels: DataFrame, seed: int = 7, sample: int = SA
 
 
 def keep_selected(docs: DataFrame, labels: DataFrame, seed: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The selected rows of ``docs``, all columns unchanged."""
+    """The selected rows of ``docs``, all columns unchanged, whatever their names.
+
+    NULL and empty texts have log weight 0.  Rows of equal id and text, and ties of the k-th key, share their fate.
+    An empty table stays empty; without labels of both kinds all rows stay.  Very long texts are weighed whole.
+    """
     weight, noise, least = resample(docs, labels, seed, id_col=id_col, text_col=text_col)
     return docs.where(weight + noise >= F.lit(least))
