@@ -336,3 +336,23 @@ def test_page_dataset_strict_duplicates(spark, tmp_path):
     from tierlake.operators.upsert import DuplicateKeyError
     with pytest.raises(DuplicateKeyError):
         RD.page_dataset(pages, RD.DIM_GRADE, strict=True)
+
+
+def test_landed_reports_are_ordered_files_of_many_tasks(spark, tmp_path):
+    import glob
+    from pyspark.sql import functions as F
+    from tierlake.entity_queries import land_report
+    from tierlake.operators.dedup import first_arrival
+    from tierlake.sources.xml_rowset import read_rowset
+    adaptive = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        ev = spark.range(4000).select((F.lit(3999) - F.col("id")).alias("id"), (F.col("id") % 7).alias("user"))
+        land_report(ev, "id", {"ID": F.col("id").cast("string"), "USER": F.col("user").cast("string")}, f"{tmp_path}/r")
+        assert len(glob.glob(f"{tmp_path}/r/part-*")) > 1
+        rows = read_rowset(spark, f"{tmp_path}/r", ["ID", "USER"])
+        assert [int(r["id"]) for r in rows.orderBy("_seq").collect()] == list(range(4000))
+        first = {int(r["user"]): int(r["id"]) for r in first_arrival(rows, ["user"]).collect()}
+        assert first == {(3999 - i) % 7: i for i in range(7)}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", adaptive)

@@ -129,6 +129,12 @@ def q_small_functions(spark, sf_dir):
 
 
 # ------------------------------------- S8-S11, W4, M9, K5 and the report data sets
+def land_report(rows: DataFrame, order: str, elements: dict[str, Column], path: str) -> None:
+    """Rows as XML report files, one per range of ``order``: the names of the files follow the order of the rows."""
+    rows.orderBy(order).select(*[v.alias(k) for k, v in elements.items()]) \
+        .write.format("xml").option("rowTag", "ROW").option("rootTag", "DATA_DS").save(path)
+
+
 @register("report_loads", """
 WITH e AS (SELECT event_id, user_id, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS nth FROM events)
 SELECT 'GALLUP' AS report, (SELECT count(*) FROM e) AS n_read, count(*) AS n_kept, sum(event_id)::BIGINT AS sum_kept FROM e WHERE nth = 1
@@ -157,8 +163,7 @@ def q_report_loads(spark, sf_dir):
         "USER_ROLES": (R.FA_USER_ROLES, {"USER_ID": event, "USER_GUID": user, "ROLE_NAME": F.col("event_type")}, "user_id")}
     done = []
     for name, (spec, values, counted) in elements.items():
-        rows = ev.orderBy("event_id").select(*[v.alias(k) for k, v in values.items()]).coalesce(1)
-        rows.write.format("xml").option("rowTag", "ROW").option("rootTag", "DATA_DS").save(f"{root}/{name}")
+        land_report(ev, "event_id", values, f"{root}/{name}")
         schema = R.typed_rows(spark, f"{root}/{name}", spec).drop("_seq").schema
         target = SnapshotTable(spark, f"{root}/final_{name}", schema, keys=list(spec.keys) or None)
         n = R.load_report(spark, f"{root}/{name}", spec, target)
