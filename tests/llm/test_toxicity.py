@@ -111,3 +111,46 @@ def test_wide_vocabulary_of_rare_words_that_clean_texts_use_too(spark):
     held = [(r.predicted, labels[r.doc_id][1]) for r in rows if r.held_out]
     assert sum(p for p, y in held if y) >= 0.75 * sum(y for _, y in held)
     assert sum(p for p, y in held if not y) <= 0.03 * len(held)
+
+
+def test_frequent_grams_of_another_script_push_out_none(spark):
+    rnd = random.Random(5)
+    large = "".join(chr(0x4E00 + rnd.randrange(6000)) for _ in range(230_000))
+    docs = spark.createDataFrame([(0, large), (1, large), (2, large), (3, "garden garden")], "doc_id long, text string")
+    table = t.chances(t.gather(docs))
+    assert table.where("places = 3").count() > 200_000
+    lm = t.language_model(t.gather(docs))
+    assert "gar" in lm.three and lm.knows("The 9arden!") and not lm.knows(large[:9])
+    assert len(lm.three) + len(lm.two) + len(lm.one) <= t.RESIDENT
+
+
+def test_rare_letters_are_decoded_with_all_grams(spark, monkeypatch):
+    rnd = random.Random(6)
+    vocab = {"latin": ["the", "house", "garden", "river", "stone"], "greek": ["σπίτι", "κήπος", "ποτάμι", "πέτρα"], "han": ["花園河流", "石頭房子", "太陽書本"]}
+    bad = {"latin": "idiot", "greek": "βλάκας", "han": "白癡笨蛋"}
+    hidden = {"latin": "1d10t", "greek": "β λ ά κ α ς", "han": "白 癡 笨 蛋"}
+    docs, labels = [], []
+    for i in range(450):
+        kind = list(vocab)[i // 3 % 3]
+        w = [rnd.choice(vocab[kind]) for _ in range(25)]
+        if i % 2:
+            for _ in range(3):
+                w[rnd.randrange(25)] = bad[kind] if crc32(str(i).encode()) % 3 != 1 or rnd.random() < 0.5 else hidden[kind]
+        docs.append((i, " ".join(w)))
+        labels.append((i, i % 2))
+    docs += [docs[3], (None, docs[4][1]), (900, None), (901, "")]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    lab = spark.createDataFrame(labels, "doc_id long, toxic int")
+
+    def result():
+        return sorted(((r.doc_id is None, r.doc_id or 0, r.held_out, round(r.score, 9), r.predicted) for r in t.scored(df, lab).collect()))
+
+    whole = result()
+    assert len(whole) == len(docs)
+    monkeypatch.setattr(t, "RESIDENT", 110)
+    monkeypatch.setattr(t, "GROUP_CHARS", 3000)
+    lm = t.language_model(t.gather(df))
+    assert lm.letters is not None and not lm.knows("白癡 the") and not lm.knows("花園河流 石頭房子 太陽書本 σπίτι κήπος ποτάμι πέτρα")
+    assert result() == whole
+    held = [x for x in whole if x[2] and x[1] < 450]
+    assert sum(x[4] == x[1] % 2 for x in held) >= 0.95 * len(held)

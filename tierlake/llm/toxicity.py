@@ -9,7 +9,9 @@ Viterbi decoding picks the letters with the highest channel and language model
 score; the restored text is scored.
 
 Language model: character trigrams (with word boundaries) over the clean words
-of all documents, counted in one pass; a task sends one row per trigram.
+of all documents, counted in one pass into a table.  Every task holds the probabilities
+of grams over a to z and the most frequent letters (all grams, if there are few); texts with
+other letters are decoded group by group, each with the grams of the table that it asks for.
 
 Scorer: naive Bayes over the presence of restored words and of their first 4, 5
 and 6 letters (a word counts by its most telling part), for and against label 1,
@@ -22,8 +24,9 @@ id are never features.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from string import ascii_lowercase
 from zlib import crc32
 
 import numpy as np
@@ -40,6 +43,10 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l", "¡": "i"}
 SAMPLE = 20_000
 BUCKETS = 1 << 22
+#: Grams that every task holds; the others are joined to the texts that ask for them, in groups of about so many characters.
+RESIDENT, GROUP_CHARS = 200_000, 1_000_000
+#: Grams of a task's count that wait for the next message.
+PENDING = 500_000
 #: A part takes part from so many rows on, and if its counts differ from the labels' share by this log-likelihood ratio (about 1 in 1000 by chance).
 LEAST_DOCS, LEAST_G = 3, 10.8
 PREFIXES = (4, 5, 6)
@@ -68,6 +75,11 @@ class LanguageModel:
     three: dict[str, float]
     two: dict[str, float]
     one: dict[str, float]
+    letters: frozenset[str] | None = None  # the letters whose grams are here; None: all
+
+    def knows(self, text: str) -> bool:
+        """Whether all grams that a text may ask for are here."""
+        return self.letters is None or all(c in self.letters for c in set(text.lower()) if c.isalpha())
 
     def score(self, a: str, b: str, c: str) -> float:
         got = self.three.get(a + b + c)
@@ -79,22 +91,70 @@ class LanguageModel:
         return self.one.get(c, -14.0) - 2.0
 
 
-def language_model(counts: dict[str, int]) -> LanguageModel:
-    """From trigram counts; shorter grams follow from them."""
-    two: dict[str, int] = {}
-    one: dict[str, int] = {}
-    ahead: dict[str, int] = {}
-    for g, n in counts.items():
-        ahead[g[:2]] = ahead.get(g[:2], 0) + n
-        two[g[1:]] = two.get(g[1:], 0) + n
-        one[g[2]] = one.get(g[2], 0) + n
-    before: dict[str, int] = {}
-    for g, n in two.items():
-        before[g[0]] = before.get(g[0], 0) + n
-    every = max(1, sum(one.values()))
-    log = np.log
-    return LanguageModel({g: float(log(n / ahead[g[:2]])) for g, n in counts.items() if n > 1},
-                         {g: float(log(n / before[g[0]])) for g, n in two.items()}, {g: float(log(n / every)) for g, n in one.items()})
+class Asked(LanguageModel):
+    """Notes the grams that a search asks for; what a search asks for does not hang on the answers."""
+
+    def __init__(self, letters: frozenset[str]):
+        super().__init__({}, {}, {}, letters)
+        self.grams: set[str] = set()
+
+    def score(self, a: str, b: str, c: str) -> float:
+        self.grams.update((a + b + c, b + c, c))
+        return 0.0
+
+
+def chances(grams: DataFrame) -> DataFrame:
+    """``(gram, n, among, places)`` of all trigrams, bigrams and letters: count, count of what they are a share of, code points."""
+    three = grams.withColumn("ahead", F.shiftright("gram", 21)).withColumn("pair", F.col("gram").bitwiseAND((1 << 42) - 1))
+    pairs = three.groupBy("pair").agg(F.sum("n").alias("n")).withColumn("before", F.shiftright("pair", 21))
+    one = three.groupBy(F.col("gram").bitwiseAND((1 << 21) - 1).alias("gram")).agg(F.sum("n").alias("n"))
+    # a trigram seen once backs off
+    longest = three.join(three.groupBy("ahead").agg(F.sum("n").alias("among")), "ahead").where("n > 1").select("gram", "n", "among", F.lit(3).alias("places"))
+    middle = pairs.join(pairs.groupBy("before").agg(F.sum("n").alias("among")), "before").select(F.col("pair").alias("gram"), "n", "among", F.lit(2).alias("places"))
+    letters = one.crossJoin(F.broadcast(one.agg(F.sum("n").alias("among")))).select("gram", "n", "among", F.lit(1).alias("places"))
+    return longest.unionByName(middle).unionByName(letters)
+
+
+def gram_text(gram: int, places: int) -> str:
+    return "".join(chr(gram >> 21 * k & 0x1FFFFF) for k in range(places - 1, -1, -1))
+
+
+def model_of(rows: Iterable, letters: frozenset[str] | None = None, base: LanguageModel | None = None) -> LanguageModel:
+    """From rows of ``(gram, n, among, places)``, added to those of another model."""
+    held = [dict(x) for x in (base.one, base.two, base.three)] if base else [{}, {}, {}]
+    for gram, n, among, places in rows:
+        held[places - 1][gram_text(gram, places)] = float(np.log(n / among))
+    return LanguageModel(held[2], held[1], held[0], letters)
+
+
+def language_model(grams: DataFrame) -> LanguageModel:
+    """The grams that every task holds: all, or those of a to z and the most frequent other letters, about ``RESIDENT``."""
+    return resident(written(chances(grams), "toxic-chances"))
+
+
+def resident(table: DataFrame) -> LanguageModel:
+    if table.count() <= RESIDENT:
+        return model_of(table.collect())
+    # at most one row per letter of Unicode
+    points = [r["gram"] for r in table.where("places = 1").orderBy(F.desc("n"), "gram").select("gram").collect()]
+    always = [ord(c) for c in sorted({EDGE, *ascii_lowercase, *"".join(LEET.values())})]
+    order = list(dict.fromkeys(always + points))
+    rank = np.zeros(0x110000, np.int32)
+    rank[order] = np.arange(len(order))
+
+    @F.pandas_udf("int")
+    def highest(gram: pd.Series) -> pd.Series:
+        g = gram.to_numpy(np.int64)
+        return pd.Series(np.maximum.reduce([rank[g >> s & 0x1FFFFF] for s in (42, 21, 0)]))
+
+    ranked = table.withColumn("rank", highest("gram"))
+    last, total = len(always) - 1, 0
+    for r in ranked.groupBy("rank").count().orderBy("rank").collect():
+        total += r["count"]
+        if total <= RESIDENT:
+            last = max(last, r["rank"])
+    got = ranked.where(F.col("rank") <= last).select(*table.columns).collect()
+    return model_of(got, frozenset(chr(c) for c in order[:last + 1]))
 
 
 def readings(c: str) -> list[tuple[str, float]]:
@@ -255,8 +315,13 @@ def joined_words(low: str, lm: LanguageModel, cache: dict[str, str]) -> set[str]
     return out
 
 
-def gather(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> dict[str, int]:
-    """Character trigram counts over the plain words of all documents."""
+def gather(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Character trigram counts ``(gram, n)`` over the plain words of all documents; a gram is three code points of 21 bits."""
+    def rows(total: dict[int, int]) -> pa.RecordBatch:
+        # without grams that reach over two words
+        kept = {k: n for k, n in total.items() if k >> 21 & 0x1FFFFF != ord(EDGE) or k >> 42 == ord(EDGE) != k & 0x1FFFFF}
+        return pa.RecordBatch.from_arrays([pa.array(list(kept), pa.int64()), pa.array(list(kept.values()), pa.int64())], ["gram", "n"])
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # letters up to U+00FF are counted in a table, grams with others one by one
         known = [EDGE] + [chr(c) for c in range(256) if chr(c).isalpha() and chr(c).lower() == chr(c)]
@@ -277,23 +342,16 @@ def gather(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> d
                 rest = ((code[:-2] << 42) | (code[1:-1] << 21) | code[2:])[~seen]
                 for k, n in zip(*(x.tolist() for x in np.unique(rest, return_counts=True))):
                     total[k] = total.get(k, 0) + n
+                if len(total) >= PENDING:
+                    yield rows(total)
+                    total = {}
         for k in np.flatnonzero(table).tolist():
             x, y, z = (ord(known[i]) for i in (k // size // size, k // size % size, k % size))
             total[x << 42 | y << 21 | z] = int(table[k])
-        for k in [k for k in total if k & 0x1FFFFF == k >> 21 & 0x1FFFFF == ord(EDGE)]:
-            del total[k]  # the border between two words
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["gram", "n"])
-
-    rows = rows_of(docs, id_col, text_col).select("text").mapInArrow(count, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-    # the most frequent trigrams, a fixed number: a script of many signs backs off to shorter grams
-    got = rows.orderBy(F.desc("n"), "gram").limit(200_000).collect()
-    out = {}
-    for r in got:
-        g = "".join(chr(r["gram"] >> s & 0x1FFFFF) for s in (42, 21, 0))
-        if not (g[1] == EDGE and g[0] != EDGE):  # a gram that reaches over two words
-            out[g] = r["n"]
-    return out
+        yield rows(total)
+
+    counted = rows_of(docs, id_col, text_col).select("text").mapInArrow(count, "gram long, n long")
+    return written(counted.groupBy("gram").agg(F.sum("n").alias("n")), "toxic-grams")
 
 
 def parts(word: str) -> list[str]:
@@ -308,6 +366,7 @@ def slot(part: str) -> int:
 @dataclass
 class Model:
     lm: LanguageModel
+    table: DataFrame  # chances of all grams
     weight: dict[str, float]  # of telling words, and of telling first letters with a star
     slope: float = 1.0
     bias: float = -5.0
@@ -323,22 +382,23 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
 
     Without labels of both kinds every document has score 0.
     """
-    lm = language_model(gather(docs, id_col, text_col))
+    table = written(chances(gather(docs, id_col, text_col)), "toxic-chances")
+    lm = resident(table)
     known = labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col(label_col).cast("int").alias("label")) \
         .where("label_id is not null and label is not null").where(~held_out(F.col("label_id")))
     chosen = written(known.groupBy("label_id").agg(F.max("label").alias("label")).orderBy(F.xxhash64("label_id"), "label_id").limit(sample), "toxic-labels")
     rows = rows_of(docs, id_col, text_col)
     labelled = rows.join(F.broadcast(chosen), rows["doc_id"] == chosen["label_id"]).select("text", "label")
-    train = written(labelled.withColumn("same", _smallest_shingle(F.col("text"))).dropDuplicates(["same", "label"]), "toxic-train").select("text", "label")
+    single = written(labelled.withColumn("same", _smallest_shingle(F.col("text"))).dropDuplicates(["same", "label"]), "toxic-train").select("text", "label")
+    train = with_words(single, lm, table)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, str] = {}
         yes, no, docs_of = {}, {}, [0, 0]
         for b in batches:
-            for text, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            for words, label in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 held = yes if label else no
                 docs_of[1 if label else 0] += 1
-                for s in {slot(p) for w in restored_words(text, lm, cache) for p in parts(w)}:
+                for s in {slot(p) for w in words for p in parts(w)}:
                     held[s] = held.get(s, 0) + 1
         keys = sorted(yes.keys() | no.keys())
         yield pa.RecordBatch.from_arrays([pa.array([-1, *keys], pa.int32()), pa.array([docs_of[1], *[yes.get(k, 0) for k in keys]], pa.int64()),
@@ -347,7 +407,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     sums = written(train.mapInArrow(count, "slot int, yes long, no long").groupBy("slot").agg(F.sum("yes").alias("yes"), F.sum("no").alias("no")), "toxic-counts")
     total = sums.where("slot = -1").first()
     if total is None or not total["yes"] or not total["no"]:
-        return Model(lm, {})
+        return Model(lm, table, {})
     yes, no = float(total["yes"]), float(total["no"])
     ratio = (F.col("yes") + 0.5) / (yes + 1.0) / ((F.col("no") + 0.5) / (no + 1.0))
     share = yes / (yes + no)
@@ -361,21 +421,20 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     chosen_slots = {r["slot"]: float(np.log(r["r"])) for r in tells}
 
     def names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache: dict[str, str] = {}
         found: dict[str, int] = {}
         for b in batches:
-            for text in b.column(0).to_pylist():
-                for p in {p for w in restored_words(text, lm, cache) for p in parts(w) if slot(p) in chosen_slots}:
+            for words in b.column(0).to_pylist():
+                for p in {p for w in words for p in parts(w) if slot(p) in chosen_slots}:
                     found[p] = found.get(p, 0) + 1
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.int64())], ["part", "n"])
 
     # of the parts in one slot the most frequent one is the telling one
-    spelt = train.select("text").mapInArrow(names, "part string, n long").groupBy("part").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_DOCS).collect()
+    spelt = train.select("words").mapInArrow(names, "part string, n long").groupBy("part").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_DOCS).collect()
     best: dict[int, tuple[int, str]] = {}
     for r in spelt:
         best[slot(r["part"])] = max(best.get(slot(r["part"]), (0, "")), (r["n"], r["part"]))
-    model = Model(lm, {part: chosen_slots[k] for k, (_, part) in best.items()})
-    seen = train.select(_evidence(model, F.col("text")).alias("e"), "label").toPandas()  # at most ``sample`` rows
+    model = Model(lm, table, {part: chosen_slots[k] for k, (_, part) in best.items()})
+    seen = train.select(_evidence_of_words(model, F.col("words")).alias("e"), "label").toPandas()  # at most ``sample`` rows
     model.slope, model.bias = calibrate(seen["e"].to_numpy(), seen["label"].to_numpy())
     return model
 
@@ -403,30 +462,107 @@ def calibrate(evidence: np.ndarray, label: np.ndarray) -> tuple[float, float]:
     return float(t[0]), float(t[1])
 
 
-def _evidence(model: Model, text: Column) -> Column:
+def with_words(texts: DataFrame, lm: LanguageModel, table: DataFrame) -> DataFrame:
+    """``words`` (as written and restored) and ``label`` of rows of ``text`` and ``label``."""
+    @F.pandas_udf("array<string>")
+    def words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        cache: dict[str, str] = {}
+        for b in batches:
+            yield pd.Series([sorted(restored_words(t, lm, cache)) if lm.knows(t) else None for t in b], dtype=object)
+
+    got = written(texts.withColumn("words", words("text")).select("words", "label", F.when(F.col("words").isNull(), F.col("text")).alias("text")), "toxic-words")
+    if lm.letters is None:
+        return got.select("words", "label")
+    left = got.where("words is null").select("label", "text", F.sha2("text", 256).alias("key"))
+    late = written(rest_words(left.select("key", "text"), lm, table), "toxic-rest")
+    return got.where("words is not null").select("words", "label").unionByName(left.join(late, "key").select("words", "label"))
+
+
+def rest_words(texts: DataFrame, lm: LanguageModel, table: DataFrame) -> DataFrame:
+    """``(key, words)`` of the distinct texts ``(key, text)`` that ask for grams outside of ``lm``.
+
+    The texts fall into groups; each gets the grams of the table that it asks for, so a decoding sees the same
+    probabilities as with the whole table.
+    """
+    letters = lm.letters
+    alone = written(texts.groupBy("key").agg(F.first("text").alias("text")), "toxic-other")
+    size = alone.agg(F.sum(F.length("text"))).first()[0] or 0
+    grouped = alone.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(size // GROUP_CHARS + 1)))
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                asked = Asked(letters)
+                restored_words(text, asked, {})
+                want = [g for g in asked.grams if not all(c in letters for c in g)]
+                points = [[ord(c) for c in g] for g in want]
+                code = [sum(p << 21 * k for k, p in enumerate(reversed(x))) for x in points]
+                yield pa.RecordBatch.from_arrays([pa.array([part] * len(want), pa.int64()), pa.array(code, pa.int64()),
+                                                  pa.array([len(g) for g in want], pa.int32())], ["part", "gram", "places"])
+
+    asked = grouped.select("part", "text").mapInArrow(ask, "part long, gram long, places int").distinct()
+    known = asked.join(table, ["gram", "places"]).select("part", "gram", "n", "among", "places")
+
+    def decoded(part: pd.DataFrame, grams: pd.DataFrame) -> pd.DataFrame:
+        own = model_of(zip(*(grams[c].tolist() for c in ("gram", "n", "among", "places"))), base=lm)
+        cache: dict[str, str] = {}
+        return pd.DataFrame({"key": part["key"], "words": [sorted(restored_words(t, own, cache)) for t in part["text"]]})
+
+    return grouped.groupBy("part").cogroup(known.groupBy("part")).applyInPandas(decoded, "key string, words array<string>")
+
+
+def _evidence_of(words: Iterable[str], weight: dict[str, float], heads: set[str]) -> float:
     """Sum of the log ratios of the telling words of a text."""
-    lm, weight = model.lm, model.weight
-    heads = {p[:min(PREFIXES)].rstrip("*") for p in weight}
+    head = min(PREFIXES)
+    return float(sum(sorted(max((weight.get(p, 0.0) for p in parts(w)), key=abs) for w in words if w[:head] in heads)))
+
+
+def _heads(model: Model) -> set[str]:
+    return {p[:min(PREFIXES)].rstrip("*") for p in model.weight}
+
+
+def _evidence_of_words(model: Model, words: Column) -> Column:
+    weight, heads = model.weight, _heads(model)
+
+    @F.pandas_udf("double")
+    def total(words: pd.Series) -> pd.Series:
+        return pd.Series([_evidence_of(w, weight, heads) for w in words], dtype="float64")
+
+    return total(words)
+
+
+def _evidence(model: Model, text: Column) -> Column:
+    """Evidence of a text, NULL if it asks for grams that the tasks do not hold."""
+    lm, weight, heads = model.lm, model.weight, _heads(model)
 
     @F.pandas_udf("double")
     def total(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         cache: dict[str, str] = {}
-        head = min(PREFIXES)
         for texts in batches:
-            out = []
-            for t in texts:
-                hits = [max((weight.get(p, 0.0) for p in parts(w)), key=abs) for w in restored_words(t, lm, cache) if w[:head] in heads] if weight else []
-                out.append(float(sum(sorted(hits))))
-            yield pd.Series(out, dtype="float64")
+            yield pd.Series([_evidence_of(restored_words(t, lm, cache), weight, heads) if lm.knows(t) else None for t in texts], dtype="float64")
+
+    return total(text)
+
 
-    return total(F.coalesce(text.cast("string"), F.lit("")))
+def _chance(model: Model, evidence: Column) -> Column:
+    return 1.0 / (1.0 + F.exp(-(F.lit(model.slope) * evidence + F.lit(model.bias))))
 
 
-def score(model: Model, text: Column) -> Column:
-    """Probability of label 1 of a text; NULL and empty texts have the score of no evidence, 0 if nothing was learnt."""
+def score(model: Model, rows: DataFrame) -> DataFrame:
+    """``rows`` with the probability of label 1 of their ``text`` as ``score`` in its place; NULL and empty texts have the score of no evidence, 0 if nothing was learnt."""
+    others = [c for c in rows.columns if c != "text"]
     if not model.weight:
-        return F.lit(0.0)
-    return 1.0 / (1.0 + F.exp(-(F.lit(model.slope) * _evidence(model, text) + F.lit(model.bias))))
+        return rows.select(*others, F.lit(0.0).alias("score"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    e = rows.select(*others, text.alias("text")).withColumn("e", _evidence(model, F.col("text")))
+    if model.lm.letters is None:
+        return e.select(*others, _chance(model, F.col("e")).alias("score"))
+    first = written(e.withColumn("text", F.when(F.col("e").isNull(), F.col("text"))), "toxic-first")
+    left = first.where("e is null").withColumn("key", F.sha2("text", 256))
+    late = rest_words(left.select("key", "text"), model.lm, model.table)
+    late = written(late.select("key", _evidence_of_words(model, F.col("words")).alias("late")), "toxic-late")
+    late = left.drop("e", "text").join(late, "key").select(*others, F.col("late").alias("e"))
+    return first.where("e is not null").select(*others, "e").unionByName(late).select(*others, _chance(model, F.col("e")).alias("score"))
 
 
 def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -437,5 +573,5 @@ def scored(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, id_col: s
     their names, are left out.
     """
     model = fit(docs, labels, id_col=id_col, text_col=text_col)
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), score(model, F.col(text_col)).alias("score")) \
-        .withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out(F.col(id_col)).alias("held_out"), F.col(text_col).alias("text"))
+    return score(model, rows).withColumn("predicted", (F.col("score") >= threshold).cast("int"))
