@@ -24,8 +24,9 @@ id are never features.
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from string import ascii_lowercase
 from zlib import crc32
 
@@ -57,10 +58,12 @@ EDGE = "^"
 
 # tokens of letters, digits and signs, and what may stand inside a spelled-out word
 _TOKEN = re.compile(r"[^\W_]+(?:[@$!|+€£¡]+[^\W_]+)*|[@$|+€£¡!](?=[ \t.\-_*·~]+\w)")
+_PARTED = re.compile(f"({_TOKEN.pattern})")
 _SEPARATORS = " \t.-_*·~"
 _LETTER = re.compile(r"[^\W\d_]")
 _PLAIN = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"(.)\1\1")
+_SWAPPED = re.compile("[" + re.escape("".join(LEET)) + "]")
 _SIGNS = "@$!|+€£¡"
 _TRIM = "\"'()[]{}<>.,;:?*#%&^~`=/\\-_"
 
@@ -76,6 +79,7 @@ class LanguageModel:
     two: dict[str, float]
     one: dict[str, float]
     letters: frozenset[str] | None = None  # the letters whose grams are here; None: all
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)  # the same in all tasks
 
     def knows(self, text: str) -> bool:
         """Whether all grams that a text may ask for are here."""
@@ -219,20 +223,63 @@ def suspicious(token: str) -> bool:
 def restored_words(text: str, lm: LanguageModel, cache: dict[str, str]) -> set[str]:
     """The distinct words of a text as written, and the restored forms of the suspicious ones."""
     low = text.lower()
-    words = set(_PLAIN.findall(low))
+    split = _PARTED.split(low)
+    words: set[str] = set()
+    for t in set(split[1::2]):  # every letter is part of a token
+        if t.isalpha():
+            words.add(t)
+        else:
+            words.update(_PLAIN.findall(t))
     odd: set[str] = set()
-    if not LEET.keys().isdisjoint(low) or _RUN.search(low):
-        tokens = {t for t in set(low.split()) if not t.isalpha()}
+    runs = _runs(low)
+    if runs or _SWAPPED.search(low):
+        tokens = {t for t in set(low.split()) if not t.isalpha() and (_SWAPPED.search(t) or any(r in t for r in runs))}
         odd = {s for t in tokens for s in (t.strip(_TRIM), t.strip(_TRIM + _SIGNS)) if s and suspicious(s)}
-        odd |= {w for w in words if _RUN.search(w)}
+    for r in runs:
+        if r.isalnum():
+            odd |= {w for w in words if r in w}
     for t in odd:
         got = _decoded(t, "", "", lm, cache)
         if got:
             words.add(got)
-    words.update(joined_words(low, lm, cache))
+    words.update(joined_words(split, lm, cache))
     return words
 
 
+def _runs(text: str) -> list[str]:
+    """The characters but white space that stand three times in a row, three times each."""
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    found = code[2:][(code[:-2] == code[1:-1]) & (code[1:-1] == code[2:])]
+    return [3 * c for c in map(chr, sorted(set(found.tolist()))) if not c.isspace()]
+
+
+#: What a token is, whatever the model: a plain word with its first and last two letters, a number, or something to decode.
+_KINDS: dict[str, tuple[int, str, str]] = {}
+WORD, NUMBER, SINGLE = 0, 1, 2
+
+
+def _kind(token: str) -> tuple[int, str, str]:
+    if len(token) > 1 and token.isalpha() and not _RUN.search(token):
+        got = WORD, token[:2], token[-2:] + "\n"
+    else:
+        got = (NUMBER if len(token) > 1 and token.isdigit() else SINGLE), "", ""
+    if len(_KINDS) >= CACHE_WORDS:
+        _KINDS.clear()
+    if len(token) <= CACHE_CHARS:
+        _KINDS[token] = got
+    return got
+
+
+#: Decodings of one model that the tasks of a worker share.
+_SHARED: dict[str, dict[str, str]] = {}
+
+
+def _cache_of(lm: LanguageModel) -> dict[str, str]:
+    if lm.name not in _SHARED:
+        _SHARED.clear()
+    return _SHARED.setdefault(lm.name, {})
+
+
 def _decoded(token: str, before: str, after: str, lm: LanguageModel, cache: dict[str, str]) -> str:
     key = f"{before}\t{token}\t{after}"
     got = cache.get(key)
@@ -245,8 +292,8 @@ def _decoded(token: str, before: str, after: str, lm: LanguageModel, cache: dict
     return got
 
 
-def joined_words(low: str, lm: LanguageModel, cache: dict[str, str]) -> set[str]:
-    """The words that differ from the written ones once separators vanish.
+def joined_words(split: list[str], lm: LanguageModel, cache: dict[str, str]) -> set[str]:
+    """The words of a text, split into gaps and tokens in turn, that differ from the written ones once separators vanish.
 
     A trigram reaches over one separator only, so one between two words of two letters or more is
     decided by the two letters on each side; single characters and suspicious tokens are decoded
@@ -255,7 +302,8 @@ def joined_words(low: str, lm: LanguageModel, cache: dict[str, str]) -> set[str]
     out: set[str] = set()
     word = ""  # what the current word has so far
     pending: list[str] = []  # single and suspicious tokens after it
-    changed, last = False, 0
+    changed = False
+    tail = ""  # the last two letters of the current word and a line break
 
     def flush(after: str) -> str:
         """Settle the pending tokens; returns the word that goes on."""
@@ -275,35 +323,35 @@ def joined_words(low: str, lm: LanguageModel, cache: dict[str, str]) -> set[str]
             out.add(word)
         word, changed = "", False
 
-    for m in _TOKEN.finditer(low):
-        t, start = m.group(), m.start()
-        if word or pending:
-            if start - last != 1 and low[last:start].strip(_SEPARATORS) or start - last == 1 and low[last] not in _SEPARATORS:
-                if pending:
-                    word = flush("")
-                close()
-        last = m.end()
-        if len(t) > 1 and t.isalpha() and not _RUN.search(t):
+    for gap, t in zip(split[::2], split[1::2]):
+        kind, first, end = _KINDS.get(t) or _kind(t)
+        if gap != " " and (word or pending) and gap.strip(_SEPARATORS):
+            if pending:
+                word = flush("")
+            close()
+        if kind == WORD:
             if pending:
                 left = flush(t)
                 word = left + t
                 if not left:
                     changed = False
             elif word:
-                key = f"{word[-2:]}\n{t[:2]}"
+                key = tail + first
                 sep = cache.get(key)
                 if sep is None:
                     if len(cache) >= CACHE_WORDS:
                         cache.clear()
-                    sep = cache[key] = decode(" ", lm, word[-2:], t[:2])
+                    sep = cache[key] = decode(" ", lm, tail[:-1], first)
                 if sep:
-                    close()
+                    if changed:
+                        close()
                     word = t
                 else:
                     word, changed = word + t, True
             else:
                 word = t
-        elif len(t) > 1 and t.isdigit():
+            tail = end
+        elif kind == NUMBER:
             if pending:
                 word = flush("")
             close()
@@ -466,7 +514,7 @@ def with_words(texts: DataFrame, lm: LanguageModel, table: DataFrame) -> DataFra
     """``words`` (as written and restored) and ``label`` of rows of ``text`` and ``label``."""
     @F.pandas_udf("array<string>")
     def words(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        cache: dict[str, str] = {}
+        cache = _cache_of(lm)
         for b in batches:
             yield pd.Series([sorted(restored_words(t, lm, cache)) if lm.knows(t) else None for t in b], dtype=object)
 
@@ -537,7 +585,7 @@ def _evidence(model: Model, text: Column) -> Column:
 
     @F.pandas_udf("double")
     def total(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        cache: dict[str, str] = {}
+        cache = _cache_of(lm)
         for texts in batches:
             yield pd.Series([_evidence_of(restored_words(t, lm, cache), weight, heads) if lm.knows(t) else None for t in texts], dtype="float64")
 
