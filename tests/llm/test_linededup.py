@@ -71,3 +71,17 @@ def test_empty_table_and_long_line(spark):
     df = spark.createDataFrame([(1, " ".join(f"w{i}" for i in range(30000))), (2, " ".join(f"w{i}" for i in range(1, 30000)))], "doc_id long, text string")
     assert got(df.limit(0)) == []
     assert got(df) == [(1, 1, ()), (2, 1, (0,))]
+
+
+def test_words_are_split_once(spark):
+    df = spark.createDataFrame([(1, "a b c d e f")], "doc_id long, text string")
+    plan = ld._text_lines(df, "doc_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_remove(") == 1
+
+
+def test_equal_lines_are_one_row_of_the_join(spark):
+    line = "one two three four five six seven"
+    df = spark.createDataFrame([(5, f"x\n{line}"), (None, f"{line}\n{line}"), (9, line.upper()), (3, f"{line} eight")], "doc_id long, text string")
+    table = ld._class_table(ld._line_table(df, ld.rarity(df), "doc_id", "text")).collect()
+    assert sorted((tuple(r["first"]), tuple(r["last"]), r.n, len(r.prefix)) for r in table) == [((ld.NO_ID, 0), (9, 0), 3, 1), ((3, 0), (3, 0), 4, 1)]
+    assert got(df) == sorted([(5, 2, (1,)), (None, 2, (1,)), (9, 1, (0,)), (3, 1, ())], key=str)

@@ -22,37 +22,47 @@ are held against all earlier lines of the token.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tierlake.llm.base import let, released, written
+from tierlake.llm.base import discard, let, released, written
 
 WORDS = 5
 NUM, DEN = 4, 5
 BUCKETS = 1 << 14
+BITS = 44
+MASK = (1 << BITS) - 1
 #: Stands for a missing doc_id: before all others.
 NO_ID = -(1 << 63)
-PLACE = 10_000_000_000  # line numbers of a document stay below this
 
 
 def _words(line: Column) -> Column:
-    return F.array_remove(F.split(F.lower(F.translate(line, "\t\r\f\v", "    ")), " "), "")
+    for blank in "\t\r\f\v":
+        line = F.replace(line, F.lit(blank), F.lit(" "))
+    return F.array_remove(F.split(F.lower(line), " "), "")
 
 
-def _shingle(words: Column, i: Column) -> Column:
-    """A 44-bit hash of the shingle that starts at word i."""
-    return F.xxhash64(*[F.get(words, i + k) for k in range(WORDS)]).bitwiseAND(F.lit((1 << 44) - 1))
+def _shingle(words: list[Column]) -> Column:
+    """A 44-bit hash of ``WORDS`` words."""
+    return F.xxhash64(*words).bitwiseAND(F.lit(MASK))
 
 
-def _starts(words: Column) -> Column:
-    return F.sequence(F.lit(0), F.size(words) - WORDS)
+def _shingles(words: Column) -> Column:
+    """The hashes of all shingles of a line of at least ``WORDS`` words."""
+    return F.slice(F.transform(words, lambda w, i: _shingle([w, *[F.get(words, i + k) for k in range(1, WORDS)]])), F.lit(1), F.size(words) - (WORDS - 1))
 
 
 def _text_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, key, pos, words) of the lines with at least ``WORDS`` words; key is a hash of the document's text."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     lines = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("key"), F.posexplode(F.split(text, "\n")).alias("pos", "line"))
-    return lines.select("doc_id", "key", "pos", _words(F.col("line")).alias("words")).where(F.size("words") >= WORDS)
+    return _long_lines(lines, "doc_id", "key", "pos")
+
+
+def _long_lines(lines: DataFrame, *others: str) -> DataFrame:
+    """``words`` of the ``line`` column in its place, of the lines with at least ``WORDS`` words."""
+    # exploded, as Spark would repeat the split below a filter on a plain column
+    return lines.select(*others, F.explode(F.array(_words(F.col("line")))).alias("words")).where(F.size("words") >= WORDS)
 
 
 def _bucket(token: Column) -> Column:
@@ -60,22 +70,22 @@ def _bucket(token: Column) -> Column:
 
 
 def rarity(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Column:
-    """An array literal of ``BUCKETS`` counts over the shingles of all lines."""
-    tokens = _text_lines(docs, id_col, text_col).select("words", F.explode(_starts(F.col("words"))).alias("i")) \
-        .select(_shingle(F.col("words"), F.col("i")).alias("t"))
+    """An array literal of ``BUCKETS`` ranks by the counts over the shingles of all lines, shifted above a token's hash bits."""
+    starts = _text_lines(docs, id_col, text_col).select("words", F.explode(F.sequence(F.lit(0), F.size("words") - WORDS)).alias("i"))
+    tokens = starts.select(_shingle([F.get("words", F.col("i") + k) for k in range(WORDS)]).alias("t"))
     got = tokens.groupBy(_bucket(F.col("t")).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()  # at most BUCKETS rows
     counts = [0] * BUCKETS
     for r in got:
-        counts[r["b"]] = min(r["n"], (1 << 19) * (1 << 19) - 1)
-    # 19 bits order the buckets; beyond 2^19 occurrences the rank among the buckets is enough
+        counts[r["b"]] = r["n"]
+    # the rank among the buckets is enough
     rank = {n: k for k, n in enumerate(sorted(set(counts)))}
-    return F.split(F.lit(",".join(str(rank[n]) for n in counts)), ",").cast("array<long>")
+    return F.split(F.lit(",".join(str(rank[n] << BITS) for n in counts)), ",").cast("array<long>")
 
 
 def _tokens(words: Column, counts: Column) -> Column:
     """The line's tokens in ascending order of rarity count: count rank above the hash bits."""
-    hashes = let(words, lambda w: F.transform(_starts(w), lambda i: _shingle(w, i)))
-    return F.sort_array(F.transform(F.array_distinct(hashes), lambda t: F.shiftleft(F.get(counts, _bucket(t)), 44).bitwiseOR(t)))
+    # without NULL in its type the array is sorted as plain numbers
+    return F.sort_array(F.transform(F.array_distinct(_shingles(words)), lambda t: F.coalesce(F.get(counts, _bucket(t)), F.lit(0).cast("long")).bitwiseOR(t)))
 
 
 def _line_table(docs: DataFrame, counts: Column, id_col: str, text_col: str) -> DataFrame:
@@ -85,9 +95,14 @@ def _line_table(docs: DataFrame, counts: Column, id_col: str, text_col: str) ->
     return lines.select("doc_id", "key", "pos", F.xxhash64("tokens").alias("class"), n.alias("n"), F.slice("tokens", F.lit(1), prefix).alias("prefix"))
 
 
-def _order(doc_id: Column, pos: Column) -> Column:
-    """The place of a line as one number; lines without doc_id come first."""
-    return F.coalesce(doc_id, F.lit(NO_ID)).cast("decimal(38,0)") * F.lit(PLACE).cast("decimal(11,0)") + pos.cast("decimal(11,0)")
+def _class_table(lines: DataFrame) -> DataFrame:
+    """One row per class of equal lines: its first and last (doc, pos), lines without doc_id before all others, and its prefix."""
+    place = F.struct(_doc(F.col("doc_id")).alias("doc"), "pos")
+    return lines.groupBy("class").agg(F.min(place).alias("first"), F.max(place).alias("last"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+
+
+def _doc(doc_id: Column) -> Column:
+    return F.coalesce(doc_id, F.lit(NO_ID))
 
 
 def _may_match(x: str, y: str) -> Column:
@@ -97,23 +112,26 @@ def _may_match(x: str, y: str) -> Column:
     return (xn * NUM <= yn * DEN) & (yn * NUM <= xn * DEN) & (1 + F.least(xn - xi - 1, yn - yi - 1) >= need)
 
 
-def matched_classes(docs: DataFrame, lines: DataFrame, counts: Column, id_col: str, text_col: str) -> DataFrame:
+def matched_classes(docs: DataFrame, classes: DataFrame, counts: Column, id_col: str, text_col: str) -> DataFrame:
     """``(class)`` of the lines whose first occurrence has an earlier similar line of another class."""
     spark = docs.sparkSession
-    rows = lines.select(F.posexplode("prefix").alias("i", "token"), "class", "n", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "pos")
-    shared = rows.groupBy("token").agg(F.min("class").alias("lo"), F.max("class").alias("hi"), F.min("doc").alias("lead")).where("lo < hi").select("token", "lead")
-    crowd = rows.join(shared, "token").groupBy("token", "class", "n", "i", "lead").agg(F.min(F.struct("doc", "pos")).alias("first"))
-    crowd = written(crowd.select("token", "class", "n", "i", "lead", "first.doc", "first.pos"), "line-crowd")
+    # a class has a token once, so a token that comes twice is shared
+    rows = classes.select(F.posexplode("prefix").alias("i", "token"), "class", "n")
+    shared = rows.withColumn("times", F.count(F.lit(1)).over(Window.partitionBy("token"))).where("times > 1").select("token", "class", "n", "i")
+    shared = written(shared, "line-shared")
     released(spark)
+    crowd = shared.join(classes.select("class", "first.doc", "first.pos"), "class") \
+        .withColumn("lead", F.min("doc").over(Window.partitionBy("token")))
+    crowd = written(crowd.select("token", "class", "n", "i", "lead", "doc", "pos"), "line-crowd")
 
     # whole token sets of the lines that share a prefix token with another one, from their texts
-    place = crowd.groupBy("class").agg(F.min(F.struct("doc", "pos")).alias("first"))
-    wanted = place.select(F.when(F.col("first.doc") != NO_ID, F.col("first.doc")).alias("doc_id"), "first.pos").distinct() \
+    place = crowd.select("class", "doc", "pos").distinct()
+    wanted = place.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "pos") \
         .groupBy("doc_id").agg(F.collect_list("pos").alias("places"))
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     some = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"])) \
-        .select(F.explode(let(F.split("text", "\n"), lambda lines: F.transform("places", lambda p: F.get(lines, p)))).alias("line")) \
-        .select(_words(F.col("line")).alias("words")).where(F.size("words") >= WORDS).select(_tokens(F.col("words"), counts).alias("tokens"))
+        .select(F.explode(let(F.split("text", "\n"), lambda lines: F.transform("places", lambda p: F.get(lines, p)))).alias("line"))
+    some = _long_lines(some).select(_tokens(F.col("words"), counts).alias("tokens"))
     sets = some.select(F.xxhash64("tokens").alias("class"), "tokens").join(place.select("class"), "class", "left_semi").dropDuplicates(["class"])
     sets = written(sets, "line-sets")
     released(spark)
@@ -145,15 +163,18 @@ def removed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     not earlier than each other, so the repeats of a row share its fate.  Rows
     without doc_id come before all others.
     """
+    spark = docs.sparkSession
     counts = rarity(docs, id_col, text_col)
-    lines = written(_line_table(docs, counts, id_col, text_col), "lines")
-    released(docs.sparkSession)
-    gone = matched_classes(docs, lines, counts, id_col, text_col).withColumn("late", F.lit(True))
-    order = _order(F.col("doc_id"), F.col("pos"))
-    firsts = lines.groupBy("class").agg(F.min(order.cast("decimal(30,0)")).alias("first"), F.max(order.cast("decimal(30,0)")).alias("last"))
-    told = firsts.join(gone, "class", "left").where("first < last or late").select("class", "first", "late")
-    return lines.select("doc_id", "key", "pos", "class").join(told, "class") \
-        .where(F.col("late").isNotNull() | (order > F.col("first"))).select("doc_id", "key", "pos")
+    whole = written(_line_table(docs, counts, id_col, text_col), "lines")
+    classes = written(_class_table(whole), "line-classes")
+    # from here on the prefixes are read by class alone
+    lines = written(whole.select("doc_id", "key", "pos", "class"), "line-places")
+    discard(whole)
+    released(spark)
+    gone = matched_classes(docs, classes, counts, id_col, text_col).withColumn("late", F.lit(True))
+    told = classes.select("class", "first", "last").join(gone, "class", "left").where("first < last or late").select("class", "first", "late")
+    return lines.join(told, "class") \
+        .where(F.col("late").isNotNull() | (F.struct(_doc(F.col("doc_id")), "pos") > F.col("first"))).select("doc_id", "key", "pos")
 
 
 def report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
