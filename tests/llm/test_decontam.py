@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tierlake.llm import decontam as d
+from tierlake.llm.base import rows_of
 
 
 def lcs(a, b):
@@ -126,3 +127,40 @@ def test_empty_tables(spark):
     assert d.contaminated(df.limit(0), bench).count() == 0
     assert d.contaminated(df, bench.limit(0)).count() == 0
     assert d.keep_clean(df, bench.limit(0)).count() == len(docs)
+
+
+def test_texts_are_read_and_hashed_once(spark, monkeypatch):
+    docs, items, truth = corpus()
+    seen = []
+    monkeypatch.setattr(d, "rows_of", lambda *a: seen.append(a) or rows_of(*a))
+    df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in d.contaminated(df, bench).collect()} == truth
+    assert len(seen) == 1
+
+
+def test_spaced_texts_have_the_same_words():
+    for text in ("", " ", "A b-c", "É\u00a0x_y\tZ9.", "\ud800 q", "a\nb", "x" * 9 + "!!" + "ß"):
+        (one, n), (two, m) = (d.word_hashes([raw], d.Powers()) for raw in (d.plain(text), d.spaced(text)))
+        assert one.tolist() == two.tolist() and n.tolist() == m.tolist()
+
+
+def test_enough_around_keeps_every_stretch():
+    rnd = random.Random(3)
+    for _ in range(400):
+        size, n = rnd.randint(1, 120), rnd.randint(1, 500)
+        long = int(d.STRETCH * size) + 1
+        at = rnd.randrange(n)
+        stretch = range(at, min(n, at + long))
+        need = -(-int(d.OVERLAP * size * 1000) // 1000)
+        if len(stretch) < need:
+            continue
+        hits = set(rnd.sample(stretch, need))
+        start, end, _ = d.windows(np.array([n]))
+        shared = np.array([len(hits & set(range(a, b))) for a, b in zip(start.tolist(), end.tolist())])
+        # other texts stand on both sides of this one
+        blank, owner = np.zeros(40, np.int64), np.repeat([3, 5, 6], [40, len(shared), 40])
+        around = d.enough_around(np.concatenate((blank, shared, blank)), owner, size)[40:40 + len(shared)]
+        assert all(ok for ok, a, b in zip(around, start.tolist(), end.tolist()) if a - long <= at and stretch[-1] < b + long)
+        # a text that goes on beyond both ends
+        assert d.enough_around(np.zeros(1, np.int64), np.array([7]), size).all()
+    assert not d.enough_around(np.zeros(200, np.int64), np.repeat([0, 1], 100), 30)[60:140].any()
