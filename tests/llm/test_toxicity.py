@@ -154,3 +154,17 @@ def test_rare_letters_are_decoded_with_all_grams(spark, monkeypatch):
     assert result() == whole
     held = [x for x in whole if x[2] and x[1] < 450]
     assert sum(x[4] == x[1] % 2 for x in held) >= 0.95 * len(held)
+
+
+def test_trigrams_are_those_of_the_plain_words(spark):
+    rnd = random.Random(4)
+    signs = "ab^ _1²¼ſßéÉΣσς界ы\u0301\n٣\u212a\U0001d400"
+    texts = ["".join(rnd.choice(signs) for _ in range(rnd.randint(0, 30))) for _ in range(200)] + ["", "a", None, "ΑΣ aΣ"]
+    want = {}
+    for w in (w for x in texts for w in t.plain_words(x or "")):
+        line = f"{t.EDGE}{t.EDGE}{w}{t.EDGE}"
+        for k in range(len(w) + 1):
+            gram = ord(line[k]) << 42 | ord(line[k + 1]) << 21 | ord(line[k + 2])
+            want[gram] = want.get(gram, 0) + 1
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "doc_id long, text string")
+    assert {r.gram: r.n for r in t.gather(df).collect()} == want

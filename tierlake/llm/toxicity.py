@@ -224,12 +224,10 @@ def restored_words(text: str, lm: LanguageModel, cache: dict[str, str]) -> set[s
     """The distinct words of a text as written, and the restored forms of the suspicious ones."""
     low = text.lower()
     split = _PARTED.split(low)
-    words: set[str] = set()
-    for t in set(split[1::2]):  # every letter is part of a token
-        if t.isalpha():
-            words.add(t)
-        else:
-            words.update(_PLAIN.findall(t))
+    tokens = set(split[1::2])  # every letter is part of one
+    words = set(filter(str.isalpha, tokens))
+    for t in tokens - words:
+        words.update(_PLAIN.findall(t))
     odd: set[str] = set()
     runs = _runs(low)
     if runs or _SWAPPED.search(low):
@@ -366,30 +364,38 @@ def joined_words(split: list[str], lm: LanguageModel, cache: dict[str, str]) ->
 def gather(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Character trigram counts ``(gram, n)`` over the plain words of all documents; a gram is three code points of 21 bits."""
     def rows(total: dict[int, int]) -> pa.RecordBatch:
-        # without grams that reach over two words
-        kept = {k: n for k, n in total.items() if k >> 21 & 0x1FFFFF != ord(EDGE) or k >> 42 == ord(EDGE) != k & 0x1FFFFF}
-        return pa.RecordBatch.from_arrays([pa.array(list(kept), pa.int64()), pa.array(list(kept.values()), pa.int64())], ["gram", "n"])
+        return pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["gram", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # letters up to U+00FF are counted in a table, grams with others one by one
         known = [EDGE] + [chr(c) for c in range(256) if chr(c).isalpha() and chr(c).lower() == chr(c)]
-        place = np.full(256, -1, np.int64)
+        place = np.array([-1 if _LETTER.match(chr(c)) else 0 for c in range(256)], np.int32)
         place[[ord(c) for c in known]] = np.arange(len(known))
         size = len(known)
         table, total = np.zeros(size ** 3, np.int64), {}
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                line = "".join(f"{EDGE}{EDGE}{w}{EDGE}" for t in b.column(0).slice(at, 256).to_pylist() for w in plain_words(t))
-                if not line:
-                    continue
-                code = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-                cell = np.where(code < 256, place[np.minimum(code, 255)], -1)
-                seen = (cell[:-2] >= 0) & (cell[1:-1] >= 0) & (cell[2:] >= 0)
-                key = (cell[:-2] * size + cell[1:-1]) * size + cell[2:]
-                table += np.bincount(key[seen], minlength=size ** 3)
-                rest = ((code[:-2] << 42) | (code[1:-1] << 21) | code[2:])[~seen]
-                for k, n in zip(*(x.tolist() for x in np.unique(rest, return_counts=True))):
-                    total[k] = total.get(k, 0) + n
+            for at in range(0, b.num_rows, 64):
+                # two borders before the first letter, one behind the last
+                line = f"  {'  '.join(b.column(0).slice(at, 64).to_pylist()).lower()} "
+                code = np.frombuffer(line.encode("utf-32-le", "surrogatepass"), np.uint32)
+                cell = place[np.minimum(code, 255)]
+                others = np.flatnonzero(code > 255)
+                points, which = np.unique(code[others], return_inverse=True)
+                cell[others] = np.array([-1 if _LETTER.match(chr(x)) else 0 for x in points.tolist()], np.int32)[which]
+                letter = cell != 0
+                # every letter with the two before it, as far as they are of its word, and every last letter with a border
+                ends = np.flatnonzero(letter[1:-1] & ~letter[2:]) + 1
+                ends = ends[ends > 1]
+                own = np.flatnonzero(letter)
+                far = np.where(letter[own - 1], own - 2, own - 1)
+                for x, y, z in ((far, own - 1, own), (ends - 1, ends, ends + 1)):
+                    p, q, r = cell[x], cell[y], cell[z]
+                    seen = (p >= 0) & (q >= 0) & (r >= 0)
+                    table += np.bincount(((p * size + q) * size + r)[seen], minlength=size ** 3)
+                    if not seen.all():
+                        i, j, k = (np.where(letter[v], code[v], ord(EDGE)).astype(np.int64) for v in (x[~seen], y[~seen], z[~seen]))
+                        for g, n in zip(*(v.tolist() for v in np.unique(i << 42 | j << 21 | k, return_counts=True))):
+                            total[g] = total.get(g, 0) + n
                 if len(total) >= PENDING:
                     yield rows(total)
                     total = {}
