@@ -1,4 +1,5 @@
 import random
+import re
 from zlib import crc32
 
 import pytest
@@ -168,3 +169,72 @@ def test_trigrams_are_those_of_the_plain_words(spark):
             want[gram] = want.get(gram, 0) + 1
     df = spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "doc_id long, text string")
     assert {r.gram: r.n for r in t.gather(df).collect()} == want
+
+
+TOKEN = re.compile(r"[^\W_]+(?:[@$!|+€£¡]+[^\W_]+)*|[@$|+€£¡!](?=[ \t.\-_*·~]+\w)")
+
+
+def odd_texts(n):
+    rnd = random.Random(3)
+    pool = ["the", "idiot", "i", "d", "a", "1d10t", "12", "7", "!", "$", "aaa", "house", "no", "sooo", "é", "東京", "ß", "x_y", "a$b", "½", "tr@$h", "mm", "|"]
+    gaps = [" ", " ", " ", "  ", "\n", ", ", ".", "-", "_", "*", "·", "~", " - ", "\t", "\r", "!", "!! ", "$ ", "|"]
+    return ["".join(rnd.choice(gaps) * (k == 0 and rnd.random() < .3) + rnd.choice(pool) + rnd.choice(gaps) for k in range(rnd.randint(0, 9))) for _ in range(n)]
+
+
+def test_tokens_are_those_of_the_pattern():
+    for text in odd_texts(3000):
+        code = t.np.frombuffer(text.encode("utf-32-le"), t.np.uint32)
+        start, end = t._places(text, t._kinds(code))
+        assert list(zip(start.tolist(), end.tolist())) == [m.span() for m in TOKEN.finditer(text)], text
+        assert t._cut(text, code, start, end) == TOKEN.findall(text), text
+
+
+def walked(text, lm):
+    """The words of a text by a walk over its tokens, one by one."""
+    out, word, pending, at = set(), "", [], 0
+
+    def settle(after):
+        got = t.decode((" " if word else "") + " ".join(pending) + (" " if after else ""), lm, word[-2:], after[:2])
+        *done, rest = (word + got).split(" ")
+        out.update(done)
+        return rest
+
+    for m in TOKEN.finditer(text):
+        x, gap, at = m[0], text[at:m.start()], m.end()
+        number = len(x) > 1 and x.isdigit()
+        if number or gap.strip(" \t.-_*·~"):
+            out.add(settle("") if pending else word)
+            word, pending = "", []
+        if number:
+            continue
+        if len(x) == 1 or not x.isalpha() or re.search(r"(.)\1\1", x):
+            pending.append(x)
+        elif pending:
+            word, pending = settle(x) + x, []
+        elif word and not t.decode(" ", lm, word[-2:], x[:2]):
+            word += x
+        else:
+            out.add(word)
+            word = x
+    out.add(settle("") if pending else word)
+    return {w for w in out if len(w) > 1}
+
+
+def test_separators_as_by_a_walk_over_the_tokens(lm):
+    cache = {}
+    for text in [*odd_texts(2000), "", " ", "a", "the", "!", "! a"]:
+        got = t.restored_words(text, lm, cache)
+        written = {w for x in TOKEN.findall(text) for w in re.findall(r"[^\W\d_]+", x)}
+        assert walked(text, lm) <= got, text
+        assert written <= got, text
+        odd = {s for x in text.split() for s in (x.strip(t._TRIM), x.strip(t._TRIM + t._SIGNS)) if t.suspicious(s)} | {x for x in written if re.search(r"(.)\1\1", x)}
+        assert got <= walked(text, lm) | written | {t.decode(x, lm) for x in odd}, text
+
+
+def test_word_borders_are_decided_once(lm, monkeypatch):
+    seen = []
+    monkeypatch.setattr(t, "decode", lambda *a, f=t.decode: (seen.append(a), f(*a))[1])
+    t._BORDERS.clear()
+    t.restored_words("garden house garden house", lm, {})
+    t.restored_words("the garden house", lm, {})
+    assert [a[2:] for a in seen] == [("en", "ho"), ("se", "ga"), ("he", "ga")]

@@ -56,14 +56,12 @@ CACHE_WORDS, CACHE_CHARS = 200_000, 64
 SWAP, DROP = -1.0, -0.5
 EDGE = "^"
 
-# tokens of letters, digits and signs, and what may stand inside a spelled-out word
-_TOKEN = re.compile(r"[^\W_]+(?:[@$!|+€£¡]+[^\W_]+)*|[@$|+€£¡!](?=[ \t.\-_*·~]+\w)")
-_PARTED = re.compile(f"({_TOKEN.pattern})")
+# tokens are letters and digits, also with signs between them, and lone signs in front of what may stand inside a spelled-out word
+_LONE = re.compile(r"[@$|+€£¡!](?=[ \t.\-_*·~]+\w)")
 _SEPARATORS = " \t.-_*·~"
 _LETTER = re.compile(r"[^\W\d_]")
 _PLAIN = re.compile(r"[^\W\d_]+")
 _RUN = re.compile(r"(.)\1\1")
-_SWAPPED = re.compile("[" + re.escape("".join(LEET)) + "]")
 _SIGNS = "@$!|+€£¡"
 _TRIM = "\"'()[]{}<>.,;:?*#%&^~`=/\\-_"
 
@@ -181,7 +179,9 @@ def decode(token: str, lm: LanguageModel, before: str = "", after: str = "") ->
     # state: the last two letters -> (score, letters as a chain from the last one)
     first = ((EDGE + before)[-2], before[-1]) if before else (EDGE, EDGE)
     beam: dict[tuple[str, str], tuple[float, tuple]] = {first: (0.0, ())}
+    score_of = lm.score
     for k, (c, n) in enumerate(runs):
+        picks = [(x, times, cost * min(n, 2), DROP if times < n else 0.0) for x, cost in readings(c) for times in ((1, 2) if n > 1 else (1,))]
         new: dict[tuple[str, str], tuple[float, tuple]] = {}
         again = k > 1 and runs[k - 1][0] == " " and runs[k - 2][0] == c  # a repeat with separators inside
         for (a, b), (score, text) in beam.items():
@@ -189,13 +189,12 @@ def decode(token: str, lm: LanguageModel, before: str = "", after: str = "") ->
                 options = [((a, b), score, text), ((EDGE, EDGE), score + lm.score(a, b, EDGE), (" ", text))]
             else:
                 options = [((a, b), score + DROP, text)] if again and b != EDGE else []
-                for x, cost in readings(c):
-                    for times in (1, 2) if n > 1 else (1,):
-                        p, q, s = a, b, score + cost * min(n, 2) + (DROP if times < n else 0.0)
-                        for _ in range(times):
-                            s += lm.score(p, q, x)
-                            p, q = q, x
-                        options.append(((p, q), s, (x * times, text)))
+                for x, times, cost, drop in picks:
+                    s = score + cost + drop + score_of(a, b, x)
+                    if times == 1:
+                        options.append(((b, x), s, (x, text)))
+                    else:
+                        options.append(((x, x), s + score_of(b, x, x), (x + x, text)))
             for state, s, chain in options:
                 if state not in new or s > new[state][0]:
                     new[state] = (s, chain)
@@ -215,57 +214,82 @@ def decode(token: str, lm: LanguageModel, before: str = "", after: str = "") ->
 
 def suspicious(token: str) -> bool:
     """Letters mixed with digits or signs that stand for letters, or a character three times in a row."""
-    if _RUN.search(token):
-        return bool(_LETTER.search(token))
-    return bool(_LETTER.search(token)) and any(c in LEET for c in token)
+    return bool(_LETTER.search(token)) and (not LEET.keys().isdisjoint(token) or bool(_RUN.search(token)))
 
 
 def restored_words(text: str, lm: LanguageModel, cache: dict[str, str]) -> set[str]:
     """The distinct words of a text as written, and the restored forms of the suspicious ones."""
     low = text.lower()
-    split = _PARTED.split(low)
-    tokens = set(split[1::2])  # every letter is part of one
+    code = np.frombuffer(low.encode("utf-32-le", "surrogatepass"), np.uint32)
+    kind = _kinds(code)
+    start, end = _places(low, kind)
+    split = _cut(low, code, start, end)
+    tokens = set(split)  # every letter is part of one
     words = set(filter(str.isalpha, tokens))
-    for t in tokens - words:
+    others = tokens - words
+    for t in others:
         words.update(_PLAIN.findall(t))
     odd: set[str] = set()
-    runs = _runs(low)
-    if runs or _SWAPPED.search(low):
-        tokens = {t for t in set(low.split()) if not t.isalpha() and (_SWAPPED.search(t) or any(r in t for r in runs))}
-        odd = {s for t in tokens for s in (t.strip(_TRIM), t.strip(_TRIM + _SIGNS)) if s and suspicious(s)}
+    third = np.flatnonzero((code[:-2] == code[1:-1]) & (code[1:-1] == code[2:]) & (kind[2:] & SPACE == 0))
+    runs = [3 * chr(c) for c in sorted(set(code[third].tolist()))]
+    at = np.concatenate([third, np.flatnonzero(kind & SWAPPED)])
+    if len(at):
+        edge = np.flatnonzero(np.diff(kind & SPACE == 0, prepend=False, append=False))
+        spans = edge.reshape(-1, 2)[np.unique(np.searchsorted(edge[::2], at, "right") - 1)]
+        parted = {low[a:b] for a, b in spans.tolist()}
+        parted = {s for t in parted if not t.isalpha() for s in (t.strip(_TRIM), t.strip(_TRIM + _SIGNS))}
+        odd = {s for s in parted if suspicious(s)}
     for r in runs:
         if r.isalnum():
             odd |= {w for w in words if r in w}
+            others |= {t for t in tokens if r in t}
+    others.update(split[k] for k in np.flatnonzero(end - start == 1).tolist())
     for t in odd:
         got = _decoded(t, "", "", lm, cache)
         if got:
             words.add(got)
-    words.update(joined_words(split, lm, cache))
+    words.update(joined_words(code, kind, start, end, split, others, lm, cache))
     return words
 
 
-def _runs(text: str) -> list[str]:
-    """The characters but white space that stand three times in a row, three times each."""
-    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    found = code[2:][(code[:-2] == code[1:-1]) & (code[1:-1] == code[2:])]
-    return [3 * c for c in map(chr, sorted(set(found.tolist()))) if not c.isspace()]
+#: What characters are, by code point; 0: not looked at yet.
+_KINDS = np.zeros(0x110000, np.uint8)
+SEEN, INSIDE, SIGN, SEPARATOR, SPACE, SWAPPED = (1 << k for k in range(6))
 
 
-#: What a token is, whatever the model: a plain word with its first and last two letters, a number, or something to decode.
-_KINDS: dict[str, tuple[int, str, str]] = {}
-WORD, NUMBER, SINGLE = 0, 1, 2
+def _kinds(code: np.ndarray) -> np.ndarray:
+    got = _KINDS[code]
+    if not got.all():
+        for x in np.unique(code[got == 0]).tolist():
+            c = chr(x)
+            _KINDS[x] = SEEN | INSIDE * c.isalnum() | SIGN * (c in _SIGNS) | SEPARATOR * (c in _SEPARATORS) | SPACE * c.isspace() | SWAPPED * (c in LEET)
+        got = _KINDS[code]
+    return got
 
 
-def _kind(token: str) -> tuple[int, str, str]:
-    if len(token) > 1 and token.isalpha() and not _RUN.search(token):
-        got = WORD, token[:2], token[-2:] + "\n"
-    else:
-        got = (NUMBER if len(token) > 1 and token.isdigit() else SINGLE), "", ""
-    if len(_KINDS) >= CACHE_WORDS:
-        _KINDS.clear()
-    if len(token) <= CACHE_CHARS:
-        _KINDS[token] = got
-    return got
+def _places(text: str, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where the tokens of a text begin and end."""
+    edge = np.flatnonzero(np.diff(kind & INSIDE > 0, prepend=False, append=False))
+    start, end = edge[::2], edge[1::2]
+    sign = kind & SIGN > 0
+    if sign.any():
+        signs = np.concatenate([[0], np.cumsum(sign)])
+        apart = signs[start[1:]] - signs[end[:-1]] < start[1:] - end[:-1]
+        start, end = (start[np.append(True, apart)], end[np.append(apart, True)]) if len(start) else (start, end)
+        lone = np.flatnonzero(sign[:-1] & (kind[1:] & SEPARATOR > 0))
+        lone = np.array([k for k in lone.tolist() if _LONE.match(text, k)], np.int64)
+        start, end = np.sort(np.concatenate([start, lone])), np.sort(np.concatenate([end, lone + 1]))
+    return start, end
+
+
+def _cut(text: str, code: np.ndarray, start: np.ndarray, end: np.ndarray) -> list[str]:
+    """The tokens of a text."""
+    if (start[1:] == end[:-1]).any():
+        return [text[a:b] for a, b in zip(start.tolist(), end.tolist())]
+    edge = np.zeros(len(code) + 1, np.int8)
+    edge[start], edge[end] = 1, -1
+    kept = np.where(np.cumsum(edge[:-1], dtype=np.int8) > 0, code, np.uint32(32))
+    return kept.tobytes().decode("utf-32-le", "surrogatepass").split()
 
 
 #: Decodings of one model that the tasks of a worker share.
@@ -290,75 +314,105 @@ def _decoded(token: str, before: str, after: str, lm: LanguageModel, cache: dict
     return got
 
 
-def joined_words(split: list[str], lm: LanguageModel, cache: dict[str, str]) -> set[str]:
-    """The words of a text, split into gaps and tokens in turn, that differ from the written ones once separators vanish.
+class Borders:
+    """Whether a separator stays (1) or vanishes (2) between two words of two letters or more, 0 if not known yet, by the
+    last two letters of one and the first two of the other; of the first 63 letters met, which the four places number from 1."""
+    def __init__(self):
+        self.place, self.letters = np.zeros(0x110000, np.int32), 0
+        self.known = np.zeros(1 << 24, np.uint8)
+
+    def cells(self, around: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        """The cell of four letters, and whether all of them have a number."""
+        got = [self.place[x] for x in around]
+        numbered = got[0] * got[1] * got[2] * got[3] > 0
+        if self.letters < 63 and not numbered.all():
+            for c in np.unique(np.concatenate([x[g == 0] for x, g in zip(around, got)])).tolist():
+                if self.letters < 63:
+                    self.letters += 1
+                    self.place[c] = self.letters
+            got = [self.place[x] for x in around]
+            numbered = got[0] * got[1] * got[2] * got[3] > 0
+        return got[0] << 18 | got[1] << 12 | got[2] << 6 | got[3], numbered
+
+
+#: Borders of one model that the tasks of a worker share.
+_BORDERS: dict[str, Borders] = {}
+
+
+def _borders_of(lm: LanguageModel) -> Borders:
+    if lm.name not in _BORDERS:
+        _BORDERS.clear()
+    return _BORDERS.get(lm.name) or _BORDERS.setdefault(lm.name, Borders())
+
+
+def joined_words(code: np.ndarray, kind: np.ndarray, start: np.ndarray, end: np.ndarray, tokens: list[str], others: set[str], lm: LanguageModel,
+                 cache: dict[str, str]) -> set[str]:
+    """The words of a text with tokens at ``start`` to ``end`` once its separators are read as borders or vanish.
 
     A trigram reaches over one separator only, so one between two words of two letters or more is
-    decided by the two letters on each side; single characters and suspicious tokens are decoded
+    decided by the two letters on each side; the ``others``, single characters and suspicious tokens, are decoded
     together with the letters around them.  Numbers of several digits part words.
     """
-    out: set[str] = set()
-    word = ""  # what the current word has so far
-    pending: list[str] = []  # single and suspicious tokens after it
-    changed = False
-    tail = ""  # the last two letters of the current word and a line break
-
-    def flush(after: str) -> str:
-        """Settle the pending tokens; returns the word that goes on."""
-        nonlocal word, changed
-        text = " ".join(pending)
-        pending.clear()
-        plain = len(word) > 1
-        got = _decoded((" " if plain else "") + text + (" " if after else ""), word[-2:] if plain else "", after[:2], lm, cache)
-        pieces = ((word if plain else "") + got).split(" ")
-        out.update(p for p in pieces[:-1] if len(p) > 1)
-        changed = True
-        return pieces[-1]
-
-    def close() -> None:
-        nonlocal word, changed
-        if changed and len(word) > 1:
-            out.add(word)
-        word, changed = "", False
-
-    for gap, t in zip(split[::2], split[1::2]):
-        kind, first, end = _KINDS.get(t) or _kind(t)
-        if gap != " " and (word or pending) and gap.strip(_SEPARATORS):
-            if pending:
-                word = flush("")
-            close()
-        if kind == WORD:
+    if not tokens:
+        return set()
+    # a gap with anything but separators always parts words
+    parting = np.concatenate([[0], np.cumsum(kind & SEPARATOR == 0)])
+    apart = parting[start[1:]] > parting[end[:-1]]
+    at = [k for k, t in enumerate(tokens) if t in others] if others else []
+    plain = np.ones(len(tokens), bool)
+    plain[at] = False
+    own = np.flatnonzero(plain[:-1] & plain[1:] & ~apart)
+    last, first = end[own], start[own + 1]
+    borders = _borders_of(lm)
+    cell, numbered = borders.cells([code[last - 2], code[last - 1], code[first], code[first + 1]])
+    got = np.where(numbered, borders.known[cell], 0)
+    for j in np.flatnonzero(got == 0).tolist():
+        k = int(own[j])
+        got[j] = numbered[j] and borders.known[cell[j]]
+        if not got[j]:
+            got[j] = 1 if _decoded(" ", tokens[k][-2:], tokens[k + 1][:2], lm, cache) else 2
+            if numbered[j]:
+                borders.known[cell[j]] = got[j]
+    gone = np.zeros(len(tokens) - 1, bool)
+    gone[own] = got == 2
+    between = ["" if x else " " for x in gone.tolist()]
+    hard, begun, all_done = apart.tolist(), False, set()
+    # each run of other tokens gives way to what stands for it and the separators around it
+    for k, follows in zip(at, at[1:] + [0]):
+        token, tokens[k] = tokens[k], ""
+        if not begun:
+            soft = k > 0 and not hard[k - 1]
+            before, done = (tokens[k - 1][-2:], "") if soft else ("", " ")
+            pending: list[str] = []
+        number = len(token) > 1 and token.isdigit()
+        if number or begun and hard[k - 1]:
             if pending:
-                left = flush(t)
-                word = left + t
-                if not left:
-                    changed = False
-            elif word:
-                key = tail + first
-                sep = cache.get(key)
-                if sep is None:
-                    if len(cache) >= CACHE_WORDS:
-                        cache.clear()
-                    sep = cache[key] = decode(" ", lm, tail[:-1], first)
-                if sep:
-                    if changed:
-                        close()
-                    word = t
-                else:
-                    word, changed = word + t, True
-            else:
-                word = t
-            tail = end
-        elif kind == NUMBER:
+                done += _around(pending, before, "", lm, cache)
+            before, done = "", done + " "
+        if not number:
+            pending.append(token)
+        begun = follows == k + 1
+        if not begun:
+            after = tokens[k + 1][:2] if k + 1 < len(tokens) and not hard[k] else ""
             if pending:
-                word = flush("")
-            close()
-        else:
-            pending.append(t)
-    if pending:
-        word = flush("")
-    close()
-    return out
+                done += _around(pending, before, after, lm, cache)
+            tokens[k] = done if after else done + " "
+            all_done.add(done)
+        if k > 0:
+            between[k - 1] = ""
+        if k < len(between):
+            between[k] = ""
+    parts = [""] * (len(tokens) + len(between))
+    parts[::2], parts[1::2] = tokens, between
+    single = {w for done in all_done for w in done.split(" ") if len(w) < 2}
+    return set("".join(parts).split(" ")) - single - {""}
+
+
+def _around(pending: list[str], before: str, after: str, lm: LanguageModel, cache: dict[str, str]) -> str:
+    """What stands for the pending tokens, which it settles, and for the separators around them."""
+    text = " ".join(pending)
+    pending.clear()
+    return _decoded((" " if before else "") + text + (" " if after else ""), before, after, lm, cache)
 
 
 def gather(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
