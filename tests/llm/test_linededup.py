@@ -85,3 +85,20 @@ def test_equal_lines_are_one_row_of_the_join(spark):
     table = ld._class_table(ld._line_table(df, ld.rarity(df), "doc_id", "text")).collect()
     assert sorted((tuple(r["first"]), tuple(r["last"]), r.n, len(r.prefix)) for r in table) == [((ld.NO_ID, 0), (9, 0), 3, 1), ((3, 0), (3, 0), 4, 1)]
     assert got(df) == sorted([(5, 2, (1,)), (None, 2, (1,)), (9, 1, (0,)), (3, 1, ())], key=str)
+
+
+def test_the_same_shingles_in_another_order(spark):
+    rows = [(1, "a b c d e a b c d e"), (2, "b c d e a b c d e a"), (2, "c d e a b c d e a b"), (3, "A B C D E A B C D E A B")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(df) == brute(rows) == [(1, 1, ()), (2, 1, (0,)), (2, 1, (0,)), (3, 1, (0,))]
+
+
+def test_only_lines_asked_for_are_cut_into_shingles(spark):
+    line = "one two three four five six"
+    df = spark.createDataFrame([(1, f"x\n{line}"), (1, "y\nquite other words at the same place"), (None, f"{line} seven")], "doc_id long, text string")
+    lines = ld._line_table(df, ld.rarity(df), "doc_id", "text")
+    place = lines.where("n = 2 and pos = 1 or doc_id is null").select("class", ld._doc(F.col("doc_id")).alias("doc"), "pos")
+    sets = ld._token_sets(df, place, "doc_id", "text")
+    assert sorted(len(r.tokens) for r in sets.collect()) == [2, 3]
+    plan = sets._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("array_distinct(") < plan.index("LeftSemi")

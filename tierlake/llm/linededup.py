@@ -14,7 +14,7 @@ differ by at most the factor t (length filter); and for their first shared
 token what follows on both sides must suffice (positional filter).  Survivors
 are verified on their whole token sets.
 
-Equal lines have one class and need no pairs.  A token that many different
+Lines of equal words have one class and need no pairs.  A token that many different
 lines share never gives all their pairs: each line is first held against the
 lines of the earliest document with that token; those that match are settled, and only the others
 are held against all earlier lines of the token.
@@ -82,6 +82,11 @@ def rarity(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> C
     return F.split(F.lit(",".join(str(rank[n] << BITS) for n in counts)), ",").cast("array<long>")
 
 
+def _class(words: Column) -> Column:
+    """Lines of the same words are one class; lines of the same shingles in another order are similar ones of two classes."""
+    return F.xxhash64(words)
+
+
 def _tokens(words: Column, counts: Column) -> Column:
     """The line's tokens in ascending order of rarity count: count rank above the hash bits."""
     # without NULL in its type the array is sorted as plain numbers
@@ -89,10 +94,10 @@ def _tokens(words: Column, counts: Column) -> Column:
 
 
 def _line_table(docs: DataFrame, counts: Column, id_col: str, text_col: str) -> DataFrame:
-    lines = _text_lines(docs, id_col, text_col).select("doc_id", "key", "pos", _tokens(F.col("words"), counts).alias("tokens"))
+    lines = _text_lines(docs, id_col, text_col).select("doc_id", "key", "pos", _class(F.col("words")).alias("class"), _tokens(F.col("words"), counts).alias("tokens"))
     n = F.size("tokens")
     prefix = n - F.ceil(n * NUM / F.lit(DEN)).cast("int") + 1
-    return lines.select("doc_id", "key", "pos", F.xxhash64("tokens").alias("class"), n.alias("n"), F.slice("tokens", F.lit(1), prefix).alias("prefix"))
+    return lines.select("doc_id", "key", "pos", "class", n.alias("n"), F.slice("tokens", F.lit(1), prefix).alias("prefix"))
 
 
 def _class_table(lines: DataFrame) -> DataFrame:
@@ -112,6 +117,21 @@ def _may_match(x: str, y: str) -> Column:
     return (xn * NUM <= yn * DEN) & (yn * NUM <= xn * DEN) & (1 + F.least(xn - xi - 1, yn - yi - 1) >= need)
 
 
+def _token_sets(docs: DataFrame, place: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(class, tokens)`` of the classes of ``place(class, doc, pos)``: whole token sets in no order, from the texts.
+
+    The class is known from the words, so only the lines asked for are cut into shingles.
+    """
+    wanted = place.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "pos") \
+        .groupBy("doc_id").agg(F.collect_list("pos").alias("places"))
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    some = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"])) \
+        .select(F.explode(let(F.split("text", "\n"), lambda lines: F.transform("places", lambda p: F.get(lines, p)))).alias("line"))
+    # rows that repeat a doc_id have other lines at the same places
+    some = _long_lines(some).select(_class(F.col("words")).alias("class"), "words").join(place.select("class"), "class", "left_semi")
+    return some.select("class", F.array_distinct(_shingles(F.col("words"))).alias("tokens")).dropDuplicates(["class"])
+
+
 def matched_classes(docs: DataFrame, classes: DataFrame, counts: Column, id_col: str, text_col: str) -> DataFrame:
     """``(class)`` of the lines whose first occurrence has an earlier similar line of another class."""
     spark = docs.sparkSession
@@ -124,15 +144,8 @@ def matched_classes(docs: DataFrame, classes: DataFrame, counts: Column, id_col:
         .withColumn("lead", F.min("doc").over(Window.partitionBy("token")))
     crowd = written(crowd.select("token", "class", "n", "i", "lead", "doc", "pos"), "line-crowd")
 
-    # whole token sets of the lines that share a prefix token with another one, from their texts
     place = crowd.select("class", "doc", "pos").distinct()
-    wanted = place.select(F.when(F.col("doc") != NO_ID, F.col("doc")).alias("doc_id"), "pos") \
-        .groupBy("doc_id").agg(F.collect_list("pos").alias("places"))
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    some = texts.join(wanted, texts["doc_id"].eqNullSafe(wanted["doc_id"])) \
-        .select(F.explode(let(F.split("text", "\n"), lambda lines: F.transform("places", lambda p: F.get(lines, p)))).alias("line"))
-    some = _long_lines(some).select(_tokens(F.col("words"), counts).alias("tokens"))
-    sets = some.select(F.xxhash64("tokens").alias("class"), "tokens").join(place.select("class"), "class", "left_semi").dropDuplicates(["class"])
+    sets = _token_sets(docs, place, id_col, text_col)
     sets = written(sets, "line-sets")
     released(spark)
 
